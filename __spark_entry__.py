@@ -43,47 +43,44 @@ CUTS = {"warn_threshold": WARN, "volume_threshold": VOLUME}
 HIGH, MEDIUM = 0.52, 0.5
 
 
-def _mapping() -> dict:
-    return {
-        "component": F.concat(F.lit("svc."), (F.col("user_id") % 6).cast("string")),
-        "event": F.col("event_type"),
-        "warning": F.col("event_type") == "error",
-        "incident": F.col("value") >= 200,
-    }
+MAPPING = {
+    "component": "concat('svc.', CAST(user_id % 6 AS STRING))",
+    "event": "event_type",
+    "warning": "event_type = 'error'",
+    "incident": "value >= 200",
+}
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table of a test data folder."""
-    return windows_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), **_mapping())
+    return windows_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), **MAPPING)
 
 
 def _rule_scores(df: DataFrame) -> DataFrame:
     """Predictions of a plain rule: an incident where half of the lines are warnings."""
-    ratio = F.col(S.WARN_COUNT) / F.col(S.LOG_VOLUME)
-    return df.select(
-        F.col(S.INCIDENT).alias("y_true"),
-        (ratio >= 0.5).cast("int").alias("y_pred"),
-        ratio.alias("y_proba"),
+    return df.selectExpr(
+        "incident AS y_true",
+        "CAST(warn_count / log_volume >= 0.5D AS INT) AS y_pred",
+        "warn_count / log_volume AS y_proba",
     )
 
 
 def _gappy(df: DataFrame) -> DataFrame:
     """Feature table in which quiet windows have no warning count and no warning share."""
-    quiet = F.col(S.WARN_COUNT) == 0
-    return df.select(
-        S.COMPONENT,
-        S.TIME_WINDOW,
-        F.when(~quiet, F.col(S.WARN_COUNT)).alias(S.WARN_COUNT),
-        S.LOG_VOLUME,
-        F.when(quiet, F.lit(float("nan")))
-        .otherwise(F.col(S.WARN_COUNT) / F.col(S.LOG_VOLUME))
-        .alias("warn_share"),
-        S.INCIDENT,
+    return df.selectExpr(
+        "component",
+        "time_window",
+        "nullif(warn_count, 0) AS warn_count",
+        "log_volume",
+        "IF(warn_count = 0, CAST('NaN' AS DOUBLE), warn_count / log_volume) AS warn_share",
+        "incident",
     )
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 9) for c in columns})
+    return df.selectExpr(
+        *[f"round({c}, 9) AS {c}" if c in columns else f"`{c}`" for c in df.columns]
+    )
 
 
 def _gate_metrics(df: DataFrame) -> DataFrame:
@@ -95,11 +92,9 @@ def _gate_metrics(df: DataFrame) -> DataFrame:
 def _standardized(df: DataFrame) -> DataFrame:
     columns = [*S.MEASURES, S.EVENT_RATIO]
     rows = split.stratified_split(engineer_features(df, "plus_one", **CUTS))
-    fitted = scaling.fit_scaling(rows.filter(F.col("split") == split.TRAIN), columns)
+    fitted = scaling.fit_scaling(rows.filter("split = 'train'"), columns)
     scaled = scaling.apply_scaling(rows, fitted)
-    return scaled.select(
-        S.COMPONENT, S.TIME_WINDOW, "split", *[F.round(c, 9).alias(c) for c in columns]
-    )
+    return _rounded(scaled.select(S.COMPONENT, S.TIME_WINDOW, "split", *columns), *columns)
 
 
 def _indexed(df: DataFrame, order: str) -> DataFrame:
@@ -107,28 +102,30 @@ def _indexed(df: DataFrame, order: str) -> DataFrame:
     return model.transform(df).select(S.COMPONENT, S.TIME_WINDOW, models.COMPONENT_INDEX)
 
 
-def _prepared(df: DataFrame, policy: str):
-    """Engineered rows, cached because fitting reads them several times, split in two."""
-    engineered = engineer_features(df, policy, **CUTS).persist()
-    return engineered, training.split_rows(engineered, "stratified")
-
-
 def _plain(df: DataFrame, name: str):
-    _, (train, test) = _prepared(df, "zero")
-    return models.fit_plain(train, models.plain_model(name)), test
+    """A preset over one-hot features, and the rows to score."""
+    with training.train_and_test(engineer_features(df, "zero", **CUTS)) as (train, test):
+        rows = models.compact(train, train.count())
+        return models.fit_plain(rows, models.plain_model(name)), test
 
 
 def _scaled(df: DataFrame, name: str):
-    engineered, (train, test) = _prepared(df, "plus_one")
-    indexer = models.component_indexer("alphabetAsc").fit(engineered)
-    counts = split.label_counts(train)
-    n = sum(counts.values())
-    weighted = split.with_class_weight(train, counts)
-    return models.fit_scaled(weighted, indexer, models.scaled_model(name, n), n), test
+    """A preset over scaled features, and the rows to score."""
+    engineered = engineer_features(df, "plus_one", **CUTS)
+    with training.train_and_test(engineered) as (train, test):
+        indexer = models.component_indexer("alphabetAsc").fit(engineered)
+        counts = split.label_counts(train)
+        n = sum(counts.values())
+        weighted = models.compact(split.with_class_weight(train, counts), n)
+        return models.fit_scaled(weighted, indexer, models.scaled_model(name, n), n), test
 
 
 def _scored(model, rows: DataFrame) -> DataFrame:
-    return models.positive_probability(models.score(model, rows)).select(
+    return _scored_columns(models.score(model, rows))
+
+
+def _scored_columns(scored: DataFrame) -> DataFrame:
+    return models.positive_probability(scored).select(
         S.COMPONENT, S.TIME_WINDOW, S.INCIDENT, "prediction", "y_proba"
     )
 
@@ -194,18 +191,14 @@ def _stored_stream(stream: DataFrame, name: str) -> DataFrame:
 
 
 def _streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = windows_from_event_stream(_event_stream(spark, sf_dir), **_mapping())
+    stream = windows_from_event_stream(_event_stream(spark, sf_dir), **MAPPING)
     return _stored_stream(stream, "windows")
 
 
 def _streamed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = _plain(windows(spark, sf_dir), "logistic_regression")
-    stream = windows_from_event_stream(_event_stream(spark, sf_dir), **_mapping())
-    return _stored_stream(_scored(model, stream_features(model, stream)), "scores")
-
-
-def stream_features(model, stream: DataFrame) -> DataFrame:
-    return engineer_features(stream, "zero", **CUTS)
+    stream = windows_from_event_stream(_event_stream(spark, sf_dir), **MAPPING)
+    return _stored_stream(_scored_columns(score_stream(model, stream, **CUTS)), "scores")
 
 
 def _described(df: DataFrame) -> DataFrame:
@@ -550,6 +543,10 @@ def oracle_sql() -> dict[str, str]:
     summary = f"{f} SELECT {engineered['null']} FROM f"
     return {
         "derive_features": f"{f} SELECT * FROM f",
+        # Hours that end before the stream's watermark, two hours behind the last event.
+        "streamed_windows": f"""{f} SELECT * FROM f
+            WHERE strptime(time_window, '%y%m%d_%H') + INTERVAL 3 HOUR
+                  <= (SELECT max(ts) FROM events)""",
         "features_null_ratio": summary,
         "features_zero_ratio": f"{f} SELECT {engineered['zero']}, {_HOUR} AS hour FROM f",
         "features_plus_one_ratio": f"{f} SELECT {engineered['plus_one']}, {_HOUR} AS hour FROM f",

@@ -6,6 +6,9 @@ from riskwindow.functions.columns import (
     hour_of,
     interaction,
     is_missing,
+    literal,
+    lookup,
+    quoted,
     rows_from,
     share,
     share_or_zero,
@@ -20,6 +23,9 @@ __all__ = [
     "hour_of",
     "interaction",
     "is_missing",
+    "literal",
+    "lookup",
+    "quoted",
     "rows_from",
     "share",
     "share_or_zero",

@@ -1,7 +1,10 @@
-"""Column expressions shared by the operators. None of them shuffles."""
+"""Expressions shared by the operators, as SQL text for ``expr`` and ``selectExpr``.
+
+None of them shuffles and none needs Python on the executors.
+"""
+
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwindow import schema as S
@@ -9,72 +12,93 @@ from riskwindow import schema as S
 RATIO_POLICIES = ("null", "zero", "plus_one")
 
 
-def is_missing(field: T.StructField) -> Column:
+def quoted(name: str) -> str:
+    """A column name that SQL text can hold whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return str(value)
+
+
+def is_missing(field: T.StructField) -> str:
     """NULL, or NaN where the type can hold one."""
-    column = F.col(f"`{field.name}`")
+    name = quoted(field.name)
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
+        return f"({name} IS NULL OR isnan({name}))"
+    return f"{name} IS NULL"
 
 
-def interaction(left, right) -> Column:
+def interaction(left: str, right: str) -> str:
     """Product of two counts, widened first so that it cannot overflow an int."""
-    return F.col(left).cast("bigint") * F.col(right).cast("bigint")
+    return f"CAST({left} AS BIGINT) * CAST({right} AS BIGINT)"
 
 
-def event_ratio(volume, events, policy: str) -> Column:
+def event_ratio(volume: str, events: str, policy: str) -> str:
     """Log lines per distinct event.
 
     ``null``: NULL for a zero divisor. ``zero``: 0 for a zero or NULL divisor.
     ``plus_one``: divide by the count plus one.
     """
-    lines = F.col(volume).cast("double")
-    count = F.col(events).cast("bigint")
-    if policy == "null":
-        return F.try_divide(lines, count)
-    if policy == "zero":
-        return F.when(count != 0, F.try_divide(lines, count)).otherwise(F.lit(0.0))
-    if policy == "plus_one":
-        return F.try_divide(lines, count + 1)
-    raise ValueError(f"unknown ratio policy {policy!r}, expected one of {RATIO_POLICIES}")
-
-
-def above(column, threshold) -> Column:
+    ratios = {
+        "null": share(volume, events),
+        "zero": f"CASE WHEN {events} <> 0 THEN {share(volume, events)} ELSE 0D END",
+        "plus_one": share(volume, f"(CAST({events} AS BIGINT) + 1)"),
+    }
+    if policy not in ratios:
+        raise ValueError(f"unknown ratio policy {policy!r}, expected one of {RATIO_POLICIES}")
+    return ratios[policy]
+
+
+def above(column: str, threshold: float) -> str:
     """1 where the value is strictly above the threshold, else 0 (also for NULL)."""
-    return F.when(F.col(column) > threshold, 1).otherwise(0)
+    return f"CASE WHEN {column} > {threshold} THEN 1 ELSE 0 END"
 
 
-def date_of(window=S.TIME_WINDOW) -> Column:
+def date_of(window: str = S.TIME_WINDOW) -> str:
     """Date part of a ``YYMMDD_HH`` window label."""
-    return F.substring(window, 1, 6)
+    return f"substr({window}, 1, 6)"
 
 
-def hour_of(window=S.TIME_WINDOW) -> Column:
+def hour_of(window: str = S.TIME_WINDOW) -> str:
     """Hour of a ``YYMMDD_HH`` window label; NULL when it is not a number."""
-    return F.substring(window, 8, 2).try_cast("int")
+    return f"try_cast(substr({window}, 8, 2) AS INT)"
 
 
 def warning_category(
-    average: Column,
+    average: str,
     high: float = S.HIGH_WARNING_AVERAGE,
     medium: float = S.MEDIUM_WARNING_AVERAGE,
-) -> Column:
+) -> str:
     return (
-        F.when(average > high, "High Warning")
-        .when(average > medium, "Medium Warning")
-        .otherwise("Low Warning")
+        f"CASE WHEN {average} > {high} THEN 'High Warning' "
+        f"WHEN {average} > {medium} THEN 'Medium Warning' ELSE 'Low Warning' END"
     )
 
 
-def share(part: Column, whole: Column) -> Column:
+def share(part: str, whole: str) -> str:
     """part / whole as a double, NULL when the whole is zero."""
-    return F.try_divide(part.cast("double"), whole.cast("double"))
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
+
 
+def share_or_zero(part: str, whole: str) -> str:
+    return f"coalesce({share(part, whole)}, 0D)"
 
-def share_or_zero(part: Column, whole: Column) -> Column:
-    return F.coalesce(share(part, whole), F.lit(0.0))
 
+def lookup(column: str, values: Mapping) -> str:
+    """CASE over a handful of values."""
+    cases = [f"WHEN {literal(key)} THEN {literal(value)}" for key, value in values.items()]
+    return f"CASE {column} {' '.join(cases)} END"
 
-def rows_from(*structs: Column) -> Column:
-    """One output row per struct: turns a one-row wide result into a long table."""
-    return F.inline(F.array(*structs))
+
+def rows_from(names: Sequence[str], rows: Sequence[Sequence[str]]) -> str:
+    """One output row per tuple: turns a one-row wide result into a long table.
+
+    To be used in ``selectExpr``; each tuple holds one expression per name.
+    """
+    cells = ", ".join(expression for row in rows for expression in row)
+    return f"stack({len(rows)}, {cells}) AS ({', '.join(quoted(name) for name in names)})"

@@ -12,28 +12,32 @@ from riskwindow.functions import date_of, share, warning_category
 
 
 def basic_statistics(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
+    distinct = (
+        f"approx_count_distinct({S.COMPONENT})"
+        if approx_distinct
+        else f"count(DISTINCT {S.COMPONENT})"
+    )
     return df.agg(
-        F.count("*").alias("total_records"),
-        distinct(S.COMPONENT).alias("unique_components"),
-        F.sum(S.INCIDENT).alias("total_incidents"),
-        F.avg(S.WARN_COUNT).alias("avg_warn_count"),
-        F.avg(S.LOG_VOLUME).alias("avg_log_volume"),
-        F.avg(S.UNIQUE_EVENT_COUNT).alias("avg_unique_events"),
+        F.expr("count(*) AS total_records"),
+        F.expr(f"{distinct} AS unique_components"),
+        F.expr(f"sum({S.INCIDENT}) AS total_incidents"),
+        F.expr(f"avg({S.WARN_COUNT}) AS avg_warn_count"),
+        F.expr(f"avg({S.LOG_VOLUME}) AS avg_log_volume"),
+        F.expr(f"avg({S.UNIQUE_EVENT_COUNT}) AS avg_unique_events"),
     )
 
 
 def incident_rate_by_component(df: DataFrame) -> DataFrame:
     """Incident percentage per component, highest first."""
-    incidents = F.sum(S.INCIDENT)
+    rate = share(f"sum({S.INCIDENT}) * 100", "count(*)")
     return (
         df.groupBy(S.COMPONENT)
         .agg(
-            F.count("*").alias("total_records"),
-            incidents.alias("incident_count"),
-            F.round(share(incidents * 100, F.count("*")), 2).alias("incident_rate_percent"),
-            F.avg(S.WARN_COUNT).alias("avg_warn_count"),
-            F.avg(S.LOG_VOLUME).alias("avg_log_volume"),
+            F.expr("count(*) AS total_records"),
+            F.expr(f"sum({S.INCIDENT}) AS incident_count"),
+            F.expr(f"round({rate}, 2) AS incident_rate_percent"),
+            F.expr(f"avg({S.WARN_COUNT}) AS avg_warn_count"),
+            F.expr(f"avg({S.LOG_VOLUME}) AS avg_log_volume"),
         )
         .orderBy(F.desc_nulls_last("incident_rate_percent"), S.COMPONENT)
     )
@@ -41,11 +45,11 @@ def incident_rate_by_component(df: DataFrame) -> DataFrame:
 
 def incidents_by_date(df: DataFrame) -> DataFrame:
     return (
-        df.groupBy(date_of().alias("date_part"))
+        df.groupBy(F.expr(f"{date_of()} AS date_part"))
         .agg(
-            F.count("*").alias("records_per_date"),
-            F.sum(S.INCIDENT).alias("incidents_per_date"),
-            F.avg(S.WARN_COUNT).alias("avg_warn_count"),
+            F.expr("count(*) AS records_per_date"),
+            F.expr(f"sum({S.INCIDENT}) AS incidents_per_date"),
+            F.expr(f"avg({S.WARN_COUNT}) AS avg_warn_count"),
         )
         .orderBy("date_part")
     )
@@ -56,9 +60,9 @@ def component_feature_ranges(df: DataFrame) -> DataFrame:
     short = {S.WARN_COUNT: "warn", S.LOG_VOLUME: "log_volume", S.UNIQUE_EVENT_COUNT: "unique_events"}
     return df.groupBy(S.COMPONENT).agg(
         *[
-            function(measure).alias(f"{prefix}_{name}")
+            F.expr(f"{function}({measure}) AS {function}_{name}")
             for measure, name in short.items()
-            for prefix, function in (("min", F.min), ("max", F.max), ("avg", F.avg))
+            for function in ("min", "max", "avg")
         ]
     )
 
@@ -70,7 +74,7 @@ def high_risk_windows(df: DataFrame) -> DataFrame:
     one range of the sort.
     """
     return (
-        df.filter(F.col(S.INCIDENT) == 1)
+        df.filter(f"{S.INCIDENT} = 1")
         .select(S.TIME_WINDOW, S.COMPONENT, *S.MEASURES, S.INCIDENT)
         .orderBy(S.TIME_WINDOW, S.COMPONENT, *S.MEASURES)
     )
@@ -82,13 +86,11 @@ def component_warning_category(
     medium: float = S.MEDIUM_WARNING_AVERAGE,
 ) -> DataFrame:
     """Component averages with a warning category from the average count."""
-    return (
-        df.groupBy(S.COMPONENT)
-        .agg(
-            F.avg(S.WARN_COUNT).alias("avg_warn"),
-            F.avg(S.LOG_VOLUME).alias("avg_log_volume"),
-            F.avg(S.UNIQUE_EVENT_COUNT).alias("avg_unique_events"),
-            F.sum(S.INCIDENT).alias("total_incidents"),
-        )
-        .withColumn("warning_category", warning_category(F.col("avg_warn"), high, medium))
+    category = warning_category(f"avg({S.WARN_COUNT})", high, medium)
+    return df.groupBy(S.COMPONENT).agg(
+        F.expr(f"avg({S.WARN_COUNT}) AS avg_warn"),
+        F.expr(f"avg({S.LOG_VOLUME}) AS avg_log_volume"),
+        F.expr(f"avg({S.UNIQUE_EVENT_COUNT}) AS avg_unique_events"),
+        F.expr(f"sum({S.INCIDENT}) AS total_incidents"),
+        F.expr(f"{category} AS warning_category"),
     )

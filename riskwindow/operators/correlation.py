@@ -3,11 +3,11 @@
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.functions import rows_from
+from riskwindow.functions import literal, quoted, rows_from
 from riskwindow.operators.quality import numeric_columns
 
 
@@ -19,13 +19,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations(columns, 2))
     wide = df.agg(
-        *[_pearson(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)],
-        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"{_pearson(x, y)} AS r{i}") for i, (x, y) in enumerate(pairs)],
+        *[F.expr(f"{_own(c)} AS d{i}") for i, c in enumerate(columns)],
     )
-    cells = [_cell(c, c, f"d{i}") for i, c in enumerate(columns)]
+    cells = [(literal(c), literal(c), f"d{i}") for i, c in enumerate(columns)]
     for i, (x, y) in enumerate(pairs):
-        cells += [_cell(x, y, f"r{i}"), _cell(y, x, f"r{i}")]
-    return wide.select(rows_from(*cells))
+        cells += [(literal(x), literal(y), f"r{i}"), (literal(y), literal(x), f"r{i}")]
+    return wide.selectExpr(rows_from(["x", "y", "r"], cells))
 
 
 def correlation_with_target(
@@ -34,30 +34,27 @@ def correlation_with_target(
     """Correlation of each column with the target, highest first."""
     wide = df.agg(
         *[
-            (F.when(F.stddev_pop(c) > 0, 1.0) if c == target else _pearson(c, target)).alias(f"r{i}")
+            F.expr(f"{_own(c) if c == target else _pearson(c, target)} AS r{i}")
             for i, c in enumerate(columns)
         ]
     )
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"))
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(rows_from(*cells)).orderBy(F.desc_nulls_last("r"), "feature")
+    cells = [(literal(c), f"r{i}") for i, c in enumerate(columns)]
+    return wide.selectExpr(rows_from(["feature", "r"], cells)).orderBy(
+        F.desc_nulls_last("r"), "feature"
+    )
 
 
 def correlation_heatmap(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Correlation cells as annotated in a heat map, two decimals."""
-    return correlation_matrix(df, columns).withColumn("r", F.round("r", 2))
+    return correlation_matrix(df, columns).selectExpr("x", "y", "round(r, 2) AS r")
 
 
-def _pearson(x: str, y: str) -> Column:
+def _pearson(x: str, y: str) -> str:
     # covar_pop skips rows in which either side is NULL, so the deviations must too.
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    return F.try_divide(
-        F.covar_pop(x, y),
-        F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y))),
-    )
+    x, y = quoted(x), quoted(y)
+    both = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    return f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) {both} * stddev_pop({y}) {both})"
 
 
-def _cell(x: str, y: str, r: str) -> Column:
-    return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(r).alias("r"))
+def _own(column: str) -> str:
+    return f"CASE WHEN stddev_pop({quoted(column)}) > 0 THEN 1D END"

@@ -7,13 +7,13 @@ map-side once, and nothing later depends on how often a value is repeated.
 """
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskwindow.functions import quoted
+
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = 30
 WHISKER_REACH = 1.5
@@ -33,21 +33,18 @@ def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
         common = "bigint"
     else:
         common = "int"
-    keyed = df
-    for key in by:
-        keyed = keyed.filter(F.col(key).isNotNull())
     # Keys and measures may be the same column, so the measures get names of their own.
-    long = keyed.select(*by, *[F.col(c).cast(common).alias(f"m_{c}") for c in columns]).unpivot(
-        list(by), [f"m_{c}" for c in columns], "feature", "value"
-    )
-    kept = F.col("value").isNotNull()
+    measures = {f"m_{c}": f"CAST({quoted(c)} AS {common}) AS {quoted('m_' + c)}" for c in columns}
+    kept = ["value IS NOT NULL", *[f"{quoted(key)} IS NOT NULL" for key in by]]
     if common == "double":
-        kept = kept & ~F.isnan("value")
+        kept.append("NOT isnan(value)")
     return (
-        long.filter(kept)
+        df.selectExpr(*[quoted(key) for key in by], *measures.values())
+        .unpivot(list(by), list(measures), "feature", "value")
+        .filter(" AND ".join(kept))
         .groupBy(*by, "feature", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("feature", F.substring("feature", 3, 1 << 20))
+        .agg(F.expr("count(*) AS n"))
+        .selectExpr(*[quoted(key) for key in by], "substr(feature, 3) AS feature", "value", "n")
     )
 
 
@@ -64,38 +61,34 @@ def quantiles(
     """
     group = [*by, "feature"]
     levels = _narrowing(dict(frequencies.dtypes)["value"])
-    rows = frequencies.select(
-        *group, "value", "n", *[key.alias(f"k{i}") for i, key in enumerate(levels)]
+    rows = frequencies.selectExpr(
+        *[quoted(key) for key in group],
+        "value",
+        "n",
+        *[f"{key} AS k{i}" for i, key in enumerate(levels)],
     )
-    placed = rows
-    parents: list[str] = []
+    placed, parents = rows, list(group)
     for i in range(len(levels)):
-        keys = [*group, *parents, f"k{i}"]
-        carried = ["below", "total"] if i else []
-        buckets = placed.groupBy(*keys, *carried).agg(F.sum("n").alias("n"))
-        order = W.partitionBy(*group, *parents).orderBy(f"k{i}")
-        running = F.sum("n").over(order)
+        keys = [*parents, f"k{i}"]
+        running = f"sum(n) OVER (PARTITION BY {_names(parents)} ORDER BY k{i})"
         if i:
-            inside = F.col("below") + running
+            counted = placed.groupBy(*keys, "below", "total").agg(F.expr("sum(n) AS n"))
+            upto, total = f"below + {running}", "total"
         else:
-            inside = running
-            buckets = buckets.withColumn("total", F.sum("n").over(W.partitionBy(*group)))
+            counted = placed.groupBy(*keys).agg(F.expr("sum(n) AS n"))
+            upto, total = running, f"sum(n) OVER (PARTITION BY {_names(group)})"
         found = (
-            buckets.withColumn("upto", inside)
-            .withColumn("below", F.col("upto") - F.col("n"))
-            .filter(_any_rank_between("below", "upto", "total", probabilities))
-            .select(*keys, "below", "total")
+            counted.selectExpr(*map(quoted, keys), "n", f"{upto} AS upto", f"{total} AS total")
+            .filter(_holds_wanted_rank(probabilities))
+            .selectExpr(*map(quoted, keys), "upto - n AS below", "total")
         )
-        placed = rows.join(found, keys)
-        parents.append(f"k{i}")
-    order = W.partitionBy(*group, *parents).orderBy("value")
-    ranked = (
-        placed.withColumn("upto", F.col("below") + F.sum("n").over(order))
-        .withColumn("below", F.col("upto") - F.col("n"))
-        .filter(_any_rank_between("below", "upto", "total", probabilities))
-    )
-    return ranked.groupBy(*group).agg(
-        *[_interpolated(p).alias(quantile_name(p)) for p in probabilities]
+        placed, parents = rows.join(found, keys), keys
+    running = f"sum(n) OVER (PARTITION BY {_names(parents)} ORDER BY value)"
+    return (
+        placed.selectExpr(*map(quoted, group), "value", "n", f"below + {running} AS upto", "total")
+        .filter(_holds_wanted_rank(probabilities))
+        .groupBy(*group)
+        .agg(*[F.expr(f"{_interpolated(p)} AS {quantile_name(p)}") for p in probabilities])
     )
 
 
@@ -103,42 +96,45 @@ def quantile_name(probability: float) -> str:
     return f"p{probability * 100:g}"
 
 
-def _narrowing(kind: str) -> list[Column]:
-    """Order-preserving bucket keys of a value, from coarse to fine."""
-    value = F.col("value")
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(map(quoted, columns))
+
+
+def _narrowing(kind: str) -> list[str]:
+    """Order-preserving bucket keys of a value, from coarse to fine.
+
+    The values are never NULL. Saying so with ``coalesce`` keeps the joins on
+    these keys from adding NULL filters below the frequency table, which would
+    make Spark read the data once more instead of reusing its shuffle.
+    """
     if kind == "int":
-        return [F.shiftright(value, 16)]
+        return ["coalesce(shiftright(value, 16), 0)"]
     if kind == "bigint":
-        return [F.shiftright(value, 48), F.shiftright(value, 32), F.shiftright(value, 16)]
+        return [f"coalesce(shiftright(value, {bits}), 0L)" for bits in (48, 32, 16)]
     # Doubles: by sign and power of two, then three times by 16 more bits of the mantissa.
-    power = F.greatest(F.least(F.floor(F.log2(F.abs(value))), F.lit(1100)), F.lit(-900))
-    scaled = value / F.pow(F.lit(2.0), power)
-    keys = [F.signum(value) * (power + 2000)]
-    keys += [F.floor(scaled * float(1 << bits)) for bits in (16, 32, 48)]
-    return [F.when(value == 0, 0).otherwise(key).cast("bigint") for key in keys]
-
+    power = "greatest(least(floor(log2(abs(value))), 1100L), -900L)"
+    keys = [f"signum(value) * ({power} + 2000)"]
+    keys += [f"floor(value / pow(2D, {power}) * {1 << bits}D)" for bits in (16, 32, 48)]
+    return [f"coalesce(CASE WHEN value <> 0 THEN CAST({key} AS BIGINT) END, 0L)" for key in keys]
 
-def _rank(probability: float) -> Column:
-    return F.lit(float(probability)) * (F.col("total") - 1)
 
+def _rank(probability: float, rounding: str) -> str:
+    return f"{rounding}({float(probability)!r}D * (total - 1))"
 
-def _any_rank_between(below: str, upto: str, total: str, probabilities) -> Column:
-    hits = []
-    for p in probabilities:
-        for rank in (F.floor(_rank(p)), F.ceil(_rank(p))):
-            hits.append((F.col(below) <= rank) & (rank < F.col(upto)))
-    return reduce(lambda left, right: left | right, hits)
 
+def _holds_wanted_rank(probabilities: Sequence[float]) -> str:
+    """Whether ranks upto - n … upto - 1 include an order statistic of a quantile."""
+    ranks = [_rank(p, rounding) for p in probabilities for rounding in ("floor", "ceil")]
+    return " OR ".join(f"(upto - n <= {rank} AND {rank} < upto)" for rank in ranks)
 
-def _interpolated(probability: float) -> Column:
-    rank = _rank(probability)
 
-    def value_at(position: Column) -> Column:
-        here = (F.col("below") <= position) & (position < F.col("upto"))
-        return F.max(F.when(here, F.col("value"))).cast("double")
-
-    low, high = value_at(F.floor(rank)), value_at(F.ceil(rank))
-    return low + (high - low) * F.max(rank - F.floor(rank))
+def _interpolated(probability: float) -> str:
+    low, high = (
+        f"max(CASE WHEN upto - n <= {rank} AND {rank} < upto THEN CAST(value AS DOUBLE) END)"
+        for rank in (_rank(probability, "floor"), _rank(probability, "ceil"))
+    )
+    fraction = f"max({float(probability)!r}D * (total - 1) - {_rank(probability, 'floor')})"
+    return f"{low} + ({high} - {low}) * {fraction}"
 
 
 def describe(
@@ -146,26 +142,20 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample deviation, min, quantiles and max per (by…, feature)."""
     group = [*by, "feature"]
-    value, n = F.col("value").cast("double"), F.col("n")
     totals = frequencies.groupBy(*group).agg(
-        F.sum("n").alias("count"),
-        (F.sum(value * n) / F.sum(n)).alias("mean"),
-        F.min("value").cast("double").alias("min"),
-        F.max("value").cast("double").alias("max"),
+        F.expr("sum(n) AS count"),
+        F.expr("sum(CAST(value AS DOUBLE) * n) / sum(n) AS mean"),
+        F.expr("CAST(min(value) AS DOUBLE) AS min"),
+        F.expr("CAST(max(value) AS DOUBLE) AS max"),
     )
+    squares = "sum(n * (value - mean) * (value - mean))"
     spread = (
         frequencies.join(totals, group)
         .groupBy(*group, "count", "mean", "min", "max")
-        .agg(F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("squares"))
+        .agg(F.expr(f"sqrt(try_divide({squares}, count - 1)) AS std"))
     )
     return spread.join(quantiles(frequencies, by, probabilities), group).select(
-        *group,
-        "count",
-        "mean",
-        F.sqrt(F.try_divide(F.col("squares"), F.col("count") - 1)).alias("std"),
-        "min",
-        *[quantile_name(p) for p in probabilities],
-        "max",
+        *group, "count", "mean", "std", "min", *[quantile_name(p) for p in probabilities], "max"
     )
 
 
@@ -177,30 +167,22 @@ def describe_columns(df: DataFrame, columns: Sequence[str], approx: bool = False
     """
     if not approx:
         return describe(value_frequencies(df, columns))
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "value"
-    )
-    kept = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return (
-        kept.groupBy("feature")
+    sketched = (
+        df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in columns])
+        .unpivot([], list(columns), "feature", "value")
+        .filter("value IS NOT NULL AND NOT isnan(value)")
+        .groupBy("feature")
         .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.percentile_approx("value", list(QUARTILES), 10000).alias("q"),
-            F.max("value").alias("max"),
-        )
-        .select(
-            "feature",
-            "count",
-            "mean",
-            "std",
-            "min",
-            *[F.col("q")[i].alias(quantile_name(p)) for i, p in enumerate(QUARTILES)],
-            "max",
+            F.expr("count(value) AS count"),
+            F.expr("avg(value) AS mean"),
+            F.expr("stddev_samp(value) AS std"),
+            F.expr("min(value) AS min"),
+            F.expr(f"percentile_approx(value, array{QUARTILES}, 10000) AS q"),
+            F.expr("max(value) AS max"),
         )
     )
+    quartiles = [f"q[{i}] AS {quantile_name(p)}" for i, p in enumerate(QUARTILES)]
+    return sketched.selectExpr("feature", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def histogram(frequencies: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -208,39 +190,36 @@ def histogram(frequencies: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
 
     The last bin is closed. A constant column gets the range [x - 0.5, x + 0.5].
     """
-    value = F.col("value").cast("double")
-    extent = frequencies.groupBy("feature").agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    constant = F.col("lo") == F.col("hi")
-    extent = extent.select(
-        "feature",
-        F.when(constant, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(constant, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    extent = (
+        frequencies.groupBy("feature")
+        .agg(F.expr("CAST(min(value) AS DOUBLE) AS a"), F.expr("CAST(max(value) AS DOUBLE) AS b"))
+        .selectExpr("feature", "IF(a = b, a - 0.5D, a) AS lo", "IF(a = b, b + 0.5D, b) AS hi")
     )
-    position = F.floor((value - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))
+    position = f"floor((value - lo) * {bins} / (hi - lo))"
     filled = (
         frequencies.join(extent, "feature")
-        .withColumn("bin", F.least(position, F.lit(bins - 1)).cast("int"))
-        .groupBy("feature", "bin")
-        .agg(F.sum("n").alias("n"))
+        .groupBy("feature", F.expr(f"CAST(least({position}, {bins - 1}) AS INT) AS bin"))
+        .agg(F.expr("sum(n) AS n"))
     )
-    width = (F.col("hi") - F.col("lo")) / bins
-    frame = extent.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return frame.join(filled, ["feature", "bin"], "left").select(
+    frame = extent.selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
+    return frame.join(filled, ["feature", "bin"], "left").selectExpr(
         "feature",
         "bin",
-        (F.col("lo") + width * F.col("bin")).alias("bin_start"),
-        (F.col("lo") + width * (F.col("bin") + 1)).alias("bin_end"),
-        F.coalesce("n", F.lit(0)).alias("count"),
+        f"lo + (hi - lo) / {bins} * bin AS bin_start",
+        f"lo + (hi - lo) / {bins} * (bin + 1) AS bin_end",
+        "coalesce(n, 0L) AS count",
     )
 
 
 def box_fences(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles and the outlier fences 1.5 interquartile ranges beyond them."""
-    reach = WHISKER_REACH * (F.col("q3") - F.col("q1"))
-    return (
-        quantiles(frequencies, by)
-        .withColumnsRenamed({"p25": "q1", "p50": "median", "p75": "q3"})
-        .withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
+    return quantiles(frequencies, by).selectExpr(
+        *map(quoted, [*by, "feature"]),
+        "p25 AS q1",
+        "p50 AS median",
+        "p75 AS q3",
+        f"p25 - {WHISKER_REACH}D * (p75 - p25) AS low_fence",
+        f"p75 + {WHISKER_REACH}D * (p75 - p25) AS high_fence",
     )
 
 
@@ -250,23 +229,14 @@ def box_statistics(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     A whisker ends at the furthest value inside its fence, but never inside the box.
     """
     group = [*by, "feature"]
-    box = ["q1", "median", "q3"]
-    value = F.col("value").cast("double")
-    inside = (value >= F.col("low_fence")) & (value <= F.col("high_fence"))
+    inside = "value BETWEEN low_fence AND high_fence"
     return (
         frequencies.join(box_fences(frequencies, by), group)
-        .groupBy(*group, *box)
+        .groupBy(*group, "q1", "median", "q3")
         .agg(
-            F.min(F.when(inside, value)).alias("lowest"),
-            F.max(F.when(inside, value)).alias("highest"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
-        )
-        .select(
-            *group,
-            *box,
-            F.least("lowest", "q1").alias("whisker_low"),
-            F.greatest("highest", "q3").alias("whisker_high"),
-            "outliers",
+            F.expr(f"least(CAST(min(IF({inside}, value, NULL)) AS DOUBLE), q1) AS whisker_low"),
+            F.expr(f"greatest(CAST(max(IF({inside}, value, NULL)) AS DOUBLE), q3) AS whisker_high"),
+            F.expr(f"sum(IF({inside}, 0L, n)) AS outliers"),
         )
     )
 
@@ -274,9 +244,8 @@ def box_statistics(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def outlier_values(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The values drawn beyond the whiskers, with how often each occurs."""
     group = [*by, "feature"]
-    value = F.col("value").cast("double")
     return (
         frequencies.join(box_fences(frequencies, by), group)
-        .filter((value < F.col("low_fence")) | (value > F.col("high_fence")))
+        .filter("value < low_fence OR value > high_fence")
         .select(*group, "value", "n")
     )

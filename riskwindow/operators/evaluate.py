@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.functions import rows_from, share_or_zero
+from riskwindow.functions import literal, rows_from, share_or_zero
 
 LABEL, PREDICTION, SCORE = "y_true", "y_pred", "y_proba"
 
@@ -18,111 +18,82 @@ def confusion_pairs(predictions: DataFrame, label=LABEL, prediction=PREDICTION)
     """Rows per (label, prediction) pair that occurs."""
     return (
         predictions.groupBy(label, prediction)
-        .agg(F.count("*").alias("count"))
+        .agg(F.expr("count(*) AS count"))
         .orderBy(label, prediction)
     )
 
 
 def confusion_matrix(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
     """2 x 2 matrix, true classes down and predicted classes across, zeros included."""
-    names = ("No Incident", "Incident")
     cells = predictions.agg(
         *[
-            F.count_if((F.col(label) == t) & (F.col(prediction) == p)).alias(f"n{t}{p}")
-            for t in (0, 1)
-            for p in (0, 1)
+            F.expr(f"count_if({label} = {true} AND {prediction} = {said}) AS n{true}{said}")
+            for true in (0, 1)
+            for said in (0, 1)
         ]
     )
-    return cells.select(
-        rows_from(
-            *[
-                F.struct(
-                    F.lit(names[t]).alias("actual"),
-                    F.col(f"n{t}0").alias("no_incident"),
-                    F.col(f"n{t}1").alias("incident"),
-                )
-                for t in (0, 1)
-            ]
-        )
-    )
+    rows = [("'No Incident'", "n00", "n01"), ("'Incident'", "n10", "n11")]
+    return cells.selectExpr(rows_from(["actual", "no_incident", "incident"], rows))
 
 
 def accuracy(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
-    return predictions.agg(
-        F.avg((F.col(label) == F.col(prediction)).cast("int")).alias("accuracy")
-    )
+    return predictions.agg(F.expr(f"avg(CAST({label} = {prediction} AS INT)) AS accuracy"))
 
 
 def positive_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
     """Accuracy, and precision, recall and F1 of class 1; 0 on an empty denominator."""
-    real, said = F.col(label) == 1, F.col(prediction) == 1
-    counts = predictions.agg(
-        F.count_if(real & said).alias("tp"),
-        F.count_if(real).alias("actual"),
-        F.count_if(said).alias("predicted"),
-        F.count_if(F.col(label) == F.col(prediction)).alias("right"),
-        F.count("*").alias("n"),
-    )
-    tp, actual, predicted = F.col("tp"), F.col("actual"), F.col("predicted")
-    return counts.select(
-        share_or_zero(F.col("right"), F.col("n")).alias("accuracy"),
-        share_or_zero(tp, predicted).alias("precision"),
-        share_or_zero(tp, actual).alias("recall"),
-        share_or_zero(2 * tp, actual + predicted).alias("f1"),
+    return predictions.agg(
+        F.expr(f"count_if({label} = 1 AND {prediction} = 1) AS tp"),
+        F.expr(f"count_if({label} = 1) AS actual"),
+        F.expr(f"count_if({prediction} = 1) AS predicted"),
+        F.expr(f"count_if({label} = {prediction}) AS hits"),
+        F.expr("count(*) AS n"),
+    ).selectExpr(
+        f"{share_or_zero('hits', 'n')} AS accuracy",
+        f"{share_or_zero('tp', 'predicted')} AS precision",
+        f"{share_or_zero('tp', 'actual')} AS recall",
+        f"{share_or_zero('(2 * tp)', '(actual + predicted)')} AS f1",
     )
 
 
 def class_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
     """Precision, recall, F1 and support of every class seen as label or prediction."""
-    pairs = predictions.groupBy(
-        F.col(label).cast("int").alias("t"), F.col(prediction).cast("int").alias("p")
-    ).agg(F.count("*").alias("n"))
-    hit = F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(F.lit(0).cast("bigint"))
-    none = F.lit(0).cast("bigint")
-    per_class = (
-        pairs.select(
-            rows_from(
-                F.struct(
-                    F.col("t").alias("class"),
-                    F.col("n").alias("support"),
-                    none.alias("predicted"),
-                    hit.alias("tp"),
-                ),
-                F.struct(
-                    F.col("p").alias("class"),
-                    none.alias("support"),
-                    F.col("n").alias("predicted"),
-                    none.alias("tp"),
-                ),
-            )
+    roles = rows_from(
+        ["class", "support", "predicted", "tp"],
+        [("t", "n", "0L", "IF(t = p, n, 0L)"), ("p", "0L", "n", "0L")],
+    )
+    return (
+        predictions.groupBy(
+            F.expr(f"CAST({label} AS INT) AS t"), F.expr(f"CAST({prediction} AS INT) AS p")
         )
+        .agg(F.expr("count(*) AS n"))
+        .selectExpr(roles)
         .groupBy("class")
         .agg(
-            F.sum("support").alias("support"),
-            F.sum("predicted").alias("predicted"),
-            F.sum("tp").alias("tp"),
+            F.expr("sum(support) AS support"),
+            F.expr("sum(predicted) AS predicted"),
+            F.expr("sum(tp) AS tp"),
+        )
+        .selectExpr(
+            "class",
+            f"{share_or_zero('tp', 'predicted')} AS precision",
+            f"{share_or_zero('tp', 'support')} AS recall",
+            f"{share_or_zero('(2 * tp)', '(support + predicted)')} AS f1",
+            "support",
+            "tp",
         )
     )
-    tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")
-    return per_class.select(
-        "class",
-        share_or_zero(tp, predicted).alias("precision"),
-        share_or_zero(tp, support).alias("recall"),
-        share_or_zero(2 * tp, support + predicted).alias("f1"),
-        "support",
-        "tp",
-    )
+
+
+def _by_support(metric: str) -> str:
+    return share_or_zero(f"sum({metric} * support)", "sum(support)")
 
 
 def weighted_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
     """Accuracy, and precision, recall and F1 averaged over classes by support."""
-    total = F.sum("support")
     return class_metrics(predictions, label, prediction).agg(
-        share_or_zero(F.sum("tp"), total).alias("accuracy"),
-        *[
-            share_or_zero(F.sum(F.col(m) * F.col("support")), total).alias(f"weighted_{m}")
-            for m in ("precision", "recall", "f1")
-        ],
+        F.expr(f"{share_or_zero('sum(tp)', 'sum(support)')} AS accuracy"),
+        *[F.expr(f"{_by_support(m)} AS weighted_{m}") for m in ("precision", "recall", "f1")],
     )
 
 
@@ -132,46 +103,44 @@ def classification_report(predictions: DataFrame, label=LABEL, prediction=PREDIC
     A rollup gives the class rows and the averages from the same counts.
     """
     metrics = ("precision", "recall", "f1")
-    support = F.sum("support")
     rolled = (
         class_metrics(predictions, label, prediction)
         .rollup("class")
         .agg(
-            F.grouping("class").alias("overall"),
-            support.cast("double").alias("support"),
-            share_or_zero(F.sum("tp"), support).alias("accuracy"),
-            *[F.avg(m).alias(f"macro_{m}") for m in metrics],
-            *[
-                share_or_zero(F.sum(F.col(m) * F.col("support")), support).alias(f"weighted_{m}")
-                for m in metrics
-            ],
+            F.expr("grouping(class) AS overall"),
+            F.expr("CAST(sum(support) AS DOUBLE) AS support"),
+            F.expr(f"{share_or_zero('sum(tp)', 'sum(support)')} AS accuracy"),
+            *[F.expr(f"avg({m}) AS macro_{m}") for m in metrics],
+            *[F.expr(f"{_by_support(m)} AS weighted_{m}") for m in metrics],
         )
     )
 
-    def cell(name, metric, value):
-        return F.struct(
-            name.alias("label"), F.lit(metric).alias("metric"), F.col(value).alias("value")
-        )
+    def cells(name: str, prefix: str) -> str:
+        values = {
+            "precision": f"{prefix}_precision",
+            "recall": f"{prefix}_recall",
+            "f1-score": f"{prefix}_f1",
+            "support": "support",
+        }
+        return ", ".join(_cell(name, metric, value) for metric, value in values.items())
+
+    own = f"array({cells('CAST(class AS STRING)', 'macro')})"
+    overall = (
+        f"array({_cell(literal('accuracy'), 'accuracy', 'accuracy')}, "
+        f"{cells(literal('macro avg'), 'macro')}, {cells(literal('weighted avg'), 'weighted')})"
+    )
+    return rolled.selectExpr(f"inline(IF(overall = 0, {own}, {overall}))")
 
-    def block(name, prefix):
-        return [cell(name, m if m != "f1" else "f1-score", f"{prefix}_{m}") for m in metrics] + [
-            cell(name, "support", "support")
-        ]
 
-    own = F.array(*block(F.col("class").cast("string"), "macro"))
-    overall = F.array(
-        cell(F.lit("accuracy"), "accuracy", "accuracy"),
-        *block(F.lit("macro avg"), "macro"),
-        *block(F.lit("weighted avg"), "weighted"),
-    )
-    return rolled.select(F.inline(F.when(F.col("overall") == 0, own).otherwise(overall)))
+def _cell(name: str, metric: str, value: str) -> str:
+    return f"named_struct('label', {name}, 'metric', {literal(metric)}, 'value', {value})"
 
 
 def prediction_totals(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
     return predictions.agg(
-        F.count("*").alias("total_predictions"),
-        F.sum(F.col(label).cast("bigint")).alias("actual_incidents"),
-        F.sum(F.col(prediction).cast("bigint")).alias("predicted_incidents"),
+        F.expr("count(*) AS total_predictions"),
+        F.expr(f"sum(CAST({label} AS BIGINT)) AS actual_incidents"),
+        F.expr(f"sum(CAST({prediction} AS BIGINT)) AS predicted_incidents"),
     )
 
 
@@ -182,8 +151,8 @@ def roc_auc(predictions: DataFrame, label=LABEL, score=SCORE) -> float:
     sorts the distinct scores by range over the cluster.
     """
     seen = predictions.agg(
-        F.count_if(F.col(label) == 1).alias("positive"),
-        F.count_if(F.col(label) != 1).alias("negative"),
+        F.expr(f"count_if({label} = 1) AS positive"),
+        F.expr(f"count_if({label} <> 1) AS negative"),
     ).first()
     if not seen.positive or not seen.negative:
         return 0.0
@@ -206,10 +175,10 @@ def quality_gate(
 ) -> DataFrame:
     """Compare a (accuracy, f1, auc) row with the thresholds; reaching one is enough."""
     checks = {"accuracy": min_accuracy, "f1": min_f1, "auc": min_auc}
-    passed = [F.coalesce(F.col(m) >= least, F.lit(False)) for m, least in checks.items()]
-    return metrics.select(
-        *[check.alias(f"{m}_check") for m, check in zip(checks, passed)],
-        (passed[0] & passed[1] & passed[2]).alias("all_checks_passed"),
+    passed = {m: f"coalesce({m} >= {least!r}D, false)" for m, least in checks.items()}
+    return metrics.selectExpr(
+        *[f"{check} AS {m}_check" for m, check in passed.items()],
+        f"{' AND '.join(passed.values())} AS all_checks_passed",
     )
 
 

@@ -5,25 +5,24 @@ the SQL suite in :mod:`riskwindow.operators.analysis` keeps them.
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
 from riskwindow.functions import date_of, hour_of, rows_from, share
-from riskwindow.operators.distribution import describe, quantiles, value_frequencies
+from riskwindow.operators.distribution import describe, value_frequencies
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return (
-        df.filter(F.col(column).isNotNull())
+        df.filter(f"{column} IS NOT NULL")
         .groupBy(column)
-        .agg(F.count("*").alias("count"))
+        .agg(F.expr("count(*) AS count"))
         .orderBy(F.desc("count"), column)
     )
 
 
 def target_rate(df: DataFrame) -> DataFrame:
-    return df.agg(F.avg(S.INCIDENT).alias("incident_rate"))
+    return df.agg(F.expr(f"avg({S.INCIDENT}) AS incident_rate"))
 
 
 def component_card(df: DataFrame) -> DataFrame:
@@ -36,115 +35,107 @@ def component_card(df: DataFrame) -> DataFrame:
         S.LOG_VOLUME: "log_volume",
         S.UNIQUE_EVENT_COUNT: "unique_events",
     }
+    measured = [
+        F.expr(sql)
+        for measure, name in names.items()
+        for sql in (f"bround(avg({measure}), 2) AS avg_{name}", f"max({measure}) AS max_{name}")
+    ]
     return (
-        df.filter(F.col(S.COMPONENT).isNotNull())
+        df.filter(f"{S.COMPONENT} IS NOT NULL")
         .groupBy(S.COMPONENT)
         .agg(
-            F.count(S.INCIDENT).alias("total_records"),
-            F.sum(S.INCIDENT).alias("incident_count"),
-            F.bround(F.avg(S.INCIDENT), 2).alias("incident_rate"),
-            *[
-                column
-                for measure, name in names.items()
-                for column in (
-                    F.bround(F.avg(measure), 2).alias(f"avg_{name}"),
-                    F.max(measure).alias(f"max_{name}"),
-                )
-            ],
+            F.expr(f"count({S.INCIDENT}) AS total_records"),
+            F.expr(f"sum({S.INCIDENT}) AS incident_count"),
+            F.expr(f"bround(avg({S.INCIDENT}), 2) AS incident_rate"),
+            *measured,
         )
         .orderBy(F.desc_nulls_last("incident_rate"), S.COMPONENT)
     )
 
 
 def date_stats(df: DataFrame) -> DataFrame:
-    return _incident_stats(df.withColumn(S.DATE, date_of()), S.DATE)
+    return _incident_stats(df, date_of(), S.DATE)
 
 
 def hour_stats(df: DataFrame) -> DataFrame:
-    return _incident_stats(df.withColumn(S.HOUR, hour_of()), S.HOUR)
+    return _incident_stats(df, hour_of(), S.HOUR)
 
 
-def _incident_stats(df: DataFrame, key: str) -> DataFrame:
+def _incident_stats(df: DataFrame, key: str, name: str) -> DataFrame:
     return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        df.filter(f"{key} IS NOT NULL")
+        .groupBy(F.expr(f"{key} AS {name}"))
         .agg(
-            F.count(S.INCIDENT).alias("total_records"),
-            F.sum(S.INCIDENT).alias("incident_count"),
-            F.avg(S.INCIDENT).alias("incident_rate"),
-            F.avg(S.WARN_COUNT).alias("avg_warn_count"),
+            F.expr(f"count({S.INCIDENT}) AS total_records"),
+            F.expr(f"sum({S.INCIDENT}) AS incident_count"),
+            F.expr(f"avg({S.INCIDENT}) AS incident_rate"),
+            F.expr(f"avg({S.WARN_COUNT}) AS avg_warn_count"),
         )
-        .orderBy(key)
+        .orderBy(name)
     )
 
 
 def stats_by_incident(df: DataFrame, columns=S.MEASURES) -> DataFrame:
     """Mean, sample deviation and median per label; one-row groups have no deviation."""
     frequencies = value_frequencies(df, columns, by=[S.INCIDENT])
-    return describe(frequencies, by=[S.INCIDENT], probabilities=[0.5]).select(
-        S.INCIDENT, "feature", "mean", "std", F.col("p50").alias("median")
+    return describe(frequencies, by=[S.INCIDENT], probabilities=[0.5]).selectExpr(
+        S.INCIDENT, "feature", "mean", "std", "p50 AS median"
     )
 
 
 def class_share(df: DataFrame) -> DataFrame:
-    """Rows per label and their percentage of all labelled rows, one decimal."""
-    counts = df.filter(F.col(S.INCIDENT).isNotNull()).groupBy(S.INCIDENT).agg(
-        F.count("*").alias("count")
+    """Rows per label and their percentage of all labelled rows, one decimal.
+
+    The total is a window over the aggregated table, one row per label.
+    """
+    percent = share("count * 100", "sum(count) OVER (PARTITION BY 0)")
+    return (
+        df.filter(f"{S.INCIDENT} IS NOT NULL")
+        .groupBy(S.INCIDENT)
+        .agg(F.expr("count(*) AS count"))
+        .selectExpr(S.INCIDENT, "count", f"round({percent}, 1) AS share_percent")
+        .orderBy(F.desc("count"), S.INCIDENT)
     )
-    # The window runs over one row per label, after the aggregation.
-    total = F.sum("count").over(W.partitionBy(F.lit(0)))
-    return counts.select(
-        S.INCIDENT, "count", F.round(share(F.col("count") * 100, total), 1).alias("share_percent")
-    ).orderBy(F.desc("count"), S.INCIDENT)
 
 
 def component_series(df: DataFrame) -> DataFrame:
     """The four ranked component series: records, incident rate, mean warnings, mean volume."""
+    series = {
+        "record_count": "CAST(count(*) AS DOUBLE)",
+        "incident_rate": f"avg({S.INCIDENT})",
+        "avg_warn_count": f"avg({S.WARN_COUNT})",
+        "avg_log_volume": f"avg({S.LOG_VOLUME})",
+    }
     return (
-        df.filter(F.col(S.COMPONENT).isNotNull())
+        df.filter(f"{S.COMPONENT} IS NOT NULL")
         .groupBy(S.COMPONENT)
-        .agg(
-            F.count("*").cast("double").alias("record_count"),
-            F.avg(S.INCIDENT).alias("incident_rate"),
-            F.avg(S.WARN_COUNT).alias("avg_warn_count"),
-            F.avg(S.LOG_VOLUME).alias("avg_log_volume"),
-        )
-        .unpivot(
-            S.COMPONENT,
-            ["record_count", "incident_rate", "avg_warn_count", "avg_log_volume"],
-            "series",
-            "value",
-        )
+        .agg(*[F.expr(f"{sql} AS {name}") for name, sql in series.items()])
+        .unpivot(S.COMPONENT, list(series), "series", "value")
         .orderBy("series", F.desc_nulls_last("value"), S.COMPONENT)
     )
 
 
 def scatter_density(df: DataFrame) -> DataFrame:
     """Points of the warnings/volume scatter with how often each occurs."""
-    return (
-        df.groupBy(S.WARN_COUNT, S.LOG_VOLUME, S.INCIDENT)
-        .agg(F.count("*").alias("points"))
-    )
+    return df.groupBy(S.WARN_COUNT, S.LOG_VOLUME, S.INCIDENT).agg(F.expr("count(*) AS points"))
 
 
 def date_hour_series(df: DataFrame) -> DataFrame:
     """The four time series: incidents by date; rate, mean warnings and records by hour."""
-    dates = date_stats(df).select(
-        F.lit("incident_count_by_date").alias("series"),
-        F.col(S.DATE).alias("key"),
-        F.col("incident_count").cast("double").alias("value"),
+    dates = date_stats(df).selectExpr(
+        "'incident_count_by_date' AS series",
+        f"{S.DATE} AS key",
+        "CAST(incident_count AS DOUBLE) AS value",
     )
-    key = F.lpad(F.col(S.HOUR).cast("string"), 2, "0").alias("key")
-    hours = hour_stats(df).select(
+    key = f"lpad(CAST({S.HOUR} AS STRING), 2, '0')"
+    hours = hour_stats(df).selectExpr(
         rows_from(
-            *[
-                F.struct(F.lit(name).alias("series"), key, F.col(column).cast("double").alias("value"))
-                for name, column in (
-                    ("incident_rate_by_hour", "incident_rate"),
-                    ("avg_warn_count_by_hour", "avg_warn_count"),
-                    ("records_by_hour", "total_records"),
-                )
-            ]
+            ["series", "key", "value"],
+            [
+                ("'incident_rate_by_hour'", key, "incident_rate"),
+                ("'avg_warn_count_by_hour'", key, "avg_warn_count"),
+                ("'records_by_hour'", key, "CAST(total_records AS DOUBLE)"),
+            ],
         )
     )
     return dates.unionByName(hours).orderBy("series", "key")

@@ -1,7 +1,6 @@
 """Feature engineering: one narrow projection, no shuffle, batch or streaming."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskwindow import schema as S
 from riskwindow.functions import above, date_of, event_ratio, hour_of, interaction
@@ -20,28 +19,19 @@ def engineer_features(
     :func:`riskwindow.functions.event_ratio`. Works without a label column, so
     that new windows can be scored.
     """
-    label = (
-        [F.col(S.INCIDENT).try_cast("int").alias(S.INCIDENT)] if S.INCIDENT in _lower(df) else []
-    )
-    hour = [hour_of().alias(S.HOUR)] if with_hour else []
-    return df.select(
+    labelled = S.INCIDENT in {name.lower() for name in df.columns}
+    return df.selectExpr(
         S.COMPONENT,
         S.TIME_WINDOW,
-        S.WARN_COUNT,
-        S.LOG_VOLUME,
-        S.UNIQUE_EVENT_COUNT,
-        *label,
-        interaction(S.WARN_COUNT, S.LOG_VOLUME).alias(S.INTERACTION),
-        event_ratio(S.LOG_VOLUME, S.UNIQUE_EVENT_COUNT, policy).alias(S.EVENT_RATIO),
-        above(S.WARN_COUNT, warn_threshold).alias(S.WARN_FLAG),
-        above(S.LOG_VOLUME, volume_threshold).alias(S.VOLUME_FLAG),
-        *hour,
+        *S.MEASURES,
+        *([f"try_cast({S.INCIDENT} AS INT) AS {S.INCIDENT}"] if labelled else []),
+        f"{interaction(S.WARN_COUNT, S.LOG_VOLUME)} AS {S.INTERACTION}",
+        f"{event_ratio(S.LOG_VOLUME, S.UNIQUE_EVENT_COUNT, policy)} AS {S.EVENT_RATIO}",
+        f"{above(S.WARN_COUNT, warn_threshold)} AS {S.WARN_FLAG}",
+        f"{above(S.LOG_VOLUME, volume_threshold)} AS {S.VOLUME_FLAG}",
+        *([f"{hour_of()} AS {S.HOUR}"] if with_hour else []),
     )
 
 
 def with_date_hour(df: DataFrame) -> DataFrame:
-    return df.withColumns({S.DATE: date_of(), S.HOUR: hour_of()})
-
-
-def _lower(df: DataFrame) -> set[str]:
-    return {name.lower() for name in df.columns}
+    return df.selectExpr("*", f"{date_of()} AS {S.DATE}", f"{hour_of()} AS {S.HOUR}")

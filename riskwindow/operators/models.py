@@ -34,6 +34,8 @@ WEIGHT = "weight"
 MAX_TREE_DEPTH = 30  # the deepest tree MLlib grows
 # Room for node statistics. More of it means fewer passes over the data at deep levels.
 TREE_MEMORY_MB = 1024
+# Fitting runs hundreds of short jobs, so tasks should not be smaller than this.
+ROWS_PER_TASK = 20_000
 
 
 def component_indexer(order: str = "frequencyDesc", unseen: str = "keep") -> StringIndexer:
@@ -160,6 +162,11 @@ def scaled_model(name: str, train_rows: int) -> Estimator:
     return _forest(100, MAX_TREE_DEPTH, S.SEED)
 
 
+def compact(train: DataFrame, rows: int) -> DataFrame:
+    """Merge partitions that are too small to fit on; larger data keeps its own."""
+    return train.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def fit_plain(train: DataFrame, classifier: Estimator, unseen: str = "keep") -> PipelineModel:
     """Fit encoder, assembler and classifier on engineered training rows."""
     return Pipeline(stages=[*feature_stages(unseen), classifier]).fit(train)
@@ -179,10 +186,8 @@ def positive_probability(predictions: DataFrame) -> DataFrame:
 
 def prediction_table(predictions: DataFrame, label: str = S.INCIDENT) -> DataFrame:
     """(y_true, y_pred, y_proba) from scored rows."""
-    return positive_probability(predictions).select(
-        F.col(label).cast("int").alias("y_true"),
-        F.col("prediction").cast("int").alias("y_pred"),
-        "y_proba",
+    return positive_probability(predictions).selectExpr(
+        f"CAST({label} AS INT) AS y_true", "CAST(prediction AS INT) AS y_pred", "y_proba"
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwindow import schema as S
-from riskwindow.functions import is_missing, rows_from
+from riskwindow.functions import is_missing, literal, quoted, rows_from
 
 
 def require_columns(df: DataFrame, columns: Iterable[str] = (S.INCIDENT,)) -> None:
@@ -29,46 +29,33 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(
-        F.count("*").alias("row_count"), F.lit(len(df.columns)).cast("bigint").alias("column_count")
+        F.expr("count(*) AS row_count"),
+        F.expr(f"CAST({len(df.columns)} AS BIGINT) AS column_count"),
     )
 
 
 def schema_table(df: DataFrame) -> DataFrame:
     """Position, name, type and non-null count of every column."""
     fields = df.schema.fields
-    counted = df.agg(*[F.count(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(fields)])
-    return counted.select(
-        rows_from(
-            *[
-                F.struct(
-                    F.lit(i).alias("position"),
-                    F.lit(f.name).alias("column"),
-                    F.lit(f.dataType.simpleString()).alias("type"),
-                    F.col(f"c{i}").alias("non_null"),
-                )
-                for i, f in enumerate(fields)
-            ]
-        )
-    )
+    counted = df.agg(*[F.expr(f"count({quoted(f.name)}) AS c{i}") for i, f in enumerate(fields)])
+    rows = [
+        (str(i), literal(f.name), literal(f.dataType.simpleString()), f"c{i}")
+        for i, f in enumerate(fields)
+    ]
+    return counted.selectExpr(rows_from(["position", "column", "type", "non_null"], rows))
 
 
 def missing_by_column(df: DataFrame, only_present: bool = False) -> DataFrame:
     """Missing cells per column; ``only_present`` keeps columns that have some."""
     fields = df.schema.fields
-    counted = df.agg(*[F.count_if(is_missing(f)).alias(f"c{i}") for i, f in enumerate(fields)])
-    long = counted.select(
-        rows_from(
-            *[
-                F.struct(F.lit(f.name).alias("column"), F.col(f"c{i}").alias("missing"))
-                for i, f in enumerate(fields)
-            ]
-        )
-    )
+    counted = df.agg(*[F.expr(f"count_if({is_missing(f)}) AS c{i}") for i, f in enumerate(fields)])
+    rows = [(literal(f.name), f"c{i}") for i, f in enumerate(fields)]
+    long = counted.selectExpr(rows_from(["column", "missing"], rows))
     return long.filter("missing > 0") if only_present else long
 
 
 def missing_total(df: DataFrame) -> DataFrame:
-    return df.agg(_missing_cells(df).alias("missing_values"))
+    return df.agg(F.expr(f"{_missing_cells(df)} AS missing_values"))
 
 
 def dataset_stats(df: DataFrame, label: str = S.INCIDENT, windows: bool = False) -> DataFrame:
@@ -77,11 +64,11 @@ def dataset_stats(df: DataFrame, label: str = S.INCIDENT, windows: bool = False)
     ``windows=True`` adds how many window labels do not read ``YYMMDD_HH``.
     """
     return df.agg(
-        F.count("*").alias("total_records"),
-        F.lit(len(df.columns)).cast("bigint").alias("total_features"),
-        F.sum(label).alias("incident_count"),
-        F.avg(label).alias("incident_rate"),
-        _missing_cells(df).alias("missing_values"),
+        F.expr("count(*) AS total_records"),
+        F.expr(f"CAST({len(df.columns)} AS BIGINT) AS total_features"),
+        F.expr(f"sum({label}) AS incident_count"),
+        F.expr(f"avg({label}) AS incident_rate"),
+        F.expr(f"{_missing_cells(df)} AS missing_values"),
         *([_malformed_windows()] if windows else []),
     )
 
@@ -91,10 +78,11 @@ def malformed_windows(df: DataFrame) -> DataFrame:
 
 
 def _malformed_windows():
-    well_formed = F.col(S.TIME_WINDOW).rlike(r"^\d{6}_\d{2}$")
-    return F.count_if(~F.coalesce(well_formed, F.lit(False))).alias("malformed_windows")
+    return F.expr(
+        f"count_if(NOT coalesce({S.TIME_WINDOW} RLIKE '^[0-9]{{6}}_[0-9]{{2}}$', false)) "
+        "AS malformed_windows"
+    )
 
 
-def _missing_cells(df: DataFrame):
-    cells = sum((is_missing(f).cast("bigint") for f in df.schema.fields), F.lit(0).cast("bigint"))
-    return F.coalesce(F.sum(cells), F.lit(0).cast("bigint"))
+def _missing_cells(df: DataFrame) -> str:
+    return " + ".join(f"count_if({is_missing(f)})" for f in df.schema.fields)

@@ -5,12 +5,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskwindow.functions import literal
+
 
 def fit_scaling(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column, from one aggregation."""
     row = train.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"avg({c}) AS m{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"stddev_pop({c}) AS s{i}") for i, c in enumerate(columns)],
     ).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
 
@@ -18,5 +20,8 @@ def fit_scaling(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[flo
 def apply_scaling(df: DataFrame, scaling: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Replace each column by (x - mean) / deviation; a constant column becomes 0."""
     return df.withColumns(
-        {c: (F.col(c) - F.lit(mean)) / F.lit(std or 1.0) for c, (mean, std) in scaling.items()}
+        {
+            c: F.expr(f"({c} - {literal(mean)}) / {literal(std or 1.0)}")
+            for c, (mean, std) in scaling.items()
+        }
     )

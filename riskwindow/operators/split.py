@@ -3,11 +3,11 @@
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
+from riskwindow.functions import lookup, quoted, rows_from
 
 TRAIN, TEST = "train", "test"
 MAX_CLASSES = 16
@@ -25,8 +25,8 @@ def random_split(
 
 def label_counts(df: DataFrame, label: str = S.INCIDENT) -> dict[int, int]:
     """Rows per class. Refuses columns that are not a class label."""
-    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    return _checked_classes({row[0]: row[1] for row in rows}, label)
+    rows = df.groupBy(label).agg(F.expr("count(*) AS n")).limit(MAX_CLASSES + 1).collect()
+    return _checked_classes({value: n for value, n in rows}, label)
 
 
 def test_sizes(counts: Mapping[int, int], test_share: float = S.TEST_SHARE) -> dict[int, int]:
@@ -48,10 +48,10 @@ def test_sizes(counts: Mapping[int, int], test_share: float = S.TEST_SHARE) -> d
     return {label: counts[label] - train[label] for label in counts}
 
 
-def row_hash(df: DataFrame, seed: int = S.SEED) -> Column:
+def row_hash(df: DataFrame, seed: int = S.SEED) -> str:
     """md5 of the seed and every column of a row."""
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *cells))
+    cells = [f"coalesce(CAST({quoted(c)} AS STRING), '\\\\N')" for c in df.columns]
+    return f"md5(concat_ws('|', '{seed}', {', '.join(cells)}))"
 
 
 def stratified_split(
@@ -70,9 +70,9 @@ def stratified_split(
     rows travel as one row with a count, so a value that fills a third of the
     table is no burden either. The result does not depend on the partitioning.
     """
-    columns = df.columns
-    hashed = df.withColumn("_hash", row_hash(df, seed))
-    prefix = F.substring("_hash", 1, _PREFIX_DIGITS)
+    columns = [quoted(c) for c in df.columns]
+    hashed = df.selectExpr("*", f"{row_hash(df, seed)} AS _hash")
+    prefix = f"substr(_hash, 1, {_PREFIX_DIGITS})"
     buckets = _prefix_counts(hashed, prefix, label)
     counts = {value: sum(n for _, n in rows) for value, rows in buckets.items()}
     boundary, missing = {}, {}
@@ -83,44 +83,42 @@ def stratified_split(
                 break
             wanted -= n
 
-    edge = _lookup(label, boundary)
-    decided = hashed.filter(prefix != edge).select(
-        *columns, F.when(prefix < edge, TEST).otherwise(TRAIN).alias("split")
+    edge = lookup(label, boundary)
+    decided = hashed.filter(f"{prefix} <> {edge}").selectExpr(
+        *columns, f"IF({prefix} < {edge}, '{TEST}', '{TRAIN}') AS split"
     )
-    distinct = (
-        hashed.filter(prefix == edge).groupBy("_hash", *columns).agg(F.count("*").alias("_copies"))
-    )
-    order = W.partitionBy(label).orderBy("_hash", *columns)
-    before = F.sum("_copies").over(order) - F.col("_copies")
-    to_test = F.greatest(
-        F.least(F.col("_copies"), _lookup(label, missing) - before), F.lit(0).cast("bigint")
-    )
-    sided = distinct.withColumn("_test", to_test).select(
-        *columns,
-        F.inline(
-            F.array(
-                F.struct(F.lit(TEST).alias("split"), F.col("_test").alias("_rows")),
-                F.struct(
-                    F.lit(TRAIN).alias("split"), (F.col("_copies") - F.col("_test")).alias("_rows")
-                ),
-            )
-        ),
+    order = f"OVER (PARTITION BY {quoted(label)} ORDER BY _hash, {', '.join(columns)})"
+    to_test = f"{lookup(label, missing)} - (sum(_copies) {order} - _copies)"
+    sided = (
+        hashed.filter(f"{prefix} = {edge}")
+        .groupBy("_hash", *columns)
+        .agg(F.expr("count(*) AS _copies"))
+        .selectExpr(*columns, "_copies", f"greatest(least(_copies, {to_test}), 0L) AS _test")
+        .selectExpr(
+            *columns,
+            rows_from(
+                ["split", "_rows"],
+                [(f"'{TEST}'", "_test"), (f"'{TRAIN}'", "_copies - _test")],
+            ),
+        )
     )
     return decided.unionByName(_repeat(sided.filter("_rows > 0"), "_rows"))
 
 
 def class_weights(df: DataFrame, label: str = S.INCIDENT) -> DataFrame:
-    """Balanced weights n / (classes * rows of the class), one row per class."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    # One row per class is left, so the window is as small as the result.
-    everything = W.partitionBy(F.lit(0))
-    return counts.select(
-        label,
-        "n",
-        (
-            F.sum("n").over(everything).cast("double")
-            / (F.count("*").over(everything) * F.col("n"))
-        ).alias("weight"),
+    """Balanced weights n / (classes * rows of the class), one row per class.
+
+    The windows run over the aggregated table, which is as small as the result.
+    """
+    return (
+        df.groupBy(label)
+        .agg(F.expr("count(*) AS n"))
+        .selectExpr(
+            label,
+            "n",
+            "CAST(sum(n) OVER (PARTITION BY 0) AS DOUBLE)"
+            " / (count(*) OVER (PARTITION BY 0) * n) AS weight",
+        )
     )
 
 
@@ -130,14 +128,14 @@ def with_class_weight(
     """Add the balanced class weight of each row's label, as a projection."""
     total = sum(counts.values())
     weights = {value: total / (len(counts) * n) for value, n in counts.items()}
-    return df.withColumn(weight, _lookup(label, weights))
+    return df.selectExpr("*", f"{lookup(label, weights)} AS {weight}")
 
 
-def _prefix_counts(hashed: DataFrame, prefix: Column, label: str) -> dict[int, list]:
+def _prefix_counts(hashed: DataFrame, prefix: str, label: str) -> dict[int, list]:
     limit = MAX_CLASSES * 16**_PREFIX_DIGITS
     rows = (
-        hashed.groupBy(F.col(label).alias("label"), prefix.alias("prefix"))
-        .agg(F.count("*").alias("n"))
+        hashed.groupBy(F.expr(f"{quoted(label)} AS label"), F.expr(f"{prefix} AS prefix"))
+        .agg(F.expr("count(*) AS n"))
         .limit(limit + 1)
         .collect()
     )
@@ -146,38 +144,29 @@ def _prefix_counts(hashed: DataFrame, prefix: Column, label: str) -> dict[int, l
     buckets: dict = {}
     for value, digits, n in rows:
         buckets.setdefault(value, []).append((digits, n))
-    _checked_classes({value: 0 for value in buckets}, label)
+    _checked_classes(buckets, label)
     return buckets
 
 
-def _checked_classes(counts: dict, label: str) -> dict:
-    if None in counts:
+def _checked_classes(classes: dict, label: str) -> dict:
+    if None in classes:
         raise ValueError(f"{label!r} has missing values")
-    if not counts:
+    if not classes:
         raise ValueError("dataset is empty")
-    if len(counts) > MAX_CLASSES:
+    if len(classes) > MAX_CLASSES:
         raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
-    return counts
-
-
-def _lookup(column: str, values: Mapping) -> Column:
-    """CASE over a handful of class labels."""
-    chain = F
-    for key, value in values.items():
-        chain = chain.when(F.col(column) == key, F.lit(value))
-    return chain
+    return classes
 
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times, spread over tasks when it is many."""
-    pieces = F.ceil(F.col(times) / _COPIES_PER_ROW)
-    piece = F.explode(F.sequence(F.lit(1).cast("bigint"), pieces))
     columns = [c for c in df.columns if c != times]
-    left = F.col(times) - (F.col("_piece") - 1) * _COPIES_PER_ROW
+    piece = f"explode(sequence(1L, CAST(ceil({times} / {_COPIES_PER_ROW}) AS BIGINT))) AS _piece"
+    left = f"{times} - (_piece - 1) * {_COPIES_PER_ROW}"
     return (
-        df.withColumn("_piece", piece)
-        .withColumn("_part", F.least(left, F.lit(_COPIES_PER_ROW).cast("bigint")))
+        df.selectExpr("*", piece)
+        .selectExpr(*map(quoted, columns), f"least({left}, {_COPIES_PER_ROW}L) AS _part")
         .hint("rebalance")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_part"))))
-        .select(*columns)
+        .selectExpr(*map(quoted, columns), "explode(sequence(1L, _part)) AS _copy")
+        .select(*map(quoted, columns))
     )

@@ -16,35 +16,26 @@ REPORT_COLUMNS = (*MATRIX_COLUMNS, S.HOUR)
 def eda_report(df: DataFrame) -> DataFrame:
     """(section, key, metric, value): the printed report as one table."""
     dated = with_date_hour(df)
+    shape = (
+        quality.shape(dated)
+        .unpivot([], ["row_count", "column_count"], "metric", "value")
+        .selectExpr(*_report_columns("shape", "'dataset'", "metric", "value"))
+    )
     counts = [
-        explore.value_counts(df, column).select(
-            F.lit(f"{column}_distribution").alias("section"),
-            F.col(column).cast("string").alias("key"),
-            F.lit("count").alias("metric"),
-            F.col("count").cast("double").alias("value"),
+        explore.value_counts(df, column).selectExpr(
+            *_report_columns(f"{column}_distribution", column, "'count'", "count")
         )
         for column in (S.INCIDENT, S.COMPONENT)
     ]
-    shape = quality.shape(dated).unpivot(
-        [], ["row_count", "column_count"], "metric", "value"
-    ).select(
-        F.lit("shape").alias("section"),
-        F.lit("dataset").alias("key"),
-        "metric",
-        F.col("value").cast("double").alias("value"),
-    )
     described = distribution.describe_columns(dated, REPORT_COLUMNS)
     statistics = [c for c in described.columns if c != "feature"]
     numbers = (
-        described.withColumn("count", F.col("count").cast("double"))
+        described.withColumn("count", F.expr("CAST(count AS DOUBLE)"))
         .unpivot("feature", statistics, "metric", "value")
-        .select(F.lit("summary").alias("section"), F.col("feature").alias("key"), "metric", "value")
+        .selectExpr(*_report_columns("summary", "feature", "metric", "value"))
     )
-    related = correlation.correlation_with_target(dated, REPORT_COLUMNS).select(
-        F.lit("correlation_with_incident").alias("section"),
-        F.col("feature").alias("key"),
-        F.lit("r").alias("metric"),
-        F.col("r").alias("value"),
+    related = correlation.correlation_with_target(dated, REPORT_COLUMNS).selectExpr(
+        *_report_columns("correlation_with_incident", "feature", "'r'", "r")
     )
     report = shape
     for part in (*counts, numbers, related):
@@ -52,9 +43,17 @@ def eda_report(df: DataFrame) -> DataFrame:
     return report
 
 
+def _report_columns(section: str, key: str, metric: str, value: str) -> list[str]:
+    return [
+        f"'{section}' AS section",
+        f"CAST({key} AS STRING) AS key",
+        f"{metric} AS metric",
+        f"CAST({value} AS DOUBLE) AS value",
+    ]
+
+
 def exploration(df: DataFrame) -> dict[str, DataFrame]:
     """Every exploratory table, in the order of the run."""
-    dated = with_date_hour(df)
     frequencies = distribution.value_frequencies(df, S.MEASURES)
     by_label = distribution.value_frequencies(df, S.MEASURES, by=[S.INCIDENT])
     return {
@@ -75,9 +74,9 @@ def exploration(df: DataFrame) -> dict[str, DataFrame]:
         "boxes_by_incident": distribution.box_statistics(by_label, [S.INCIDENT]),
         "scatter": explore.scatter_density(df),
         "stats_by_incident": explore.stats_by_incident(df),
-        "date_stats": explore.date_stats(dated),
-        "hour_stats": explore.hour_stats(dated),
-        "date_hour_series": explore.date_hour_series(dated),
+        "date_stats": explore.date_stats(df),
+        "hour_stats": explore.hour_stats(df),
+        "date_hour_series": explore.date_hour_series(df),
         "report": eda_report(df),
     }
 

@@ -41,12 +41,12 @@ def train(
 ) -> DataFrame:
     """Fit the preset, store model, predictions and reports, return the metrics row."""
     spark = samples.sparkSession
-    fit_rows = samples.filter(F.col("split") == split.TRAIN)
-    test_rows = samples.filter(F.col("split") == split.TEST)
+    fit_rows = samples.filter(f"split = '{split.TRAIN}'")
+    test_rows = samples.filter(f"split = '{split.TEST}'")
     counts = split.label_counts(fit_rows)
     n = sum(counts.values())
     model = models.fit_scaled(
-        split.with_class_weight(fit_rows, counts),
+        models.compact(split.with_class_weight(fit_rows, counts), n),
         indexer,
         classifier or models.scaled_model(model_type, n),
         n,
@@ -75,9 +75,8 @@ def train(
 
 def evaluation_report(metrics: DataFrame, predictions: DataFrame) -> DataFrame:
     """(section, metric, value): the written evaluation as one table of texts."""
-    measured = metrics.select([F.col(c).cast("string").alias(c) for c in metrics.columns])
-    totals = evaluate.prediction_totals(predictions)
-    totals = totals.select([F.col(c).cast("string").alias(c) for c in totals.columns])
+    measured = _as_text(metrics)
+    totals = _as_text(evaluate.prediction_totals(predictions))
     model = ["model_type", "trained_at"]
     scores = [c for c in metrics.columns if c not in model]
     return _section(measured, "model", model).unionByName(
@@ -85,9 +84,13 @@ def evaluation_report(metrics: DataFrame, predictions: DataFrame) -> DataFrame:
     ).unionByName(_section(totals, "dataset", totals.columns))
 
 
+def _as_text(row: DataFrame) -> DataFrame:
+    return row.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in row.columns])
+
+
 def _section(row: DataFrame, name: str, columns) -> DataFrame:
-    return row.unpivot([], list(columns), "metric", "value").select(
-        F.lit(name).alias("section"), "metric", "value"
+    return row.unpivot([], list(columns), "metric", "value").selectExpr(
+        f"'{name}' AS section", "metric", "value"
     )
 
 

@@ -1,5 +1,6 @@
 """Train, evaluate and save one model over one-hot features."""
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -23,16 +24,35 @@ class TrainedModel:
     importances: DataFrame
 
 
-def split_rows(df: DataFrame, method: str, test_share=S.TEST_SHARE, seed=S.SEED):
-    """(train, test) by an exact stratified or a Bernoulli split."""
-    if method == "random":
-        return split.random_split(df, test_share, seed)
-    if method == "stratified":
-        parts = split.stratified_split(df, S.INCIDENT, test_share, seed)
-        return tuple(
-            parts.filter(F.col("split") == side).drop("split") for side in (split.TRAIN, split.TEST)
-        )
-    raise ValueError(f"unknown split {method!r}, expected one of {SPLITS}")
+@contextmanager
+def train_and_test(
+    engineered: DataFrame,
+    method: str = "stratified",
+    test_share: float = S.TEST_SHARE,
+    seed: int = S.SEED,
+):
+    """(train, test) rows, cached while a model is fitted on them.
+
+    ``random`` is a Bernoulli split and can leave a rare class without test
+    rows; ``stratified`` is exact. Lost cache blocks are computed again.
+    """
+    if method not in SPLITS:
+        raise ValueError(f"unknown split {method!r}, expected one of {SPLITS}")
+    held = engineered.persist()
+    try:
+        if method == "random":
+            yield split.random_split(engineered, test_share, seed)
+        else:
+            parts = split.stratified_split(engineered, S.INCIDENT, test_share, seed).persist()
+            parts.count()
+            engineered.unpersist()
+            held = parts
+            yield tuple(
+                parts.filter(f"split = '{side}'").drop("split")
+                for side in (split.TRAIN, split.TEST)
+            )
+    finally:
+        held.unpersist()
 
 
 def weighted_evaluation(predictions: DataFrame) -> DataFrame:
@@ -57,22 +77,18 @@ def run_training(
 ) -> TrainedModel:
     """Engineer, split, fit, score and evaluate; save when a path is given.
 
-    ``classifier`` replaces the preset of that name. ``split_method="random"``
-    can leave a rare class without test rows; the stratified split cannot.
-    The returned predictions are cached; unpersist them when done.
+    ``classifier`` replaces the preset of that name. The returned predictions
+    are cached; unpersist them when done.
     """
     estimator = classifier or models.plain_model(model_type)
     require_columns(windows, S.WINDOW_SCHEMA.names)
     require_rows(windows)
-    engineered = engineer_features(windows, policy="zero").persist()
-    try:
-        train, test = split_rows(engineered, split_method)
-        model = models.fit_plain(train, estimator, unseen)
+    with train_and_test(engineer_features(windows, policy="zero"), split_method) as (train, test):
+        rows = models.compact(train, train.count())
+        model = models.fit_plain(rows, estimator, unseen)
         predictions = models.score(model, test).persist()
         metrics = weighted_evaluation(predictions)
         confusion = evaluate.confusion_pairs(predictions, S.INCIDENT, "prediction")
-        if model_path:
-            models.save_model(model, model_path)
-    finally:
-        engineered.unpersist()
+    if model_path:
+        models.save_model(model, model_path)
     return TrainedModel(model, predictions, metrics, confusion, models.feature_importances(model))

@@ -9,7 +9,6 @@ from riskwindow.sources.readers import (
     PANDAS_NULL_MARKERS,
     read_delimited,
     read_windows,
-    window_label,
     windows_from_events,
 )
 from riskwindow.sources.writers import (
@@ -34,7 +33,6 @@ __all__ = [
     "read_windows",
     "save_table",
     "use_database",
-    "window_label",
     "windows_from_events",
     "write_csv",
     "write_json",

@@ -2,10 +2,11 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
+from riskwindow.functions import literal, quoted
 
 # The cell texts that pandas reads as missing by default.
 PANDAS_NULL_MARKERS = (
@@ -54,14 +55,14 @@ def read_delimited(
         df = reader.option("inferSchema", True).csv(path)
     else:
         df = reader.schema(schema).option("enforceSchema", not header).csv(path)
-    markers = list(null_markers)
+    markers = ", ".join(literal(marker) for marker in null_markers)
     if not markers:
         return df
-    return df.select(
+    return df.selectExpr(
         *[
-            F.when(~F.col(name).isin(markers), F.col(name)).alias(name)
+            f"IF({quoted(name)} IN ({markers}), NULL, {quoted(name)}) AS {quoted(name)}"
             if kind == "string"
-            else F.col(name)
+            else quoted(name)
             for name, kind in df.dtypes
         ]
     )
@@ -85,45 +86,37 @@ def read_windows(spark: SparkSession, source: str, format: str | None = None, **
 
 def windows_from_events(
     events: DataFrame,
-    component: Column,
-    event: Column,
-    warning: Column,
-    incident: Column,
+    component: str,
+    event: str,
+    warning: str,
+    incident: str,
     time: str = "ts",
 ) -> DataFrame:
     """Roll raw log events up to one row per component and hour.
 
+    The mapping is given as SQL expressions over the event columns; ``warning``
+    and ``incident`` are conditions.
+
     The keys stay a date and an hour number until after the aggregation, so the
     label is formatted once per output row, not once per event. The distinct
     count makes Spark aggregate by (key, event) before it shuffles by key, so a
     component that holds a third of the log does not become one large task.
     """
-    keyed = events.select(
-        component.alias(S.COMPONENT),
-        F.to_date(time).alias("_day"),
-        F.hour(time).alias("_hour"),
-        event.alias("_event"),
-        F.when(warning, 1).otherwise(0).alias("_warning"),
-        F.when(incident, 1).otherwise(0).alias("_incident"),
+    keyed = events.selectExpr(
+        f"{component} AS {S.COMPONENT}",
+        f"to_date({time}) AS _day",
+        f"hour({time}) AS _hour",
+        f"{event} AS _event",
+        f"CASE WHEN {warning} THEN 1 ELSE 0 END AS _warning",
+        f"CASE WHEN {incident} THEN 1 ELSE 0 END AS _incident",
     )
     hourly = keyed.groupBy(S.COMPONENT, "_day", "_hour").agg(
-        F.sum("_warning").alias(S.WARN_COUNT),
-        F.count("*").alias(S.LOG_VOLUME),
-        F.count_distinct("_event").alias(S.UNIQUE_EVENT_COUNT),
-        F.max("_incident").alias(S.INCIDENT),
-    )
-    return hourly.select(
-        S.COMPONENT,
-        window_label("_day", "_hour").alias(S.TIME_WINDOW),
-        F.col(S.WARN_COUNT).cast("int").alias(S.WARN_COUNT),
-        F.col(S.LOG_VOLUME).cast("int").alias(S.LOG_VOLUME),
-        F.col(S.UNIQUE_EVENT_COUNT).cast("int").alias(S.UNIQUE_EVENT_COUNT),
-        F.col(S.INCIDENT).cast("int").alias(S.INCIDENT),
+        F.expr(f"CAST(sum(_warning) AS INT) AS {S.WARN_COUNT}"),
+        F.expr(f"CAST(count(*) AS INT) AS {S.LOG_VOLUME}"),
+        F.expr(f"CAST(count(DISTINCT _event) AS INT) AS {S.UNIQUE_EVENT_COUNT}"),
+        F.expr(f"max(_incident) AS {S.INCIDENT}"),
     )
-
-
-def window_label(day, hour) -> Column:
-    """``YYMMDD_HH`` from a date and an hour number."""
-    return F.concat(
-        F.date_format(day, "yyMMdd"), F.lit("_"), F.lpad(F.col(hour).cast("string"), 2, "0")
+    label = "concat(date_format(_day, 'yyMMdd'), '_', lpad(CAST(_hour AS STRING), 2, '0'))"
+    return hourly.selectExpr(
+        S.COMPONENT, f"{label} AS {S.TIME_WINDOW}", *S.MEASURES, S.INCIDENT
     )

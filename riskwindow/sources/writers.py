@@ -17,7 +17,7 @@ def write_windows(df: DataFrame, path: str) -> None:
     The rebalance hint lets AQE gather each date into few files and still split
     a date that is much larger than the others.
     """
-    dated = df.withColumn("date_part", date_of())
+    dated = df.selectExpr("*", f"{date_of()} AS date_part")
     write_parquet(dated.hint("rebalance", "date_part"), path, ["date_part"])
 
 

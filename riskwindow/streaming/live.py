@@ -1,7 +1,7 @@
 """The feature roll-up and the scoring on live logs."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
@@ -13,51 +13,54 @@ GRAIN = "1 hour"
 
 def windows_from_event_stream(
     events: DataFrame,
-    component: Column,
-    event: Column,
-    warning: Column,
-    incident: Column,
+    component: str,
+    event: str,
+    warning: str,
+    incident: str,
     time: str = "ts",
     delay: str = "2 hours",
 ) -> DataFrame:
     """One row per component and closed hour, from a stream of raw events.
 
-    The distinct events are counted exactly, by two chained aggregations: first
+    The mapping is given as SQL expressions, as for the batch roll-up. The
+    distinct events are counted exactly, by two chained aggregations: first
     per (hour, component, event), then per (hour, component). Events later than
     ``delay`` behind the newest one are dropped, and an hour is emitted once the
     watermark has passed its end.
     """
-    keyed = events.select(
-        F.col(time).cast("timestamp").alias("_time"),
-        component.alias(S.COMPONENT),
-        event.alias("_event"),
-        F.when(warning, 1).otherwise(0).alias("_warning"),
-        F.when(incident, 1).otherwise(0).alias("_incident"),
+    keyed = events.selectExpr(
+        f"CAST({time} AS TIMESTAMP) AS _time",
+        f"{component} AS {S.COMPONENT}",
+        f"{event} AS _event",
+        f"CASE WHEN {warning} THEN 1 ELSE 0 END AS _warning",
+        f"CASE WHEN {incident} THEN 1 ELSE 0 END AS _incident",
     ).withWatermark("_time", delay)
     per_event = keyed.groupBy(F.window("_time", GRAIN).alias("_window"), S.COMPONENT, "_event").agg(
-        F.sum("_warning").alias("_warning"),
-        F.count("*").alias("_events"),
-        F.max("_incident").alias("_incident"),
+        F.expr("sum(_warning) AS _warning"),
+        F.expr("count(*) AS _events"),
+        F.expr("max(_incident) AS _incident"),
     )
     hourly = per_event.groupBy(
         F.window(F.window_time("_window"), GRAIN).alias("_hour"), S.COMPONENT
     ).agg(
-        F.sum("_warning").cast("int").alias(S.WARN_COUNT),
-        F.sum("_events").cast("int").alias(S.LOG_VOLUME),
-        F.count("_event").cast("int").alias(S.UNIQUE_EVENT_COUNT),
-        F.max("_incident").alias(S.INCIDENT),
+        F.expr(f"CAST(sum(_warning) AS INT) AS {S.WARN_COUNT}"),
+        F.expr(f"CAST(sum(_events) AS INT) AS {S.LOG_VOLUME}"),
+        F.expr(f"CAST(count(_event) AS INT) AS {S.UNIQUE_EVENT_COUNT}"),
+        F.expr(f"max(_incident) AS {S.INCIDENT}"),
     )
-    return hourly.select(
+    return hourly.selectExpr(
         S.COMPONENT,
-        F.date_format(F.col("_hour.start"), "yyMMdd_HH").alias(S.TIME_WINDOW),
+        f"date_format(_hour.start, 'yyMMdd_HH') AS {S.TIME_WINDOW}",
         *S.MEASURES,
         S.INCIDENT,
     )
 
 
-def score_stream(model: PipelineModel, windows: DataFrame, policy: str = "zero") -> DataFrame:
+def score_stream(
+    model: PipelineModel, windows: DataFrame, policy: str = "zero", **thresholds
+) -> DataFrame:
     """Engineer and score raw six-column rows as they arrive."""
-    return score(model, engineer_features(windows, policy=policy))
+    return score(model, engineer_features(windows, policy, **thresholds))
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = False):
