@@ -16,6 +16,8 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,20 +106,19 @@ def _indexed(df: DataFrame, order: str) -> DataFrame:
 
 def _plain(df: DataFrame, name: str):
     """A preset over one-hot features, and the rows to score."""
-    with training.train_and_test(engineer_features(df, "zero", **CUTS)) as (train, test):
-        rows = models.compact(train, train.count())
-        return models.fit_plain(rows, models.plain_model(name)), test
+    train, test = training.train_and_test(engineer_features(df, "zero", **CUTS))
+    rows = models.compact(train, train.count())
+    return models.fit_plain(rows, models.plain_model(name)), test
 
 
 def _scaled(df: DataFrame, name: str):
     """A preset over scaled features, and the rows to score."""
-    engineered = engineer_features(df, "plus_one", **CUTS)
-    with training.train_and_test(engineered) as (train, test):
-        indexer = models.component_indexer("alphabetAsc").fit(engineered)
-        counts = split.label_counts(train)
-        n = sum(counts.values())
-        weighted = models.compact(split.with_class_weight(train, counts), n)
-        return models.fit_scaled(weighted, indexer, models.scaled_model(name, n), n), test
+    train, test = training.train_and_test(engineer_features(df, "plus_one", **CUTS))
+    indexer = models.component_indexer("alphabetAsc").fit(train.unionByName(test))
+    counts = split.label_counts(train)
+    n = sum(counts.values())
+    weighted = models.compact(split.with_class_weight(train, counts), n)
+    return models.fit_scaled(weighted, indexer, models.scaled_model(name, n), n), test
 
 
 def _scored(model, rows: DataFrame) -> DataFrame:
@@ -147,12 +148,15 @@ def _model_metrics(df: DataFrame) -> DataFrame:
 
 
 def _assembled(df: DataFrame) -> DataFrame:
-    from pyspark.ml import Pipeline
-
+    """The assembled vector, one column per slot."""
     engineered = engineer_features(df, "zero", **CUTS)
     fitted = Pipeline(stages=models.feature_stages()).fit(engineered)
-    return fitted.transform(engineered).select(
-        S.COMPONENT, S.TIME_WINDOW, models.vector_to_array("features").alias("features")
+    return (
+        fitted.transform(engineered)
+        .withColumn("features", vector_to_array("features"))
+        .selectExpr(
+            "component", "time_window", *[f"features[{i}] AS slot_{i:02d}" for i in range(14)]
+        )
     )
 
 
@@ -712,7 +716,27 @@ def oracle_sql() -> dict[str, str]:
                    auc >= {S.MIN_AUC} AS auc_check,
                    accuracy >= {S.MIN_ACCURACY} AND f1 >= {S.MIN_F1} AND auc >= {S.MIN_AUC}
                      AS all_checks_passed FROM metrics, area""",
-    } | {"standardized_train": _standardized_sql(f, engineered["plus_one"], scaled)}
+        "assembled_features": _assembled_sql(f, engineered["zero"]),
+        "standardized_train": _standardized_sql(f, engineered["plus_one"], scaled),
+        "schema_table": f + " UNION ALL ".join(
+            f"""
+            SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column",
+                   '{'string' if i < 2 else 'int'}' AS type, count({c}) AS non_null FROM f"""
+            for i, c in enumerate(window_columns)
+        ),
+    }
+
+
+def _assembled_sql(f: str, engineered: str) -> str:
+    """Eight numbers, then one 0/1 slot per component in order of falling frequency."""
+    numbers = [f"CAST({c} AS DOUBLE) AS slot_{i:02d}" for i, c in enumerate(S.NUMERIC_FEATURES)]
+    slots = [
+        f"CASE WHEN place = {i} THEN 1.0e0 ELSE 0.0e0 END AS slot_{i + 8:02d}" for i in range(6)
+    ]
+    return f"""{f}, x AS (SELECT {engineered}, {_HOUR} AS hour FROM f),
+c AS (SELECT component, row_number() OVER (ORDER BY count(*) DESC, component) - 1 AS place
+      FROM f GROUP BY component)
+SELECT component, time_window, {", ".join(numbers + slots)} FROM x JOIN c USING (component)"""
 
 
 def _standardized_sql(f: str, engineered: str, scaled: list[str]) -> str:

@@ -19,11 +19,17 @@ HISTOGRAM_BINS = 30
 WHISKER_REACH = 1.5
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def value_frequencies(
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (),
+    keep_missing_keys: bool = False,
+) -> DataFrame:
     """(by…, feature, value, n): how often each value of each column occurs.
 
-    Missing values and missing group keys are left out. The values are int or
-    bigint when every column is integral, else double.
+    Missing values are left out, and so are missing group keys unless they are
+    to be kept. The values are int or bigint when every column is integral,
+    else double.
     """
     kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
     used = [kinds[c.lower()] for c in columns]
@@ -35,7 +41,9 @@ def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
         common = "int"
     # Keys and measures may be the same column, so the measures get names of their own.
     measures = {f"m_{c}": f"CAST({quoted(c)} AS {common}) AS {quoted('m_' + c)}" for c in columns}
-    kept = ["value IS NOT NULL", *[f"{quoted(key)} IS NOT NULL" for key in by]]
+    kept = ["value IS NOT NULL"]
+    if not keep_missing_keys:
+        kept += [f"{quoted(key)} IS NOT NULL" for key in by]
     if common == "double":
         kept.append("NOT isnan(value)")
     return (
@@ -48,6 +56,11 @@ def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     )
 
 
+def combined(frequencies: DataFrame) -> DataFrame:
+    """Frequencies over all groups, from those per group."""
+    return frequencies.groupBy("feature", "value").agg(F.expr("sum(n) AS n"))
+
+
 def quantiles(
     frequencies: DataFrame, by: Sequence[str] = (), probabilities: Sequence[float] = QUARTILES
 ) -> DataFrame:

@@ -77,7 +77,11 @@ def _incident_stats(df: DataFrame, key: str, name: str) -> DataFrame:
 
 def stats_by_incident(df: DataFrame, columns=S.MEASURES) -> DataFrame:
     """Mean, sample deviation and median per label; one-row groups have no deviation."""
-    frequencies = value_frequencies(df, columns, by=[S.INCIDENT])
+    return incident_statistics(value_frequencies(df, columns, by=[S.INCIDENT]))
+
+
+def incident_statistics(frequencies: DataFrame) -> DataFrame:
+    """The same from value frequencies per label."""
     return describe(frequencies, by=[S.INCIDENT], probabilities=[0.5]).selectExpr(
         S.INCIDENT, "feature", "mean", "std", "p50 AS median"
     )

@@ -8,14 +8,23 @@ from riskwindow.operators import correlation, distribution, explore, quality
 from riskwindow.operators.features import with_date_hour
 from riskwindow.sources import preview, write_parquet
 
-# The profile covers the numbers of the raw table; the report adds the hour.
+# The correlation matrix covers the numbers of the raw table; the report adds the hour.
 MATRIX_COLUMNS = (*S.MEASURES, S.INCIDENT)
 REPORT_COLUMNS = (*MATRIX_COLUMNS, S.HOUR)
 
 
-def eda_report(df: DataFrame) -> DataFrame:
+def label_frequencies(df: DataFrame) -> DataFrame:
+    """Value frequencies per label, from which every distribution of the run follows."""
+    return distribution.value_frequencies(
+        with_date_hour(df), REPORT_COLUMNS, by=[S.INCIDENT], keep_missing_keys=True
+    )
+
+
+def eda_report(df: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
     """(section, key, metric, value): the printed report as one table."""
     dated = with_date_hour(df)
+    if frequencies is None:
+        frequencies = distribution.value_frequencies(dated, REPORT_COLUMNS)
     shape = (
         quality.shape(dated)
         .unpivot([], ["row_count", "column_count"], "metric", "value")
@@ -27,7 +36,7 @@ def eda_report(df: DataFrame) -> DataFrame:
         )
         for column in (S.INCIDENT, S.COMPONENT)
     ]
-    described = distribution.describe_columns(dated, REPORT_COLUMNS)
+    described = distribution.describe(frequencies)
     statistics = [c for c in described.columns if c != "feature"]
     numbers = (
         described.withColumn("count", F.expr("CAST(count AS DOUBLE)"))
@@ -52,45 +61,53 @@ def _report_columns(section: str, key: str, metric: str, value: str) -> list[str
     ]
 
 
-def exploration(df: DataFrame) -> dict[str, DataFrame]:
-    """Every exploratory table, in the order of the run."""
-    frequencies = distribution.value_frequencies(df, S.MEASURES)
-    by_label = distribution.value_frequencies(df, S.MEASURES, by=[S.INCIDENT])
+def exploration(df: DataFrame, frequencies: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every exploratory table, in the order of the run.
+
+    ``frequencies`` takes a stored :func:`label_frequencies` table.
+    """
+    per_label = label_frequencies(df) if frequencies is None else frequencies
+    overall = distribution.combined(per_label)
+    measures = ", ".join(f"'{m}'" for m in S.MEASURES)
+    charted = overall.filter(f"feature IN ({measures})")
+    by_label = per_label.filter(f"feature IN ({measures}) AND {S.INCIDENT} IS NOT NULL")
     return {
         "preview": preview(df, 10),
         "schema": quality.schema_table(df),
         "missing": quality.missing_by_column(df),
-        "describe": distribution.describe_columns(df, MATRIX_COLUMNS),
+        "describe": distribution.describe(overall.filter(f"feature <> '{S.HOUR}'")),
         "incident_counts": explore.value_counts(df, S.INCIDENT),
         "incident_rate": explore.target_rate(df),
         "class_share": explore.class_share(df),
         "component_card": explore.component_card(df),
         "component_series": explore.component_series(df),
-        "histograms": distribution.histogram(frequencies),
-        "boxes": distribution.box_statistics(frequencies),
-        "outliers": distribution.outlier_values(frequencies),
+        "histograms": distribution.histogram(charted),
+        "boxes": distribution.box_statistics(charted),
+        "outliers": distribution.outlier_values(charted),
         "correlations": correlation.correlation_matrix(df, MATRIX_COLUMNS),
         "heatmap": correlation.correlation_heatmap(df, MATRIX_COLUMNS),
         "boxes_by_incident": distribution.box_statistics(by_label, [S.INCIDENT]),
         "scatter": explore.scatter_density(df),
-        "stats_by_incident": explore.stats_by_incident(df),
+        "stats_by_incident": explore.incident_statistics(by_label),
         "date_stats": explore.date_stats(df),
         "hour_stats": explore.hour_stats(df),
         "date_hour_series": explore.date_hour_series(df),
-        "report": eda_report(df),
+        "report": eda_report(df, overall),
     }
 
 
 def run_exploration(df: DataFrame, output: str) -> dict[str, DataFrame]:
     """Write every table as parquet under ``output`` and return what was written.
 
-    The input is cached for the run. Losing an executor only recomputes the
-    lost part of it from the source.
+    The value frequencies are stored first, so that all distributions share one
+    pass over the rows. The input is cached for the other tables; losing an
+    executor only recomputes the lost part of it from the source.
     """
     spark = df.sparkSession
     df.persist()
     try:
-        tables = exploration(df)
+        write_parquet(label_frequencies(df), f"{output}/value_frequencies")
+        tables = exploration(df, spark.read.parquet(f"{output}/value_frequencies"))
         for name, table in tables.items():
             write_parquet(table, f"{output}/{name}")
     finally:

@@ -1,6 +1,5 @@
 """Train, evaluate and save one model over one-hot features."""
 
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -11,6 +10,8 @@ from riskwindow import schema as S
 from riskwindow.operators import evaluate, models, split
 from riskwindow.operators.features import engineer_features
 from riskwindow.operators.quality import require_columns, require_rows
+from riskwindow.session import shared_folder
+from riskwindow.sources import write_parquet
 
 SPLITS = ("stratified", "random")
 
@@ -24,35 +25,37 @@ class TrainedModel:
     importances: DataFrame
 
 
-@contextmanager
 def train_and_test(
     engineered: DataFrame,
     method: str = "stratified",
+    folder: str | None = None,
     test_share: float = S.TEST_SHARE,
     seed: int = S.SEED,
-):
-    """(train, test) rows, cached while a model is fitted on them.
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows, stored once so that fitting does not derive them again.
 
     ``random`` is a Bernoulli split and can leave a rare class without test
-    rows; ``stratified`` is exact. Lost cache blocks are computed again.
+    rows; ``stratified`` is exact. The rows are kept in ``folder``, by default
+    a new one in the cluster's shared folder, which outlives a lost executor.
     """
-    if method not in SPLITS:
+    spark = engineered.sparkSession
+    folder = folder or shared_folder(spark, "split")
+    if method == "random":
+        write_parquet(engineered, folder)
+        return split.random_split(spark.read.parquet(folder), test_share, seed)
+    if method != "stratified":
         raise ValueError(f"unknown split {method!r}, expected one of {SPLITS}")
-    held = engineered.persist()
+    engineered.persist()
     try:
-        if method == "random":
-            yield split.random_split(engineered, test_share, seed)
-        else:
-            parts = split.stratified_split(engineered, S.INCIDENT, test_share, seed).persist()
-            parts.count()
-            engineered.unpersist()
-            held = parts
-            yield tuple(
-                parts.filter(f"split = '{side}'").drop("split")
-                for side in (split.TRAIN, split.TEST)
-            )
+        parts = split.stratified_split(engineered, S.INCIDENT, test_share, seed)
+        write_parquet(parts, folder, ["split"])
     finally:
-        held.unpersist()
+        engineered.unpersist()
+    stored = spark.read.parquet(folder)
+    train, test = (
+        stored.filter(f"split = '{side}'").drop("split") for side in (split.TRAIN, split.TEST)
+    )
+    return train, test
 
 
 def weighted_evaluation(predictions: DataFrame) -> DataFrame:
@@ -83,12 +86,11 @@ def run_training(
     estimator = classifier or models.plain_model(model_type)
     require_columns(windows, S.WINDOW_SCHEMA.names)
     require_rows(windows)
-    with train_and_test(engineer_features(windows, policy="zero"), split_method) as (train, test):
-        rows = models.compact(train, train.count())
-        model = models.fit_plain(rows, estimator, unseen)
-        predictions = models.score(model, test).persist()
-        metrics = weighted_evaluation(predictions)
-        confusion = evaluate.confusion_pairs(predictions, S.INCIDENT, "prediction")
+    train, test = train_and_test(engineer_features(windows, policy="zero"), split_method)
+    model = models.fit_plain(models.compact(train, train.count()), estimator, unseen)
+    predictions = models.score(model, test).persist()
+    metrics = weighted_evaluation(predictions)
+    confusion = evaluate.confusion_pairs(predictions, S.INCIDENT, "prediction")
     if model_path:
         models.save_model(model, model_path)
     return TrainedModel(model, predictions, metrics, confusion, models.feature_importances(model))

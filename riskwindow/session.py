@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not record a Python call site for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,0 +1,112 @@
+import pytest
+from conftest import sample_rows, table
+
+from riskwindow.operators import analysis, explore
+
+ROWS = [
+    ("a", "240101_00", 9, 10, 1, 1),
+    ("a", "240101_01", 1, 20, 2, 0),
+    ("b", "240102_00", 4, 30, 3, 0),
+    ("b", "240102_01", 0, 40, 4, 0),
+    (None, "240102_01", 1, 5, 1, 1),
+]
+
+
+def test_basic_statistics(make):
+    row = analysis.basic_statistics(make(ROWS)).first()
+    assert tuple(row) == (5, 2, 2, 3.0, 21.0, 2.2)
+    assert analysis.basic_statistics(make(ROWS), approx_distinct=True).first()[1] == 2
+
+
+def test_incident_rate_keeps_null_group_and_sorts(make):
+    rows = analysis.incident_rate_by_component(make(ROWS)).collect()
+    assert [(r.component, r.incident_rate_percent) for r in rows] == [
+        (None, 100.0),
+        ("a", 50.0),
+        ("b", 0.0),
+    ]
+
+
+def test_rate_rounds_half_up(make):
+    rows = [("a", f"240101_{i:02d}", 0, 1, 1, int(i < 1)) for i in range(16)]
+    # 100 / 16 = 6.25 exactly; 1 / 800 = 0.125 shows the rounding direction.
+    assert analysis.incident_rate_by_component(make(rows)).first().incident_rate_percent == 6.25
+    rows = [("a", "240101_00", 0, 1, 1, int(i < 1)) for i in range(800)]
+    assert analysis.incident_rate_by_component(make(rows)).first().incident_rate_percent == 0.13
+
+
+def test_dates_in_order(make):
+    rows = analysis.incidents_by_date(make(ROWS)).collect()
+    assert [tuple(r)[:3] for r in rows] == [("240101", 2, 1), ("240102", 3, 1)]
+
+
+def test_ranges(make):
+    row = table(analysis.component_feature_ranges(make(ROWS)), "component")[0]
+    assert (row["min_warn"], row["max_warn"], row["avg_warn"]) == (1, 9, 5.0)
+    assert (row["min_log_volume"], row["max_unique_events"]) == (10, 2)
+
+
+def test_high_risk_in_time_order(make):
+    rows = analysis.high_risk_windows(make(ROWS)).collect()
+    assert [r.time_window for r in rows] == ["240101_00", "240102_01"]
+
+
+@pytest.mark.parametrize(
+    "average, category",
+    [(6, "High Warning"), (5, "Medium Warning"), (3, "Medium Warning"), (2, "Low Warning")],
+)
+def test_category_cut_offs_are_strict(make, average, category):
+    df = make([("a", "240101_00", average, 1, 1, 0)])
+    assert analysis.component_warning_category(df).first().warning_category == category
+
+
+def test_category_of_missing_average_is_low(make):
+    df = make([("a", "240101_00", None, 1, 1, 0)])
+    assert analysis.component_warning_category(df).first().warning_category == "Low Warning"
+
+
+def test_value_counts_drop_missing(make):
+    rows = explore.value_counts(make(ROWS), "component").collect()
+    assert [tuple(r) for r in rows] == [("a", 2), ("b", 2)]
+
+
+def test_card_rounds_half_even_and_counts_labels(make):
+    rows = [("a", f"240101_{i:02d}", 0, 1, 1, int(i < 1)) for i in range(8)]
+    rows.append(("a", "240101_09", 0, 1, 1, None))
+    row = explore.component_card(make(rows)).first()
+    assert (row.total_records, row.incident_count, row.incident_rate) == (8, 1, 0.12)
+
+
+def test_card_skips_missing_component(make):
+    assert explore.component_card(make(ROWS)).count() == 2
+
+
+def test_date_and_hour_stats(make):
+    assert [tuple(r) for r in explore.date_stats(make(ROWS)).collect()] == [
+        ("240101", 2, 1, 0.5, 5.0),
+        ("240102", 3, 1, pytest.approx(1 / 3), pytest.approx(5 / 3)),
+    ]
+    assert [r.hour for r in explore.hour_stats(make(ROWS)).collect()] == [0, 1]
+
+
+def test_shares(make):
+    rows = explore.class_share(make(ROWS)).collect()
+    assert [tuple(r) for r in rows] == [(0, 3, 60.0), (1, 2, 40.0)]
+    assert explore.target_rate(make(ROWS)).first()[0] == 0.4
+
+
+def test_series_and_points(make):
+    rows = explore.component_series(make(ROWS)).collect()
+    assert len(rows) == 8
+    rates = [(r.component, r.value) for r in rows if r.series == "incident_rate"]
+    assert rates == [("a", 0.5), ("b", 0.0)]
+    assert explore.scatter_density(make(ROWS + ROWS)).filter("points = 2").count() == 5
+    series = explore.date_hour_series(make(ROWS))
+    assert series.filter("series = 'records_by_hour' AND key = '01'").first().value == 3.0
+
+
+def test_top_windows(make, sample):
+    expected = sorted(sample_rows(), key=lambda r: (-r[3], r[1], r[0]))[:10]
+    assert [tuple(r) for r in explore.top_windows(sample).collect()] == expected
+    row = explore.top_windows(make([("a", "x", None, 1, 1, 0), ("b", "y", 0, 1, 1, 0)]), "warn_count", 1)
+    assert row.first().component == "b"

@@ -1,0 +1,191 @@
+import datetime
+
+import pytest
+from conftest import executed_plan, sample_rows, table
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from riskwindow import schema as S
+from riskwindow.plans.sql_suite import run_sql_suite
+from riskwindow.sources import (
+    PANDAS_NULL_MARKERS,
+    append_run,
+    create_external_table,
+    drop_table,
+    export_delimited,
+    overwrite_table,
+    preview,
+    read_delimited,
+    read_windows,
+    save_table,
+    use_database,
+    windows_from_events,
+    write_csv,
+    write_json,
+    write_windows,
+)
+
+CSV = """Component,Time_Window,Warn_Count,Log_Volume,Unique_Event_Count,Incident
+a,240101_00,1,2,1,0
+NA,240101_01,x,3,,1
+"""
+
+
+@pytest.fixture
+def csv(tmp_path):
+    path = tmp_path / "in" / "windows.csv"
+    path.parent.mkdir()
+    path.write_text(CSV)
+    return str(path)
+
+
+def test_fixed_schema(spark, csv):
+    df = read_delimited(spark, csv)
+    assert df.schema == S.WINDOW_SCHEMA
+    assert [tuple(r) for r in df.orderBy(S.TIME_WINDOW).collect()] == [
+        ("a", "240101_00", 1, 2, 1, 0),
+        ("NA", "240101_01", None, 3, None, 1),
+    ]
+
+
+def test_null_markers(spark, csv):
+    df = read_delimited(spark, csv, null_markers=PANDAS_NULL_MARKERS)
+    assert df.filter("component IS NULL").count() == 1
+
+
+def test_swapped_header_is_refused(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text(CSV.replace("Warn_Count,Log_Volume", "Log_Volume,Warn_Count"))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(path)).collect()
+
+
+def test_inferred_schema(spark, csv):
+    df = read_delimited(spark, csv, infer=True)
+    assert dict(df.dtypes)["Log_Volume"] == "int"
+    assert df.filter("incident = 1").count() == 1
+
+
+def test_missing_path(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        read_windows(spark, str(tmp_path / "absent.csv"))
+    with pytest.raises(ValueError):
+        read_windows(spark, "x", "orc")
+
+
+def test_export_has_no_header_and_marks_nulls(spark, make, tmp_path):
+    rows = [("a", "240101_00", 1, 2, None, 0), (None, "240101_01", 3, 4, 5, 1)]
+    export_delimited(make(rows), str(tmp_path / "out"))
+    lines = sorted(line.value for line in spark.read.text(str(tmp_path / "out")).collect())
+    assert lines == ["\\N,240101_01,3,4,5,1", "a,240101_00,1,2,\\N,0"]
+
+
+def test_csv_and_json_round_trip(spark, sample, tmp_path):
+    write_csv(sample, str(tmp_path / "csv"))
+    assert read_delimited(spark, str(tmp_path / "csv")).exceptAll(sample).isEmpty()
+    write_json(sample, str(tmp_path / "json"))
+    back = spark.read.schema(S.WINDOW_SCHEMA).json(str(tmp_path / "json"))
+    assert back.exceptAll(sample).isEmpty() and back.count() == sample.count()
+
+
+def test_date_folders_are_pruned(spark, sample, tmp_path):
+    path = str(tmp_path / "windows")
+    write_windows(sample, path)
+    day = spark.read.parquet(path).filter("date_part = 240102 AND incident = 1")
+    plan = executed_plan(day)
+    assert "PartitionFilters: [isnotnull(date_part" in plan
+    assert "EqualTo(incident,1)" in plan
+    assert spark.read.parquet(path).count() == sample.count()
+
+
+def test_tables(spark, sample, csv, tmp_path):
+    use_database(spark, "source_test")
+    try:
+        external = create_external_table(spark, "raw_windows", csv)
+        assert spark.table("raw_windows").count() == external.count() == 2
+        create_external_table(spark, "raw_windows", csv)
+        stored = save_table(sample, "stored_windows")
+        assert stored.count() == 200
+        overwrite_table(sample.limit(7), "stored_windows")
+        assert spark.table("stored_windows").count() == 7
+        assert read_windows(spark, "source_test.stored_windows", "table").count() == 7
+        drop_table(spark, "stored_windows")
+        drop_table(spark, "stored_windows")
+        assert not spark.catalog.tableExists("stored_windows")
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_overwrite_external_table(spark, sample, tmp_path):
+    folder = tmp_path / "external"
+    write_csv(sample.limit(3), str(folder))
+    use_database(spark, "load_test")
+    try:
+        create_external_table(spark, "loaded", str(folder))
+        overwrite_table(sample, "loaded")
+        spark.catalog.refreshTable("loaded")
+        assert spark.table("loaded").exceptAll(sample).isEmpty()
+        assert spark.table("loaded").count() == 200
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_run_log_appends(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    append_run(spark, path, "first")
+    append_run(spark, path, "second")
+    assert {r.results for r in spark.read.parquet(path).collect()} == {"first", "second"}
+
+
+def test_preview_is_ordered(sample):
+    rows = [tuple(r)[:2] for r in preview(sample, 5).collect()]
+    assert rows == sorted(r[:2] for r in sample_rows())[:5]
+    assert preview(sample, 5, ()).count() == 5
+
+
+def test_events_roll_up(spark):
+    at = lambda h, m: datetime.datetime(2024, 1, 2, h, m)
+    events = spark.createDataFrame(
+        [
+            ("a", at(7, 1), "error", 1.0),
+            ("a", at(7, 59), "error", 300.0),
+            ("a", at(7, 30), "click", 1.0),
+            ("a", at(8, 0), "click", 200.0),
+            (None, at(8, 0), "view", 1.0),
+        ],
+        "name string, ts timestamp_ntz, kind string, value double",
+    )
+    windows = windows_from_events(events, "name", "kind", "kind = 'error'", "value >= 200")
+    assert windows.schema.simpleString() == S.WINDOW_SCHEMA.simpleString()
+    assert {tuple(r) for r in windows.collect()} == {
+        ("a", "240102_07", 2, 3, 2, 1),
+        ("a", "240102_08", 0, 1, 1, 1),
+        (None, "240102_08", 0, 1, 1, 0),
+    }
+
+
+def test_events_scan_reads_used_columns_only(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.range(10).select(
+        "id",
+        F.expr("CAST('2024-01-01' AS TIMESTAMP_NTZ) AS ts"),
+        F.lit("x").alias("kind"),
+        F.lit("unused").alias("props"),
+    ).write.parquet(path)
+    plan = executed_plan(
+        windows_from_events(spark.read.parquet(path), "id % 3", "kind", "kind = 'x'", "id > 5")
+    )
+    assert "props" not in plan and "partial_count" in plan
+
+
+def test_sql_suite(spark, sample, tmp_path):
+    write_csv(sample, str(tmp_path / "in"))
+    try:
+        results = run_sql_suite(spark, str(tmp_path / "in"), str(tmp_path / "out"), "suite_test")
+        assert len(results) == 7
+        assert results["basic_statistics"].first().total_records == 200
+        assert results["summary"].count() == 200
+        assert len(spark.read.csv(str(tmp_path / "out")).columns) == 10
+        assert table(results["incidents_by_date"], "date_part")[0]["records_per_date"] == 24
+    finally:
+        spark.catalog.setCurrentDatabase("default")
