@@ -1,0 +1,128 @@
+"""Published numbers, checked where their input files are at hand.
+
+Name them in RISKWINDOW_WINDOWS (a feature table of 116 rows) and
+RISKWINDOW_PREDICTIONS (24 scored rows).
+"""
+
+import os
+
+import pytest
+
+from riskwindow import schema as S
+from riskwindow.operators import analysis, correlation, distribution, evaluate, explore, split
+from riskwindow.operators.features import engineer_features, with_date_hour
+from riskwindow.plans import training
+from riskwindow.sources import read_delimited
+
+WINDOWS = os.environ.get("RISKWINDOW_WINDOWS")
+PREDICTIONS = os.environ.get("RISKWINDOW_PREDICTIONS")
+needs_windows = pytest.mark.skipif(not WINDOWS, reason="RISKWINDOW_WINDOWS is not set")
+needs_predictions = pytest.mark.skipif(not PREDICTIONS, reason="RISKWINDOW_PREDICTIONS is not set")
+
+
+@pytest.fixture
+def windows(spark):
+    return read_delimited(spark, WINDOWS)
+
+
+@needs_windows
+def test_counts(windows):
+    assert [r["count"] for r in explore.value_counts(windows, S.INCIDENT).collect()] == [112, 4]
+    counts = [r["count"] for r in explore.value_counts(windows, S.COMPONENT).collect()]
+    assert counts == [38, 24, 23, 17, 13, 1]
+
+
+@needs_windows
+def test_describe(windows):
+    columns = [*S.MEASURES, S.INCIDENT, S.HOUR]
+    rows = {
+        r.feature: [round(v, 6) for v in list(r)[1:]]
+        for r in distribution.describe_columns(with_date_hour(windows), columns).collect()
+    }
+    assert rows[S.WARN_COUNT] == [116, 0.689655, 2.274294, 0, 0, 0, 0, 13]
+    assert rows[S.LOG_VOLUME] == [116, 17.241379, 16.271405, 1, 3.75, 12.5, 24.25, 79]
+    assert rows[S.UNIQUE_EVENT_COUNT] == [116, 1.724138, 0.76427, 1, 1, 2, 2, 4]
+    assert rows[S.INCIDENT] == [116, 0.034483, 0.183257, 0, 0, 0, 0, 1]
+    assert rows[S.HOUR] == [116, 10.991379, 7.319415, 0, 5, 10, 18.25, 23]
+
+
+@needs_windows
+def test_correlations(windows):
+    columns = [*S.MEASURES, S.INCIDENT, S.HOUR]
+    rows = correlation.correlation_with_target(with_date_hour(windows), columns).collect()
+    assert [(r.feature, round(r.r, 6)) for r in rows] == [
+        (S.INCIDENT, 1.0),
+        (S.UNIQUE_EVENT_COUNT, 0.130595),
+        (S.LOG_VOLUME, 0.052592),
+        (S.HOUR, -0.012742),
+        (S.WARN_COUNT, -0.057555),
+    ]
+
+
+@needs_windows
+def test_suite(windows):
+    row = analysis.basic_statistics(windows).first()
+    assert tuple(row)[:3] == (116, 6, 4)
+    rates = [r.incident_rate_percent for r in analysis.incident_rate_by_component(windows).collect()]
+    assert rates == [100.0, 5.26, 4.17, 0.0, 0.0, 0.0]
+    dates = [tuple(r)[:3] for r in analysis.incidents_by_date(windows).collect()]
+    assert dates == [("081109", 13, 0), ("081110", 63, 1), ("081111", 40, 3)]
+    assert [r.time_window for r in analysis.high_risk_windows(windows).collect()] == [
+        "081110_21", "081111_05", "081111_08", "081111_08",
+    ]
+    categories = explore.value_counts(
+        analysis.component_warning_category(windows), "warning_category"
+    )
+    assert [tuple(r) for r in categories.collect()] == [("Low Warning", 5), ("Medium Warning", 1)]
+
+
+@needs_windows
+@pytest.mark.parametrize("policy, total", [("null", 1140.5), ("zero", 1140.5), ("plus_one", 694.433333)])
+def test_features(windows, policy, total):
+    row = engineer_features(windows, policy).selectExpr(
+        "sum(warn_log_interaction)", "round(sum(log_per_event_ratio), 6)",
+        "sum(high_warn_flag)", "sum(high_log_volume_flag)",
+    ).first()
+    assert tuple(row) == (1202, total, 5, 40)
+
+
+@needs_windows
+def test_label_statistics(windows):
+    rows = {(r.incident, r.feature): r for r in explore.stats_by_incident(windows).collect()}
+    assert rows[0, S.LOG_VOLUME]["std"] == pytest.approx(16.1536197)
+    assert rows[1, S.LOG_VOLUME]["mean"] == 21.75
+    assert rows[1, S.LOG_VOLUME]["median"] == 17
+    assert rows[1, S.UNIQUE_EVENT_COUNT]["std"] == pytest.approx(1.2583057)
+
+
+@needs_windows
+def test_split_and_weights(windows):
+    parts = split.stratified_split(windows)
+    sizes = {(r.split, r.incident): r["count"] for r in parts.groupBy("split", "incident").count().collect()}
+    assert sizes == {("train", 0): 89, ("train", 1): 3, ("test", 0): 23, ("test", 1): 1}
+    weights = {r.incident: r.weight for r in split.class_weights(windows).collect()}
+    assert weights == {0: pytest.approx(116 / 224), 1: 14.5}
+
+
+@needs_windows
+def test_training(windows):
+    run = training.run_training(windows, "logistic_regression")
+    assert run.predictions.count() == 24
+    run.predictions.unpersist()
+
+
+@needs_predictions
+def test_published_evaluation(spark):
+    predictions = read_delimited(spark, PREDICTIONS, S.PREDICTION_SCHEMA)
+    assert round(evaluate.roc_auc(predictions), 4) == 0.3261
+    assert evaluate.accuracy(predictions).first()[0] == pytest.approx(0.9583333333333334)
+    assert tuple(evaluate.prediction_totals(predictions).first()) == (24, 1, 0)
+    report = {
+        (r.label, r.metric): r.value
+        for r in evaluate.classification_report(predictions).collect()
+    }
+    assert report["weighted avg", "precision"] == pytest.approx(0.9184027777777778)
+    assert report["weighted avg", "f1-score"] == pytest.approx(0.9379432624113475)
+    area = evaluate.roc_auc(predictions)
+    metrics = evaluate.positive_metrics(predictions).selectExpr("accuracy", "f1", f"{area}D AS auc")
+    assert tuple(evaluate.quality_gate(metrics).first()) == (True, False, False, False)
