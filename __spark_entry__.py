@@ -88,7 +88,8 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 def _gate_metrics(df: DataFrame) -> DataFrame:
     scored = _rule_scores(df)
     area = evaluate.roc_auc(scored)
-    return evaluate.positive_metrics(scored).select("accuracy", "f1", F.lit(area).alias("auc"))
+    metrics = evaluate.positive_metrics(evaluate.confusion_pairs(scored))
+    return metrics.select("accuracy", "f1", F.lit(area).alias("auc"))
 
 
 def _standardized(df: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def _model_metrics(df: DataFrame) -> DataFrame:
     model, test = _scaled(df, "logistic_regression")
     predictions = models.prediction_table(models.score(model, test))
     area = evaluate.roc_auc(predictions)
-    return evaluate.positive_metrics(predictions).select(
+    return evaluate.positive_metrics(evaluate.confusion_pairs(predictions)).select(
         F.lit("logistic_regression").alias("model_type"), "*", F.lit(area).alias("auc")
     )
 
@@ -173,7 +174,7 @@ def _randomly_split(df: DataFrame) -> DataFrame:
 def _summary_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     before = spark.catalog.currentDatabase()
-    use_database(spark, "riskwindow_check")
+    use_database(spark, "riskwindow_check", shared_folder(spark, "database"))
     try:
         return save_table(sql_suite.summary(df, **CUTS), "riskwindow_check.features_summary")
     finally:
@@ -220,6 +221,10 @@ def _over_scores(build: Callable[[DataFrame], DataFrame]):
     return lambda spark, sf_dir: build(_rule_scores(windows(spark, sf_dir)))
 
 
+def _over_pairs(build: Callable[[DataFrame], DataFrame]):
+    return _over_scores(lambda scored: build(evaluate.confusion_pairs(scored)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Which component fails most?"""
     return analysis.incident_rate_by_component(windows(spark, SMOKE_DIR))
@@ -228,7 +233,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     measures = list(S.MEASURES)
     matrix = [*measures, S.INCIDENT]
-    frequencies = distribution.value_frequencies
+    frequencies, profile = distribution.value_frequencies, explore.group_profile
     over_windows = {
         "derive_features": lambda f: f,
         # Projections
@@ -261,17 +266,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "value_counts_component": lambda f: explore.value_counts(f, S.COMPONENT),
         "value_counts_incident": lambda f: explore.value_counts(f, S.INCIDENT),
         "target_rate": explore.target_rate,
-        "component_card": explore.component_card,
-        "date_stats": explore.date_stats,
-        "hour_stats": explore.hour_stats,
+        "component_card": lambda f: explore.component_card(profile(f, [S.COMPONENT])),
+        "date_stats": lambda f: explore.date_stats(profile(f, [S.DATE])),
+        "hour_stats": lambda f: explore.hour_stats(profile(f, [S.HOUR])),
         "stats_by_incident": lambda f: _rounded(explore.stats_by_incident(f), "mean", "std"),
         "correlation_matrix": lambda f: _rounded(correlation.correlation_matrix(f, matrix), "r"),
         "correlation_heatmap": lambda f: correlation.correlation_heatmap(f, matrix),
         "correlation_with_target": lambda f: _rounded(
             correlation.correlation_with_target(with_date_hour(f), [*matrix, S.HOUR]), "r"
         ),
-        "class_share": explore.class_share,
-        "component_series": explore.component_series,
+        "class_share": lambda f: explore.class_share(explore.value_counts(f, S.INCIDENT)),
+        "component_series": lambda f: explore.component_series(profile(f, [S.COMPONENT])),
         "histogram_30": lambda f: _rounded(
             distribution.histogram(frequencies(f, measures)), "bin_start", "bin_end"
         ),
@@ -281,7 +286,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "box_outliers": lambda f: distribution.outlier_values(frequencies(f, measures)),
         "scatter_density": explore.scatter_density,
-        "date_hour_series": explore.date_hour_series,
+        "date_hour_series": lambda f: explore.date_hour_series(profile(f, [S.DATE, S.HOUR])),
         "eda_report": lambda f: _rounded(exploration.eda_report(f), "value"),
         "top10_windows": explore.top_windows,
         # Preparation for models
@@ -304,18 +309,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_metrics": _model_metrics,
         "quality_gate": lambda f: evaluate.quality_gate(_gate_metrics(f)),
     }
-    over_scores = {
-        "confusion_pairs": evaluate.confusion_pairs,
+    over_pairs = {
+        "confusion_pairs": lambda pairs: pairs,
         "confusion_matrix": evaluate.confusion_matrix,
         "accuracy": evaluate.accuracy,
         "weighted_metrics": evaluate.weighted_metrics,
         "positive_metrics": evaluate.positive_metrics,
         "classification_report": evaluate.classification_report,
-        "rank_auc": lambda scored: _rounded(evaluate.rank_auc(scored), "auc"),
         "prediction_totals": evaluate.prediction_totals,
     }
+    over_scores = {
+        "rank_auc": lambda scored: _rounded(evaluate.rank_auc(scored), "auc"),
+    }
     return {
         **{name: _over_windows(build) for name, build in over_windows.items()},
+        **{name: _over_pairs(build) for name, build in over_pairs.items()},
         **{name: _over_scores(build) for name, build in over_scores.items()},
         "streamed_windows": _streamed_windows,
         "streamed_scores": _streamed_scores,

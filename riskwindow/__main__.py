@@ -19,6 +19,7 @@ def _arguments(argv=None):
         job.add_argument("output", help="folder for the results, or for the model of `train`")
         if name == "sql":
             job.add_argument("--database", default="log_analysis")
+            job.add_argument("--location", help="folder of the database, if it is created")
         else:
             job.add_argument("--format", choices=("csv", "parquet", "table"))
         if name in ("train", "pipeline"):
@@ -43,7 +44,10 @@ def main(argv=None) -> None:
     args = _arguments(argv)
     spark = session()
     if args.job == "sql":
-        for table in run_sql_suite(spark, args.source, args.output, args.database).values():
+        results = run_sql_suite(
+            spark, args.source, args.output, args.database, location=args.location
+        )
+        for table in results.values():
             table.show(truncate=False)
     elif args.job == "explore":
         run_exploration(_read(spark, args), args.output)["report"].show(1000, truncate=False)

@@ -46,7 +46,11 @@ def correlation_with_target(
 
 def correlation_heatmap(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Correlation cells as annotated in a heat map, two decimals."""
-    return correlation_matrix(df, columns).selectExpr("x", "y", "round(r, 2) AS r")
+    return heatmap_cells(correlation_matrix(df, columns))
+
+
+def heatmap_cells(matrix: DataFrame) -> DataFrame:
+    return matrix.selectExpr("x", "y", "round(r, 2) AS r")
 
 
 def _pearson(x: str, y: str) -> str:

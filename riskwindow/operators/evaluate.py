@@ -1,7 +1,7 @@
 """Metrics from confusion counts, ROC AUC and the quality gate.
 
-Predictions are reduced to counts per (label, prediction) before anything else
-happens, so each table costs one pass over the scored rows.
+Predictions are reduced once to counts per (label, prediction); every metric
+table but the ROC area is computed from those few rows.
 """
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -9,25 +9,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.functions import literal, rows_from, share_or_zero
+from riskwindow.functions import literal, rows_from, share, share_or_zero
 
 LABEL, PREDICTION, SCORE = "y_true", "y_pred", "y_proba"
 
 
 def confusion_pairs(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
-    """Rows per (label, prediction) pair that occurs."""
+    """(y_true, y_pred, count) for the pairs that occur."""
     return (
-        predictions.groupBy(label, prediction)
+        predictions.groupBy(
+            F.expr(f"CAST({label} AS INT) AS y_true"), F.expr(f"CAST({prediction} AS INT) AS y_pred")
+        )
         .agg(F.expr("count(*) AS count"))
-        .orderBy(label, prediction)
+        .orderBy("y_true", "y_pred")
     )
 
 
-def confusion_matrix(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
+def _rows_where(condition: str) -> str:
+    return f"coalesce(sum(IF({condition}, count, 0L)), 0L)"
+
+
+def confusion_matrix(pairs: DataFrame) -> DataFrame:
     """2 x 2 matrix, true classes down and predicted classes across, zeros included."""
-    cells = predictions.agg(
+    cells = pairs.agg(
         *[
-            F.expr(f"count_if({label} = {true} AND {prediction} = {said}) AS n{true}{said}")
+            F.expr(f"{_rows_where(f'y_true = {true} AND y_pred = {said}')} AS n{true}{said}")
             for true in (0, 1)
             for said in (0, 1)
         ]
@@ -36,18 +42,19 @@ def confusion_matrix(predictions: DataFrame, label=LABEL, prediction=PREDICTION)
     return cells.selectExpr(rows_from(["actual", "no_incident", "incident"], rows))
 
 
-def accuracy(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
-    return predictions.agg(F.expr(f"avg(CAST({label} = {prediction} AS INT)) AS accuracy"))
+def accuracy(pairs: DataFrame) -> DataFrame:
+    hits = _rows_where("y_true = y_pred")
+    return pairs.agg(F.expr(f"{share(hits, 'sum(count)')} AS accuracy"))
 
 
-def positive_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
+def positive_metrics(pairs: DataFrame) -> DataFrame:
     """Accuracy, and precision, recall and F1 of class 1; 0 on an empty denominator."""
-    return predictions.agg(
-        F.expr(f"count_if({label} = 1 AND {prediction} = 1) AS tp"),
-        F.expr(f"count_if({label} = 1) AS actual"),
-        F.expr(f"count_if({prediction} = 1) AS predicted"),
-        F.expr(f"count_if({label} = {prediction}) AS hits"),
-        F.expr("count(*) AS n"),
+    return pairs.agg(
+        F.expr(f"{_rows_where('y_true = 1 AND y_pred = 1')} AS tp"),
+        F.expr(f"{_rows_where('y_true = 1')} AS actual"),
+        F.expr(f"{_rows_where('y_pred = 1')} AS predicted"),
+        F.expr(f"{_rows_where('y_true = y_pred')} AS hits"),
+        F.expr("sum(count) AS n"),
     ).selectExpr(
         f"{share_or_zero('hits', 'n')} AS accuracy",
         f"{share_or_zero('tp', 'predicted')} AS precision",
@@ -56,18 +63,17 @@ def positive_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION)
     )
 
 
-def class_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
+def class_metrics(pairs: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support of every class seen as label or prediction."""
     roles = rows_from(
         ["class", "support", "predicted", "tp"],
-        [("t", "n", "0L", "IF(t = p, n, 0L)"), ("p", "0L", "n", "0L")],
+        [
+            ("y_true", "count", "0L", "IF(y_true = y_pred, count, 0L)"),
+            ("y_pred", "0L", "count", "0L"),
+        ],
     )
     return (
-        predictions.groupBy(
-            F.expr(f"CAST({label} AS INT) AS t"), F.expr(f"CAST({prediction} AS INT) AS p")
-        )
-        .agg(F.expr("count(*) AS n"))
-        .selectExpr(roles)
+        pairs.selectExpr(roles)
         .groupBy("class")
         .agg(
             F.expr("sum(support) AS support"),
@@ -89,22 +95,22 @@ def _by_support(metric: str) -> str:
     return share_or_zero(f"sum({metric} * support)", "sum(support)")
 
 
-def weighted_metrics(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
+def weighted_metrics(pairs: DataFrame) -> DataFrame:
     """Accuracy, and precision, recall and F1 averaged over classes by support."""
-    return class_metrics(predictions, label, prediction).agg(
+    return class_metrics(pairs).agg(
         F.expr(f"{share_or_zero('sum(tp)', 'sum(support)')} AS accuracy"),
         *[F.expr(f"{_by_support(m)} AS weighted_{m}") for m in ("precision", "recall", "f1")],
     )
 
 
-def classification_report(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
+def classification_report(pairs: DataFrame) -> DataFrame:
     """(label, metric, value): every class, accuracy, macro and weighted averages.
 
     A rollup gives the class rows and the averages from the same counts.
     """
     metrics = ("precision", "recall", "f1")
     rolled = (
-        class_metrics(predictions, label, prediction)
+        class_metrics(pairs)
         .rollup("class")
         .agg(
             F.expr("grouping(class) AS overall"),
@@ -136,11 +142,11 @@ def _cell(name: str, metric: str, value: str) -> str:
     return f"named_struct('label', {name}, 'metric', {literal(metric)}, 'value', {value})"
 
 
-def prediction_totals(predictions: DataFrame, label=LABEL, prediction=PREDICTION) -> DataFrame:
-    return predictions.agg(
-        F.expr("count(*) AS total_predictions"),
-        F.expr(f"sum(CAST({label} AS BIGINT)) AS actual_incidents"),
-        F.expr(f"sum(CAST({prediction} AS BIGINT)) AS predicted_incidents"),
+def prediction_totals(pairs: DataFrame) -> DataFrame:
+    return pairs.agg(
+        F.expr("sum(count) AS total_predictions"),
+        F.expr("sum(y_true * count) AS actual_incidents"),
+        F.expr("sum(y_pred * count) AS predicted_incidents"),
     )
 
 

@@ -1,14 +1,18 @@
 """Exploratory group statistics and the series behind the charts.
 
 Rows with a missing group key are left out here, as a pandas ``groupby`` does;
-the SQL suite in :mod:`riskwindow.operators.analysis` keeps them.
+the SQL suite in :mod:`riskwindow.operators.analysis` keeps them. The tables
+per component, date and hour are computed from :func:`group_profile`, which a
+run can compute for all three groupings in one pass and store.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.functions import date_of, hour_of, rows_from, share
+from riskwindow.functions import date_of, hour_of, literal, rows_from, share
 from riskwindow.operators.distribution import describe, value_frequencies
 
 
@@ -25,7 +29,48 @@ def target_rate(df: DataFrame) -> DataFrame:
     return df.agg(F.expr(f"avg({S.INCIDENT}) AS incident_rate"))
 
 
-def component_card(df: DataFrame) -> DataFrame:
+GROUPINGS = {
+    S.COMPONENT: S.COMPONENT,
+    S.DATE: date_of(),
+    S.HOUR: hour_of(),
+}
+
+
+def group_profile(df: DataFrame, groupings: Sequence[str] = tuple(GROUPINGS)) -> DataFrame:
+    """Sums, counts and maxima per (grouping, key), for several groupings in one pass."""
+    keys = rows_from(
+        ["grouping", "key"],
+        [(literal(g), f"CAST({GROUPINGS[g]} AS STRING)") for g in groupings],
+    )
+    columns = [*S.MEASURES, S.INCIDENT]
+    return (
+        df.selectExpr(keys, *columns)
+        .filter("key IS NOT NULL")
+        .groupBy("grouping", "key")
+        .agg(
+            F.expr("count(*) AS records"),
+            *[
+                F.expr(f"{function}({c}) AS {function}_{c}")
+                for c in columns
+                for function in ("count", "sum", "max")
+            ],
+        )
+    )
+
+
+def _mean(column: str) -> str:
+    return share(f"sum_{column}", f"count_{column}")
+
+
+def component_counts(profile: DataFrame) -> DataFrame:
+    return (
+        profile.filter(f"grouping = '{S.COMPONENT}'")
+        .selectExpr(f"key AS {S.COMPONENT}", "records AS count")
+        .orderBy(F.desc("count"), S.COMPONENT)
+    )
+
+
+def component_card(profile: DataFrame) -> DataFrame:
     """Counts, incident rate, means and maxima per component, rounded half-even.
 
     The rate is a fraction; the order follows the rounded rate.
@@ -36,42 +81,42 @@ def component_card(df: DataFrame) -> DataFrame:
         S.UNIQUE_EVENT_COUNT: "unique_events",
     }
     measured = [
-        F.expr(sql)
+        sql
         for measure, name in names.items()
-        for sql in (f"bround(avg({measure}), 2) AS avg_{name}", f"max({measure}) AS max_{name}")
+        for sql in (f"bround({_mean(measure)}, 2) AS avg_{name}", f"max_{measure} AS max_{name}")
     ]
     return (
-        df.filter(f"{S.COMPONENT} IS NOT NULL")
-        .groupBy(S.COMPONENT)
-        .agg(
-            F.expr(f"count({S.INCIDENT}) AS total_records"),
-            F.expr(f"sum({S.INCIDENT}) AS incident_count"),
-            F.expr(f"bround(avg({S.INCIDENT}), 2) AS incident_rate"),
+        profile.filter(f"grouping = '{S.COMPONENT}'")
+        .selectExpr(
+            f"key AS {S.COMPONENT}",
+            f"count_{S.INCIDENT} AS total_records",
+            f"sum_{S.INCIDENT} AS incident_count",
+            f"bround({_mean(S.INCIDENT)}, 2) AS incident_rate",
             *measured,
         )
         .orderBy(F.desc_nulls_last("incident_rate"), S.COMPONENT)
     )
 
 
-def date_stats(df: DataFrame) -> DataFrame:
-    return _incident_stats(df, date_of(), S.DATE)
+def date_stats(profile: DataFrame) -> DataFrame:
+    return _incident_stats(profile, S.DATE, "key")
 
 
-def hour_stats(df: DataFrame) -> DataFrame:
-    return _incident_stats(df, hour_of(), S.HOUR)
+def hour_stats(profile: DataFrame) -> DataFrame:
+    return _incident_stats(profile, S.HOUR, "CAST(key AS INT)")
 
 
-def _incident_stats(df: DataFrame, key: str, name: str) -> DataFrame:
+def _incident_stats(profile: DataFrame, grouping: str, key: str) -> DataFrame:
     return (
-        df.filter(f"{key} IS NOT NULL")
-        .groupBy(F.expr(f"{key} AS {name}"))
-        .agg(
-            F.expr(f"count({S.INCIDENT}) AS total_records"),
-            F.expr(f"sum({S.INCIDENT}) AS incident_count"),
-            F.expr(f"avg({S.INCIDENT}) AS incident_rate"),
-            F.expr(f"avg({S.WARN_COUNT}) AS avg_warn_count"),
+        profile.filter(f"grouping = '{grouping}'")
+        .selectExpr(
+            f"{key} AS {grouping}",
+            f"count_{S.INCIDENT} AS total_records",
+            f"sum_{S.INCIDENT} AS incident_count",
+            f"{_mean(S.INCIDENT)} AS incident_rate",
+            f"{_mean(S.WARN_COUNT)} AS avg_warn_count",
         )
-        .orderBy(name)
+        .orderBy(grouping)
     )
 
 
@@ -87,34 +132,31 @@ def incident_statistics(frequencies: DataFrame) -> DataFrame:
     )
 
 
-def class_share(df: DataFrame) -> DataFrame:
+def class_share(counts: DataFrame) -> DataFrame:
     """Rows per label and their percentage of all labelled rows, one decimal.
 
-    The total is a window over the aggregated table, one row per label.
+    Takes the value counts of the label; the window runs over one row per label.
     """
     percent = share("count * 100", "sum(count) OVER (PARTITION BY 0)")
-    return (
-        df.filter(f"{S.INCIDENT} IS NOT NULL")
-        .groupBy(S.INCIDENT)
-        .agg(F.expr("count(*) AS count"))
-        .selectExpr(S.INCIDENT, "count", f"round({percent}, 1) AS share_percent")
-        .orderBy(F.desc("count"), S.INCIDENT)
-    )
+    return counts.selectExpr(
+        S.INCIDENT, "count", f"round({percent}, 1) AS share_percent"
+    ).orderBy(F.desc("count"), S.INCIDENT)
 
 
-def component_series(df: DataFrame) -> DataFrame:
+def component_series(profile: DataFrame) -> DataFrame:
     """The four ranked component series: records, incident rate, mean warnings, mean volume."""
-    series = {
-        "record_count": "CAST(count(*) AS DOUBLE)",
-        "incident_rate": f"avg({S.INCIDENT})",
-        "avg_warn_count": f"avg({S.WARN_COUNT})",
-        "avg_log_volume": f"avg({S.LOG_VOLUME})",
-    }
+    series = rows_from(
+        ["series", "value"],
+        [
+            ("'record_count'", "CAST(records AS DOUBLE)"),
+            ("'incident_rate'", _mean(S.INCIDENT)),
+            ("'avg_warn_count'", _mean(S.WARN_COUNT)),
+            ("'avg_log_volume'", _mean(S.LOG_VOLUME)),
+        ],
+    )
     return (
-        df.filter(f"{S.COMPONENT} IS NOT NULL")
-        .groupBy(S.COMPONENT)
-        .agg(*[F.expr(f"{sql} AS {name}") for name, sql in series.items()])
-        .unpivot(S.COMPONENT, list(series), "series", "value")
+        profile.filter(f"grouping = '{S.COMPONENT}'")
+        .selectExpr(f"key AS {S.COMPONENT}", series)
         .orderBy("series", F.desc_nulls_last("value"), S.COMPONENT)
     )
 
@@ -124,25 +166,24 @@ def scatter_density(df: DataFrame) -> DataFrame:
     return df.groupBy(S.WARN_COUNT, S.LOG_VOLUME, S.INCIDENT).agg(F.expr("count(*) AS points"))
 
 
-def date_hour_series(df: DataFrame) -> DataFrame:
+def date_hour_series(profile: DataFrame) -> DataFrame:
     """The four time series: incidents by date; rate, mean warnings and records by hour."""
-    dates = date_stats(df).selectExpr(
-        "'incident_count_by_date' AS series",
-        f"{S.DATE} AS key",
-        "CAST(incident_count AS DOUBLE) AS value",
-    )
-    key = f"lpad(CAST({S.HOUR} AS STRING), 2, '0')"
-    hours = hour_stats(df).selectExpr(
-        rows_from(
-            ["series", "key", "value"],
-            [
-                ("'incident_rate_by_hour'", key, "incident_rate"),
-                ("'avg_warn_count_by_hour'", key, "avg_warn_count"),
-                ("'records_by_hour'", key, "CAST(total_records AS DOUBLE)"),
-            ],
-        )
+    series = {
+        "incident_count_by_date": (S.DATE, f"CAST(sum_{S.INCIDENT} AS DOUBLE)"),
+        "incident_rate_by_hour": (S.HOUR, _mean(S.INCIDENT)),
+        "avg_warn_count_by_hour": (S.HOUR, _mean(S.WARN_COUNT)),
+        "records_by_hour": (S.HOUR, f"CAST(count_{S.INCIDENT} AS DOUBLE)"),
+    }
+    keys = {S.DATE: "key", S.HOUR: "lpad(key, 2, '0')"}
+    rows = [
+        (literal(name), f"IF(grouping = '{grouping}', {keys[grouping]}, NULL)", value)
+        for name, (grouping, value) in series.items()
+    ]
+    return (
+        profile.selectExpr(rows_from(["series", "key", "value"], rows))
+        .filter("key IS NOT NULL")
+        .orderBy("series", "key")
     )
-    return dates.unionByName(hours).orderBy("series", "key")
 
 
 def top_windows(df: DataFrame, measure: str = S.LOG_VOLUME, n: int = 10) -> DataFrame:

@@ -34,23 +34,28 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def schema_table(df: DataFrame) -> DataFrame:
-    """Position, name, type and non-null count of every column."""
+def column_profile(df: DataFrame) -> DataFrame:
+    """Position, name, type, non-null count and missing count of every column."""
     fields = df.schema.fields
-    counted = df.agg(*[F.expr(f"count({quoted(f.name)}) AS c{i}") for i, f in enumerate(fields)])
+    counted = df.agg(
+        *[F.expr(f"count({quoted(f.name)}) AS c{i}") for i, f in enumerate(fields)],
+        *[F.expr(f"count_if({is_missing(f)}) AS m{i}") for i, f in enumerate(fields)],
+    )
     rows = [
-        (str(i), literal(f.name), literal(f.dataType.simpleString()), f"c{i}")
+        (str(i), literal(f.name), literal(f.dataType.simpleString()), f"c{i}", f"m{i}")
         for i, f in enumerate(fields)
     ]
-    return counted.selectExpr(rows_from(["position", "column", "type", "non_null"], rows))
+    names = ["position", "column", "type", "non_null", "missing"]
+    return counted.selectExpr(rows_from(names, rows))
+
+
+def schema_table(df: DataFrame) -> DataFrame:
+    return column_profile(df).drop("missing")
 
 
 def missing_by_column(df: DataFrame, only_present: bool = False) -> DataFrame:
     """Missing cells per column; ``only_present`` keeps columns that have some."""
-    fields = df.schema.fields
-    counted = df.agg(*[F.expr(f"count_if({is_missing(f)}) AS c{i}") for i, f in enumerate(fields)])
-    rows = [(literal(f.name), f"c{i}") for i, f in enumerate(fields)]
-    long = counted.selectExpr(rows_from(["column", "missing"], rows))
+    long = column_profile(df).select("column", "missing")
     return long.filter("missing > 0") if only_present else long
 
 

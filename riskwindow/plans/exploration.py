@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
+from riskwindow.functions import literal
 from riskwindow.operators import correlation, distribution, explore, quality
 from riskwindow.operators.features import with_date_hour
 from riskwindow.sources import preview, write_parquet
@@ -13,103 +14,131 @@ MATRIX_COLUMNS = (*S.MEASURES, S.INCIDENT)
 REPORT_COLUMNS = (*MATRIX_COLUMNS, S.HOUR)
 
 
-def label_frequencies(df: DataFrame) -> DataFrame:
-    """Value frequencies per label, from which every distribution of the run follows."""
-    return distribution.value_frequencies(
-        with_date_hour(df), REPORT_COLUMNS, by=[S.INCIDENT], keep_missing_keys=True
+def basis(df: DataFrame) -> dict[str, DataFrame]:
+    """Four small tables, one pass over the rows each, from which most others follow."""
+    dated = with_date_hour(df)
+    return {
+        "value_frequencies": distribution.value_frequencies(
+            dated, REPORT_COLUMNS, by=[S.INCIDENT], keep_missing_keys=True
+        ),
+        "group_profile": explore.group_profile(df),
+        "column_profile": quality.column_profile(df),
+        "pair_correlations": correlation.correlation_matrix(dated, REPORT_COLUMNS),
+    }
+
+
+def tables(df: DataFrame, basis: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every exploratory table, in the order of the run."""
+    per_label = basis["value_frequencies"]
+    overall = distribution.combined(per_label)
+    charted = overall.filter(_one_of("feature", S.MEASURES))
+    by_label = per_label.filter(f"{_one_of('feature', S.MEASURES)} AND {S.INCIDENT} IS NOT NULL")
+    profile, columns = basis["group_profile"], basis["column_profile"]
+    labels = _label_counts(overall)
+    matrix = basis["pair_correlations"].filter(
+        f"{_one_of('x', MATRIX_COLUMNS)} AND {_one_of('y', MATRIX_COLUMNS)}"
     )
+    return {
+        "preview": preview(df, 10),
+        "schema": columns.drop("missing"),
+        "missing": columns.select("column", "missing"),
+        "describe": distribution.describe(overall.filter(_one_of("feature", MATRIX_COLUMNS))),
+        "incident_counts": labels,
+        "incident_rate": labels.agg(
+            F.expr(f"CAST(sum({S.INCIDENT} * count) AS DOUBLE) / sum(count) AS incident_rate")
+        ),
+        "class_share": explore.class_share(labels),
+        "component_card": explore.component_card(profile),
+        "component_series": explore.component_series(profile),
+        "histograms": distribution.histogram(charted),
+        "boxes": distribution.box_statistics(charted),
+        "outliers": distribution.outlier_values(charted),
+        "correlations": matrix,
+        "heatmap": correlation.heatmap_cells(matrix),
+        "boxes_by_incident": distribution.box_statistics(by_label, [S.INCIDENT]),
+        "scatter": explore.scatter_density(df),
+        "stats_by_incident": explore.incident_statistics(by_label),
+        "date_stats": explore.date_stats(profile),
+        "hour_stats": explore.hour_stats(profile),
+        "date_hour_series": explore.date_hour_series(profile),
+        "report": report(df, basis),
+    }
 
 
-def eda_report(df: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
+def report(df: DataFrame, basis: dict[str, DataFrame]) -> DataFrame:
     """(section, key, metric, value): the printed report as one table."""
-    dated = with_date_hour(df)
-    if frequencies is None:
-        frequencies = distribution.value_frequencies(dated, REPORT_COLUMNS)
+    overall = distribution.combined(basis["value_frequencies"])
     shape = (
-        quality.shape(dated)
+        quality.shape(with_date_hour(df))
         .unpivot([], ["row_count", "column_count"], "metric", "value")
         .selectExpr(*_report_columns("shape", "'dataset'", "metric", "value"))
     )
-    counts = [
-        explore.value_counts(df, column).selectExpr(
-            *_report_columns(f"{column}_distribution", column, "'count'", "count")
-        )
-        for column in (S.INCIDENT, S.COMPONENT)
-    ]
-    described = distribution.describe(frequencies)
+    counts = {
+        S.INCIDENT: _label_counts(overall),
+        S.COMPONENT: explore.component_counts(basis["group_profile"]),
+    }
+    described = distribution.describe(overall)
     statistics = [c for c in described.columns if c != "feature"]
-    numbers = (
+    parts = [
+        *[
+            table.selectExpr(
+                *_report_columns(f"{column}_distribution", column, "'count'", "count")
+            )
+            for column, table in counts.items()
+        ],
         described.withColumn("count", F.expr("CAST(count AS DOUBLE)"))
         .unpivot("feature", statistics, "metric", "value")
-        .selectExpr(*_report_columns("summary", "feature", "metric", "value"))
-    )
-    related = correlation.correlation_with_target(dated, REPORT_COLUMNS).selectExpr(
-        *_report_columns("correlation_with_incident", "feature", "'r'", "r")
-    )
-    report = shape
-    for part in (*counts, numbers, related):
-        report = report.unionByName(part)
-    return report
-
-
-def _report_columns(section: str, key: str, metric: str, value: str) -> list[str]:
-    return [
-        f"'{section}' AS section",
-        f"CAST({key} AS STRING) AS key",
-        f"{metric} AS metric",
-        f"CAST({value} AS DOUBLE) AS value",
+        .selectExpr(*_report_columns("summary", "feature", "metric", "value")),
+        basis["pair_correlations"]
+        .filter(f"y = '{S.INCIDENT}'")
+        .selectExpr(*_report_columns("correlation_with_incident", "x", "'r'", "r")),
     ]
+    for part in parts:
+        shape = shape.unionByName(part)
+    return shape
 
 
-def exploration(df: DataFrame, frequencies: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every exploratory table, in the order of the run.
-
-    ``frequencies`` takes a stored :func:`label_frequencies` table.
-    """
-    per_label = label_frequencies(df) if frequencies is None else frequencies
-    overall = distribution.combined(per_label)
-    measures = ", ".join(f"'{m}'" for m in S.MEASURES)
-    charted = overall.filter(f"feature IN ({measures})")
-    by_label = per_label.filter(f"feature IN ({measures}) AND {S.INCIDENT} IS NOT NULL")
-    return {
-        "preview": preview(df, 10),
-        "schema": quality.schema_table(df),
-        "missing": quality.missing_by_column(df),
-        "describe": distribution.describe(overall.filter(f"feature <> '{S.HOUR}'")),
-        "incident_counts": explore.value_counts(df, S.INCIDENT),
-        "incident_rate": explore.target_rate(df),
-        "class_share": explore.class_share(df),
-        "component_card": explore.component_card(df),
-        "component_series": explore.component_series(df),
-        "histograms": distribution.histogram(charted),
-        "boxes": distribution.box_statistics(charted),
-        "outliers": distribution.outlier_values(charted),
-        "correlations": correlation.correlation_matrix(df, MATRIX_COLUMNS),
-        "heatmap": correlation.correlation_heatmap(df, MATRIX_COLUMNS),
-        "boxes_by_incident": distribution.box_statistics(by_label, [S.INCIDENT]),
-        "scatter": explore.scatter_density(df),
-        "stats_by_incident": explore.incident_statistics(by_label),
-        "date_stats": explore.date_stats(df),
-        "hour_stats": explore.hour_stats(df),
-        "date_hour_series": explore.date_hour_series(df),
-        "report": eda_report(df, overall),
-    }
+def eda_report(df: DataFrame) -> DataFrame:
+    return report(df, basis(df))
 
 
 def run_exploration(df: DataFrame, output: str) -> dict[str, DataFrame]:
     """Write every table as parquet under ``output`` and return what was written.
 
-    The value frequencies are stored first, so that all distributions share one
-    pass over the rows. The input is cached for the other tables; losing an
+    The basis is stored first, so that what follows from it does not read the
+    rows again. The input is cached for the few passes that do; losing an
     executor only recomputes the lost part of it from the source.
     """
     spark = df.sparkSession
+
+    def stored(found: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        for name, table in found.items():
+            write_parquet(table, f"{output}/{name}")
+        return {name: spark.read.parquet(f"{output}/{name}") for name in found}
+
     df.persist()
     try:
-        write_parquet(label_frequencies(df), f"{output}/value_frequencies")
-        tables = exploration(df, spark.read.parquet(f"{output}/value_frequencies"))
-        for name, table in tables.items():
-            write_parquet(table, f"{output}/{name}")
+        return stored(tables(df, stored(basis(df))))
     finally:
         df.unpersist()
-    return {name: spark.read.parquet(f"{output}/{name}") for name in tables}
+
+
+def _label_counts(overall: DataFrame) -> DataFrame:
+    return (
+        overall.filter(f"feature = '{S.INCIDENT}'")
+        .selectExpr(f"value AS {S.INCIDENT}", "n AS count")
+        .orderBy(F.desc("count"), S.INCIDENT)
+    )
+
+
+def _one_of(column: str, names) -> str:
+    return f"{column} IN ({', '.join(literal(name) for name in names)})"
+
+
+def _report_columns(section: str, key: str, metric: str, value: str) -> list[str]:
+    return [
+        f"'{section}' AS section",
+        f"CAST({key} AS STRING) AS key",
+        f"{metric} AS metric",
+        f"CAST({value} AS DOUBLE) AS value",
+    ]

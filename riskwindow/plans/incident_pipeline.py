@@ -54,12 +54,14 @@ def train(
     models.save_model(model, f"{output}/model")
     write_csv(models.prediction_table(models.score(model, test_rows)), f"{output}/predictions")
     predictions = read_delimited(spark, f"{output}/predictions", S.PREDICTION_SCHEMA)
-    write_csv(evaluate.confusion_matrix(predictions), f"{output}/confusion_matrix")
-    write_json(evaluate.classification_report(predictions), f"{output}/classification_report")
-    fitted = models.score(model, fit_rows)
-    train_accuracy = evaluate.accuracy(fitted, S.INCIDENT, "prediction").first()[0]
+    write_parquet(evaluate.confusion_pairs(predictions), f"{output}/confusion_pairs")
+    pairs = spark.read.parquet(f"{output}/confusion_pairs")
+    write_csv(evaluate.confusion_matrix(pairs), f"{output}/confusion_matrix")
+    write_json(evaluate.classification_report(pairs), f"{output}/classification_report")
+    fitted = evaluate.confusion_pairs(models.score(model, fit_rows), S.INCIDENT, "prediction")
+    train_accuracy = evaluate.accuracy(fitted).first()[0]
     area = evaluate.roc_auc(predictions)
-    metrics = evaluate.positive_metrics(predictions).select(
+    metrics = evaluate.positive_metrics(pairs).select(
         F.lit(model_type).alias("model_type"),
         F.lit(train_accuracy).alias("train_accuracy"),
         "accuracy",
@@ -73,10 +75,10 @@ def train(
     return metrics
 
 
-def evaluation_report(metrics: DataFrame, predictions: DataFrame) -> DataFrame:
+def evaluation_report(metrics: DataFrame, pairs: DataFrame) -> DataFrame:
     """(section, metric, value): the written evaluation as one table of texts."""
     measured = _as_text(metrics)
-    totals = _as_text(evaluate.prediction_totals(predictions))
+    totals = _as_text(evaluate.prediction_totals(pairs))
     model = ["model_type", "trained_at"]
     scores = [c for c in metrics.columns if c not in model]
     return _section(measured, "model", model).unionByName(
@@ -111,7 +113,8 @@ def run_pipeline(
     train(samples, indexer, output, model_type, classifier)
     metrics = spark.read.json(f"{output}/metrics")
     predictions = read_delimited(spark, f"{output}/predictions", S.PREDICTION_SCHEMA)
-    write_parquet(evaluation_report(metrics, predictions), f"{output}/evaluation_report")
+    pairs = spark.read.parquet(f"{output}/confusion_pairs")
+    write_parquet(evaluation_report(metrics, pairs), f"{output}/evaluation_report")
     gate = evaluate.quality_gate(metrics)
     write_json(gate, f"{output}/gate")
     if strict:

@@ -28,13 +28,14 @@ def run_sql_suite(
     export_path: str,
     database: str = "log_analysis",
     table: str = "window_features",
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run the whole suite over delimited files at ``source``.
 
     The text is parsed once, into the parquet summary table. It holds the six
     raw columns too, so the questions and the export read it instead.
     """
-    use_database(spark, database)
+    use_database(spark, database, location)
     create_external_table(spark, table, source, S.WINDOW_SCHEMA)
     stored = save_table(summary(spark.table(table)), f"{table}_summary")
     export_delimited(stored, export_path)

@@ -58,10 +58,10 @@ def train_and_test(
     return train, test
 
 
-def weighted_evaluation(predictions: DataFrame) -> DataFrame:
+def weighted_evaluation(predictions: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row: ROC area and the class-weighted accuracy, precision, recall and F1."""
     area = evaluate.roc_auc(predictions, S.INCIDENT, "rawPrediction")
-    return evaluate.weighted_metrics(predictions, S.INCIDENT, "prediction").select(
+    return evaluate.weighted_metrics(pairs).select(
         F.lit(area).alias("auc"),
         F.col("weighted_f1").alias("f1"),
         "accuracy",
@@ -89,8 +89,8 @@ def run_training(
     train, test = train_and_test(engineer_features(windows, policy="zero"), split_method)
     model = models.fit_plain(models.compact(train, train.count()), estimator, unseen)
     predictions = models.score(model, test).persist()
-    metrics = weighted_evaluation(predictions)
     confusion = evaluate.confusion_pairs(predictions, S.INCIDENT, "prediction")
+    metrics = weighted_evaluation(predictions, confusion)
     if model_path:
         models.save_model(model, model_path)
     return TrainedModel(model, predictions, metrics, confusion, models.feature_importances(model))

@@ -7,6 +7,7 @@ from riskwindow.sources.catalog import (
 )
 from riskwindow.sources.readers import (
     PANDAS_NULL_MARKERS,
+    read_dated_windows,
     read_delimited,
     read_windows,
     windows_from_events,
@@ -29,6 +30,7 @@ __all__ = [
     "export_delimited",
     "overwrite_table",
     "preview",
+    "read_dated_windows",
     "read_delimited",
     "read_windows",
     "save_table",

@@ -3,10 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from riskwindow import schema as S
+from riskwindow.functions import literal, quoted
 
 
-def use_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database if need be and make it the current one.
+
+    Without a location its tables go to the session's warehouse folder.
+    """
+    where = f" LOCATION {literal(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
     spark.catalog.setCurrentDatabase(name)
 
 

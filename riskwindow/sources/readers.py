@@ -4,6 +4,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskwindow import schema as S
 from riskwindow.functions import literal, quoted
@@ -84,6 +85,23 @@ def read_windows(spark: SparkSession, source: str, format: str | None = None, **
     raise ValueError(f"unknown source format {kind!r}")
 
 
+def read_dated_windows(
+    spark: SparkSession, path: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """A feature table stored by date, from ``first`` to ``last`` (``YYMMDD``).
+
+    Only the folders of these dates are listed and read. The folder names are
+    taken as text, so that leading zeros stay.
+    """
+    schema = T.StructType([*S.WINDOW_SCHEMA.fields, T.StructField("date_part", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
+    if first is not None:
+        df = df.filter(f"date_part >= {literal(first)}")
+    if last is not None:
+        df = df.filter(f"date_part <= {literal(last)}")
+    return df.drop("date_part")
+
+
 def windows_from_events(
     events: DataFrame,
     component: str,

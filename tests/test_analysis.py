@@ -73,35 +73,35 @@ def test_value_counts_drop_missing(make):
 def test_card_rounds_half_even_and_counts_labels(make):
     rows = [("a", f"240101_{i:02d}", 0, 1, 1, int(i < 1)) for i in range(8)]
     rows.append(("a", "240101_09", 0, 1, 1, None))
-    row = explore.component_card(make(rows)).first()
+    row = explore.component_card(explore.group_profile(make(rows))).first()
     assert (row.total_records, row.incident_count, row.incident_rate) == (8, 1, 0.12)
 
 
 def test_card_skips_missing_component(make):
-    assert explore.component_card(make(ROWS)).count() == 2
+    assert explore.component_card(explore.group_profile(make(ROWS))).count() == 2
 
 
 def test_date_and_hour_stats(make):
-    assert [tuple(r) for r in explore.date_stats(make(ROWS)).collect()] == [
+    assert [tuple(r) for r in explore.date_stats(explore.group_profile(make(ROWS))).collect()] == [
         ("240101", 2, 1, 0.5, 5.0),
         ("240102", 3, 1, pytest.approx(1 / 3), pytest.approx(5 / 3)),
     ]
-    assert [r.hour for r in explore.hour_stats(make(ROWS)).collect()] == [0, 1]
+    assert [r.hour for r in explore.hour_stats(explore.group_profile(make(ROWS))).collect()] == [0, 1]
 
 
 def test_shares(make):
-    rows = explore.class_share(make(ROWS)).collect()
+    rows = explore.class_share(explore.value_counts(make(ROWS), "incident")).collect()
     assert [tuple(r) for r in rows] == [(0, 3, 60.0), (1, 2, 40.0)]
     assert explore.target_rate(make(ROWS)).first()[0] == 0.4
 
 
 def test_series_and_points(make):
-    rows = explore.component_series(make(ROWS)).collect()
+    rows = explore.component_series(explore.group_profile(make(ROWS))).collect()
     assert len(rows) == 8
     rates = [(r.component, r.value) for r in rows if r.series == "incident_rate"]
     assert rates == [("a", 0.5), ("b", 0.0)]
     assert explore.scatter_density(make(ROWS + ROWS)).filter("points = 2").count() == 5
-    series = explore.date_hour_series(make(ROWS))
+    series = explore.date_hour_series(explore.group_profile(make(ROWS)))
     assert series.filter("series = 'records_by_hour' AND key = '01'").first().value == 3.0
 
 

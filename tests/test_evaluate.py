@@ -14,14 +14,19 @@ def scored(spark):
     return build
 
 
-def _pairs(tn=0, fp=0, fn=0, tp=0):
+@pytest.fixture
+def pairs(scored):
+    return lambda rows: evaluate.confusion_pairs(scored(rows))
+
+
+def _rows(tn=0, fp=0, fn=0, tp=0):
     return (
         [(0, 0, 0.1)] * tn + [(0, 1, 0.9)] * fp + [(1, 0, 0.1)] * fn + [(1, 1, 0.9)] * tp
     )
 
 
-def test_rare_class_never_predicted(scored):
-    df = scored(_pairs(tn=23, fn=1))
+def test_rare_class_never_predicted(pairs):
+    df = pairs(_rows(tn=23, fn=1))
     assert tuple(evaluate.positive_metrics(df).first()) == pytest.approx((23 / 24, 0, 0, 0))
     row = evaluate.weighted_metrics(df).first()
     assert tuple(row) == pytest.approx((0.9583333, 0.9184028, 0.9583333, 0.9379433), abs=1e-7)
@@ -35,11 +40,11 @@ def test_rare_class_never_predicted(scored):
     assert cells["accuracy", "accuracy"] == pytest.approx(23 / 24)
 
 
-def test_confusion(scored):
-    df = scored(_pairs(tn=5, fp=2, fn=3, tp=4))
+def test_confusion(pairs):
+    df = pairs(_rows(tn=5, fp=2, fn=3, tp=4))
     rows = table(evaluate.confusion_matrix(df), "actual")
     assert [tuple(r.values()) for r in rows] == [("Incident", 3, 4), ("No Incident", 5, 2)]
-    assert [tuple(r) for r in evaluate.confusion_pairs(df).collect()] == [
+    assert [tuple(r) for r in df.collect()] == [
         (0, 0, 5), (0, 1, 2), (1, 0, 3), (1, 1, 4),
     ]
     assert tuple(evaluate.prediction_totals(df).first()) == (14, 7, 6)
@@ -49,18 +54,19 @@ def test_confusion(scored):
 
 
 @pytest.mark.parametrize("label", [0, 1])
-def test_single_class(scored, label):
-    df = scored([(label, label, 0.5)] * 4)
-    assert evaluate.roc_auc(df) == 0.0
+def test_single_class(scored, pairs, label):
+    rows = [(label, label, 0.5)] * 4
+    assert evaluate.roc_auc(scored(rows)) == 0.0
+    df = pairs(rows)
     assert evaluate.weighted_metrics(df).first().weighted_f1 == 1.0
     assert evaluate.positive_metrics(df).first().f1 == float(label)
     assert evaluate.confusion_matrix(df).selectExpr("sum(no_incident + incident)").first()[0] == 4
 
 
-def test_class_seen_only_as_prediction(scored):
+def test_class_seen_only_as_prediction(pairs):
     cells = {
         (r.label, r.metric): r.value
-        for r in evaluate.classification_report(scored(_pairs(tn=1, fp=1))).collect()
+        for r in evaluate.classification_report(pairs(_rows(tn=1, fp=1))).collect()
     }
     assert cells["1", "support"] == 0.0 and cells["1", "precision"] == 0.0
     assert cells["macro avg", "recall"] == 0.25
@@ -69,10 +75,10 @@ def test_class_seen_only_as_prediction(scored):
 def test_matches_mllib(scored):
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
-    df = scored(_pairs(tn=50, fp=7, fn=9, tp=21)).selectExpr(
+    df = scored(_rows(tn=50, fp=7, fn=9, tp=21)).selectExpr(
         "CAST(y_true AS DOUBLE) AS y_true", "CAST(y_pred AS DOUBLE) AS y_pred"
     )
-    row = evaluate.weighted_metrics(df).first()
+    row = evaluate.weighted_metrics(evaluate.confusion_pairs(df)).first()
     for metric, value in (
         ("accuracy", row.accuracy),
         ("weightedPrecision", row.weighted_precision),

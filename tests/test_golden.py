@@ -115,14 +115,15 @@ def test_training(windows):
 def test_published_evaluation(spark):
     predictions = read_delimited(spark, PREDICTIONS, S.PREDICTION_SCHEMA)
     assert round(evaluate.roc_auc(predictions), 4) == 0.3261
-    assert evaluate.accuracy(predictions).first()[0] == pytest.approx(0.9583333333333334)
-    assert tuple(evaluate.prediction_totals(predictions).first()) == (24, 1, 0)
+    pairs = evaluate.confusion_pairs(predictions)
+    assert evaluate.accuracy(pairs).first()[0] == pytest.approx(0.9583333333333334)
+    assert tuple(evaluate.prediction_totals(pairs).first()) == (24, 1, 0)
     report = {
         (r.label, r.metric): r.value
-        for r in evaluate.classification_report(predictions).collect()
+        for r in evaluate.classification_report(pairs).collect()
     }
     assert report["weighted avg", "precision"] == pytest.approx(0.9184027777777778)
     assert report["weighted avg", "f1-score"] == pytest.approx(0.9379432624113475)
     area = evaluate.roc_auc(predictions)
-    metrics = evaluate.positive_metrics(predictions).selectExpr("accuracy", "f1", f"{area}D AS auc")
+    metrics = evaluate.positive_metrics(pairs).selectExpr("accuracy", "f1", f"{area}D AS auc")
     assert tuple(evaluate.quality_gate(metrics).first()) == (True, False, False, False)

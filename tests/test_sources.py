@@ -15,6 +15,7 @@ from riskwindow.sources import (
     export_delimited,
     overwrite_table,
     preview,
+    read_dated_windows,
     read_delimited,
     read_windows,
     save_table,
@@ -88,14 +89,19 @@ def test_csv_and_json_round_trip(spark, sample, tmp_path):
     assert back.exceptAll(sample).isEmpty() and back.count() == sample.count()
 
 
-def test_date_folders_are_pruned(spark, sample, tmp_path):
+def test_date_folders_are_pruned(spark, make, sample, tmp_path):
     path = str(tmp_path / "windows")
-    write_windows(sample, path)
-    day = spark.read.parquet(path).filter("date_part = 240102 AND incident = 1")
+    early = make([("a", "081109_20", 1, 1, 1, 1), (None, None, 1, 1, 1, 1)])
+    stored = sample.union(early)
+    write_windows(stored, path)
+    assert read_dated_windows(spark, path).exceptAll(stored).isEmpty()
+    assert read_dated_windows(spark, path).count() == 202
+    day = read_dated_windows(spark, path, "240102", "240102").filter("incident = 1")
     plan = executed_plan(day)
     assert "PartitionFilters: [isnotnull(date_part" in plan
     assert "EqualTo(incident,1)" in plan
-    assert spark.read.parquet(path).count() == sample.count()
+    assert day.count() == sample.filter("incident = 1 AND time_window LIKE '240102%'").count()
+    assert read_dated_windows(spark, path, last="081231").first().time_window == "081109_20"
 
 
 def test_tables(spark, sample, csv, tmp_path):
