@@ -62,6 +62,11 @@ def _mean(column: str) -> str:
     return share(f"sum_{column}", f"count_{column}")
 
 
+def _rounded_mean(column: str) -> str:
+    """The mean with two decimals, as numpy rounds: the scaled double, half to even."""
+    return f"rint({_mean(column)} * 100) / 100"
+
+
 def component_counts(profile: DataFrame) -> DataFrame:
     return (
         profile.filter(f"grouping = '{S.COMPONENT}'")
@@ -83,7 +88,7 @@ def component_card(profile: DataFrame) -> DataFrame:
     measured = [
         sql
         for measure, name in names.items()
-        for sql in (f"bround({_mean(measure)}, 2) AS avg_{name}", f"max_{measure} AS max_{name}")
+        for sql in (f"{_rounded_mean(measure)} AS avg_{name}", f"max_{measure} AS max_{name}")
     ]
     return (
         profile.filter(f"grouping = '{S.COMPONENT}'")
@@ -91,7 +96,7 @@ def component_card(profile: DataFrame) -> DataFrame:
             f"key AS {S.COMPONENT}",
             f"count_{S.INCIDENT} AS total_records",
             f"sum_{S.INCIDENT} AS incident_count",
-            f"bround({_mean(S.INCIDENT)}, 2) AS incident_rate",
+            f"{_rounded_mean(S.INCIDENT)} AS incident_rate",
             *measured,
         )
         .orderBy(F.desc_nulls_last("incident_rate"), S.COMPONENT)

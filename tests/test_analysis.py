@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from conftest import sample_rows, table
 
@@ -77,6 +78,13 @@ def test_card_rounds_half_even_and_counts_labels(make):
     assert (row.total_records, row.incident_count, row.incident_rate) == (8, 1, 0.12)
 
 
+@pytest.mark.parametrize("incidents, rows", [(1, 8), (3, 8), (179, 40), (29, 200)])
+def test_card_rounds_like_numpy(make, incidents, rows):
+    df = make([("a", "240101_00", incidents if i == 0 else 0, 1, 1, 0) for i in range(rows)])
+    card = explore.component_card(explore.group_profile(df)).first()
+    assert card.avg_warn_count == np.round(incidents / rows, 2)
+
+
 def test_card_skips_missing_component(make):
     assert explore.component_card(explore.group_profile(make(ROWS))).count() == 2
 
