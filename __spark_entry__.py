@@ -748,11 +748,8 @@ SELECT component, time_window, {", ".join(numbers + slots)} FROM x JOIN c USING
 
 
 def _standardized_sql(f: str, engineered: str, scaled: list[str]) -> str:
-    # The hash covers the text of the ratio, which both engines print alike as a double.
     columns = [
         "component", "time_window", "warn_count", "log_volume", "unique_event_count", "incident",
-        "warn_log_interaction", "log_per_event_ratio", "high_warn_flag", "high_log_volume_flag",
-        "hour",
     ]
     fits = ", ".join(
         f"(SELECT avg({c}) FROM p WHERE split = 'train') AS m_{c}, "

@@ -5,6 +5,8 @@ table but the ROC area is computed from those few rows.
 """
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,18 +155,31 @@ def prediction_totals(pairs: DataFrame) -> DataFrame:
 def roc_auc(predictions: DataFrame, label=LABEL, score=SCORE) -> float:
     """Exact area under the ROC curve, ties counted half; 0.0 when one class is absent.
 
-    ``score`` may be a number or MLlib's rawPrediction vector. The evaluator
-    sorts the distinct scores by range over the cluster.
+    ``score`` may be a number or MLlib's rawPrediction vector. Rows of equal
+    score and label are counted before the evaluator sorts the distinct scores
+    by range over the cluster.
     """
-    seen = predictions.agg(
-        F.expr(f"count_if({label} = 1) AS positive"),
-        F.expr(f"count_if({label} <> 1) AS negative"),
-    ).first()
-    if not seen.positive or not seen.negative:
-        return 0.0
-    return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0
-    ).evaluate(predictions)
+    if isinstance(predictions.schema[score].dataType, VectorUDT):
+        predictions = predictions.withColumn(score, vector_to_array(score)[1])
+    counted = (
+        predictions.groupBy(
+            F.expr(f"CAST({label} AS DOUBLE) AS label"), F.expr(f"CAST({score} AS DOUBLE) AS score")
+        )
+        .agg(F.expr("CAST(count(*) AS DOUBLE) AS n"))
+        .persist()
+    )
+    try:
+        if counted.select("label").distinct().count() < 2:
+            return 0.0
+        return BinaryClassificationEvaluator(
+            labelCol="label",
+            rawPredictionCol="score",
+            weightCol="n",
+            metricName="areaUnderROC",
+            numBins=0,
+        ).evaluate(counted)
+    finally:
+        counted.unpersist()
 
 
 def rank_auc(predictions: DataFrame, label=LABEL, score=SCORE) -> DataFrame:

@@ -49,8 +49,15 @@ def test_sizes(counts: Mapping[int, int], test_share: float = S.TEST_SHARE) -> d
 
 
 def row_hash(df: DataFrame, seed: int = S.SEED) -> str:
-    """md5 of the seed and every column of a row."""
-    cells = [f"coalesce(CAST({quoted(c)} AS STRING), '\\\\N')" for c in df.columns]
+    """md5 of the seed and the row.
+
+    A feature table is hashed by its six raw columns, since those determine the
+    engineered ones; other tables by all columns.
+    """
+    raw = set(S.WINDOW_SCHEMA.names)
+    own = [c for c in df.columns if c.lower() in raw]
+    columns = own if len(own) == len(raw) else df.columns
+    cells = [f"coalesce(CAST({quoted(c)} AS STRING), '\\\\N')" for c in columns]
     return f"md5(concat_ws('|', '{seed}', {', '.join(cells)}))"
 
 
@@ -71,7 +78,9 @@ def stratified_split(
     table is no burden either. The result does not depend on the partitioning.
     """
     columns = [quoted(c) for c in df.columns]
-    hashed = df.selectExpr("*", f"{row_hash(df, seed)} AS _hash")
+    # As a generator's output, the hash is computed once per row. A plain column
+    # would be copied into every filter and projection that mentions it.
+    hashed = df.selectExpr("*", f"stack(1, {row_hash(df, seed)}) AS (_hash)")
     prefix = f"substr(_hash, 1, {_PREFIX_DIGITS})"
     buckets = _prefix_counts(hashed, prefix, label)
     counts = {value: sum(n for _, n in rows) for value, rows in buckets.items()}
