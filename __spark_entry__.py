@@ -35,6 +35,7 @@ from riskwindow.operators import (
 )
 from riskwindow.operators.features import engineer_features, with_date_hour
 from riskwindow.plans import exploration, sql_suite, training
+from riskwindow.plans.incident_pipeline import run_pipeline
 from riskwindow.session import shared_folder
 from riskwindow.sources import preview, save_table, use_database, windows_from_events
 from riskwindow.streaming import score_stream, windows_from_event_stream, write_stream
@@ -139,6 +140,12 @@ def _reloaded(df: DataFrame) -> DataFrame:
     return _scored(models.load_model(path), test)
 
 
+def _run_report(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    folder = shared_folder(spark, "run")
+    return run_pipeline(spark, df, folder, "logistic_regression")["evaluation_report"]
+
+
 def _model_metrics(df: DataFrame) -> DataFrame:
     model, test = _scaled(df, "logistic_regression")
     predictions = models.prediction_table(models.score(model, test))
@@ -307,6 +314,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rf_importances": lambda f: models.feature_importances(_plain(f, "random_forest")[0]),
         "reloaded_predictions": _reloaded,
         "model_metrics": _model_metrics,
+        "training_metrics": lambda f: training.run_training(f, "logistic_regression").metrics,
+        "run_report": _run_report,
         "quality_gate": lambda f: evaluate.quality_gate(_gate_metrics(f)),
     }
     over_pairs = {

@@ -57,7 +57,7 @@ def incidents_by_date(df: DataFrame) -> DataFrame:
 
 def component_feature_ranges(df: DataFrame) -> DataFrame:
     """Minimum, maximum and average of the three measures per component."""
-    short = {S.WARN_COUNT: "warn", S.LOG_VOLUME: "log_volume", S.UNIQUE_EVENT_COUNT: "unique_events"}
+    short = dict(zip(S.MEASURES, ("warn", "log_volume", "unique_events")))
     return df.groupBy(S.COMPONENT).agg(
         *[
             F.expr(f"{function}({measure}) AS {function}_{name}")

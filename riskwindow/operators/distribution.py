@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskwindow.functions import quoted
+from riskwindow.functions import literal, quoted, rows_from
 
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = 30
@@ -39,20 +39,19 @@ def value_frequencies(
         common = "bigint"
     else:
         common = "int"
-    # Keys and measures may be the same column, so the measures get names of their own.
-    measures = {f"m_{c}": f"CAST({quoted(c)} AS {common}) AS {quoted('m_' + c)}" for c in columns}
-    kept = ["value IS NOT NULL"]
-    if not keep_missing_keys:
-        kept += [f"{quoted(key)} IS NOT NULL" for key in by]
+    long = rows_from(
+        ["feature", "value"], [(literal(c), f"CAST({quoted(c)} AS {common})") for c in columns]
+    )
+    present = "value IS NOT NULL"
     if common == "double":
-        kept.append("NOT isnan(value)")
+        present += " AND NOT isnan(value)"
+    if by and not keep_missing_keys:
+        df = df.filter(" AND ".join(f"{quoted(key)} IS NOT NULL" for key in by))
     return (
-        df.selectExpr(*[quoted(key) for key in by], *measures.values())
-        .unpivot(list(by), list(measures), "feature", "value")
-        .filter(" AND ".join(kept))
+        df.selectExpr(*[quoted(key) for key in by], long)
+        .filter(present)
         .groupBy(*by, "feature", "value")
         .agg(F.expr("count(*) AS n"))
-        .selectExpr(*[quoted(key) for key in by], "substr(feature, 3) AS feature", "value", "n")
     )
 
 
@@ -95,7 +94,7 @@ def quantiles(
             .filter(_holds_wanted_rank(probabilities))
             .selectExpr(*map(quoted, keys), "upto - n AS below", "total")
         )
-        placed, parents = rows.join(found, keys), keys
+        placed, parents = _matched(rows, found, keys), keys
     running = f"sum(n) OVER (PARTITION BY {_names(parents)} ORDER BY value)"
     return (
         placed.selectExpr(*map(quoted, group), "value", "n", f"below + {running} AS upto", "total")
@@ -105,6 +104,20 @@ def quantiles(
     )
 
 
+def _matched(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on keys that are never NULL.
+
+    The comparison is null-safe, because a plain one would add NULL filters below
+    only one of the uses of a frequency table. Spark would then take them for
+    different tables and read the data twice instead of reusing a shuffle.
+    """
+    same = " AND ".join(f"l.{quoted(key)} <=> r.{quoted(key)}" for key in keys)
+    added = [f"r.{quoted(c)}" for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), F.expr(same), how).selectExpr("l.*", *added)
+
+
 def quantile_name(probability: float) -> str:
     return f"p{probability * 100:g}"
 
@@ -114,21 +127,16 @@ def _names(columns: Sequence[str]) -> str:
 
 
 def _narrowing(kind: str) -> list[str]:
-    """Order-preserving bucket keys of a value, from coarse to fine.
-
-    The values are never NULL. Saying so with ``coalesce`` keeps the joins on
-    these keys from adding NULL filters below the frequency table, which would
-    make Spark read the data once more instead of reusing its shuffle.
-    """
+    """Order-preserving bucket keys of a value, from coarse to fine."""
     if kind == "int":
-        return ["coalesce(shiftright(value, 16), 0)"]
+        return ["shiftright(value, 16)"]
     if kind == "bigint":
-        return [f"coalesce(shiftright(value, {bits}), 0L)" for bits in (48, 32, 16)]
+        return [f"shiftright(value, {bits})" for bits in (48, 32, 16)]
     # Doubles: by sign and power of two, then three times by 16 more bits of the mantissa.
     power = "greatest(least(floor(log2(abs(value))), 1100L), -900L)"
     keys = [f"signum(value) * ({power} + 2000)"]
     keys += [f"floor(value / pow(2D, {power}) * {1 << bits}D)" for bits in (16, 32, 48)]
-    return [f"coalesce(CASE WHEN value <> 0 THEN CAST({key} AS BIGINT) END, 0L)" for key in keys]
+    return [f"CASE WHEN value <> 0 THEN CAST({key} AS BIGINT) ELSE 0L END" for key in keys]
 
 
 def _rank(probability: float, rounding: str) -> str:
@@ -163,11 +171,11 @@ def describe(
     )
     squares = "sum(n * (value - mean) * (value - mean))"
     spread = (
-        frequencies.join(totals, group)
+        _matched(frequencies, totals, group)
         .groupBy(*group, "count", "mean", "min", "max")
         .agg(F.expr(f"sqrt(try_divide({squares}, count - 1)) AS std"))
     )
-    return spread.join(quantiles(frequencies, by, probabilities), group).select(
+    return _matched(spread, quantiles(frequencies, by, probabilities), group).select(
         *group, "count", "mean", "std", "min", *[quantile_name(p) for p in probabilities], "max"
     )
 
@@ -205,17 +213,24 @@ def histogram(frequencies: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """
     extent = (
         frequencies.groupBy("feature")
-        .agg(F.expr("CAST(min(value) AS DOUBLE) AS a"), F.expr("CAST(max(value) AS DOUBLE) AS b"))
+        .agg(
+            F.expr("CAST(min(value) AS DOUBLE) AS a"),
+            F.expr("CAST(max(value) AS DOUBLE) AS b"),
+            F.expr("sum(n) AS total"),
+        )
+        # Always true, but it needs n: without n this would be another table to Spark,
+        # and the data would be read twice.
+        .filter("total > 0")
         .selectExpr("feature", "IF(a = b, a - 0.5D, a) AS lo", "IF(a = b, b + 0.5D, b) AS hi")
     )
     position = f"floor((value - lo) * {bins} / (hi - lo))"
     filled = (
-        frequencies.join(extent, "feature")
+        _matched(frequencies, extent, ["feature"])
         .groupBy("feature", F.expr(f"CAST(least({position}, {bins - 1}) AS INT) AS bin"))
         .agg(F.expr("sum(n) AS n"))
     )
     frame = extent.selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
-    return frame.join(filled, ["feature", "bin"], "left").selectExpr(
+    return _matched(frame, filled, ["feature", "bin"], "left").selectExpr(
         "feature",
         "bin",
         f"lo + (hi - lo) / {bins} * bin AS bin_start",
@@ -244,7 +259,7 @@ def box_statistics(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     group = [*by, "feature"]
     inside = "value BETWEEN low_fence AND high_fence"
     return (
-        frequencies.join(box_fences(frequencies, by), group)
+        _matched(frequencies, box_fences(frequencies, by), group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.expr(f"least(CAST(min(IF({inside}, value, NULL)) AS DOUBLE), q1) AS whisker_low"),
@@ -258,7 +273,7 @@ def outlier_values(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The values drawn beyond the whiskers, with how often each occurs."""
     group = [*by, "feature"]
     return (
-        frequencies.join(box_fences(frequencies, by), group)
+        _matched(frequencies, box_fences(frequencies, by), group)
         .filter("value < low_fence OR value > high_fence")
         .select(*group, "value", "n")
     )

@@ -20,7 +20,8 @@ def confusion_pairs(predictions: DataFrame, label=LABEL, prediction=PREDICTION)
     """(y_true, y_pred, count) for the pairs that occur."""
     return (
         predictions.groupBy(
-            F.expr(f"CAST({label} AS INT) AS y_true"), F.expr(f"CAST({prediction} AS INT) AS y_pred")
+            F.expr(f"CAST({label} AS INT) AS y_true"),
+            F.expr(f"CAST({prediction} AS INT) AS y_pred"),
         )
         .agg(F.expr("count(*) AS count"))
         .orderBy("y_true", "y_pred")

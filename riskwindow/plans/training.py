@@ -80,15 +80,17 @@ def run_training(
 ) -> TrainedModel:
     """Engineer, split, fit, score and evaluate; save when a path is given.
 
-    ``classifier`` replaces the preset of that name. The returned predictions
-    are cached; unpersist them when done.
+    ``classifier`` replaces the preset of that name. The scored test rows are
+    stored in the shared folder, so the metrics do not score them again.
     """
     estimator = classifier or models.plain_model(model_type)
     require_columns(windows, S.WINDOW_SCHEMA.names)
     require_rows(windows)
     train, test = train_and_test(engineer_features(windows, policy="zero"), split_method)
     model = models.fit_plain(models.compact(train, train.count()), estimator, unseen)
-    predictions = models.score(model, test).persist()
+    folder = shared_folder(windows.sparkSession, "predictions")
+    write_parquet(models.score(model, test), folder)
+    predictions = windows.sparkSession.read.parquet(folder)
     confusion = evaluate.confusion_pairs(predictions, S.INCIDENT, "prediction")
     metrics = weighted_evaluation(predictions, confusion)
     if model_path:

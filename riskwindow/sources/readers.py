@@ -69,7 +69,9 @@ def read_delimited(
     )
 
 
-def read_windows(spark: SparkSession, source: str, format: str | None = None, **options) -> DataFrame:
+def read_windows(
+    spark: SparkSession, source: str, format: str | None = None, **options
+) -> DataFrame:
     """Feature table from a path, or from the catalog with ``format="table"``.
 
     Without a format, paths ending in ``.parquet`` are read as parquet and all

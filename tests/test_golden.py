@@ -108,7 +108,6 @@ def test_split_and_weights(windows):
 def test_training(windows):
     run = training.run_training(windows, "logistic_regression")
     assert run.predictions.count() == 24
-    run.predictions.unpersist()
 
 
 @needs_predictions
