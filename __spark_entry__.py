@@ -3,7 +3,7 @@
 The test tables hold raw events and no feature table, so every query starts by
 rolling the whole ``events`` table up to (component, hour) rows. The mapping is
 ours: component = user_id % 6, warnings = events of type ``error``, incident =
-any value of 200 or more. The reference cut-offs of 5 warnings and 20 lines
+any value of 200 or more. The default cut-offs of 5 warnings and 20 lines
 never fire on the smaller tables, so the queries pass 1 and 3; the library
 defaults stay at 5 and 20.
 """
