@@ -237,7 +237,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return analysis.incident_rate_by_component(windows(spark, SMOKE_DIR))
 
 
+def _text_operators() -> tuple[dict, dict]:
+    """Queries and SQL of the text operators, where they are installed."""
+    try:
+        import corpus_pipeline  # noqa: F401
+        from riskwindow.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "riskwindow.llm"):
+            raise
+        return {}, {}
+    return registry.queries(), registry.oracle_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _window_queries() | _text_operators()[0]
+
+
+def _window_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     measures = list(S.MEASURES)
     matrix = [*measures, S.INCIDENT]
     frequencies, profile = distribution.value_frequencies, explore.group_profile
@@ -545,6 +561,10 @@ FROM f GROUP BY 1"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return _window_sql() | _text_operators()[1]
+
+
+def _window_sql() -> dict[str, str]:
     f = _with(_WINDOWS)
     scores = _with(_WINDOWS, _SCORES)
     gappy = _with(_WINDOWS, _GAPPY)
