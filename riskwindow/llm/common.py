@@ -8,7 +8,9 @@ is repeated after the loss of an executor gives the same keys.
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +63,7 @@ def same_key(left: DataFrame, right: DataFrame) -> Column:
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches of about CHUNK_CHARS bytes of text each; no row is split or left out."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         start = total = 0
         for i, n in enumerate(lengths.to_pylist()):
             total += n
@@ -70,3 +72,28 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
                 start, total = i + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def bitmap(codes: DataFrame, bits: int) -> np.ndarray:
+    """2 ** bits bits, one set for the leading bits of each value of ``code``; built in Spark, in 4 KB parts.
+
+    Its size does not depend on the data: what it does not rule out has to be looked up.
+    """
+    place = f"(shiftrightunsigned(code, {64 - bits}) + 1)"
+    parts = (
+        codes.selectExpr(f"bitmap_bucket_number({place}) AS part", f"bitmap_bit_position({place}) AS bit")
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    out = np.zeros((1 << bits) // 8, dtype=np.uint8)
+    for row in parts.collect():
+        raw = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+        start = (row["part"] - 1) * len(raw)
+        out[start : start + len(raw)] = raw
+    return out
+
+
+def marked(marks: np.ndarray, codes: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the codes (unsigned) may be among those of the bitmap."""
+    place = codes >> np.uint64(64 - bits)
+    return marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0

@@ -1,15 +1,40 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from riskwindow.llm import bpe, langid, simhash
+import corpus_pipeline
+from riskwindow.llm import (
+    bpe,
+    chunkdedup,
+    decontam,
+    langid,
+    linededup,
+    pii,
+    simhash,
+    tokencount,
+    topk,
+    warc,
+)
 
 
 def queries() -> dict:
     return {
+        "op1_kdtree_topk": topk.op1_kdtree_topk,
+        "op2_line_dedup": linededup.op2_line_dedup,
         "op3_language_id": langid.op3_language_id,
+        "op4_warc_revisits": warc.op4_warc_revisits,
+        "op5_pii": pii.op5_pii,
         "op6_simhash": simhash.op6_simhash,
         "op7_bpe": bpe.op7_bpe,
+        "op8_token_counts": tokencount.op8_token_counts,
+        "op9_substring_dedup": chunkdedup.op9_substring_dedup,
+        "op10_decontamination": decontam.op10_decontamination,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = {
+        "op1_kdtree_topk": topk.ORACLE_SQL,
+        "op4_warc_revisits": warc.ORACLE_SQL,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
+    return {name: sql for name, sql in found.items() if sql}
