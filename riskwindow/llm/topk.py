@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from riskwindow.llm import common
 
 K, EVERY = 20, 20
-SAMPLE, REGION, SHARD, LEAF = 4096, 64, 4096, 64
+SAMPLE, REGION, SHARD, LEAF = 4096, 64, 4096, 128
 GROUP = 32_768  # queries that meet a shard at a time
 
 
@@ -86,17 +86,18 @@ class Tree:
         return out
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b of whole numbers: by floating point where that is exact."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[-1]
-    if most < 2**53:
-        return a.astype(np.float64) @ b.astype(np.float64)
-    return a @ b
+def _kind(a: np.ndarray, *others: np.ndarray) -> type:
+    """The type in which inner products of whole numbers are exact; floats are faster."""
+    most = max((float(np.abs(b).max(initial=0)) for b in others), default=0.0)
+    exact = float(np.abs(a).max(initial=0)) * most * max(1, a.shape[-1]) < 2**53
+    return np.float64 if exact else np.int64
 
 
 def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Highest possible inner product of each query with a point of each box."""
-    return _product(np.maximum(queries, 0), high.T) + _product(np.minimum(queries, 0), low.T)
+    kind = _kind(queries, low, high)
+    queries, low, high = queries.astype(kind), low.astype(kind), high.astype(kind)
+    return np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
 
 
 def search(
@@ -108,8 +109,7 @@ def search(
     ``ids`` and ``points`` are in the tree's order; ``skip`` is a row that is no candidate, or -1.
     """
     reach = bounds(queries, tree.low, tree.high)
-    exact = np.abs(points).max(initial=0) * np.abs(queries).max(initial=0) * max(1, points.shape[1]) < 2**53
-    kind = np.float64 if exact else np.int64
+    kind = _kind(queries, points)
     points, queries = points.astype(kind), queries.astype(kind)
     out = []
     for q, floor, own, bound in zip(queries, floors.tolist(), skip.tolist(), reach.tolist()):
@@ -166,7 +166,7 @@ def _region_trees(unique: DataFrame) -> dict[int, Tree]:
     by_length: dict[int, list] = {}
     for row in drawn:
         by_length.setdefault(len(row["v"]), []).append(row["v"])
-    return {d: Tree(np.array(rows, dtype=np.int64).reshape(-1, d), REGION) for d, rows in by_length.items()}
+    return {d: Tree(np.array(rows, dtype=np.int64).reshape(len(rows), d), REGION) for d, rows in by_length.items()}
 
 
 def _with_region(unique: DataFrame, trees: dict[int, Tree]) -> DataFrame:
