@@ -185,9 +185,10 @@ def deletions(docs: DataFrame) -> DataFrame:
 def without_blocks(docs: DataFrame) -> DataFrame:
     """row (all columns of docs), kept (the text that is left), n_lines, n_deleted, of every row."""
     cut = common.stored(deletions(docs), "deletions")
-    rows = common.whole_rows(docs).withColumn("text", F.col("row.text"))
-    joined = rows.join(cut, common.same_key(rows, cut), "left").select("row", "text", "runs")
-    return joined.selectExpr(
+    rows = common.whole_rows(docs)
+    # What is cut grows with the texts, so the texts meet it by a shuffle at every size.
+    joined = rows.join(cut.hint("merge"), common.same_key(rows, cut), "left").select("row", "runs")
+    return joined.selectExpr("row", "runs", "row.text AS text").selectExpr(
         "row",
         "text",
         f"CASE WHEN text = '' THEN array() ELSE {_LINES} END AS lines",
