@@ -249,8 +249,10 @@ def classifier(spans: DataFrame) -> DataFrame:
     # At most BUCKETS rows.
     weights = rows.agg(F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("yes", "no")))).alias("known"))
     return weights.select(
-        F.lit(1).alias("one"), F.coalesce("known", F.map_from_arrays(F.array(), F.array())).alias("known")
-    ).join(totals.select(F.lit(1).alias("one"), "yes", "no"), "one").selectExpr(
+        F.coalesce("known", F.map_from_arrays(F.array(), F.array())).alias("known"),
+        totals.select("yes").scalar().alias("yes"),
+        totals.select("no").scalar().alias("no"),
+    ).selectExpr(
         "ln((yes + 1) / (no + 1)) AS bias",
         f"""transform(sequence(0, {BUCKETS - 1}), b ->
             coalesce(ln((known[b].yes + 0.5) / (yes + 1)) - ln((known[b].no + 0.5) / (no + 1)), 0D)) AS weights""",

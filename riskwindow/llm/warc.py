@@ -149,17 +149,18 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
 
 
 def op4_warc_revisits(spark, sf_dir: str) -> DataFrame:
+    """One row per revisit; response_id and body_chars are -1 where none is resolved."""
     found = resolve(records_of_pages(common.table(spark, sf_dir, "pages")))
     return found.select(
         "record_id",
         F.col("page").alias("url_key"),
         "ts",
         "outcome",
-        "response_id",
+        F.coalesce("response_id", F.lit(-1).cast("long")).alias("response_id"),
         F.expr("array_join(transform(array_sort(map_entries(headers)), e -> concat(e.key, ': ', e.value)), '; ')").alias(
             "headers"
         ),
-        F.expr("CAST(length(body) AS BIGINT)").alias("body_chars"),
+        F.expr("CAST(coalesce(length(body), -1) AS BIGINT)").alias("body_chars"),
     )
 
 
@@ -188,8 +189,8 @@ joined AS (
   FROM revisits v LEFT JOIN responses r
     ON r.page = v.page AND r.page_id = (SELECT max(page_id) FROM responses x WHERE x.page = v.page AND x.page_id < v.ts))
 SELECT record_id, page AS url_key, ts, outcome,
-  CASE WHEN outcome = 'resolved' THEN found END AS response_id,
+  CASE WHEN outcome = 'resolved' THEN found ELSE -1 END AS response_id,
   CASE WHEN outcome = 'resolved' THEN 'content-length: ' || length(html) || '; content-type: text/html; date: ' || ts
     || '; etag: ' || coalesce(tag, r_tag) || '; last-modified: ' || coalesce(changed, r_changed) END AS headers,
-  CASE WHEN outcome = 'resolved' THEN length(html) END AS body_chars
+  CASE WHEN outcome = 'resolved' THEN length(html) ELSE -1 END AS body_chars
 FROM joined"""
