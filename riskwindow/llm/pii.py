@@ -260,7 +260,7 @@ def classifier(spans: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base and spans (arrays of start, nth, kind, end, in order) of every row."""
+    """doc_id, base and spans (arrays of start, nth, kind, end, base, in order) of every row."""
     found = common.stored(candidates(docs), "candidates")
     each = found.select(F.explode("found").alias("x")).select("x.kind", "x.votes", "x.features")
     models = common.stored(reliabilities(each), "reliabilities")
@@ -272,22 +272,20 @@ def spans(docs: DataFrame) -> DataFrame:
         F.col("found"),
         fitted.select(F.struct("bias", "weights")).scalar().alias("model"),
     )
-    place = "struct(x.start AS start, x.nth AS nth, x.kind AS kind, x.end AS end)"
+    place = "struct(x.start AS start, x.nth AS nth, x.kind AS kind, x.end AS end, x.base AS base)"
     return whole.select(
         "doc_id",
-        F.expr(f"array_sort(transform(filter(found, x -> x.base), x -> {place}))").alias("base"),
         F.expr(
             f"""array_sort(transform(filter(found, x -> x.base OR
                 aggregate(x.features, model.bias, (s, f) -> s + model.weights[f]) > 0), x -> {place}))"""
         ).alias("all"),
     ).select(
         "doc_id",
-        "base",
+        F.expr("filter(all, x -> x.base)").alias("base"),
         # Of added spans of one kind that overlap, the longest stays; failed matches give way to cards inside.
         F.expr(
-            """filter(all, x -> array_contains(base, x) OR NOT exists(all, y -> y.kind = x.kind AND y <> x
-                AND x.start < y.end AND y.start < x.end AND (array_contains(base, y)
-                  OR y.end - y.start > x.end - x.start)))"""
+            """filter(all, x -> x.base OR NOT exists(all, y -> y.kind = x.kind AND y <> x
+                AND x.start < y.end AND y.start < x.end AND (y.base OR y.end - y.start > x.end - x.start)))"""
         ).alias("spans"),
     )
 
