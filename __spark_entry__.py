@@ -30,14 +30,26 @@ from riskwindow.operators import (
     explore,
     models,
     quality,
-    scaling,
     split,
 )
 from riskwindow.operators.features import engineer_features, with_date_hour
 from riskwindow.plans import exploration, sql_suite, training
 from riskwindow.plans.incident_pipeline import run_pipeline
 from riskwindow.session import shared_folder
-from riskwindow.sources import preview, save_table, use_database, windows_from_events
+from riskwindow.sources import (
+    append_run,
+    create_external_table,
+    drop_table,
+    export_delimited,
+    overwrite_table,
+    preview,
+    read_delimited,
+    save_table,
+    use_database,
+    windows_from_events,
+    write_csv,
+    write_json,
+)
 from riskwindow.streaming import score_stream, windows_from_event_stream, write_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -94,11 +106,27 @@ def _gate_metrics(df: DataFrame) -> DataFrame:
 
 
 def _standardized(df: DataFrame) -> DataFrame:
-    columns = [*S.MEASURES, S.EVENT_RATIO]
-    rows = split.stratified_split(engineer_features(df, "plus_one", **CUTS))
-    fitted = scaling.fit_scaling(rows.filter("split = 'train'"), columns)
-    scaled = scaling.apply_scaling(rows, fitted)
-    return _rounded(scaled.select(S.COMPONENT, S.TIME_WINDOW, "split", *columns), *columns)
+    """Both sides of a stored split in the nine scaled slots that the incident pipeline fits on."""
+    train, test = training.train_and_test(engineer_features(df, "plus_one", **CUTS))
+    indexer = models.component_indexer("alphabetAsc").fit(train.unionByName(test))
+    scaler = Pipeline(stages=models.scaled_feature_stages(indexer, train.count())).fit(train)
+    sides = train.withColumn("split", F.lit("train")).unionByName(
+        test.withColumn("split", F.lit("test"))
+    )
+    slots = scaler.transform(sides).withColumn("features", vector_to_array("features"))
+    names = models.SCALED_FEATURES
+    return slots.selectExpr(
+        S.COMPONENT,
+        S.TIME_WINDOW,
+        "split",
+        *[f"round(features[{i}], 9) AS scaled_{c}" for i, c in enumerate(names)],
+    )
+
+
+def _class_weights(df: DataFrame) -> DataFrame:
+    """The weight that training gives the rows of a class."""
+    weighted = split.with_class_weight(df, split.label_counts(df))
+    return weighted.groupBy(S.INCIDENT, "weight").agg(F.expr("count(*) AS n"))
 
 
 def _indexed(df: DataFrame, order: str) -> DataFrame:
@@ -109,8 +137,7 @@ def _indexed(df: DataFrame, order: str) -> DataFrame:
 def _plain(df: DataFrame, name: str):
     """A preset over one-hot features, and the rows to score."""
     train, test = training.train_and_test(engineer_features(df, "zero", **CUTS))
-    rows = models.compact(train, train.count())
-    return models.fit_plain(rows, models.plain_model(name)), test
+    return models.fit_plain(train, models.plain_model(name)), test
 
 
 def _scaled(df: DataFrame, name: str):
@@ -119,7 +146,7 @@ def _scaled(df: DataFrame, name: str):
     indexer = models.component_indexer("alphabetAsc").fit(train.unionByName(test))
     counts = split.label_counts(train)
     n = sum(counts.values())
-    weighted = models.compact(split.with_class_weight(train, counts), n)
+    weighted = split.with_class_weight(train, counts)
     return models.fit_scaled(weighted, indexer, models.scaled_model(name, n), n), test
 
 
@@ -155,19 +182,258 @@ def _model_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def _assembled(df: DataFrame) -> DataFrame:
-    """The assembled vector, one column per slot."""
+def _assembled(df: DataFrame, unseen: str = "keep") -> DataFrame:
+    """The assembled vector, one column per slot of the fitted encoder."""
     engineered = engineer_features(df, "zero", **CUTS)
-    fitted = Pipeline(stages=models.feature_stages()).fit(engineered)
+    fitted = Pipeline(stages=models.feature_stages(unseen)).fit(engineered)
+    slots = len(S.NUMERIC_FEATURES) + len(fitted.stages[0].labels) - (unseen != "keep")
     return (
         fitted.transform(engineered)
         .withColumn("features", vector_to_array("features"))
         .selectExpr(
-            "component", "time_window", *[f"features[{i}] AS slot_{i:02d}" for i in range(14)]
+            "component", "time_window", *[f"features[{i}] AS slot_{i:02d}" for i in range(slots)]
         )
     )
 
 
+# Checks of results that depend on a seed or a fitted model: what must hold for any of them,
+# as counts that SQL gives too.
+
+MODELS = {
+    "rf": (_plain, "random_forest"),
+    "gbt": (_plain, "gbt"),
+    "lr": (_plain, "logistic_regression"),
+    "balanced_rf": (_scaled, "random_forest"),
+    "balanced_lr": (_scaled, "logistic_regression"),
+    "gb100": (_scaled, "gradient_boosting"),
+}
+
+
+def _scored_rows(df: DataFrame, model: str) -> DataFrame:
+    """Keys and label of the rows that a model scores; must be the test side of the split."""
+    fit, name = MODELS[model]
+    scored = _scored(*fit(df, name))
+    sound = "y_proba BETWEEN 0 AND 1 AND prediction = CAST(y_proba > 0.5 AS INT)"
+    return scored.selectExpr(S.COMPONENT, S.TIME_WINDOW, S.INCIDENT, f"{sound} AS sound")
+
+
+def _random_split_check(df: DataFrame) -> DataFrame:
+    keys = [S.COMPONENT, S.TIME_WINDOW]
+    sides = _randomly_split(df).groupBy(*keys).agg(
+        F.expr("count(*) AS n"), F.expr("count(DISTINCT split) AS sides")
+    )
+    joined = df.select(*keys).join(sides, keys, "left")
+    return joined.agg(
+        F.expr("count(*) AS row_count"),
+        F.expr("count_if(n IS NULL) AS lost"),
+        F.expr("count_if(sides > 1) AS on_both_sides"),
+    )
+
+
+def _reload_check(df: DataFrame) -> DataFrame:
+    """A saved model scores as the one that was saved."""
+    model, test = _plain(df, "logistic_regression")
+    path = shared_folder(df.sparkSession, "model")
+    models.save_model(model, path)
+    keys = [S.COMPONENT, S.TIME_WINDOW]
+    before = _scored(model, test).select(*keys, F.col("y_proba").alias("before"))
+    after = _scored(models.load_model(path), test).select(*keys, F.col("y_proba").alias("after"))
+    return before.join(after, keys).agg(
+        F.expr("count(*) AS row_count"), F.expr("max(abs(before - after)) AS difference")
+    )
+
+
+def _importance_check(df: DataFrame) -> DataFrame:
+    found = models.feature_importances(_plain(df, "random_forest")[0], top=None)
+    return found.agg(
+        F.expr("count(DISTINCT feature) AS slots"), F.expr("round(sum(importance), 6) AS total")
+    )
+
+
+# Each metric from the scored rows, without the operators that the runs use.
+_AGAIN = {
+    "accuracy": "avg(CAST(y_pred = y_true AS INT))",
+    "precision": "coalesce(try_divide(count_if(y_pred = 1 AND y_true = 1), count_if(y_pred = 1)), 0D)",
+    "recall": "coalesce(try_divide(count_if(y_pred = 1 AND y_true = 1), count_if(y_true = 1)), 0D)",
+    "f1": "coalesce(try_divide(2 * count_if(y_pred = 1 AND y_true = 1),"
+    " count_if(y_pred = 1) + count_if(y_true = 1)), 0D)",
+}
+
+
+def _area_again(predictions: DataFrame, score: str) -> DataFrame:
+    """The ROC area from the ranks of the scores."""
+    return predictions.selectExpr(
+        "y_true",
+        f"rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2 AS place",
+    ).selectExpr(
+        "(sum(place) FILTER (WHERE y_true = 1) - count_if(y_true = 1) * (count_if(y_true = 1) + 1) / 2)"
+        " / (count_if(y_true = 1) * count_if(y_true = 0)) AS auc"
+    )
+
+
+def _difference(reported: DataFrame, predictions: DataFrame, again: dict) -> DataFrame:
+    """Whether each reported metric equals the one computed anew; the ROC area of tests is small data."""
+    anew = predictions.agg(*[F.expr(f"{e} AS {m}") for m, e in again.items()]).first()
+    area = _area_again(predictions, "y_proba").first()["auc"]
+    expected = {**anew.asDict(), "auc": area}
+    return reported.selectExpr(
+        *[f"abs({m} - {float(v)!r}D) < 1e-9 AS {m}_equal" for m, v in expected.items()]
+    )
+
+
+def _model_metrics_check(df: DataFrame) -> DataFrame:
+    model, test = _scaled(df, "logistic_regression")
+    predictions = models.prediction_table(models.score(model, test))
+    area = evaluate.roc_auc(predictions)
+    metrics = evaluate.positive_metrics(evaluate.confusion_pairs(predictions))
+    return _difference(metrics.withColumn("auc", F.lit(area)), predictions, _AGAIN)
+
+
+def _training_metrics_check(df: DataFrame) -> DataFrame:
+    run = training.run_training(df, "logistic_regression")
+    predictions = models.prediction_table(run.predictions)
+    weighted = {
+        m: " + ".join(
+            f"count_if(y_true = {c}) / count(*) * ({e})"
+            for c in (0, 1)
+            for e in [_AGAIN[m].replace("= 1", f"= {c}")]
+        )
+        for m in ("precision", "recall", "f1")
+    }
+    again = {"accuracy": _AGAIN["accuracy"], **weighted}
+    return _difference(run.metrics, predictions, again)
+
+
+def _run_report_check(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    found = run_pipeline(spark, df, shared_folder(spark, "run"), "logistic_regression")
+    names = [*_AGAIN, "auc"]
+    report = found["evaluation_report"].filter("section = 'performance'")
+    wide = report.groupBy().pivot("metric", names).agg(F.expr("max(CAST(value AS DOUBLE))"))
+    return _difference(wide, found["predictions"], _AGAIN)
+
+
+# Round trips through every way in and out.
+
+
+def _awkward(df: DataFrame) -> DataFrame:
+    """Windows with missing counts and with commas and quotes in the component's name."""
+    return df.selectExpr(
+        "IF(component = 'svc.1', 'svc,\"1\"', component) AS component",
+        "time_window",
+        "CAST(nullif(warn_count, 0) AS INT) AS warn_count",
+        "CAST(log_volume AS INT) AS log_volume",
+        "CAST(unique_event_count AS INT) AS unique_event_count",
+        "incident",
+    )
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    """All cells as texts, NULL where they are missing, so that no type is lost in a comparison."""
+    return df.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in S.WINDOW_SCHEMA.names])
+
+
+def _csv_round_trip(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "csv")
+    write_csv(_awkward(df), path)
+    return _texts(read_delimited(df.sparkSession, path))
+
+
+def _inferred_csv(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "csv")
+    write_csv(_awkward(df), path)
+    return _texts(read_delimited(df.sparkSession, path, infer=True, null_markers=["svc.2"]))
+
+
+def _export_round_trip(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "export")
+    export_delimited(_awkward(df), path, sep="|")
+    rows = read_delimited(df.sparkSession, path, sep="|", header=False, null_markers=["\\N"])
+    return _texts(rows)
+
+
+def _json_round_trip(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "json")
+    write_json(_awkward(df), path)
+    return _texts(df.sparkSession.read.schema(S.WINDOW_SCHEMA).json(path))
+
+
+def _in_database(build: Callable[[SparkSession, DataFrame], DataFrame]):
+    """Runs in a database of its own below the shared folder; the result is stored before it goes."""
+
+    def run(df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        before, path = spark.catalog.currentDatabase(), shared_folder(spark, "database")
+        name = "riskwindow_" + path.rsplit("-", 1)[-1]
+        use_database(spark, name, path)
+        try:
+            out = shared_folder(spark, "loaded")
+            build(spark, df).write.parquet(out)
+        finally:
+            spark.catalog.setCurrentDatabase(before)
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+        return spark.read.parquet(out)
+
+    return run
+
+
+def _external_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = shared_folder(spark, "external")
+    write_csv(_awkward(df), path)
+    return _texts(create_external_table(spark, "outside", path))
+
+
+def _dropped_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+    save_table(_awkward(df), "kept")
+    save_table(_awkward(df), "gone")
+    drop_table(spark, "gone")
+    drop_table(spark, "gone")
+    return spark.table("kept").agg(
+        F.expr("count(*) AS kept_rows"),
+        F.lit(spark.catalog.tableExists("gone")).alias("still_there"),
+    )
+
+
+def _overwritten_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+    save_table(_awkward(df).limit(5), "loaded")
+    columns = _awkward(df).columns
+    overwrite_table(_awkward(df).select(*reversed(columns)), "loaded")  # another order of columns
+    return _texts(spark.table("loaded"))
+
+
+def _run_log(df: DataFrame) -> DataFrame:
+    """One run is recorded for each component, in turn."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, "runs")
+    for row in explore.value_counts(df, S.COMPONENT).collect():
+        append_run(spark, path, f"{row[0]}: {row[1]}")
+    return spark.read.parquet(path).select("results")
+
+
+def _with_zero_divisors(df: DataFrame) -> DataFrame:
+    """Some windows without distinct events, some where their number is missing."""
+    return df.withColumn(
+        S.UNIQUE_EVENT_COUNT,
+        F.expr(
+            "CASE WHEN log_volume % 3 = 0 THEN 0 WHEN log_volume % 5 = 0 THEN NULL"
+            " ELSE unique_event_count END"
+        ),
+    )
+
+
+def _ratio(policy: str):
+    return lambda f: engineer_features(_with_zero_divisors(f), policy, **CUTS).select(
+        S.COMPONENT, S.TIME_WINDOW, S.EVENT_RATIO
+    )
+
+
+def _with_nan(df: DataFrame) -> DataFrame:
+    return df.selectExpr(
+        "IF(log_volume % 4 = 0, double('NaN'), CAST(warn_count AS DOUBLE)) AS warn_share",
+        "CAST(log_volume AS DOUBLE) AS log_volume",
+        "incident",
+    )
+
+
 def _randomly_split(df: DataFrame) -> DataFrame:
     # Stored first: the draw depends on the layout, and a stored table keeps its layout.
     path = shared_folder(df.sparkSession, "split")
@@ -189,9 +455,10 @@ def _summary_table(df: DataFrame) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    path = f"{sf_dir}/events.parquet"
+    # A stream takes a folder or a pattern; this pattern fits a single file and a folder of parts.
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(
+        path.removesuffix("t") + "[t]"
     )
 
 
@@ -317,9 +584,33 @@ def _window_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "component_alpha_index": lambda f: _indexed(f, "alphabetAsc"),
         "stratified_split": split.stratified_split,
         "standardized_train": _standardized,
-        "class_weights": split.class_weights,
+        "class_weights": _class_weights,
         "random_split": _randomly_split,
         "assembled_features": _assembled,
+        "assembled_features_strict": lambda f: _assembled(f, "error"),
+        "ratio_null_divisors": _ratio("null"),
+        "ratio_zero_divisors": _ratio("zero"),
+        "ratio_plus_one_divisors": _ratio("plus_one"),
+        "correlation_with_nan": lambda f: _rounded(
+            correlation.correlation_matrix(_with_nan(f)), "r"
+        ),
+        # Ways in and out
+        "csv_round_trip": _csv_round_trip,
+        "csv_inferred": _inferred_csv,
+        "export_round_trip": _export_round_trip,
+        "json_round_trip": _json_round_trip,
+        "external_table": _in_database(_external_table),
+        "dropped_table": _in_database(_dropped_table),
+        "overwritten_table": _in_database(_overwritten_table),
+        "run_log": _run_log,
+        # Checks of fitted results
+        "random_split_check": _random_split_check,
+        "reloaded_predictions_check": _reload_check,
+        "importances_check": _importance_check,
+        "model_metrics_check": _model_metrics_check,
+        "training_metrics_check": _training_metrics_check,
+        "run_report_check": _run_report_check,
+        **{f"{m}_scored_rows": lambda f, m=m: _scored_rows(f, m) for m in MODELS},
         # Models
         "rf_predictions": lambda f: _scored(*_plain(f, "random_forest")),
         "gbt_predictions": lambda f: _scored(*_plain(f, "gbt")),
@@ -352,6 +643,9 @@ def _window_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{name: _over_scores(build) for name, build in over_scores.items()},
         "streamed_windows": _streamed_windows,
         "streamed_scores": _streamed_scores,
+        "streamed_scores_check": lambda spark, sf_dir: _streamed_scores(spark, sf_dir).selectExpr(
+            S.COMPONENT, S.TIME_WINDOW, S.INCIDENT, "y_proba BETWEEN 0 AND 1 AS sound"
+        ),
     }
 
 
@@ -362,9 +656,9 @@ _WINDOWS = """
 f AS (
   SELECT 'svc.' || CAST(user_id % 6 AS VARCHAR) AS component,
          strftime(ts, '%y%m%d_%H') AS time_window,
-         CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS INTEGER) AS warn_count,
-         CAST(count(*) AS INTEGER) AS log_volume,
-         CAST(count(DISTINCT event_type) AS INTEGER) AS unique_event_count,
+         CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS warn_count,
+         count(*) AS log_volume,
+         count(DISTINCT event_type) AS unique_event_count,
          max(CASE WHEN value >= 200 THEN 1 ELSE 0 END) AS incident
   FROM events GROUP BY 1, 2)"""
 
@@ -383,6 +677,14 @@ g AS (
          incident
   FROM f)"""
 
+_AWKWARD = """
+k AS (
+  SELECT CASE WHEN component = 'svc.1' THEN 'svc,"1"' ELSE component END AS component, time_window,
+         CAST(nullif(warn_count, 0) AS INTEGER) AS warn_count,
+         CAST(log_volume AS INTEGER) AS log_volume,
+         CAST(unique_event_count AS INTEGER) AS unique_event_count, incident
+  FROM f)"""
+
 _LONG = """
 m AS (
   SELECT incident, 'warn_count' AS feature, warn_count AS value FROM f
@@ -406,6 +708,13 @@ _REPORT_FEATURES = {
 }
 
 
+_NAN_COLUMNS = {
+    "warn_share": "CASE WHEN log_volume % 4 <> 0 THEN CAST(warn_count AS DOUBLE) END",
+    "log_volume": "CAST(log_volume AS DOUBLE)",
+    "incident": "incident",
+}
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -446,6 +755,15 @@ def _correlation_sql(columns: list[str], digits: int) -> str:
     return _with(_WINDOWS) + " " + " UNION ALL ".join(rows)
 
 
+def _nan_correlation() -> str:
+    rows = [
+        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({a}, {b}), 9) AS r FROM f"
+        for x, a in _NAN_COLUMNS.items()
+        for y, b in _NAN_COLUMNS.items()
+    ]
+    return _with(_WINDOWS) + " " + " UNION ALL ".join(rows)
+
+
 def _box_sql(by: str) -> str:
     keys = f"{by}feature"
     return (
@@ -580,14 +898,51 @@ def _window_sql() -> dict[str, str]:
         "component", "time_window", "warn_count", "log_volume", "unique_event_count", "incident",
     ]
     matrix = window_columns[2:]
-    scaled = ["warn_count", "log_volume", "unique_event_count", "log_per_event_ratio"]
+    closed = """WHERE strptime(time_window, '%y%m%d_%H') + INTERVAL 3 HOUR
+                  <= (SELECT max(ts) FROM events)"""
+    test_side = f"""{f}, {_split_sql(window_columns, 'f')}
+            SELECT component, time_window, incident, true AS sound FROM p WHERE split = 'test'"""
+    tested = "(SELECT count(*) FROM p WHERE split = 'test')"
+    awkward = f"""{f}, {_AWKWARD}
+        SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in window_columns)} FROM k"""
+    equal = lambda *names: "SELECT " + ", ".join(f"true AS {n}_equal" for n in names)
+    with_zeros = f"""{f}, x AS (SELECT component, time_window, log_volume,
+            CASE WHEN log_volume % 3 = 0 THEN 0 WHEN log_volume % 5 = 0 THEN NULL
+                 ELSE unique_event_count END AS unique_event_count FROM f)"""
     summary = f"{f} SELECT {engineered['null']} FROM f"
     return {
         "derive_features": f"{f} SELECT * FROM f",
         # Hours that end before the stream's watermark, two hours behind the last event.
-        "streamed_windows": f"""{f} SELECT * FROM f
-            WHERE strptime(time_window, '%y%m%d_%H') + INTERVAL 3 HOUR
-                  <= (SELECT max(ts) FROM events)""",
+        "streamed_windows": f"{f} SELECT * FROM f {closed}",
+        "streamed_scores_check": f"""{f} SELECT component, time_window, incident, true AS sound
+            FROM f {closed}""",
+        **{f"{m}_scored_rows": test_side for m in MODELS},
+        "random_split_check": f"""{f} SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS lost,
+            CAST(0 AS BIGINT) AS on_both_sides FROM f""",
+        "reloaded_predictions_check": f"""{f}, {_split_sql(window_columns, 'f')}
+            SELECT {tested} AS row_count, 0.0e0 AS difference""",
+        "importances_check": f"""{f} SELECT 8 + count(DISTINCT component) AS slots,
+            1.0e0 AS total FROM f""",
+        "model_metrics_check": equal("accuracy", "precision", "recall", "f1", "auc"),
+        "training_metrics_check": equal("accuracy", "precision", "recall", "f1", "auc"),
+        "run_report_check": equal("accuracy", "precision", "recall", "f1", "auc"),
+        "csv_round_trip": awkward,
+        "csv_inferred": f"""SELECT * REPLACE (nullif(component, 'svc.2') AS component)
+            FROM ({awkward})""",
+        "export_round_trip": awkward,
+        "json_round_trip": awkward,
+        "external_table": awkward,
+        "overwritten_table": awkward,
+        "dropped_table": f"{f} SELECT count(*) AS kept_rows, false AS still_there FROM f",
+        "run_log": f"""{f} SELECT component || ': ' || CAST(count(*) AS VARCHAR) AS results FROM f
+            GROUP BY component""",
+        "ratio_null_divisors": f"""{with_zeros} SELECT component, time_window,
+            log_volume / nullif(unique_event_count, 0) AS log_per_event_ratio FROM x""",
+        "ratio_zero_divisors": f"""{with_zeros} SELECT component, time_window,
+            coalesce(log_volume / nullif(unique_event_count, 0), 0) AS log_per_event_ratio FROM x""",
+        "ratio_plus_one_divisors": f"""{with_zeros} SELECT component, time_window,
+            log_volume / (unique_event_count + 1) AS log_per_event_ratio FROM x""",
+        "correlation_with_nan": _nan_correlation(),
         "features_null_ratio": summary,
         "features_zero_ratio": f"{f} SELECT {engineered['zero']}, {_HOUR} AS hour FROM f",
         "features_plus_one_ratio": f"{f} SELECT {engineered['plus_one']}, {_HOUR} AS hour FROM f",
@@ -753,22 +1108,24 @@ def _window_sql() -> dict[str, str]:
                    auc >= {S.MIN_AUC} AS auc_check,
                    accuracy >= {S.MIN_ACCURACY} AND f1 >= {S.MIN_F1} AND auc >= {S.MIN_AUC}
                      AS all_checks_passed FROM metrics, area""",
-        "assembled_features": _assembled_sql(f, engineered["zero"]),
-        "standardized_train": _standardized_sql(f, engineered["plus_one"], scaled),
+        "assembled_features": _assembled_sql(f, engineered["zero"], 6),
+        "assembled_features_strict": _assembled_sql(f, engineered["zero"], 5),
+        "standardized_train": _standardized_sql(f, engineered["plus_one"]),
         "schema_table": f + " UNION ALL ".join(
             f"""
             SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column",
-                   '{'string' if i < 2 else 'int'}' AS type, count({c}) AS non_null FROM f"""
+                   '{('string', 'bigint', 'int')[(i > 1) + (i > 4)]}' AS type,
+                   count({c}) AS non_null FROM f"""
             for i, c in enumerate(window_columns)
         ),
     }
 
 
-def _assembled_sql(f: str, engineered: str) -> str:
-    """Eight numbers, then one 0/1 slot per component in order of falling frequency."""
+def _assembled_sql(f: str, engineered: str, components: int) -> str:
+    """Eight numbers, then 0/1 slots of the most frequent components."""
     numbers = [f"CAST({c} AS DOUBLE) AS slot_{i:02d}" for i, c in enumerate(S.NUMERIC_FEATURES)]
     slots = [
-        f"CASE WHEN place = {i} THEN 1.0e0 ELSE 0.0e0 END AS slot_{i + 8:02d}" for i in range(6)
+        f"CASE WHEN place = {i} THEN 1.0e0 ELSE 0.0e0 END AS slot_{i + 8:02d}" for i in range(components)
     ]
     return f"""{f}, x AS (SELECT {engineered}, {_HOUR} AS hour FROM f),
 c AS (SELECT component, row_number() OVER (ORDER BY count(*) DESC, component) - 1 AS place
@@ -776,20 +1133,23 @@ c AS (SELECT component, row_number() OVER (ORDER BY count(*) DESC, component) -
 SELECT component, time_window, {", ".join(numbers + slots)} FROM x JOIN c USING (component)"""
 
 
-def _standardized_sql(f: str, engineered: str, scaled: list[str]) -> str:
+def _standardized_sql(f: str, engineered: str) -> str:
+    """The raw columns decide the split; nine columns are scaled by the training rows."""
     columns = [
         "component", "time_window", "warn_count", "log_volume", "unique_event_count", "incident",
     ]
+    scaled = models.SCALED_FEATURES
     fits = ", ".join(
         f"(SELECT avg({c}) FROM p WHERE split = 'train') AS m_{c}, "
         f"(SELECT stddev_pop({c}) FROM p WHERE split = 'train') AS s_{c}"
         for c in scaled
     )
     values = ", ".join(
-        f"round((p.{c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 9) AS {c}"
+        f"round((p.{c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 9) AS scaled_{c}"
         for c in scaled
     )
-    return f"""{f}, x AS (SELECT {engineered}, {_HOUR} AS hour FROM f),
+    return f"""{f}, x AS (SELECT {engineered}, {_HOUR} AS hour,
+  dense_rank() OVER (ORDER BY component) - 1 AS {models.COMPONENT_ENCODED} FROM f),
 {_split_sql(columns, 'x')},
 fit AS (SELECT {fits})
 SELECT component, time_window, split, {values} FROM p, fit"""

@@ -13,6 +13,7 @@ from riskwindow.functions.columns import (
     share,
     share_or_zero,
     warning_category,
+    window_label,
 )
 
 __all__ = [
@@ -30,4 +31,5 @@ __all__ = [
     "share",
     "share_or_zero",
     "warning_category",
+    "window_label",
 ]

@@ -69,6 +69,11 @@ def hour_of(window: str = S.TIME_WINDOW) -> str:
     return f"try_cast(substr({window}, 8, 2) AS INT)"
 
 
+def window_label(day: str, hour: str) -> str:
+    """``YYMMDD_HH`` of a date and an hour number."""
+    return f"concat(date_format({day}, 'yyMMdd'), '_', lpad(CAST({hour} AS STRING), 2, '0'))"
+
+
 def warning_category(
     average: str,
     high: float = S.HIGH_WARNING_AVERAGE,

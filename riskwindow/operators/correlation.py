@@ -14,9 +14,10 @@ from riskwindow.operators.quality import numeric_columns
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(x, y, r) for every ordered pair; NULL where a column is constant.
 
-    Each pair uses the rows in which both values are present.
+    Each pair uses the rows in which both values are present; NaN counts as missing.
     """
     columns = list(columns or numeric_columns(df))
+    df = _without_nan(df, columns)
     pairs = list(combinations(columns, 2))
     wide = df.agg(
         *[F.expr(f"{_pearson(x, y)} AS r{i}") for i, (x, y) in enumerate(pairs)],
@@ -31,7 +32,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 def correlation_with_target(
     df: DataFrame, columns: Sequence[str], target: str = S.INCIDENT
 ) -> DataFrame:
-    """Correlation of each column with the target, highest first."""
+    """Correlation of each column with the target, highest first; NaN counts as missing."""
+    df = _without_nan(df, [*columns, target])
     wide = df.agg(
         *[
             F.expr(f"{_own(c) if c == target else _pearson(c, target)} AS r{i}")
@@ -53,6 +55,12 @@ def heatmap_cells(matrix: DataFrame) -> DataFrame:
     return matrix.selectExpr("x", "y", "round(r, 2) AS r")
 
 
+def _without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    kinds = {name.lower(): kind for name, kind in df.dtypes}
+    floating = {c for c in columns if kinds[c.lower()] in ("float", "double")}
+    return df.withColumns({c: F.expr(f"nanvl({quoted(c)}, NULL)") for c in floating})
+
+
 def _pearson(x: str, y: str) -> str:
     # covar_pop skips rows in which either side is NULL, so the deviations must too.
     x, y = quoted(x), quoted(y)

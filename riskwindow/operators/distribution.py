@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskwindow import schema as S
 from riskwindow.functions import literal, quoted, rows_from
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -94,7 +95,7 @@ def quantiles(
             .filter(_holds_wanted_rank(probabilities))
             .selectExpr(*map(quoted, keys), "upto - n AS below", "total")
         )
-        placed, parents = _matched(rows, found, keys), keys
+        placed, parents = _matched(rows, found, keys, few=_few(by)), keys
     running = f"sum(n) OVER (PARTITION BY {_names(parents)} ORDER BY value)"
     return (
         placed.selectExpr(*map(quoted, group), "value", "n", f"below + {running} AS upto", "total")
@@ -104,17 +105,32 @@ def quantiles(
     )
 
 
+def _few(by: Sequence[str]) -> bool:
+    """Whether a table with a few rows per (by…, feature) is small whatever the data: by label, or overall."""
+    return set(by) <= {S.INCIDENT}
+
+
 def _matched(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    few: bool = False,
 ) -> DataFrame:
     """Join on keys that are never NULL.
 
+    A right side of ``few`` rows, bounded by the number of features, labels and wanted
+    ranks, is broadcast. The left side then stays where it is, instead of meeting in one task
+    for each of a handful of features.
+
     The comparison is null-safe, because a plain one would add NULL filters below
     only one of the uses of a frequency table. Spark would then take them for
     different tables and read the data twice instead of reusing a shuffle.
     """
     same = " AND ".join(f"l.{quoted(key)} <=> r.{quoted(key)}" for key in keys)
     added = [f"r.{quoted(c)}" for c in right.columns if c not in keys]
+    if few:
+        right = F.broadcast(right)
     return left.alias("l").join(right.alias("r"), F.expr(same), how).selectExpr("l.*", *added)
 
 
@@ -171,11 +187,12 @@ def describe(
     )
     squares = "sum(n * (value - mean) * (value - mean))"
     spread = (
-        _matched(frequencies, totals, group)
+        _matched(frequencies, totals, group, few=_few(by))
         .groupBy(*group, "count", "mean", "min", "max")
         .agg(F.expr(f"sqrt(try_divide({squares}, count - 1)) AS std"))
     )
-    return _matched(spread, quantiles(frequencies, by, probabilities), group).select(
+    placed = quantiles(frequencies, by, probabilities)
+    return _matched(spread, placed, group, few=_few(by)).select(
         *group, "count", "mean", "std", "min", *[quantile_name(p) for p in probabilities], "max"
     )
 
@@ -225,12 +242,12 @@ def histogram(frequencies: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     )
     position = f"floor((value - lo) * {bins} / (hi - lo))"
     filled = (
-        _matched(frequencies, extent, ["feature"])
+        _matched(frequencies, extent, ["feature"], few=True)
         .groupBy("feature", F.expr(f"CAST(least({position}, {bins - 1}) AS INT) AS bin"))
         .agg(F.expr("sum(n) AS n"))
     )
     frame = extent.selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
-    return _matched(frame, filled, ["feature", "bin"], "left").selectExpr(
+    return _matched(frame, filled, ["feature", "bin"], "left", few=True).selectExpr(
         "feature",
         "bin",
         f"lo + (hi - lo) / {bins} * bin AS bin_start",
@@ -259,7 +276,7 @@ def box_statistics(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     group = [*by, "feature"]
     inside = "value BETWEEN low_fence AND high_fence"
     return (
-        _matched(frequencies, box_fences(frequencies, by), group)
+        _matched(frequencies, box_fences(frequencies, by), group, few=_few(by))
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.expr(f"least(CAST(min(IF({inside}, value, NULL)) AS DOUBLE), q1) AS whisker_low"),
@@ -273,7 +290,7 @@ def outlier_values(frequencies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The values drawn beyond the whiskers, with how often each occurs."""
     group = [*by, "feature"]
     return (
-        _matched(frequencies, box_fences(frequencies, by), group)
+        _matched(frequencies, box_fences(frequencies, by), group, few=_few(by))
         .filter("value < low_fence OR value > high_fence")
         .select(*group, "value", "n")
     )

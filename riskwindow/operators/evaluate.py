@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.functions import literal, rows_from, share, share_or_zero
+from riskwindow.functions import literal, quoted, rows_from, share, share_or_zero
 
 LABEL, PREDICTION, SCORE = "y_true", "y_pred", "y_proba"
 
@@ -20,8 +20,8 @@ def confusion_pairs(predictions: DataFrame, label=LABEL, prediction=PREDICTION)
     """(y_true, y_pred, count) for the pairs that occur."""
     return (
         predictions.groupBy(
-            F.expr(f"CAST({label} AS INT) AS y_true"),
-            F.expr(f"CAST({prediction} AS INT) AS y_pred"),
+            F.expr(f"CAST({quoted(label)} AS INT) AS y_true"),
+            F.expr(f"CAST({quoted(prediction)} AS INT) AS y_pred"),
         )
         .agg(F.expr("count(*) AS count"))
         .orderBy("y_true", "y_pred")
@@ -207,4 +207,4 @@ def quality_gate(
 def require_gate(gate: DataFrame) -> None:
     """Stop the run when a check failed; the pipeline itself only reports."""
     if not gate.first()["all_checks_passed"]:
-        raise ValueError("the model does not meet all performance thresholds")
+        raise ValueError("a metric is below its threshold; the gate table says which")

@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.functions import date_of, hour_of, literal, rows_from, share
+from riskwindow.functions import date_of, hour_of, literal, quoted, rows_from, share
 from riskwindow.operators.distribution import describe, value_frequencies
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return (
-        df.filter(f"{column} IS NOT NULL")
-        .groupBy(column)
+        df.filter(f"{quoted(column)} IS NOT NULL")
+        .groupBy(quoted(column))
         .agg(F.expr("count(*) AS count"))
-        .orderBy(F.desc("count"), column)
+        .orderBy(F.desc("count"), quoted(column))
     )
 
 
@@ -140,12 +140,15 @@ def incident_statistics(frequencies: DataFrame) -> DataFrame:
 def class_share(counts: DataFrame) -> DataFrame:
     """Rows per label and their percentage of all labelled rows, one decimal.
 
-    Takes the value counts of the label; the window runs over one row per label.
+    Takes the value counts of the label.
     """
-    percent = share("count * 100", "sum(count) OVER (PARTITION BY 0)")
-    return counts.selectExpr(
-        S.INCIDENT, "count", f"round({percent}, 1) AS share_percent"
-    ).orderBy(F.desc("count"), S.INCIDENT)
+    total = counts.agg(F.expr("sum(count)")).scalar()
+    percent = share("count * 100", "_total")
+    return (
+        counts.withColumn("_total", total)
+        .selectExpr(S.INCIDENT, "count", f"round({percent}, 1) AS share_percent")
+        .orderBy(F.desc("count"), S.INCIDENT)
+    )
 
 
 def component_series(profile: DataFrame) -> DataFrame:

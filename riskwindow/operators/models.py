@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwindow import schema as S
+from riskwindow.functions import quoted
+from riskwindow.operators.features import engineer_features
 
 COMPONENT_INDEX = "component_index"
 COMPONENT_VECTOR = "component_vec"
@@ -32,10 +34,8 @@ SCALED_FEATURES = (*S.NUMERIC_FEATURES, COMPONENT_ENCODED)
 WEIGHT = "weight"
 
 MAX_TREE_DEPTH = 30  # the deepest tree MLlib grows
-# Room for node statistics. More of it means fewer passes over the data at deep levels.
-TREE_MEMORY_MB = 1024
-# Fitting runs hundreds of short jobs, so tasks should not be smaller than this.
-ROWS_PER_TASK = 20_000
+# Room for node statistics, per task; MLlib's default. More of it saves passes at deep levels.
+TREE_MEMORY_MB = 256
 
 
 def component_indexer(order: str = "frequencyDesc", unseen: str = "keep") -> StringIndexer:
@@ -96,26 +96,30 @@ def scaled_feature_stages(indexer: StringIndexerModel, train_rows: int) -> list:
     ]
 
 
-def _forest(trees: int, depth: int, seed: int, **params) -> RandomForestClassifier:
+def _forest(
+    trees: int, depth: int, seed: int, memory_mb: int, **params
+) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol=S.INCIDENT,
         featuresCol="features",
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        maxMemoryInMB=TREE_MEMORY_MB,
+        maxMemoryInMB=memory_mb,
         **params,
     )
 
 
-def _boosting(iterations: int, depth: int, seed: int, **params) -> GBTClassifier:
+def _boosting(
+    iterations: int, depth: int, seed: int, memory_mb: int, **params
+) -> GBTClassifier:
     return GBTClassifier(
         labelCol=S.INCIDENT,
         featuresCol="features",
         maxIter=iterations,
         maxDepth=depth,
         seed=seed,
-        maxMemoryInMB=TREE_MEMORY_MB,
+        maxMemoryInMB=memory_mb,
         **params,
     )
 
@@ -130,58 +134,75 @@ def _regression(iterations: int, penalty: float, **params) -> LogisticRegression
     )
 
 
-# Presets over one-hot features.
-PLAIN_MODELS: dict[str, Callable[[], Estimator]] = {
-    "random_forest": lambda: _forest(100, 10, S.SEED),
-    "gbt": lambda: _boosting(50, 5, S.SEED),
-    "logistic_regression": lambda: _regression(100, 0.01),
+# Presets over one-hot features; the argument is the memory for node statistics.
+PLAIN_MODELS: dict[str, Callable[[int], Estimator]] = {
+    "random_forest": lambda mb: _forest(100, 10, S.SEED, mb),
+    "gbt": lambda mb: _boosting(50, 5, S.SEED, mb),
+    "logistic_regression": lambda mb: _regression(100, 0.01),
 }
 
-# Presets over scaled features; the argument is the number of training rows.
-SCALED_MODELS: dict[str, Callable[[int], Estimator]] = {
-    "random_forest": lambda n: _forest(100, 10, S.SEED, weightCol=WEIGHT),
-    "gradient_boosting": lambda n: _boosting(100, 5, S.SEED, stepSize=0.1),
+# Presets over scaled features; the first argument is the number of training rows.
+SCALED_MODELS: dict[str, Callable[[int, int], Estimator]] = {
+    "random_forest": lambda n, mb: _forest(100, 10, S.SEED, mb, weightCol=WEIGHT),
+    "gradient_boosting": lambda n, mb: _boosting(100, 5, S.SEED, mb, stepSize=0.1),
     # An L2 strength of C = 1 on a summed loss is 1/n on MLlib's mean loss.
-    "logistic_regression": lambda n: _regression(
+    "logistic_regression": lambda n, mb: _regression(
         1000, 1.0 / n, weightCol=WEIGHT, standardization=False
     ),
 }
 
 
-def plain_model(name: str) -> Estimator:
+def plain_model(name: str, tree_memory_mb: int = TREE_MEMORY_MB) -> Estimator:
     """Classifier preset by name; an unknown name is an error."""
     if name.lower() not in PLAIN_MODELS:
-        raise ValueError(f"unknown model type: {name}")
-    return PLAIN_MODELS[name.lower()]()
+        raise ValueError(f"no model preset is called {name!r}; there are {sorted(PLAIN_MODELS)}")
+    return PLAIN_MODELS[name.lower()](tree_memory_mb)
 
 
-def scaled_model(name: str, train_rows: int) -> Estimator:
+def scaled_model(name: str, train_rows: int, tree_memory_mb: int = TREE_MEMORY_MB) -> Estimator:
     """Classifier preset by name; an unknown name gives an unweighted deep forest."""
     if name in SCALED_MODELS:
-        return SCALED_MODELS[name](train_rows)
-    return _forest(100, MAX_TREE_DEPTH, S.SEED)
+        return SCALED_MODELS[name](train_rows, tree_memory_mb)
+    return _forest(100, MAX_TREE_DEPTH, S.SEED, tree_memory_mb)
 
 
-def compact(train: DataFrame, rows: int) -> DataFrame:
-    """Merge partitions that are too small to fit on; larger data keeps its own."""
-    return train.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+def _parted(train: DataFrame, partitions: int | None) -> DataFrame:
+    return train if partitions is None else train.coalesce(partitions)
 
 
-def fit_plain(train: DataFrame, classifier: Estimator, unseen: str = "keep") -> PipelineModel:
-    """Fit encoder, assembler and classifier on engineered training rows."""
-    return Pipeline(stages=[*feature_stages(unseen), classifier]).fit(train)
+def fit_plain(
+    train: DataFrame,
+    classifier: Estimator,
+    unseen: str = "keep",
+    partitions: int | None = None,
+) -> PipelineModel:
+    """Fit encoder, assembler and classifier on engineered training rows.
+
+    Forests draw their samples per partition. The rows are taken as they lie, unless
+    ``partitions`` asks for fewer; the same stored rows give the same model.
+    """
+    stages = [*feature_stages(unseen), classifier]
+    return Pipeline(stages=stages).fit(_parted(train, partitions))
 
 
 def fit_scaled(
-    train: DataFrame, indexer: StringIndexerModel, classifier: Estimator, train_rows: int
+    train: DataFrame,
+    indexer: StringIndexerModel,
+    classifier: Estimator,
+    train_rows: int,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit scaler and classifier on engineered, weighted training rows."""
-    return Pipeline(stages=[*scaled_feature_stages(indexer, train_rows), classifier]).fit(train)
+    stages = [*scaled_feature_stages(indexer, train_rows), classifier]
+    return Pipeline(stages=stages).fit(_parted(train, partitions))
 
 
 def positive_probability(predictions: DataFrame) -> DataFrame:
-    """Add the probability of class 1 as ``y_proba``."""
-    return predictions.withColumn("y_proba", vector_to_array("probability")[1])
+    """Add the probability of class 1 as ``y_proba``; NULL for rows that were not scored."""
+    given = F.col("probability").isNotNull()
+    return predictions.withColumn(
+        "y_proba", F.when(given, vector_to_array("probability")[1])
+    )
 
 
 def prediction_table(predictions: DataFrame, label: str = S.INCIDENT) -> DataFrame:
@@ -192,10 +213,45 @@ def prediction_table(predictions: DataFrame, label: str = S.INCIDENT) -> DataFra
 
 
 def score(model: PipelineModel, engineered: DataFrame) -> DataFrame:
-    """Score engineered rows, batch or streaming."""
+    """Score engineered rows, batch or streaming.
+
+    A row in which a number is missing (an hour that does not parse, say) is kept, with NULL
+    for what the model adds; ``prediction IS NULL`` counts these. The model sees zeros there,
+    so that one such row does not end the run.
+    """
     if model is None:
-        raise ValueError("a model must be trained or loaded first")
-    return model.transform(engineered)
+        raise ValueError("pass a fitted or a loaded model to score with")
+    kinds = dict(engineered.dtypes)
+    missing = {
+        c: f"({quoted(c)} IS NULL OR isnan({quoted(c)}))"
+        if kinds[c] in ("float", "double")
+        else f"{quoted(c)} IS NULL"
+        for c in S.NUMERIC_FEATURES
+    }
+    filled = engineered.selectExpr(
+        "*",
+        f"struct({', '.join(map(quoted, S.NUMERIC_FEATURES))}) AS _given",
+        f"NOT ({' OR '.join(missing.values())}) AS _whole",
+    ).withColumns(
+        {
+            c: F.expr(f"IF({test}, CAST(0 AS {kinds[c]}), {quoted(c)})")
+            for c, test in missing.items()
+        }
+    )
+    scored = model.transform(filled)
+    added = [c for c in scored.columns if c not in filled.columns]
+    given = [
+        f"_given.{quoted(c)} AS {quoted(c)}" if c in missing else quoted(c)
+        for c in engineered.columns
+    ]
+    return scored.selectExpr(*given, *[f"IF(_whole, {quoted(c)}, NULL) AS {quoted(c)}" for c in added])
+
+
+def score_windows(
+    model: PipelineModel, windows: DataFrame, policy: str = "zero", **thresholds
+) -> DataFrame:
+    """Engineer and score raw six-column rows, batch or streaming."""
+    return score(model, engineer_features(windows, policy, **thresholds))
 
 
 def feature_importances(

@@ -20,7 +20,7 @@ def require_columns(df: DataFrame, columns: Iterable[str] = (S.INCIDENT,)) -> No
 
 def require_rows(df: DataFrame) -> None:
     if df.isEmpty():
-        raise ValueError("dataset is empty")
+        raise ValueError("the table has no rows; nothing can be computed from it")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

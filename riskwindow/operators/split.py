@@ -10,7 +10,6 @@ from riskwindow import schema as S
 from riskwindow.functions import lookup, quoted, rows_from
 
 TRAIN, TEST = "train", "test"
-MAX_CLASSES = 16
 _PREFIX_DIGITS = 4  # hex digits, so 65,536 hash buckets
 _COPIES_PER_ROW = 100_000
 
@@ -24,8 +23,8 @@ def random_split(
 
 
 def label_counts(df: DataFrame, label: str = S.INCIDENT) -> dict[int, int]:
-    """Rows per class. Refuses columns that are not a class label."""
-    rows = df.groupBy(label).agg(F.expr("count(*) AS n")).limit(MAX_CLASSES + 1).collect()
+    """Rows per class; one row for each class reaches the driver."""
+    rows = df.groupBy(quoted(label)).agg(F.expr("count(*) AS n")).collect()
     return _checked_classes({value: n for value, n in rows}, label)
 
 
@@ -70,34 +69,26 @@ def stratified_split(
     """Add a ``split`` column with exactly sized, stratified train and test rows.
 
     Within each class the rows with the smallest hashes become the test rows.
-    One aggregation counts the rows per class and hash prefix; from it the
-    driver learns, per class, the prefix at which the test rows end. All other
-    prefixes are then decided row by row without a shuffle, and only the rows
-    of the boundary prefix (one in 65,536) are put in order. There, identical
-    rows travel as one row with a count, so a value that fills a third of the
-    table is no burden either. The result does not depend on the partitioning.
+    One aggregation counts the rows per class and hash prefix; a running sum over
+    the prefixes finds the one at which the test rows of a class end, and only that
+    row per class reaches the driver. All other prefixes are then decided row by row
+    without a shuffle, and only the rows of the boundary prefix (one in 65,536) are
+    put in order. There, identical rows travel as one row with a count, so a value
+    that fills a third of the table is no burden either. The result does not depend
+    on the partitioning.
     """
     columns = [quoted(c) for c in df.columns]
     # As a generator's output, the hash is computed once per row. A plain column
     # would be copied into every filter and projection that mentions it.
     hashed = df.selectExpr("*", f"stack(1, {row_hash(df, seed)}) AS (_hash)")
     prefix = f"substr(_hash, 1, {_PREFIX_DIGITS})"
-    buckets = _prefix_counts(hashed, prefix, label)
-    counts = {value: sum(n for _, n in rows) for value, rows in buckets.items()}
-    boundary, missing = {}, {}
-    for value, wanted in test_sizes(counts, test_share).items():
-        for digits, n in sorted(buckets[value]):
-            if wanted <= n:
-                boundary[value], missing[value] = digits, wanted
-                break
-            wanted -= n
-
-    edge = lookup(label, boundary)
+    boundary, missing = _boundaries(hashed, prefix, label, test_share)
+    edge = lookup(quoted(label), boundary)
     decided = hashed.filter(f"{prefix} <> {edge}").selectExpr(
         *columns, f"IF({prefix} < {edge}, '{TEST}', '{TRAIN}') AS split"
     )
     order = f"OVER (PARTITION BY {quoted(label)} ORDER BY _hash, {', '.join(columns)})"
-    to_test = f"{lookup(label, missing)} - (sum(_copies) {order} - _copies)"
+    to_test = f"{lookup(quoted(label), missing)} - (sum(_copies) {order} - _copies)"
     sided = (
         hashed.filter(f"{prefix} = {edge}")
         .groupBy("_hash", *columns)
@@ -114,56 +105,45 @@ def stratified_split(
     return decided.unionByName(_repeat(sided.filter("_rows > 0"), "_rows"))
 
 
-def class_weights(df: DataFrame, label: str = S.INCIDENT) -> DataFrame:
-    """Balanced weights n / (classes * rows of the class), one row per class.
-
-    The windows run over the aggregated table, which is as small as the result.
-    """
-    return (
-        df.groupBy(label)
-        .agg(F.expr("count(*) AS n"))
-        .selectExpr(
-            label,
-            "n",
-            "CAST(sum(n) OVER (PARTITION BY 0) AS DOUBLE)"
-            " / (count(*) OVER (PARTITION BY 0) * n) AS weight",
-        )
-    )
-
-
 def with_class_weight(
     df: DataFrame, counts: Mapping[int, int], label: str = S.INCIDENT, weight: str = "weight"
 ) -> DataFrame:
-    """Add the balanced class weight of each row's label, as a projection."""
+    """Add the balanced weight n / (classes * rows of the class) of each row's label, as a projection."""
     total = sum(counts.values())
     weights = {value: total / (len(counts) * n) for value, n in counts.items()}
-    return df.selectExpr("*", f"{lookup(label, weights)} AS {weight}")
+    return df.selectExpr("*", f"{lookup(quoted(label), weights)} AS {quoted(weight)}")
 
 
-def _prefix_counts(hashed: DataFrame, prefix: str, label: str) -> dict[int, list]:
-    limit = MAX_CLASSES * 16**_PREFIX_DIGITS
-    rows = (
-        hashed.groupBy(F.expr(f"{quoted(label)} AS label"), F.expr(f"{prefix} AS prefix"))
-        .agg(F.expr("count(*) AS n"))
-        .limit(limit + 1)
-        .collect()
+def _boundaries(
+    hashed: DataFrame, prefix: str, label: str, test_share: float
+) -> tuple[dict, dict]:
+    """Per class, the prefix at which its test rows end and how many rows of that are test rows."""
+    buckets = hashed.groupBy(F.expr(f"{quoted(label)} AS label"), F.expr(f"{prefix} AS prefix")).agg(
+        F.expr("count(*) AS n")
     )
-    if len(rows) > limit:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
-    buckets: dict = {}
-    for value, digits, n in rows:
-        buckets.setdefault(value, []).append((digits, n))
-    _checked_classes(buckets, label)
-    return buckets
+    buckets.persist()  # at most 65,536 rows per class, used twice
+    try:
+        totals = buckets.groupBy("label").agg(F.expr("sum(n) AS n")).collect()
+        counts = _checked_classes({value: n for value, n in totals}, label)
+        sizes = test_sizes(counts, test_share)
+        wanted = lookup("label", sizes)
+        edges = (
+            buckets.selectExpr("*", "sum(n) OVER (PARTITION BY label ORDER BY prefix) AS upto")
+            .filter(f"greatest({wanted}, 1) > upto - n AND greatest({wanted}, 1) <= upto")
+            .selectExpr("label", "prefix", "upto - n AS below")
+            .collect()
+        )
+    finally:
+        buckets.unpersist()
+    boundary = {value: digits for value, digits, _ in edges}
+    return boundary, {value: sizes[value] - below for value, _, below in edges}
 
 
 def _checked_classes(classes: dict, label: str) -> dict:
     if None in classes:
         raise ValueError(f"{label!r} has missing values")
     if not classes:
-        raise ValueError("dataset is empty")
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
+        raise ValueError("there are no rows to split")
     return classes
 
 

@@ -1,10 +1,13 @@
 """Validate, preprocess, train, then evaluate and gate, then record the run.
 
-One Spark application. The steps hand tables to each other as files under the
-output folder, so a step that is repeated after a failure starts from storage
-and scored rows are read back, not scored again.
+One Spark application. The steps hand tables to each other as parquet under the
+output folder (``tables``), with the types they have, so a step that is repeated after
+a failure starts from storage and scored rows are read back, not scored again. CSV and
+JSON files beside them are written for other readers and never read again.
 """
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +15,26 @@ from pyspark.sql import functions as F
 from riskwindow import schema as S
 from riskwindow.operators import evaluate, models, quality, split
 from riskwindow.operators.features import engineer_features
-from riskwindow.sources import append_run, read_delimited, write_csv, write_json, write_parquet
+from riskwindow.sources import append_run, write_csv, write_json, write_parquet
+
+
+def _stored(df: DataFrame, output: str, name: str, deliver: Callable | None = None) -> DataFrame:
+    """The table as stored, for the steps that follow; also written in another format on demand."""
+    path = f"{output}/tables/{name}"
+    write_parquet(df, path)
+    table = df.sparkSession.read.parquet(path)
+    if deliver:
+        deliver(table, f"{output}/{name}")
+    return table
 
 
-def validate(windows: DataFrame, output: str) -> DataFrame:
+def validate(windows: DataFrame, output: str) -> tuple[DataFrame, DataFrame]:
     """Check columns and rows, store the raw table and its statistics."""
-    spark = windows.sparkSession
     quality.require_columns(windows)
     quality.require_rows(windows)
-    write_parquet(windows, f"{output}/raw")
-    raw = spark.read.parquet(f"{output}/raw")
-    write_json(quality.dataset_stats(raw, windows=True), f"{output}/data_stats")
-    return raw
+    raw = _stored(windows, output, "raw")
+    stats = quality.dataset_stats(raw, windows=True)
+    return raw, _stored(stats, output, "data_stats", write_json)
 
 
 def preprocess(raw: DataFrame, output: str) -> tuple[DataFrame, StringIndexerModel]:
@@ -37,27 +48,32 @@ def preprocess(raw: DataFrame, output: str) -> tuple[DataFrame, StringIndexerMod
 
 
 def train(
-    samples: DataFrame, indexer: StringIndexerModel, output: str, model_type: str, classifier=None
-) -> DataFrame:
-    """Fit the preset, store model, predictions and reports, return the metrics row."""
-    spark = samples.sparkSession
+    samples: DataFrame,
+    indexer: StringIndexerModel,
+    output: str,
+    model_type: str,
+    classifier=None,
+    partitions: int | None = None,
+) -> dict[str, DataFrame]:
+    """Fit the preset, store model, predictions, metrics and reports."""
     fit_rows = samples.filter(f"split = '{split.TRAIN}'")
     test_rows = samples.filter(f"split = '{split.TEST}'")
     counts = split.label_counts(fit_rows)
     n = sum(counts.values())
     model = models.fit_scaled(
-        models.compact(split.with_class_weight(fit_rows, counts), n),
+        split.with_class_weight(fit_rows, counts),
         indexer,
         classifier or models.scaled_model(model_type, n),
         n,
+        partitions,
     )
     models.save_model(model, f"{output}/model")
-    write_csv(models.prediction_table(models.score(model, test_rows)), f"{output}/predictions")
-    predictions = read_delimited(spark, f"{output}/predictions", S.PREDICTION_SCHEMA)
-    write_parquet(evaluate.confusion_pairs(predictions), f"{output}/confusion_pairs")
-    pairs = spark.read.parquet(f"{output}/confusion_pairs")
-    write_csv(evaluate.confusion_matrix(pairs), f"{output}/confusion_matrix")
-    write_json(evaluate.classification_report(pairs), f"{output}/classification_report")
+    scored = models.prediction_table(models.score(model, test_rows))
+    predictions = _stored(scored, output, "predictions", write_csv)
+    pairs = _stored(evaluate.confusion_pairs(predictions), output, "confusion_pairs")
+    matrix = _stored(evaluate.confusion_matrix(pairs), output, "confusion_matrix", write_csv)
+    report = evaluate.classification_report(pairs)
+    report = _stored(report, output, "classification_report", write_json)
     fitted = evaluate.confusion_pairs(models.score(model, fit_rows), S.INCIDENT, "prediction")
     train_accuracy = evaluate.accuracy(fitted).first()[0]
     area = evaluate.roc_auc(predictions)
@@ -71,8 +87,13 @@ def train(
         F.lit(area).alias("auc"),
         F.current_timestamp().alias("trained_at"),
     )
-    write_json(metrics, f"{output}/metrics")
-    return metrics
+    return {
+        "predictions": predictions,
+        "confusion_pairs": pairs,
+        "confusion_matrix": matrix,
+        "classification_report": report,
+        "metrics": _stored(metrics, output, "metrics", write_json),
+    }
 
 
 def evaluation_report(metrics: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -103,34 +124,27 @@ def run_pipeline(
     model_type: str = "random_forest",
     strict: bool = False,
     classifier=None,
+    partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """The whole chain; returns the stored tables by name.
 
     A failed gate is reported and the run still recorded, unless ``strict``.
     """
-    raw = validate(windows, output)
+    raw, data_stats = validate(windows, output)
     samples, indexer = preprocess(raw, output)
-    train(samples, indexer, output, model_type, classifier)
-    metrics = spark.read.json(f"{output}/metrics")
-    predictions = read_delimited(spark, f"{output}/predictions", S.PREDICTION_SCHEMA)
-    pairs = spark.read.parquet(f"{output}/confusion_pairs")
-    write_parquet(evaluation_report(metrics, pairs), f"{output}/evaluation_report")
-    gate = evaluate.quality_gate(metrics)
-    write_json(gate, f"{output}/gate")
+    found = train(samples, indexer, output, model_type, classifier, partitions)
+    report = evaluation_report(found["metrics"], found["confusion_pairs"])
+    report = _stored(report, output, "evaluation_report")
+    gate = _stored(evaluate.quality_gate(found["metrics"]), output, "gate", write_json)
     if strict:
         evaluate.require_gate(gate)
     append_run(spark, f"{output}/runs", output)
     return {
         "raw": raw,
         "samples": samples,
-        "data_stats": spark.read.json(f"{output}/data_stats"),
-        "predictions": predictions,
-        "confusion_matrix": spark.read.csv(
-            f"{output}/confusion_matrix", header=True, inferSchema=True
-        ),
-        "classification_report": spark.read.json(f"{output}/classification_report"),
-        "metrics": metrics,
-        "evaluation_report": spark.read.parquet(f"{output}/evaluation_report"),
-        "gate": spark.read.json(f"{output}/gate"),
+        "data_stats": data_stats,
+        **found,
+        "evaluation_report": report,
+        "gate": gate,
         "runs": spark.read.parquet(f"{output}/runs"),
     }

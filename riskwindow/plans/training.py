@@ -10,7 +10,7 @@ from riskwindow import schema as S
 from riskwindow.operators import evaluate, models, split
 from riskwindow.operators.features import engineer_features
 from riskwindow.operators.quality import require_columns, require_rows
-from riskwindow.session import shared_folder
+from riskwindow.session import discard, shared_folder
 from riskwindow.sources import write_parquet
 
 SPLITS = ("stratified", "random")
@@ -23,6 +23,12 @@ class TrainedModel:
     metrics: DataFrame
     confusion: DataFrame
     importances: DataFrame
+    folders: tuple[str, ...] = ()
+
+    def discard(self) -> None:
+        """Delete the stored split and predictions; the tables above cannot be read afterwards."""
+        for folder in self.folders:
+            discard(self.predictions.sparkSession, folder)
 
 
 def train_and_test(
@@ -77,22 +83,28 @@ def run_training(
     split_method: str = "stratified",
     classifier=None,
     unseen: str = "keep",
+    folder: str | None = None,
+    partitions: int | None = None,
 ) -> TrainedModel:
     """Engineer, split, fit, score and evaluate; save when a path is given.
 
-    ``classifier`` replaces the preset of that name. The scored test rows are
-    stored in the shared folder, so the metrics do not score them again.
+    ``classifier`` replaces the preset of that name. The split and the scored test rows are
+    stored below ``folder``, by default in the shared folder, so the metrics do not score
+    them again; ``discard`` of the result deletes them.
     """
     estimator = classifier or models.plain_model(model_type)
     require_columns(windows, S.WINDOW_SCHEMA.names)
     require_rows(windows)
-    train, test = train_and_test(engineer_features(windows, policy="zero"), split_method)
-    model = models.fit_plain(models.compact(train, train.count()), estimator, unseen)
-    folder = shared_folder(windows.sparkSession, "predictions")
-    write_parquet(models.score(model, test), folder)
-    predictions = windows.sparkSession.read.parquet(folder)
+    folder = folder or shared_folder(windows.sparkSession, "training")
+    folders = (f"{folder}/split", f"{folder}/predictions")
+    engineered = engineer_features(windows, policy="zero")
+    train, test = train_and_test(engineered, split_method, folders[0])
+    model = models.fit_plain(train, estimator, unseen, partitions)
+    write_parquet(models.score(model, test), folders[1])
+    predictions = windows.sparkSession.read.parquet(folders[1])
     confusion = evaluate.confusion_pairs(predictions, S.INCIDENT, "prediction")
     metrics = weighted_evaluation(predictions, confusion)
     if model_path:
         models.save_model(model, model_path)
-    return TrainedModel(model, predictions, metrics, confusion, models.feature_importances(model))
+    importances = models.feature_importances(model)
+    return TrainedModel(model, predictions, metrics, confusion, importances, folders)

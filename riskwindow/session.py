@@ -3,6 +3,8 @@
 Library functions take the session of their inputs and never change settings.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,12 +30,29 @@ def session(name: str = "riskwindow", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the folder that the cluster shares.
 
-    That folder is read from ``spark.checkpoint.dir``. Only a local session may
-    do without the setting.
+    That folder is read from ``spark.checkpoint.dir``. Only a session without executors
+    of their own may do without the setting; its folder goes when Python ends. Below a
+    shared folder, what is temporary stays until :func:`discard` or the cluster's own clearing.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="riskwindow-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was temporary."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def _local_root(spark: SparkSession) -> str:
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
+    if "root" not in _LOCAL:
+        _LOCAL["root"] = tempfile.mkdtemp(prefix="riskwindow-")
+        atexit.register(shutil.rmtree, _LOCAL["root"], ignore_errors=True)
+    return _LOCAL["root"]

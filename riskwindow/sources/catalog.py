@@ -29,8 +29,15 @@ def create_external_table(
 
 
 def overwrite_table(df: DataFrame, name: str) -> None:
-    """Bulk load: replace the rows of an existing table."""
-    df.write.mode("overwrite").insertInto(name)
+    """Bulk load: replace the rows of an existing table.
+
+    Columns go by name, whatever their order; missing and unknown ones are an error.
+    """
+    wanted = df.sparkSession.table(name).columns
+    given = {c.lower() for c in df.columns}
+    if given != {c.lower() for c in wanted} or len(df.columns) != len(wanted):
+        raise ValueError(f"{name} has the columns {wanted}, the new rows have {df.columns}")
+    df.select(*map(quoted, wanted)).write.mode("overwrite").insertInto(name)
 
 
 def save_table(df: DataFrame, name: str) -> DataFrame:

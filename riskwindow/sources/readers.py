@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwindow import schema as S
-from riskwindow.functions import literal, quoted
+from riskwindow.functions import literal, quoted, window_label
 
 # The cell texts that pandas reads as missing by default.
 PANDAS_NULL_MARKERS = (
@@ -93,9 +93,10 @@ def read_dated_windows(
     """A feature table stored by date, from ``first`` to ``last`` (``YYMMDD``).
 
     Only the folders of these dates are listed and read. The folder names are
-    taken as text, so that leading zeros stay.
+    taken as text, so that leading zeros stay; counts may be stored as INT or BIGINT.
     """
-    schema = T.StructType([*S.WINDOW_SCHEMA.fields, T.StructField("date_part", T.StringType())])
+    stored = [f for f in spark.read.parquet(path).schema.fields if f.name != "date_part"]
+    schema = T.StructType([*stored, T.StructField("date_part", T.StringType())])
     df = spark.read.schema(schema).parquet(path)
     if first is not None:
         df = df.filter(f"date_part >= {literal(first)}")
@@ -121,6 +122,7 @@ def windows_from_events(
     label is formatted once per output row, not once per event. The distinct
     count makes Spark aggregate by (key, event) before it shuffles by key, so a
     component that holds a third of the log does not become one large task.
+    Counts are BIGINT; tables that store them as INT are read as well.
     """
     keyed = events.selectExpr(
         f"{component} AS {S.COMPONENT}",
@@ -131,12 +133,12 @@ def windows_from_events(
         f"CASE WHEN {incident} THEN 1 ELSE 0 END AS _incident",
     )
     hourly = keyed.groupBy(S.COMPONENT, "_day", "_hour").agg(
-        F.expr(f"CAST(sum(_warning) AS INT) AS {S.WARN_COUNT}"),
-        F.expr(f"CAST(count(*) AS INT) AS {S.LOG_VOLUME}"),
-        F.expr(f"CAST(count(DISTINCT _event) AS INT) AS {S.UNIQUE_EVENT_COUNT}"),
+        F.expr(f"sum(_warning) AS {S.WARN_COUNT}"),
+        F.expr(f"count(*) AS {S.LOG_VOLUME}"),
+        F.expr(f"count(DISTINCT _event) AS {S.UNIQUE_EVENT_COUNT}"),
         F.expr(f"max(_incident) AS {S.INCIDENT}"),
     )
-    label = "concat(date_format(_day, 'yyMMdd'), '_', lpad(CAST(_hour AS STRING), 2, '0'))"
+    label = window_label("_day", "_hour")
     return hourly.selectExpr(
         S.COMPONENT, f"{label} AS {S.TIME_WINDOW}", *S.MEASURES, S.INCIDENT
     )

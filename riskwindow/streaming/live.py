@@ -5,11 +5,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
-from riskwindow.operators.features import engineer_features
-from riskwindow.operators.models import score
+from riskwindow.functions import window_label
+from riskwindow.operators.models import score_windows
 
 GRAIN = "1 hour"
 
+# The instant whose UTC fields are the event's wall-clock time in the session's zone. Windows of an
+# hour then begin where the batch roll-up's hours do, whatever the zone's offset.
+_WALL_CLOCK = (
+    "timestamp_seconds(unix_date(CAST(_wall AS DATE)) * 86400L"
+    " + hour(_wall) * 3600 + minute(_wall) * 60 + second(_wall))"
+)
+_DAY_AND_HOUR = (
+    "date_from_unix_date(CAST(floor(unix_seconds(_hour.start) / 86400) AS INT))",
+    "CAST(pmod(unix_seconds(_hour.start), 86400L) DIV 3600 AS INT)",
+)
+
 
 def windows_from_event_stream(
     events: DataFrame,
@@ -28,8 +39,8 @@ def windows_from_event_stream(
     ``delay`` behind the newest one are dropped, and an hour is emitted once the
     watermark has passed its end.
     """
-    keyed = events.selectExpr(
-        f"CAST({time} AS TIMESTAMP) AS _time",
+    keyed = events.selectExpr(f"CAST({time} AS TIMESTAMP_NTZ) AS _wall", "*").selectExpr(
+        f"{_WALL_CLOCK} AS _time",
         f"{component} AS {S.COMPONENT}",
         f"{event} AS _event",
         f"CASE WHEN {warning} THEN 1 ELSE 0 END AS _warning",
@@ -43,14 +54,14 @@ def windows_from_event_stream(
     hourly = per_event.groupBy(
         F.window(F.window_time("_window"), GRAIN).alias("_hour"), S.COMPONENT
     ).agg(
-        F.expr(f"CAST(sum(_warning) AS INT) AS {S.WARN_COUNT}"),
-        F.expr(f"CAST(sum(_events) AS INT) AS {S.LOG_VOLUME}"),
-        F.expr(f"CAST(count(_event) AS INT) AS {S.UNIQUE_EVENT_COUNT}"),
+        F.expr(f"sum(_warning) AS {S.WARN_COUNT}"),
+        F.expr(f"sum(_events) AS {S.LOG_VOLUME}"),
+        F.expr(f"count(_event) AS {S.UNIQUE_EVENT_COUNT}"),
         F.expr(f"max(_incident) AS {S.INCIDENT}"),
     )
     return hourly.selectExpr(
         S.COMPONENT,
-        f"date_format(_hour.start, 'yyMMdd_HH') AS {S.TIME_WINDOW}",
+        f"{window_label(*_DAY_AND_HOUR)} AS {S.TIME_WINDOW}",
         *S.MEASURES,
         S.INCIDENT,
     )
@@ -59,8 +70,11 @@ def windows_from_event_stream(
 def score_stream(
     model: PipelineModel, windows: DataFrame, policy: str = "zero", **thresholds
 ) -> DataFrame:
-    """Engineer and score raw six-column rows as they arrive."""
-    return score(model, engineer_features(windows, policy, **thresholds))
+    """Engineer and score raw six-column rows as they arrive.
+
+    Rows that cannot be scored come out with a NULL prediction.
+    """
+    return score_windows(model, windows, policy, **thresholds)
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = False):

@@ -1,7 +1,7 @@
-import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -21,7 +21,7 @@ def duck():
 
 
 def _plain(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if pd.isna(value):
         return "NULL"
     if isinstance(value, float):
         return f"{value:.9g}"

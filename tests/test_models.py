@@ -72,9 +72,36 @@ def test_scaler_has_population_deviation(sample):
         models.scaled_feature_stages(indexer, 1)
 
 
-def test_compact_merges_only_small_partitions(spark):
-    assert models.compact(spark.range(100).repartition(4), 100).rdd.getNumPartitions() == 1
-    assert models.compact(spark.range(100).repartition(4), 10**9).rdd.getNumPartitions() == 4
+def test_the_same_stored_split_gives_the_same_model(sample, tmp_path):
+    engineered = engineer_features(sample)
+    train, _ = training.train_and_test(engineered.repartition(3), folder=str(tmp_path / "split"))
+    fits = [models.fit_plain(train, small_forest(subsamplingRate=0.5)) for _ in range(2)]
+    first, second = (fit.stages[-1].toDebugString.split("\n", 1)[1] for fit in fits)
+    assert first == second
+
+
+def test_partitions_are_merged_on_demand_only(spark):
+    rows = spark.range(100).repartition(4)
+    assert models._parted(rows, None).rdd.getNumPartitions() == 4
+    assert models._parted(rows, 1).rdd.getNumPartitions() == 1
+
+
+def test_memory_for_trees_is_a_parameter(spark):
+    assert models.plain_model("gbt", 64).getMaxMemoryInMB() == 64
+    assert models.scaled_model("random_forest", 9).getMaxMemoryInMB() == 256
+
+
+def test_malformed_rows_are_kept_without_a_score(make, sample):
+    model = models.fit_plain(engineer_features(sample), small_forest())
+    rows = make(
+        [("svc.1", "bad", 1, 2, 1, 0), ("svc.1", "240101_05", None, 2, 1, 0), (None, "240101_05", 1, 2, 1, 0),
+         ("svc.1", "240101_05", 1, 2, 1, 0)]
+    )
+    scored = models.score_windows(model, rows)
+    assert scored.columns[: len(engineer_features(rows).columns)] == engineer_features(rows).columns
+    found = [(r.time_window, r.warn_count, r.hour, r.prediction is None) for r in scored.collect()]
+    assert found == [("bad", 1, None, True), ("240101_05", None, 5, True), ("240101_05", 1, 5, False), ("240101_05", 1, 5, False)]
+    assert [r.y_proba is None for r in models.positive_probability(scored).collect()] == [True, True, False, False]
 
 
 @pytest.mark.parametrize("method", training.SPLITS)
@@ -134,13 +161,16 @@ def test_unseen_component(make, sample):
 
 def test_stream_scores_equal_batch_scores(spark, sample, tmp_path):
     model = models.fit_plain(engineer_features(sample), small_forest())
+    bad = spark.createDataFrame([("svc.1", "bad", 1, 2, 1, 0)], S.WINDOW_SCHEMA)
+    sample = sample.unionByName(bad)
     write_csv(sample, str(tmp_path / "in"))
     stream = spark.readStream.schema(S.WINDOW_SCHEMA).option("header", True).csv(str(tmp_path / "in"))
     scored = score_stream(model, stream).select(S.COMPONENT, S.TIME_WINDOW, "prediction")
     write_stream(scored, str(tmp_path / "out"), str(tmp_path / "progress"), True).awaitTermination()
     batch = models.score(model, engineer_features(sample)).select(*scored.columns)
     streamed = spark.read.parquet(str(tmp_path / "out"))
-    assert streamed.count() == 200 and streamed.exceptAll(batch).isEmpty()
+    assert streamed.count() == 201 and streamed.exceptAll(batch).isEmpty()
+    assert streamed.filter("prediction IS NULL").count() == 1
 
 
 def test_pipeline(spark, sample, tmp_path):
@@ -192,6 +222,37 @@ def test_command_line(spark, sample, tmp_path, capsys):
         main(["sql", source, str(tmp_path / "exported"), "--database", "cli_test"])
     finally:
         spark.catalog.setCurrentDatabase("default")
+    main(["score", source, str(tmp_path / "scored"), "--model", str(tmp_path / "model")])
+    assert spark.read.parquet(str(tmp_path / "scored")).filter("y_proba BETWEEN 0 AND 1").count() == 200
     shown = capsys.readouterr().out
+    assert "not_scored" in shown
     assert "all_checks_passed" in shown and "incident_rate_percent" in shown
     assert spark.read.parquet(str(tmp_path / "run" / "runs")).count() == 1
+
+
+def test_command_line_for_raw_events(spark, sample, tmp_path):
+    events = spark.range(400).selectExpr(
+        "id % 3 AS part", "concat('e', id % 5) AS kind", "id",
+        "CAST(timestamp_seconds(1704067200 + id * 420) AS TIMESTAMP_NTZ) AS ts",
+    )
+    source = str(tmp_path / "events")
+    events.repartition(3).write.parquet(source)
+    mapping = ["--component", "concat('svc.', part)", "--event", "kind", "--warning", "id % 5 = 0", "--incident", "id % 50 = 7"]
+    main(["rollup", source, str(tmp_path / "windows"), *mapping])
+    dates = sorted(r[0] for r in spark.read.parquet(str(tmp_path / "windows")).select("time_window").distinct().collect())
+    main(["explore", str(tmp_path / "windows"), str(tmp_path / "day"), "--from", "240102", "--to", "240102"])
+    shape = spark.read.parquet(str(tmp_path / "day" / "date_stats")).collect()
+    assert dates[0] == "240101_00" and [r.date for r in shape] == ["240102"]
+    models.save_model(models.fit_plain(engineer_features(sample), small_forest()), str(tmp_path / "model"))
+    for job, more in (("stream-rollup", []), ("stream-score", ["--model", str(tmp_path / "model")])):
+        out = str(tmp_path / job)
+        main([job, source, out, "--progress", out + "-progress", "--once", *mapping, *more])
+        closed = [d for d in dates if d < dates[-1]]
+        assert spark.read.parquet(out).select("time_window").distinct().count() in (len(closed) - 1, len(closed) - 2)
+
+
+def test_training_leaves_nothing_behind_on_demand(spark, sample, tmp_path):
+    run = training.run_training(sample, classifier=small_forest(), folder=str(tmp_path / "run"))
+    assert (tmp_path / "run" / "split").exists() and run.metrics.count() == 1
+    run.discard()
+    assert not any((tmp_path / "run").iterdir())

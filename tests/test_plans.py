@@ -48,7 +48,7 @@ def _read_columns(plan):
             lambda f: engineer_features(f).select(S.COMPONENT, S.HOUR),
             {"component", "time_window"},
         ),
-        (split.class_weights, {"incident"}),
+        (lambda f: split.with_class_weight(f, {0: 9, 1: 1}).groupBy("weight").count(), {"incident"}),
         (explore.scatter_density, {"warn_count", "log_volume", "incident"}),
     ],
 )
@@ -115,3 +115,33 @@ def test_metrics_come_from_one_scan(stored):
 def test_split_hashes_each_row_once_per_scan(stored):
     plan = executed_plan(split.stratified_split(engineer_features(stored)))
     assert plan.count("md5(") == plan.count("FileScan") == 2
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda f: distribution.histogram(distribution.value_frequencies(f, S.MEASURES)),
+        lambda f: distribution.box_statistics(distribution.value_frequencies(f, S.MEASURES)),
+        lambda f: distribution.describe_columns(f, S.MEASURES),
+        explore.stats_by_incident,
+    ],
+)
+def test_values_do_not_meet_by_feature_below_a_join(spark, stored, build):
+    """Also without automatic broadcasts: the side of few rows is broadcast by a hint."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed_plan(build(stored))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_scaling_reads_the_raw_rows_once(spark, sample, tmp_path, monkeypatch):
+    """The split is stored; indexer, scaler and result start from it."""
+    from riskwindow.plans import training
+
+    path = str(tmp_path / "windows")
+    sample.write.parquet(path)
+    train, test = training.train_and_test(engineer_features(spark.read.parquet(path), "plus_one"))
+    assert path not in executed_plan(train) and path not in executed_plan(test)

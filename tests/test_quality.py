@@ -59,6 +59,6 @@ def test_checks(make):
     quality.require_rows(make(ROWS))
     with pytest.raises(ValueError, match="incident"):
         quality.require_columns(make(ROWS).drop("incident"))
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         quality.require_rows(make([]))
     assert quality.dataset_stats(make([])).first().total_records == 0

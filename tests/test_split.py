@@ -5,8 +5,7 @@ from conftest import executed_plan, sample_rows, table
 from hypothesis import given
 from hypothesis import strategies as st
 
-from riskwindow import schema as S
-from riskwindow.operators import scaling, split
+from riskwindow.operators import split
 
 
 def _sides(df):
@@ -88,11 +87,25 @@ def test_null_in_rows_is_kept(make):
 def test_missing_label_is_refused(make):
     with pytest.raises(ValueError, match="missing"):
         split.stratified_split(make([("a", "x", 1, 1, 1, None), ("a", "y", 1, 1, 1, 0)]))
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         split.stratified_split(make([]))
-    many = make([("a", "x", 1, 1, 1, i) for i in range(40)])
-    with pytest.raises(ValueError, match="classes"):
-        split.label_counts(many)
+
+
+def test_many_classes(make):
+    rows = [(f"c{i}", f"240101_{i:02d}", j, 1, 1, i) for i in range(20) for j in range(10 + i)]
+    found = _sides(split.stratified_split(make(rows)))
+    sizes = split.test_sizes({i: 10 + i for i in range(20)})
+    assert {i: found[i, "test"] for i in range(20)} == sizes
+    assert sum(found.values()) == len(rows)
+
+
+def test_one_row_per_class_reaches_the_driver(sample, monkeypatch):
+    collected = []
+    frame = type(sample)
+    whole = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: collected.append(rows := whole(self)) or rows)
+    split.stratified_split(sample)
+    assert [len(rows) for rows in collected] == [2, 2]
 
 
 def test_decided_rows_do_not_shuffle(sample):
@@ -109,18 +122,9 @@ def test_random_split(sample):
 
 
 def test_class_weights(make, sample):
-    rows = table(split.class_weights(sample), "incident")
-    assert [r["weight"] for r in rows] == [200 / (2 * 180), 200 / (2 * 20)]
     weighted = split.with_class_weight(sample, split.label_counts(sample))
+    rows = table(weighted.select("incident", "weight").distinct(), "incident")
+    assert [r["weight"] for r in rows] == [200 / (2 * 180), 200 / (2 * 20)]
     assert weighted.selectExpr("sum(weight)").first()[0] == pytest.approx(200)
     one = make([("a", "x", 1, 1, 1, 1)] * 3)
-    assert split.class_weights(one).first().weight == 1.0
-
-
-def test_scaling_uses_the_population_deviation(make):
-    df = make([("a", "x", w, 5, 1, 0) for w in (1, 2, 3, 6)])
-    fitted = scaling.fit_scaling(df, [S.WARN_COUNT, S.LOG_VOLUME])
-    assert fitted[S.WARN_COUNT] == pytest.approx((3.0, 3.5**0.5))
-    rows = scaling.apply_scaling(df, fitted).orderBy(S.WARN_COUNT).collect()
-    assert [r.warn_count for r in rows] == pytest.approx([(w - 3) / 3.5**0.5 for w in (1, 2, 3, 6)])
-    assert {r.log_volume for r in rows} == {0.0}
+    assert split.with_class_weight(one, split.label_counts(one)).first().weight == 1.0

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from riskwindow import schema as S
 from riskwindow.sources import windows_from_events
 from riskwindow.streaming import windows_from_event_stream, write_stream
@@ -32,7 +35,42 @@ def test_closed_hours_equal_the_batch(spark, tmp_path):
     closed = batch.filter("time_window < '240103_08'")
     assert streamed.count() == closed.count() > 100
     assert streamed.exceptAll(closed).isEmpty()
-    assert streamed.schema.simpleString() == S.WINDOW_SCHEMA.simpleString()
+    assert streamed.schema.simpleString() == batch.schema.simpleString()
+    assert streamed.columns == S.WINDOW_SCHEMA.names
+
+
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/St_Johns", "UTC"])
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "TIMESTAMP_NTZ"])
+def test_hours_are_those_of_the_batch_in_every_zone(spark, tmp_path, zone, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        events = _events(spark, 0, 200).withColumn("ts", F.expr(f"CAST(ts AS {kind})"))
+        events.repartition(2).write.parquet(str(tmp_path / "events"))
+        events = spark.read.parquet(str(tmp_path / "events"))
+        streamed = _run(spark, str(tmp_path / "events"), events.schema, str(tmp_path / "out"))
+        batch = windows_from_events(events, **MAPPING)
+        assert streamed.count() > 40 and streamed.exceptAll(batch).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_file_and_folder_of_events_give_the_same(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    events = _events(spark, 0, 300)
+    whole, parts = tmp_path / "whole", tmp_path / "parts"
+    events.repartition(3).write.parquet(str(parts / "events.parquet"))
+    events.coalesce(1).write.parquet(str(tmp_path / "one"))
+    whole.mkdir()
+    next((tmp_path / "one").glob("part-*.parquet")).rename(whole / "events.parquet")
+    found = []
+    for folder in (whole, parts):
+        stream = windows_from_event_stream(entry._event_stream(spark, str(folder)), **MAPPING)
+        out = str(folder / "out")
+        write_stream(stream, f"{out}/windows", f"{out}/progress", True).awaitTermination()
+        found.append(sorted(map(tuple, spark.read.parquet(f"{out}/windows").collect())))
+    assert found[0] == found[1] and len(found[0]) > 60
 
 
 def test_second_run_goes_on_where_the_first_stopped(spark, tmp_path):
