@@ -1,0 +1,57 @@
+import random
+
+import public_tokenizers
+import sentencepiece
+from odd_rows import ODD
+
+from riskwindow.llm import tokencount
+
+
+def greedy(word, first, more):
+    n = at = 0
+    while at < len(word):
+        pieces = more if at else first
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        if end is None:
+            return None
+        n, at = n + 1, end
+    return n
+
+
+def test_automaton_equals_greedy_search():
+    draw = random.Random(0)
+    for _ in range(800):
+        first = {"".join(draw.choices("abc", k=draw.randrange(1, 5))) for _ in range(draw.randrange(6))}
+        more = {"".join(draw.choices("abc", k=draw.randrange(1, 6))) for _ in range(draw.randrange(7))}
+        machine = tokencount.Automaton(first, more)
+        for _ in range(20):
+            word = "".join(draw.choices("abc", k=draw.randrange(1, 14)))
+            assert machine.count(word) == greedy(word, first, more)
+
+
+def test_documents(documents):
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(tokencount.VOCABULARY))
+    pieces = [model.id_to_piece(i) for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    first = {p[1:] for p in pieces if p.startswith("▁") and p != "▁"}
+    more = {p for p in pieces if not p.startswith("▁")}
+    rows = [(7, "The quick brown fox, (naïve) 12,345 漢字 ☃☃ ét" + " Straßenbahnhaltestelle" * 50), (8, "x" * 1500), *ODD]
+    found = tokencount.token_counts(documents(rows, clash=True)).collect()
+
+    def expected(text):
+        counts = [greedy(w, first, more) for part in (text or "").split() for w in tokencount._WORD.findall(part)]
+        return sum(1 if n is None else n for n in counts), sum(n is None for n in counts)
+
+    assert sorted((str(r.doc_id), r.n_tokens, r.n_unknown) for r in found) == sorted(
+        (str(i), *expected(t)) for i, t in rows
+    )
+
+
+def test_known_words_may_be_dropped_at_any_time(documents, monkeypatch):
+    rows = [(i, f"word{i} and others") for i in range(30)]
+    whole = sorted(map(tuple, tokencount.token_counts(documents(rows)).collect()))
+    counts = tokencount._Counts(tokencount.automaton())
+    assert whole == [(i, sum(counts[w] for w in t.split()) % 2**32, 0) for i, t in rows]
+
+
+def test_no_rows(documents):
+    assert tokencount.token_counts(documents([])).count() == 0
