@@ -118,17 +118,21 @@ def anchors(lines: DataFrame) -> DataFrame:
     """place (orders documents), always (whether it counts when common), anchor; each once a document."""
     return lines.selectExpr(
         "struct(doc_id IS NULL AS none, doc_id, text_key) AS place",
-        "filter(arrays_zip(lines, sizes), x -> x.sizes > 0) AS full",
+        "filter(arrays_zip(lines, sizes), x -> x.sizes > 0) AS filled",
     ).selectExpr(
         "place",
-        f"""inline(array_distinct(concat(
-            transform(filter(full, x -> x.sizes >= {LINE}),
-                      x -> struct(x.sizes >= {LONG} AS always, x.lines AS anchor)),
-            transform(filter(transform(slice(full, 2, greatest(size(full) - 1, 0)),
-                                       (x, i) -> struct(full[i].sizes + x.sizes AS size,
-                                                        xxhash64(full[i].lines, x.lines) AS anchor)),
-                             x -> x.size >= {PAIR}),
-                      x -> struct(true AS always, x.anchor AS anchor)))))""",
+        f"""array_distinct(transform(filter(filled, x -> x.sizes BETWEEN {LINE} AND {LONG - 1}),
+                x -> x.lines)) AS short""",
+        f"""array_distinct(concat(
+            transform(filter(filled, x -> x.sizes >= {LONG}), x -> x.lines),
+            transform(filter(transform(slice(filled, 2, greatest(size(filled) - 1, 0)),
+                                       (x, i) -> struct(filled[i].sizes + x.sizes AS size,
+                                                        xxhash64(filled[i].lines, x.lines) AS anchor)),
+                             x -> x.size >= {PAIR}), x -> x.anchor))) AS others""",
+    ).selectExpr(
+        "place",
+        """inline(concat(transform(short, x -> struct(false AS always, x AS anchor)),
+                         transform(others, x -> struct(true AS always, x AS anchor))))""",
     )
 
 
@@ -137,11 +141,13 @@ def pairs(lines: DataFrame) -> DataFrame:
     n = lines.count()
     rare = max(RARE, int(RARE_SHARE * n))
     held = anchors(lines)
-    firsts = (
+    # Stored, so that the join has a plain shuffle on both sides and a hot anchor can be split.
+    firsts = common.stored(
         held.groupBy("anchor")
         .agg(F.min("place").alias("first"), F.count("*").alias("n"), F.bool_or("always").alias("always"))
         .filter((F.col("n") > 1) & (F.col("always") | (F.col("n") <= rare)))
-        .select("anchor", "first")
+        .select("anchor", "first"),
+        "firsts",
     )
     return held.join(firsts, "anchor").filter("place <> first").select("first", "place").distinct()
 
@@ -177,9 +183,7 @@ def deletions(docs: DataFrame) -> DataFrame:
             )
 
     cut = found.mapInArrow(run, "doc_id long, text_key long, runs array<struct<lo:int,hi:int>>")
-    return cut.groupBy("doc_id", "text_key").agg(
-        F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")
-    )
+    return cut.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def without_blocks(docs: DataFrame) -> DataFrame:
