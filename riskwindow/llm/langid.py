@@ -3,7 +3,9 @@
 Every language gets a dictionary of its most common words. A text is compressed by
 zstandard with each dictionary as raw content, and the language whose dictionary
 gives the fewest bytes is chosen. Texts are encoded whole, in blocks of ``BLOCK`` bytes, so
-that the dictionary counts for the end of a long text as much as for its start. Where
+that the dictionary counts for the end of a long text as much as for its start. A few whole bytes
+tell little about a short text; one of at most ``SHORT`` bytes is therefore encoded after each of
+``CONTEXTS`` stretches of the dictionary, and what it adds there is summed up. Where
 the runner-up needs hardly more bytes, the decision is **rejected** (``accepted`` is false).
 
 Dictionaries are learnt from a bounded sample: about ``SAMPLE`` different texts per
@@ -32,6 +34,7 @@ DICTIONARY = 32_768
 BLOCK = 4096
 LEVEL = 6
 MARGIN = 0.005
+SHORT, CONTEXTS = 256, 8
 UNDETERMINED = "und"
 
 _OTHER = re.compile(r"[\W\d_]+")
@@ -93,7 +96,7 @@ class Model:
     """Compressors of all languages, in alphabetical order."""
 
     def __init__(self, content: dict[str, bytes], level: int = LEVEL):
-        self.langs, self.compressors = [], []
+        self.langs, self.compressors, self.contexts = [], [], []
         for lang, raw in content.items():
             words = zstandard.ZstdCompressionDict(raw.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             words.precompute_compress(level=level)
@@ -103,9 +106,18 @@ class Model:
                     level=level, dict_data=words, write_content_size=False, write_checksum=False
                 )
             )
+            step = len(raw) // (CONTEXTS + 1)
+            # Of different lengths, so that the same bits do not end in the same byte each time.
+            before = [raw[i * step :][: 64 + i] for i in range(CONTEXTS)]
+            self.contexts.append([(b, len(self.compressors[-1].compress(b))) for b in before])
 
     def sizes(self, text: str, block: int = BLOCK) -> list[int]:
         raw = normalise(text).encode()
+        if len(raw) <= SHORT:
+            return [
+                sum(len(c.compress(before + b" " + raw)) - own for before, own in contexts)
+                for c, contexts in zip(self.compressors, self.contexts)
+            ]
         parts = [raw[i : i + block] for i in range(0, len(raw), block)]
         return [sum(len(c.compress(p)) for p in parts) for c in self.compressors]
 
@@ -116,9 +128,9 @@ class Model:
         sizes = self.sizes(text)
         order = sorted(range(len(sizes)), key=sizes.__getitem__)
         best = sizes[order[0]]
-        unit = 1 + best / 64
+        unit = 1 + max(best, 0) / 64
         score = 1 / sum(2.0 ** ((best - s) / unit) for s in sizes)
-        margin = (sizes[order[1]] - best) / sizes[order[1]] if len(order) > 1 else 1.0
+        margin = (sizes[order[1]] - best) / max(sizes[order[1]], 1) if len(order) > 1 else 1.0
         return self.langs[order[0]], score, margin
 
 

@@ -44,6 +44,16 @@ def test_size_is_that_of_all_blocks_of_the_whole_text(documents):
         assert len(parts) > 2 and abs(size - sum(len(packer.compress(p)) for p in parts)) <= 8 * len(parts)
 
 
+def test_short_texts_are_told_apart(documents):
+    model = langid.Model(langid.dictionaries(documents(_rows(60))))
+    draw = random.Random(3)
+    for lang in PARTS:
+        found = [model.predict(_text(draw, lang, 5)) for _ in range(60)]
+        assert sum(f[0] == lang for f in found) > 0.9 * len(found)
+        assert all(0 <= f[1] <= 1 and 0 <= f[2] <= 1 for f in found)
+    assert model.predict("é")[0] in PARTS
+
+
 def test_texts_without_letters_are_undetermined(documents):
     content = langid.dictionaries(documents(_rows(30)))
     rows = [*ODD, (8, "12 34 ²!")]
