@@ -33,7 +33,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 WIDTHS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 128, 256, 512)
 CELLS = 1 << 19
 #: Different pieces whose ids a worker keeps for the next texts; beyond that it starts anew.
-MEMO = 300_000
+MEMO = 150_000
 _NONE = np.int32(2**31 - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _ID_BITS = 20

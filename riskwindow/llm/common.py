@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskwindow.session import shared_folder
 
 #: Characters that a Python step takes up at a time, besides the text that crosses the limit.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ from riskwindow.llm import common
 
 WINDOW, LEAST, COVER, BITS = 8, 5, 13, 26
 #: Different words whose templates a worker keeps; beyond that it starts anew.
-MEMO = 400_000
+MEMO = 150_000
 
 NUMBER_WORDS = frozenset(
     "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
