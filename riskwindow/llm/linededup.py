@@ -3,13 +3,14 @@
 Documents that overlap are found through anchors, the lines are aligned by patience diff, and
 the common blocks leave the later document (the one with the larger doc_id).
 
-**Anchors.** A line of ``LINE`` characters or more that is rare (in at most ``max(RARE,
-RARE_SHARE x documents)`` of them), a line of ``LONG`` characters or more, and two lines
-of ``PAIR`` characters or more that follow each other; the last two however common they are.
-So a short common line alone (a licence notice) makes no pair, but nothing longer escapes. A document
-is paired with the **first** document of each of its anchors and with no other: the pairs
-grow with the lines, not with the square of a group of copies, and as the first holder of a
-block never loses it, one copy of every block stays.
+**Anchors.** From each line on, and up to each line, as many lines as reach ``BLOCK`` characters, two at least;
+two lines of ``PAIR`` characters or more that follow each other, blank lines between or not; a line of ``LONG``
+characters or more; all these
+however common they are. Also a line of ``LINE`` characters or more that is rare (in at most ``max(RARE,
+RARE_SHARE x documents)`` documents). So a short common line alone (a licence notice) makes no pair, and every
+other common block has an anchor over each of its lines. A document is paired with the **first** document of
+each of its anchors and with no other: the pairs grow with the lines, not with the square of a group of
+copies, and as the first holder of a block never loses it, one copy of every block stays.
 
 **Alignment.** Equal lines at both ends, then lines that are unique on both sides in
 longest increasing order, then the gaps between these in the same way. Consecutive
@@ -24,7 +25,9 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,8 @@ from riskwindow.llm import common
 
 LINE, LONG, PAIR, BLOCK = 20, 200, 40, 50
 RARE, RARE_SHARE = 16, 0.005
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LINES = "split(text, '\\n')"
 
 
@@ -114,25 +119,68 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def windows(lines: np.ndarray, sizes: np.ndarray, ends: np.ndarray):
+    """Document number, hash, whether it counts when common, of each anchor, once a document.
+
+    The documents lie one behind the other; ``ends`` says where each ends.
+    """
+    n = len(lines)
+    owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    filled = np.flatnonzero(sizes > 0)
+    total = np.concatenate(([0], np.cumsum(sizes)))
+    # From each line on, and up to each line, as few lines as reach BLOCK; two at least.
+    first, last = filled[:-1], filled[1:]
+    to = np.maximum(np.searchsorted(total, total[first] + BLOCK) - 1, last)
+    since = np.minimum(np.searchsorted(total, total[last + 1] - BLOCK, side="right") - 1, first)
+    lo, hi = np.concatenate((first, since)), np.concatenate((to, last))
+    there = (lo >= 0) & (hi < n)
+    lo, hi = lo[there], hi[there]
+    there = owner[lo] == owner[hi]
+    lo, hi = lo[there], hi[there]
+    power, back = np.full((2, n + 1), 1, dtype=np.uint64)
+    power[1:], back[1:] = _BASE, _INVERSE
+    power, back = np.cumprod(power), np.cumprod(back)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(lines * power[:n])))
+    code = (sums[hi + 1] - sums[lo]) * back[lo]
+    code ^= code >> np.uint64(29)
+    # Two lines that are no such window, or with blank lines between that may differ.
+    two = owner[first] == owner[last]
+    two &= (sizes[first] + sizes[last] >= PAIR) & ((sizes[first] + sizes[last] < BLOCK) | (last > first + 1))
+    code = np.concatenate((code, lines[first[two]] * _BASE ^ lines[last[two]]))
+    lo = np.concatenate((lo, first[two]))
+    alone = np.flatnonzero(sizes >= LINE)
+    who = np.concatenate((owner[lo], owner[alone]))
+    code = np.concatenate((code, lines[alone]))
+    always = np.ones(len(who), dtype=bool)
+    always[len(lo) :] = sizes[alone] >= LONG
+    order = np.lexsort((code, who))
+    who, code, always = who[order], code[order], always[order]
+    new = np.ones(len(who), dtype=bool)
+    new[1:] = (who[1:] != who[:-1]) | (code[1:] != code[:-1])
+    return who[new], code[new], always[new]
+
+
 def anchors(lines: DataFrame) -> DataFrame:
     """place (orders documents), always (whether it counts when common), anchor; each once a document."""
-    return lines.selectExpr(
-        "struct(doc_id IS NULL AS none, doc_id, text_key) AS place",
-        "filter(arrays_zip(lines, sizes), x -> x.sizes > 0) AS filled",
-    ).selectExpr(
-        "place",
-        f"""array_distinct(transform(filter(filled, x -> x.sizes BETWEEN {LINE} AND {LONG - 1}),
-                x -> x.lines)) AS short""",
-        f"""array_distinct(concat(
-            transform(filter(filled, x -> x.sizes >= {LONG}), x -> x.lines),
-            transform(filter(transform(slice(filled, 2, greatest(size(filled) - 1, 0)),
-                                       (x, i) -> struct(filled[i].sizes + x.sizes AS size,
-                                                        xxhash64(filled[i].lines, x.lines) AS anchor)),
-                             x -> x.size >= {PAIR}), x -> x.anchor))) AS others""",
-    ).selectExpr(
-        "place",
-        """inline(concat(transform(short, x -> struct(false AS always, x AS anchor)),
-                         transform(others, x -> struct(true AS always, x AS anchor))))""",
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column("lines")).to_numpy(zero_copy_only=False))
+            who, code, always = windows(
+                batch.column("lines").flatten().to_numpy(zero_copy_only=False).view(np.uint64),
+                batch.column("sizes").flatten().to_numpy(zero_copy_only=False).astype(np.int64),
+                ends.astype(np.int64),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(who)), batch.column("text_key").take(pa.array(who)),
+                 pa.array(always), pa.array(code.view(np.int64))],
+                names=["doc_id", "text_key", "always", "anchor"],
+            )
+
+    return (
+        lines.select("doc_id", "text_key", "lines", "sizes")
+        .mapInArrow(run, "doc_id long, text_key long, always boolean, anchor long")
+        .selectExpr("struct(doc_id IS NULL AS none, doc_id, text_key) AS place", "always", "anchor")
     )
 
 

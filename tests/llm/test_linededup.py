@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from odd_rows import ODD
 
 from riskwindow.llm import linededup
@@ -94,3 +95,17 @@ def test_stage_drops_emptied_documents_and_counts_characters(documents):
 
 def test_no_rows(documents):
     assert kept(documents([])) == [] and linededup.drop_blocks(documents([])).count() == 0
+
+
+def test_copies_made_of_short_lines_are_cut(documents):
+    lines = [f"short {i:04d}" for i in range(1000)]
+    found = {r[0]: r[1:] for r in kept(documents([(1, "\n".join(lines)), (2, "\n".join(["new", *lines])), (3, "\n".join(lines[7:13]))]))}
+    assert found == {1: ("\n".join(lines), 1000, 0), 2: ("new", 1001, 1000), 3: ("", 6, 6)}
+
+
+def test_windows_of_equal_lines_are_equal_wherever_they_lie():
+    lines, sizes = np.array([5, 6, 7, 5, 6, 9, 9, 5, 6, 7], dtype=np.uint64), np.array([30, 0, 30, 30, 0, 60, 9, 30, 0, 30])
+    who, code, always = linededup.windows(lines, sizes, np.array([3, 7, 7, 10]))
+    own = [set(code[who == k].tolist()) for k in range(4)]
+    assert own[0] == own[3] and len(own[0]) == 4 and not own[2] and own[0] & own[1] == {5}
+    assert code[~always].tolist() == [5, 7, 5, 9, 5, 7]
