@@ -16,12 +16,17 @@ copies, and as the first holder of a block never loses it, one copy of every blo
 longest increasing order, then the gaps between these in the same way. Consecutive
 aligned lines make a block; blocks of ``BLOCK`` characters or more are deleted.
 
+**Repeated and moved blocks.** What the alignment leaves is sought in the whole first holder: runs of equal lines
+of ``BLOCK`` characters or more, of two lines or with one of ``LONG`` characters. So a run that *any* earlier
+document has is deleted, whatever the order of blocks. A shorter line that is alone is deleted where some
+place of it in the first holder lies between the aligned lines around it; one that has moved stays.
+
 Lines are compared without the white space around them; blank lines are no anchors. Defined results:
 a null text stays null; an empty one stays empty; repeated rows (same id and text) count as one
 document and get the same result; a null doc_id is later than any other; an empty table gives none.
 """
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -90,16 +95,96 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def blocks(a: list[int], b: list[int], sizes: list[int], least: int = BLOCK) -> list[tuple[int, int]]:
-    """First and last line in b of each common block of at least so many characters."""
+    """First and last line in b of each common block of at least so many characters; they may overlap."""
     out: list[list[int]] = []
     last = None
-    for i, j in aligned(a, b):
+    order = aligned(a, b)
+    for i, j in order:
         if last == (i - 1, j - 1):
             out[-1][1] = j
         else:
             out.append([j, j])
         last = (i, j)
-    return [(lo, hi) for lo, hi in out if sum(sizes[lo : hi + 1]) >= least]
+    found = [(lo, hi) for lo, hi in out if sum(sizes[lo : hi + 1]) >= least]
+    return found + _not_aligned(a, b, sizes, least, order, found)
+
+
+def _not_aligned(
+    a: list[int], b: list[int], sizes: list[int], least: int, order: list[tuple[int, int]], found: list[tuple[int, int]]
+) -> list[tuple[int, int]]:
+    """Blocks that the alignment leaves, as they are repeated or have moved."""
+    gone = {j for lo, hi in found for j in range(lo, hi + 1)}
+    known = set(a)
+    left = [j for j, x in enumerate(b) if sizes[j] and j not in gone and x in known]
+    if not left:
+        return []
+    more = []
+    where: dict[int, list[int]] = {}
+    for i, x in enumerate(a):
+        where.setdefault(x, []).append(i)
+    after = [j for _, j in order]
+    for j in left:
+        if sizes[j] >= least:
+            k = bisect_left(after, j)
+            lo = order[k - 1][0] if k else -1
+            hi = order[k][0] if k < len(order) else len(a)
+            at = bisect_right(places := where[b[j]], lo)
+            if sizes[j] >= LONG or at < len(places) and places[at] < hi:
+                more.append((j, j))
+    following = set(zip(a, a[1:]))
+    if any((b[j - 1], b[j]) in following for j in left if j) or any(
+        (b[j], b[j + 1]) in following for j in left if j + 1 < len(b)
+    ):
+        for lo, hi in common_runs(a, b):
+            own = sizes[lo : hi + 1]
+            if sum(own) >= least and (sum(x > 0 for x in own) > 1 or max(own) >= LONG):
+                more.append((lo, hi))
+    return more
+
+
+def common_runs(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """First and last line in b of each longest run that is somewhere in a; by the suffix automaton of a, in linear time."""
+    step, link, length = [{}], [-1], [0]
+    last = 0
+    for x in a:
+        now = len(step)
+        step.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        p = last
+        while p != -1 and x not in step[p]:
+            step[p][x] = now
+            p = link[p]
+        if p != -1:
+            q = step[p][x]
+            if length[q] == length[p] + 1:
+                link[now] = q
+            else:
+                copy = len(step)
+                step.append(dict(step[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p != -1 and step[p].get(x) == q:
+                    step[p][x] = copy
+                    p = link[p]
+                link[q] = link[now] = copy
+        last = now
+    out = []
+    state = n = 0
+    for j, x in enumerate(b):
+        before = n
+        while state and x not in step[state]:
+            state = link[state]
+            n = length[state]
+        if x in step[state]:
+            state, n = step[state][x], n + 1
+        else:
+            n = 0
+        if before and n != before + 1:
+            out.append((j - before, j - 1))
+    if n:
+        out.append((len(b) - n, len(b) - 1))
+    return out
 
 
 def hashed_lines(docs: DataFrame) -> DataFrame:

@@ -109,3 +109,41 @@ def test_windows_of_equal_lines_are_equal_wherever_they_lie():
     own = [set(code[who == k].tolist()) for k in range(4)]
     assert own[0] == own[3] and len(own[0]) == 4 and not own[2] and own[0] & own[1] == {5}
     assert code[~always].tolist() == [5, 7, 5, 9, 5, 7]
+
+
+def test_repeated_and_moved_blocks_are_cut(documents):
+    passage, other = LONG[:5], LONG[5:9]
+    rows = [
+        (1, "\n".join(["a", *passage, "b", *passage, "c"])),
+        *[(i, "\n".join([f"p{i}", *passage, f"q{i}"])) for i in (2, 3, 4)],
+        (10, "\n".join([*other, "between"])),
+        *[(i, "\n".join([f"p{i}", *other, *passage, f"q{i}"])) for i in (11, 12)],
+        (13, "\n".join([*passage, "middle", *other])),
+        (14, f"x\n{LONG[20]}\ny\n{LONG[20]}\nz"),
+        (15, f"r\n{LONG[20]}\ns"),
+    ]
+    found = {r[0]: r[1] for r in kept(documents(rows))}
+    assert found[1] == rows[0][1] and found[10] == rows[4][1]
+    assert [found[i] for i in (2, 3, 4, 11, 12)] == [f"p{i}\nq{i}" for i in (2, 3, 4, 11, 12)]
+    assert found[13] == "middle" and found[15] == "r\ns"
+
+
+def test_every_run_that_an_earlier_document_has_is_cut(documents):
+    draw = random.Random(11)
+    vocabulary = [f"{i} " + "word " * (i % 7) for i in range(9)]
+    rows = [(i, "\n".join(x.strip() for x in draw.choices(vocabulary, k=draw.randrange(1, 16)))) for i in range(150)]
+    found = {r[0]: r[1] for r in kept(documents(rows))}
+    texts = [t.split("\n") for _, t in rows]
+    cut = 0
+    for d, own in enumerate(texts):
+        gone = set()
+        for before in texts[:d]:
+            for lo in range(len(own)):
+                for hi in range(lo + 2, len(own) + 1):
+                    if sum(map(len, own[lo:hi])) >= linededup.BLOCK and any(
+                        before[k : k + hi - lo] == own[lo:hi] for k in range(len(before))
+                    ):
+                        gone.update(range(lo, hi))
+        cut += len(gone)
+        assert found[d] == "\n".join(x for j, x in enumerate(own) if j not in gone)
+    assert cut > 200
