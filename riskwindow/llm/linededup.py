@@ -5,7 +5,7 @@ the common blocks leave the later document (the one with the larger doc_id).
 
 **Anchors.** From each line on, and up to each line, as many lines as reach ``BLOCK`` characters, two at least;
 two lines of ``PAIR`` characters or more that follow each other, blank lines between or not; a line of ``LONG``
-characters or more; all these
+characters or more; a line of ``BLOCK`` characters or more that is the only one of its document; all these
 however common they are. Also a line of ``LINE`` characters or more that is rare (in at most ``max(RARE,
 RARE_SHARE x documents)`` documents). So a short common line alone (a licence notice) makes no pair, and every
 other common block has an anchor over each of its lines. A document is paired with the **first** document of
@@ -234,10 +234,12 @@ def windows(lines: np.ndarray, sizes: np.ndarray, ends: np.ndarray):
     code = np.concatenate((code, lines[first[two]] * _BASE ^ lines[last[two]]))
     lo = np.concatenate((lo, first[two]))
     alone = np.flatnonzero(sizes >= LINE)
-    who = np.concatenate((owner[lo], owner[alone]))
-    code = np.concatenate((code, lines[alone]))
+    # A document of one line and blank ones counts as a whole, by another hash.
+    whole = alone[(np.bincount(owner[filled], minlength=len(ends))[owner[alone]] == 1) & (sizes[alone] >= BLOCK)]
+    who = np.concatenate((owner[lo], owner[alone], owner[whole]))
+    code = np.concatenate((code, lines[alone], ~lines[whole]))
     always = np.ones(len(who), dtype=bool)
-    always[len(lo) :] = sizes[alone] >= LONG
+    always[len(lo) : len(lo) + len(alone)] = sizes[alone] >= LONG
     order = np.lexsort((code, who))
     who, code, always = who[order], code[order], always[order]
     new = np.ones(len(who), dtype=bool)

@@ -147,3 +147,10 @@ def test_every_run_that_an_earlier_document_has_is_cut(documents):
         cut += len(gone)
         assert found[d] == "\n".join(x for j, x in enumerate(own) if j not in gone)
     assert cut > 200
+
+
+def test_many_copies_of_one_line_are_cut_in_tables_of_any_size(documents):
+    line = "the only line of a text that very many documents are made of"
+    for n in (20, 60):
+        left = linededup.drop_blocks(documents([(i, line) for i in range(n)]))
+        assert [r.doc_id for r in left.collect()] == [0]
