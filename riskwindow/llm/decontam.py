@@ -6,7 +6,9 @@ number words), names (given names of a short list, and capitalised words inside
 units (of a short list, after a number). What a placeholder replaces is its slot value.
 
 **Windows.** Every ``WINDOW`` consecutive template words of an item make a window; windows with
-more placeholders than words are left out. A shorter item is one window, from ``LEAST`` words on; still
+more placeholders than words are no templates. A window with placeholders is also taken **verbatim**, by its
+bare words in lower case: so copies are found however many numbers and names they hold, and wherever a
+capitalised word is a name on one side only. A shorter item is one window, from ``LEAST`` words on; still
 shorter items cannot be told from common phrases and match nothing.
 
 **Join.** A bitmap of ``2 ** BITS`` bits marks the hashes of the benchmark's windows (8 MB at any size
@@ -153,28 +155,39 @@ def templates(texts: list[str | None], words: _Words):
     return owner, np.where(kind == _PLAIN, value, _KIND[kind]), kind, value
 
 
-def windows(owner: np.ndarray, code: np.ndarray, kind: np.ndarray, length: int):
-    """First words and hashes of the windows of a length that lie in one text and hold enough words."""
+def windows(owner: np.ndarray, code: np.ndarray, kind: np.ndarray, value: np.ndarray, length: int):
+    """First words and hashes of the windows of a length that lie in one text.
+
+    Templates that hold enough words, then the windows with placeholders verbatim.
+    """
     n = len(code) - length + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
+    slots = np.concatenate(([0], np.cumsum(kind != _PLAIN)))
+    slots = slots[length:] - slots[:n]
+    whole = owner[:n] == owner[length - 1 :]
+    template, verbatim = np.flatnonzero(whole & (2 * slots <= length)), np.flatnonzero(whole & (slots > 0))
+    return (
+        np.concatenate((template, verbatim)),
+        np.concatenate((_hashes(code, length)[template], _hashes(value, length)[verbatim])),
+    )
+
+
+def _hashes(words: np.ndarray, length: int) -> np.ndarray:
+    n = len(words) - length + 1
     total = np.zeros(n, dtype=np.uint64)
     for k in range(length):
-        total = total * _BASE + code[k : k + n]
+        total = total * _BASE + words[k : k + n]
     total = (total ^ (total >> np.uint64(31))) * _MIX
     total ^= total >> np.uint64(29)
-    total += np.uint64(length)
-    slots = np.concatenate(([0], np.cumsum(kind != _PLAIN)))
-    fits = (owner[:n] == owner[length - 1 :]) & (2 * (slots[length:] - slots[:n]) <= length)
-    at = np.flatnonzero(fits)
-    return at, total[at]
+    return total + np.uint64(length)
 
 
 _FOUND = pa.struct([("at", pa.int32()), ("code", pa.int64()), ("slots", pa.list_(pa.int64()))])
 
 
 def _slots(kind: np.ndarray, value: np.ndarray, at: int, length: int) -> list[int]:
-    """Slot values of a window by place; 0 where a word stands."""
+    """Slot values of an item's window by place; 0 where a word stands."""
     part = np.where(kind[at : at + length] == _PLAIN, np.uint64(0), value[at : at + length] | np.uint64(1))
     return part.view(np.int64).tolist()
 
@@ -194,7 +207,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                     continue
                 length = min(WINDOW, hi - lo)
                 own = slice(lo, hi)
-                for at, h in zip(*windows(owner[own], code[own], kind[own], length)):
+                for at, h in zip(*windows(owner[own], code[own], kind[own], value[own], length)):
                     out.append(
                         {
                             "item_id": ids[i],
@@ -223,7 +236,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def suspects(docs: DataFrame, marks: np.ndarray, lengths: list[int]) -> DataFrame:
-    """doc_id, text_key, at, code, slots: windows of documents that the bitmap does not rule out."""
+    """doc_id, text_key, at, code, slots (values): windows of documents that the bitmap does not rule out."""
     sent = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,13 +246,13 @@ def suspects(docs: DataFrame, marks: np.ndarray, lengths: list[int]) -> DataFram
             first = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             rows, found = [], []
             for length in lengths:
-                at, hashes = windows(owner, code, kind, length)
+                at, hashes = windows(owner, code, kind, value, length)
                 hit = common.marked(sent.value, hashes, BITS)
                 for i, h in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist()):
                     rows.append(own := int(owner[i]))
-                    found.append(
-                        {"at": i - int(first[own]), "code": h, "slots": _slots(kind, value, i, length)}
-                    )
+                    # All values, as a placeholder of the item may be a word here.
+                    values = (value[i : i + length] | np.uint64(1)).view(np.int64).tolist()
+                    found.append({"at": i - int(first[own]), "code": h, "slots": values})
             rows = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(rows), batch.column("text_key").take(rows),

@@ -118,3 +118,18 @@ def test_stage_keeps_clean_rows_whole(documents, benchmark):
     assert kept.columns == docs.columns and kept.count() == 1 + len(ODD)
     assert decontam.keep_clean(docs, benchmark([])).count() == 2 + len(ODD)
     assert decontam.keep_clean(documents([]), benchmark([(1, QUESTION)])).count() == 0
+
+
+def test_copies_full_of_placeholders_are_found(documents, benchmark):
+    series, title = "3 4 7 11 18 29 47 what comes next", "the Old Man And The Great Sea Of Northern Lands"
+    five = "1 2 3 4 5"
+    docs = documents(
+        [
+            (1, f"some filler, {series}, and after"),
+            (2, "some filler, 3 4 7 11 18 29 48 what comes next, and after"),
+            (3, f"some filler {title.lower()} and after"),
+            (4, f"some filler {five} and after"),
+            (5, "some filler 1 2 3 4 6 and after"),
+        ]
+    )
+    assert flagged(docs, benchmark([(1, series), (2, title), (3, five)])) == {(1, (1,)), (3, (2,)), (4, (3,))}
