@@ -133,3 +133,17 @@ def test_copies_full_of_placeholders_are_found(documents, benchmark):
         ]
     )
     assert flagged(docs, benchmark([(1, series), (2, title), (3, five)])) == {(1, (1,)), (3, (2,)), (4, (3,))}
+
+
+def test_short_items_with_capitals_are_found_inside_sentences_and_wrapped(documents, benchmark):
+    item = "What is the colour of the largest planet"
+    wrapped = "The largest river\nOf all lies in\nWhich old country"
+    docs = documents(
+        [
+            (1, f"some filler {item} and after"),
+            (2, "Filler. " + item),
+            (3, "some filler " + wrapped.replace("\n", " ")),
+            (4, "some filler Which is the colour of the largest planet"),
+        ]
+    )
+    assert flagged(docs, benchmark([(1, item), (2, wrapped)])) == {(1, (1,)), (2, (1,)), (3, (2,))}
