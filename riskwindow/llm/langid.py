@@ -52,7 +52,9 @@ def dictionaries(labelled: DataFrame, sample: int = SAMPLE, size: int = DICTIONA
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", "text", common.text_hash().alias("text_key")
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # Of different texts, as copies are drawn together.
+    different = rows.select("lang", "text_key").distinct()
+    counts = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
     if not counts:
         return {}
     shares = F.create_map(

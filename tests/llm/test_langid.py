@@ -84,3 +84,11 @@ def test_rejected_rows_go_and_others_keep_all_columns(documents):
     kept = langid.keep_accepted(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(40))
+
+
+def test_copies_do_not_shrink_the_sample(documents):
+    different = ["only" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(60)]
+    rows = [(i, "many copies of one text", "en") for i in range(2000)]
+    rows += [(3000 + i, word, "en") for i, word in enumerate(different)]
+    learnt = langid.dictionaries(documents(rows), sample=100)["en"].decode().split()
+    assert set(different) <= set(learnt)
