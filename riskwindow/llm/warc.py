@@ -5,7 +5,8 @@ canonical URL, found by an as-of join, provided the validators agree: the entity
 if the revisit has one, else the Last-Modified dates. The resolved record has the response's body
 and its headers, updated by those headers of the revisit that a 304 may change.
 
-**As-of join without large groups.** Time is cut into slices of about ``SLICE`` records over all URLs. A window
+**As-of join without large groups.** Time is cut into slices of about ``SLICE`` records over all URLs, by
+quantiles of the times; records of one time stay together. A window
 over (URL, slice) finds the latest response in a revisit's own slice; the latest response of each (URL, slice), at
 most one row each, gives the one to go back to from slices without. So a URL that holds a third of all
 records is spread over all slices. Windows see times and ids only; bodies are joined at the end.
@@ -17,6 +18,7 @@ as not earlier; of several responses at the latest time the largest record_id is
 without case. An empty table gives no rows. Other columns are not looked at.
 """
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,12 +57,21 @@ def prepared(records: DataFrame) -> DataFrame:
     )
 
 
+def _sliced(events: DataFrame) -> DataFrame:
+    """The events with their slice of time, which grows with ts; bounds are quantiles of the times."""
+    slices = -(-events.count() // SLICE)
+    shares = [i / slices for i in range(1, slices)]
+    bounds = sorted(set(events.approxQuantile("ts", shares, 0.1 / slices))) if shares else []
+    if not bounds:
+        return events.withColumn("slice", F.lit(0))
+    splits = [-float("inf"), *bounds, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="ts", outputCol="slice").transform(events)
+    return cut.withColumn("slice", F.col("slice").cast("int"))
+
+
 def _latest(events: DataFrame) -> DataFrame:
     """For each revisit (page, ts) the time of the latest earlier response."""
-    bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n")).first()
-    slices = max(1, -(-bounds["n"] // SLICE))
-    width = max(1, -(-((bounds["hi"] or 0) - (bounds["lo"] or 0) + 1) // slices))
-    sliced = events.withColumn("slice", F.expr(f"(ts - {bounds['lo'] or 0}) DIV {width}"))
+    sliced = _sliced(events)
     own = sliced.selectExpr(
         "*",
         """max(IF(is_response, ts, NULL)) OVER (PARTITION BY page, slice ORDER BY ts

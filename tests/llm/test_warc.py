@@ -88,3 +88,19 @@ def test_equals_brute_force_over_many_slices(records, monkeypatch):
 
 def test_no_rows(records):
     assert warc.resolve(records([])).count() == 0
+
+
+def test_slices_hold_few_records_beside_stray_times(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SLICE", 100)
+    times = [0, 10**15, *range(1_700_000_000, 1_700_002_000)]
+    events = spark.createDataFrame([("p", t, t % 3 == 0) for t in times], "page string, ts long, is_response boolean")
+    sliced = warc._sliced(events).collect()
+    sizes = {}
+    for r in sliced:
+        sizes[r.slice] = sizes.get(r.slice, 0) + 1
+    assert max(sizes.values()) <= 150
+    by_time = [r.slice for r in sorted(sliced, key=lambda r: r.ts)]
+    assert by_time == sorted(by_time)
+    found = {r.ts: r.found for r in warc._latest(events).collect()}
+    responses = [t for t in sorted(times) if t % 3 == 0]
+    assert found == {t: max((x for x in responses if x < t), default=None) for t in times if t % 3}
