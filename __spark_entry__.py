@@ -17,6 +17,7 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -260,15 +261,28 @@ _AGAIN = {
 }
 
 
+#: Ranges of the score that the ROC area is summed over.
+_RANGES = 1000
+
+
 def _area_again(predictions: DataFrame, score: str) -> DataFrame:
-    """The ROC area from the ranks of the scores."""
-    return predictions.selectExpr(
-        "y_true",
-        f"rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2 AS place",
-    ).selectExpr(
-        "(sum(place) FILTER (WHERE y_true = 1) - count_if(y_true = 1) * (count_if(y_true = 1) + 1) / 2)"
-        " / (count_if(y_true = 1) * count_if(y_true = 0)) AS auc"
+    """The ROC area: pairs of a positive and a lower negative, equal scores as half, by ranges of the score."""
+    counts = predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.expr("count_if(y_true = 1) AS pos"), F.expr("count_if(y_true = 0) AS neg")
+    )
+    bounds = sorted(set(counts.approxQuantile("score", [i / _RANGES for i in range(1, _RANGES)], 0.1 / _RANGES)))
+    cut = Bucketizer(splits=[-float("inf"), *(bounds or [0.0]), float("inf")], inputCol="score", outputCol="part")
+    ranged = cut.transform(counts)
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    # One row for each range, so the window without partition is small at any size of the table.
+    below = ranged.groupBy("part").agg(F.sum("neg").alias("neg")).selectExpr(
+        "part", f"coalesce(sum(neg) OVER (ORDER BY part {before}), 0) AS below"
     )
+    return ranged.join(below, "part").selectExpr(
+        "pos",
+        "neg",
+        f"below + coalesce(sum(neg) OVER (PARTITION BY part ORDER BY score {before}), 0) AS lower",
+    ).selectExpr("sum(pos * (lower + neg / 2)) / (sum(pos) * sum(neg)) AS auc")
 
 
 def _difference(reported: DataFrame, predictions: DataFrame, again: dict) -> DataFrame:
