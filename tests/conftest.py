@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from frames import sample_rows
 from riskwindow import schema as S
 from riskwindow.session import session
 
@@ -37,33 +38,6 @@ def make(spark):
     return build
 
 
-def sample_rows(n=200, incidents=20):
-    """Deterministic, varied windows; every tenth or so has an incident."""
-    rows = []
-    for i in range(n):
-        rows.append(
-            (
-                f"svc.{(i * i) % 5}",
-                f"2401{1 + i // 24:02d}_{i % 24:02d}",
-                (i * 7) % 11 if i % 3 == 0 else 0,
-                1 + (i * 13) % 37,
-                1 + i % 4,
-                1 if i % (n // incidents) == 3 else 0,
-            )
-        )
-    return rows
-
-
 @pytest.fixture
 def sample(make):
     return make(sample_rows())
-
-
-def table(df, *keys):
-    """Rows of a small frame as dicts, sorted by the given columns."""
-    rows = [row.asDict() for row in df.collect()]
-    return sorted(rows, key=lambda r: tuple((r[k] is None, r[k]) for k in keys))
-
-
-def executed_plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()

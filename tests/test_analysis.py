@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import sample_rows, table
+from frames import sample_rows, table
 
 from riskwindow.operators import analysis, explore
 

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import executed_plan, sample_rows, table
+from frames import executed_plan, sample_rows, table
 
 from riskwindow import schema as S
 from riskwindow.operators import correlation, distribution as D, explore

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import table
+from frames import table
 
 from riskwindow.operators import evaluate
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import executed_plan, table
+from frames import executed_plan, table
 
 from riskwindow import schema as S
 from riskwindow.operators.features import engineer_features, with_date_hour

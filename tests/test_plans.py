@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import executed_plan
+from frames import executed_plan
 
 from riskwindow import schema as S
 from riskwindow.operators import (

@@ -1,5 +1,5 @@
 import pytest
-from conftest import table
+from frames import table
 
 from riskwindow import schema as S
 from riskwindow.operators import quality

@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from conftest import executed_plan, sample_rows, table
+from frames import executed_plan, sample_rows, table
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import collections
 
 import pytest
-from conftest import executed_plan, sample_rows, table
+from frames import executed_plan, sample_rows, table
 from hypothesis import given
 from hypothesis import strategies as st
 
