@@ -44,12 +44,14 @@ from riskwindow.sources import (
     export_delimited,
     overwrite_table,
     preview,
+    read_dated_windows,
     read_delimited,
     save_table,
     use_database,
     windows_from_events,
     write_csv,
     write_json,
+    write_windows,
 )
 from riskwindow.streaming import score_stream, windows_from_event_stream, write_stream
 
@@ -372,6 +374,28 @@ def _json_round_trip(df: DataFrame) -> DataFrame:
     return _texts(df.sparkSession.read.schema(S.WINDOW_SCHEMA).json(path))
 
 
+#: A day that is written twice, in the middle of the test tables' month.
+_REWRITTEN = "240115"
+
+
+def _dated_storage(df: DataFrame) -> DataFrame:
+    """A table by date, stored in two writes; the last day of the first one is unfinished and written again."""
+    spark = df.sparkSession
+    path = shared_folder(spark, "dated")
+    unfinished = f"date_of < '{_REWRITTEN}' OR (date_of = '{_REWRITTEN}' AND hour_of < 12)"
+    dated = df.selectExpr("*", "substr(time_window, 1, 6) AS date_of", "CAST(substr(time_window, 8, 2) AS INT) AS hour_of")
+    write_windows(dated.filter(unfinished).drop("date_of", "hour_of"), path)
+    write_windows(dated.filter(f"date_of >= '{_REWRITTEN}'").drop("date_of", "hour_of"), path)
+    return read_dated_windows(spark, path)
+
+
+def _dated_range(df: DataFrame, first: str, last: str) -> DataFrame:
+    """Some days of a table by date: only their folders are read."""
+    path = shared_folder(df.sparkSession, "dated")
+    write_windows(df, path)
+    return read_dated_windows(df.sparkSession, path, first, last)
+
+
 def _in_database(build: Callable[[SparkSession, DataFrame], DataFrame]):
     """Runs in a database of its own below the shared folder; the result is stored before it goes."""
 
@@ -613,6 +637,8 @@ def _window_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_inferred": _inferred_csv,
         "export_round_trip": _export_round_trip,
         "json_round_trip": _json_round_trip,
+        "dated_storage": _dated_storage,
+        "dated_range": lambda f: _dated_range(f, "240110", "240119"),
         "external_table": _in_database(_external_table),
         "dropped_table": _in_database(_dropped_table),
         "overwritten_table": _in_database(_overwritten_table),
@@ -945,6 +971,9 @@ def _window_sql() -> dict[str, str]:
             FROM ({awkward})""",
         "export_round_trip": awkward,
         "json_round_trip": awkward,
+        "dated_storage": f"{f} SELECT * FROM f",
+        "dated_range": f"""{f} SELECT * FROM f
+            WHERE substr(time_window, 1, 6) BETWEEN '240110' AND '240119'""",
         "external_table": awkward,
         "overwritten_table": awkward,
         "dropped_table": f"{f} SELECT count(*) AS kept_rows, false AS still_there FROM f",

@@ -58,6 +58,10 @@ def _arguments(argv=None):
             job.add_argument("--progress", required=True, help="folder for the stream's progress")
             job.add_argument("--delay", default="2 hours", help="how late an event may come")
             job.add_argument("--once", action="store_true", help="stop after what is there now")
+        if name == "rollup":
+            job.add_argument(
+                "--whole", action="store_true", help="also delete stored dates that the events lack"
+            )
         if name == "train":
             job.add_argument("--split", choices=SPLITS, default="stratified")
         if name == "pipeline":
@@ -98,7 +102,8 @@ def main(argv=None) -> None:
     if args.job == "rollup":
         mapping = {part: getattr(args, part) for part in MAPPING}
         events = spark.read.parquet(args.source)
-        write_windows(windows_from_events(events, **mapping, time=args.time), args.output)
+        rolled_up = windows_from_events(events, **mapping, time=args.time)
+        write_windows(rolled_up, args.output, args.whole)
     elif args.job in EVENT_JOBS:
         _stream(spark, args)
     elif args.job == "sql":

@@ -11,14 +11,23 @@ def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_windows(df: DataFrame, path: str) -> None:
+def write_windows(df: DataFrame, path: str, whole: bool = False) -> None:
     """Store a feature table as parquet, one folder per date.
 
+    Only the dates that ``df`` holds are replaced: a day can be added, or written again, and
+    all others stay. With ``whole`` the stored table becomes ``df``, and its other dates go. The
+    mode is an option of this one write, whatever the session's setting.
+
     The rebalance hint lets AQE gather each date into few files and still split
     a date that is much larger than the others.
     """
-    dated = df.selectExpr("*", f"{date_of()} AS date_part")
-    write_parquet(dated.hint("rebalance", "date_part"), path, ["date_part"])
+    dated = df.selectExpr("*", f"{date_of()} AS date_part").hint("rebalance", "date_part")
+    (
+        dated.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
+        .partitionBy("date_part")
+        .parquet(path)
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

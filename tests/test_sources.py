@@ -104,6 +104,46 @@ def test_date_folders_are_pruned(spark, make, sample, tmp_path):
     assert read_dated_windows(spark, path, last="081231").first().time_window == "081109_20"
 
 
+def test_days_are_added_and_replaced(spark, make, tmp_path):
+    path = str(tmp_path / "windows")
+    first = make([("a", "240101_00", 1, 1, 1, 0), ("a", "240101_01", 1, 1, 1, 0)])
+    second = make([("b", "240102_05", 2, 2, 2, 1)])
+    write_windows(first, path)
+    write_windows(second, path)
+    assert read_dated_windows(spark, path).exceptAll(first.union(second)).isEmpty()
+    assert read_dated_windows(spark, path).count() == 3
+    again = make([("c", "240101_07", 9, 9, 9, 1), (None, None, 1, 1, 1, 1)])
+    write_windows(again, path)
+    write_windows(again, path)
+    kept = {(r.component, r.time_window) for r in read_dated_windows(spark, path).collect()}
+    assert kept == {("b", "240102_05"), ("c", "240101_07"), (None, None)}
+    assert read_dated_windows(spark, path).count() == 3
+    # A write of nothing changes nothing, whatever the session says.
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        write_windows(make([]), path)
+        assert read_dated_windows(spark, path).count() == 3
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    write_windows(second, path, whole=True)
+    assert [tuple(r) for r in read_dated_windows(spark, path).collect()] == [("b", "240102_05", 2, 2, 2, 1)]
+
+
+def test_rollup_keeps_other_dates(spark, tmp_path, monkeypatch):
+    from riskwindow import __main__ as command
+
+    monkeypatch.setattr(command, "session", lambda: spark)
+    output = str(tmp_path / "windows")
+    for day in ("01", "02"):
+        events = str(tmp_path / f"events-{day}")
+        rows = [(f"2024-01-{day} 0{h}:10:00", "x", "click") for h in range(3)]
+        df = spark.createDataFrame(rows, "ts string, host string, kind string")
+        df.selectExpr("CAST(ts AS TIMESTAMP_NTZ) AS ts", "host", "kind").write.parquet(events)
+        command.main(["rollup", events, output, "--component", "host", "--event", "kind",
+                      "--warning", "kind = 'error'", "--incident", "false"])
+    assert read_dated_windows(spark, output).count() == 6
+
+
 def test_tables(spark, sample, csv, tmp_path):
     use_database(spark, "source_test")
     try:
