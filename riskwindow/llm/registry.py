@@ -7,6 +7,7 @@ from riskwindow.llm import (
     decontam,
     langid,
     linededup,
+    phrases,
     pii,
     simhash,
     tokencount,
@@ -27,6 +28,7 @@ def queries() -> dict:
         "op8_token_counts": tokencount.op8_token_counts,
         "op9_substring_dedup": chunkdedup.op9_substring_dedup,
         "op10_decontamination": decontam.op10_decontamination,
+        "op11_collocations": phrases.op11_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -35,6 +37,7 @@ def oracle_sql() -> dict[str, str]:
     found = {
         "op1_kdtree_topk": topk.ORACLE_SQL,
         "op4_warc_revisits": warc.ORACLE_SQL,
+        "op11_collocations": phrases.ORACLE_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: sql for name, sql in found.items() if sql}

@@ -1,0 +1,52 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from riskwindow.llm import words as W
+
+KINDS = W.kinds(b" \t", b".;\n")
+
+
+def plain(texts):
+    """(text, piece, word) by regular expressions; pieces are numbered over all texts."""
+    out, number = [], 0
+    for i, text in enumerate(texts):
+        for piece in re.split(r"[.;\n]", text or ""):
+            number += 1
+            out += [(i, number, w) for w in re.findall(r"[^ \t]+", piece)]
+    return out
+
+
+def found(texts, span):
+    out, number = [], 0
+    for part in W.words(pa.array(texts, pa.string()), KINDS, span=span):
+        names = [w.decode() for w in part.word.to_pylist()]
+        out += [(int(t), number + int(p), w) for t, p, w in zip(part.text, part.piece, names)]
+        number += 1_000_000
+    return out
+
+
+def renumbered(rows):
+    pieces = {}
+    return [(t, pieces.setdefault((t, p), len(pieces)), w) for t, p, w in rows]
+
+
+@pytest.mark.parametrize("span", [1, 7, 100, 10_000])
+def test_equals_regular_expressions(span):
+    draw = random.Random(span)
+    texts = [None, "", "  ", "é Ü.ß"] + [
+        "".join(draw.choice("ab ü\t.;\n") for _ in range(draw.randrange(60))) for _ in range(60)
+    ]
+    assert renumbered(found(texts, span)) == renumbered(plain(texts))
+
+
+def test_sliced_columns_and_no_text():
+    column = pa.array(["skip", "a b", None, "C"]).slice(1)
+    parts = list(W.words(column, KINDS))
+    assert [w for p in parts for w in p.word.to_pylist()] == [b"a", b"b", b"c"]
+    assert np.concatenate([p.text for p in parts]).tolist() == [0, 0, 2]
+    assert not list(W.words(pa.array([], pa.string()), KINDS))
+    assert not list(W.words(pa.array([None, ""], pa.string()), KINDS))
