@@ -3,6 +3,7 @@
 import corpus_pipeline
 from riskwindow.llm import (
     bpe,
+    capfilter,
     chunkdedup,
     decontam,
     langid,
@@ -29,6 +30,7 @@ def queries() -> dict:
         "op9_substring_dedup": chunkdedup.op9_substring_dedup,
         "op10_decontamination": decontam.op10_decontamination,
         "op11_collocations": phrases.op11_collocations,
+        "op12_cap_filters": capfilter.op12_cap_filters,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -38,6 +40,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_kdtree_topk": topk.ORACLE_SQL,
         "op4_warc_revisits": warc.ORACLE_SQL,
         "op11_collocations": phrases.ORACLE_SQL,
+        "op12_cap_filters": capfilter.ORACLE_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: sql for name, sql in found.items() if sql}
