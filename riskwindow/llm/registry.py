@@ -10,6 +10,7 @@ from riskwindow.llm import (
     linededup,
     phrases,
     pii,
+    search,
     simhash,
     tokencount,
     topk,
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op10_decontamination": decontam.op10_decontamination,
         "op11_collocations": phrases.op11_collocations,
         "op12_cap_filters": capfilter.op12_cap_filters,
+        "op13_search": search.op13_search,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -41,6 +43,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc_revisits": warc.ORACLE_SQL,
         "op11_collocations": phrases.ORACLE_SQL,
         "op12_cap_filters": capfilter.ORACLE_SQL,
+        "op13_search": search.ORACLE_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: sql for name, sql in found.items() if sql}
