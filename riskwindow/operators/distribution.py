@@ -61,50 +61,82 @@ def combined(frequencies: DataFrame) -> DataFrame:
     return frequencies.groupBy("feature", "value").agg(F.expr("sum(n) AS n"))
 
 
+#: Values that a window ranks at most: a group with more distinct values is narrowed down first.
+RANKED = 1 << 20
+#: Equal parts that one level of narrowing cuts the range that occurs into.
+PARTS = 1 << 22
+
+
 def quantiles(
     frequencies: DataFrame, by: Sequence[str] = (), probabilities: Sequence[float] = QUARTILES
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per (by…, feature).
 
-    The two order statistics around a quantile are found by narrowing: count
-    the rows per coarse bucket of values, keep the buckets that hold a wanted
-    rank, split those more finely, and rank single values only inside the last
-    ones. A bucket of one level has at most 65,536 buckets below it, so no
-    window has to hold a whole column, whatever its number of distinct values.
+    The order statistics around a quantile lie in a bracket, at first the whole range of values that
+    occurs. A bracket with more than ``RANKED`` distinct values is narrowed: its range is cut
+    into ``PARTS`` equal parts, the rows of each are counted, and the range that occurs in a part that holds a
+    wanted rank is a bracket of the next level. Single values are ranked in brackets that
+    are narrow enough, so no window has to hold a whole column. The range that occurs decides how many levels do
+    any work: counts of a few thousand different values need none, and a level without a bracket ends before
+    it reads the frequencies.
     """
     group = [*by, "feature"]
-    levels = _narrowing(dict(frequencies.dtypes)["value"])
-    rows = frequencies.selectExpr(
-        *[quoted(key) for key in group],
-        "value",
-        "n",
-        *[f"{key} AS k{i}" for i, key in enumerate(levels)],
+    kind = dict(frequencies.dtypes)["value"]
+    few = _few(by)
+    rows = frequencies.selectExpr(*map(quoted, group), "value", "n", f"{_code(kind)} AS code")
+    bracket = ["lo", "hi", "below", "total", "distinct_values"]
+    level = rows.groupBy(*group).agg(
+        F.expr("min(code) AS lo"),
+        F.expr("max(code) AS hi"),
+        F.expr("0L AS below"),
+        F.expr("sum(n) AS total"),
+        F.expr("count(*) AS distinct_values"),
     )
-    placed, parents = rows, list(group)
-    for i in range(len(levels)):
-        keys = [*parents, f"k{i}"]
-        running = f"sum(n) OVER (PARTITION BY {_names(parents)} ORDER BY k{i})"
-        if i:
-            counted = placed.groupBy(*keys, "below", "total").agg(F.expr("sum(n) AS n"))
-            upto, total = f"below + {running}", "total"
-        else:
-            counted = placed.groupBy(*keys).agg(F.expr("sum(n) AS n"))
-            upto, total = running, f"sum(n) OVER (PARTITION BY {_names(group)})"
-        found = (
-            counted.selectExpr(*map(quoted, keys), "n", f"{upto} AS upto", f"{total} AS total")
+    narrow = None
+    for _ in range(_LEVELS[kind]):
+        done = level.filter(f"distinct_values <= {RANKED}")
+        narrow = done if narrow is None else narrow.unionByName(done)
+        # Always true, but it needs every column, so that all uses of a level are the same table to Spark.
+        wide = level.filter(f"distinct_values > {RANKED} AND lo <= hi AND below < total")
+        part = f"code DIV (hi DIV {PARTS} - lo DIV {PARTS} + 1)"
+        counted = (
+            _within(rows, wide, group, few)
+            .groupBy(*group, "lo", "below", "total", F.expr(f"{part} AS part"))
+            .agg(
+                F.expr("min(code) AS part_lo"),
+                F.expr("max(code) AS part_hi"),
+                F.expr("sum(n) AS n"),
+                F.expr("count(*) AS distinct_values"),
+            )
+        )
+        upto = f"below + sum(n) OVER (PARTITION BY {_names(group)}, lo ORDER BY part) AS upto"
+        level = (
+            counted.selectExpr(*map(quoted, group), "part_lo", "part_hi", "n", "total", "distinct_values", upto)
             .filter(_holds_wanted_rank(probabilities))
-            .selectExpr(*map(quoted, keys), "upto - n AS below", "total")
+            .selectExpr(*map(quoted, group), "part_lo AS lo", "part_hi AS hi", "upto - n AS below", "total", "distinct_values")
         )
-        placed, parents = _matched(rows, found, keys, few=_few(by)), keys
-    running = f"sum(n) OVER (PARTITION BY {_names(parents)} ORDER BY value)"
+    narrow = level if narrow is None else narrow.unionByName(level)
+    running = f"sum(n) OVER (PARTITION BY {_names(group)}, lo ORDER BY value)"
     return (
-        placed.selectExpr(*map(quoted, group), "value", "n", f"below + {running} AS upto", "total")
+        _within(rows, narrow.select(*group, *bracket), group, few)
+        .selectExpr(*map(quoted, group), "value", "n", f"below + {running} AS upto", "total")
         .filter(_holds_wanted_rank(probabilities))
         .groupBy(*group)
         .agg(*[F.expr(f"{_interpolated(p)} AS {quantile_name(p)}") for p in probabilities])
     )
 
 
+def _within(rows: DataFrame, brackets: DataFrame, group: Sequence[str], few: bool) -> DataFrame:
+    """The rows whose code lies in a bracket of their group, with the bracket."""
+    same = " AND ".join(f"l.{quoted(key)} <=> r.{quoted(key)}" for key in group)
+    right = F.broadcast(brackets) if few else brackets
+    return (
+        rows.alias("l")
+        .join(right.alias("r"), F.expr(f"{same} AND l.code BETWEEN r.lo AND r.hi"))
+        .selectExpr("l.*", "r.lo", "r.hi", "r.below", "r.total")
+    )
+
+
 def _few(by: Sequence[str]) -> bool:
     """Whether a table with a few rows per (by…, feature) is small whatever the data: by label, or overall."""
     return set(by) <= {S.INCIDENT}
@@ -142,17 +174,19 @@ def _names(columns: Sequence[str]) -> str:
     return ", ".join(map(quoted, columns))
 
 
-def _narrowing(kind: str) -> list[str]:
-    """Order-preserving bucket keys of a value, from coarse to fine."""
-    if kind == "int":
-        return ["shiftright(value, 16)"]
-    if kind == "bigint":
-        return [f"shiftright(value, {bits})" for bits in (48, 32, 16)]
-    # Doubles: by sign and power of two, then three times by 16 more bits of the mantissa.
-    power = "greatest(least(floor(log2(abs(value))), 1100L), -900L)"
-    keys = [f"signum(value) * ({power} + 2000)"]
-    keys += [f"floor(value / pow(2D, {power}) * {1 << bits}D)" for bits in (16, 32, 48)]
-    return [f"CASE WHEN value <> 0 THEN CAST({key} AS BIGINT) ELSE 0L END" for key in keys]
+#: Levels after which a bracket holds at most RANKED values whatever the range: each takes 22 of 64 bits away.
+_LEVELS = {"int": 1, "bigint": 2, "double": 2}
+
+
+def _code(kind: str) -> str:
+    """A BIGINT in the order of the values."""
+    if kind in ("int", "bigint"):
+        return "CAST(value AS BIGINT)"
+    # A double's sign, power of two and 52 bits of its mantissa; 0 for zeros.
+    size = "least(abs(value), 1.7976931348623157E308D)"
+    power = f"greatest(least(floor(log2({size})), 1023L), -900L)"
+    code = f"(({power} + 1000L) * {1 << 52}L + CAST(floor(({size} / pow(2D, {power}) - 1) * {1 << 52}D) AS BIGINT))"
+    return f"CASE WHEN value > 0 THEN {code} WHEN value < 0 THEN -{code} ELSE 0L END"
 
 
 def _rank(probability: float, rounding: str) -> str:

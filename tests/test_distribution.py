@@ -50,6 +50,41 @@ def test_quantiles_of_extreme_doubles(spark):
     )
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "double"])
+@pytest.mark.parametrize("ranked, parts", [(1, 4), (5, 16), (40, 1 << 22)])
+def test_quantiles_through_every_level(spark, monkeypatch, kind, ranked, parts):
+    """Windows of a few values: groups of one value, few and many values, clusters far apart."""
+    monkeypatch.setattr(D, "RANKED", ranked)
+    monkeypatch.setattr(D, "PARTS", parts)
+    draw = random.Random(ranked)
+    reach = 2**31 - 1 if kind == "int" else 2**62
+    cast = float if kind == "double" else int
+    columns = {
+        "x": [7] * 300,
+        "y": [draw.randrange(-20, 20) for _ in range(300)],
+        "z": [draw.randint(-reach, reach) for _ in range(150)] + [reach - i % 50 for i in range(150)],
+    }
+    rows = [(i % 2, *map(cast, r)) for i, r in enumerate(zip(*columns.values()))]
+    df = spark.createDataFrame(rows, f"incident int, x {kind}, y {kind}, z {kind}")
+    frequencies = D.value_frequencies(df, list(columns), [S.INCIDENT])
+    frame = pd.DataFrame(rows, columns=["incident", *columns])
+    found = {(r.incident, r.feature): [r.p25, r.p50, r.p75] for r in D.quantiles(frequencies, [S.INCIDENT]).collect()}
+    assert len(found) == 6
+    for (label, feature), got in found.items():
+        expected = frame[frame.incident == label][feature].astype("float64").quantile([0.25, 0.5, 0.75])
+        assert got == pytest.approx(list(expected), rel=1e-9)
+
+
+def test_codes_of_doubles_keep_their_order(spark):
+    draw = random.Random(5)
+    values = [draw.uniform(-2, 2) * 10.0 ** draw.randint(-300, 300) for _ in range(2000)]
+    values += [2.0**k * s * (1 + e) for k in range(-1000, 1000, 37) for s in (-1, 1) for e in (-2e-16, 0, 2e-16)]
+    values += [0.0, -0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 1.7976931348623157e308]
+    coded = _column(spark, values, "double").selectExpr("x AS value").selectExpr("value", f"{D._code('double')} AS code")
+    codes = [r.code for r in sorted(coded.collect(), key=lambda r: r.value)]
+    assert codes == sorted(codes) and len(set(codes)) > 2200
+
+
 def test_describe_matches_pandas(sample):
     expected = pd.DataFrame(sample_rows(), columns=sample.columns)[list(S.MEASURES)].describe()
     for row in D.describe_columns(sample, S.MEASURES).collect():
