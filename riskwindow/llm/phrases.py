@@ -15,9 +15,9 @@ come first; three and four words only where all their pairs of words were left,
 cannot occur more often than its pairs.
 
 **Second pass.** The texts are read again and every n-gram whose hash was left is counted by its words,
-exactly: a task numbers the different words and phrases of a part of the text, no hash decides. The hashes reach
-the tasks as a bitmap of at most 2 ** ``BITS`` bits; what it does not rule out is counted too and falls
-below the threshold in the end.
+exactly: a task numbers the different words and phrases of a part of the text, no hash decides, and sends each part of
+the hash space one table of its counts. The hashes reach the tasks as a bitmap of at most 2 ** ``BITS`` bits; what it does
+not rule out is counted too and falls below the threshold in the end.
 
 **Scores.** Each cut of a phrase gives floor(2000000 a / (l + r)) in decimals of 38 digits; the lowest one
 counts. Candidates inside a longer one with at least 80 % of their occurrences go; the first ones of each
@@ -44,14 +44,15 @@ from riskwindow.llm import words as W
 THRESHOLD, LONGEST, FIRST, SHARE = 30, 4, 2000, 80
 KINDS = W.kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Bytes of text for each part of the hash space; n-grams that a task sums before it sends them.
-PART, FLUSH = 16 << 20, 6_000_000
+PART, FLUSH = 16 << 20, 4_000_000
+#: Rows of counts that a task holds before it sends them.
+HELD = 600_000
 #: The largest bitmap has 2 ** BITS bits (128 MB).
 BITS = 30
 #: Rows that a window orders at once when the first ones of a language are sought.
 ORDERED = 200_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
-_COUNTED = "lang string, words int, phrase string, f long"
 
 
 def _mixed(before: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -109,7 +110,7 @@ def blocks(docs: DataFrame, sizes: tuple[int, ...], parts: int, pairs: np.ndarra
 
     def sent(held: list[np.ndarray]) -> pa.RecordBatch:
         found, counts = np.unique(np.concatenate(held), return_counts=True)
-        cuts = np.searchsorted(found >> np.uint64(64 - parts.bit_length() + 1), np.arange(parts + 1)) if parts > 1 else [0, len(found)]
+        cuts = np.searchsorted(_place(found, parts), np.arange(parts + 1))
         rows = [(p, found[a:b], counts[a:b]) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
         return pa.RecordBatch.from_arrays(
             [
@@ -194,38 +195,81 @@ def frequent_hashes(sent: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 # Second pass --------------------------------------------------------------
 
 
-def counted(docs: DataFrame, marks: np.ndarray, bits: int, longest: int = LONGEST) -> DataFrame:
-    """lang, words, phrase, f: counts by words of the n-grams that the bitmap marks, summed for each task.
+def counted(docs: DataFrame, marks: np.ndarray, bits: int, parts: int, longest: int = LONGEST) -> DataFrame:
+    """part, counts: counts by words of the n-grams that the bitmap marks, a table of each part of the hash space.
 
-    A row with no words has the number of all words of its language.
+    A task sums what it has read before it sends it. A row with no words has the number of all words of its language.
     """
 
+    def sent(found: pa.Table) -> Iterator[pa.RecordBatch]:
+        number = found.column("part").to_numpy()
+        order = np.argsort(number, kind="stable")
+        cuts = np.searchsorted(number[order], np.arange(parts + 1))
+        found = found.drop_columns(["part"])
+        for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if b > a:
+                block = _written(found.take(pa.array(order[a:b])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p], pa.int32()), pa.array([block], pa.binary())], names=["part", "counts"]
+                )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for part, names in _parts(batches):
-            held.append(_exact(part, names, marks, bits, longest))
+            held.append(_exact(part, names, marks, bits, parts, longest))
             n += held[-1].num_rows
-            if n >= 500_000:
+            if n >= HELD:
                 held = [_summed(held)]
                 n = held[0].num_rows
-                if n >= 250_000:
-                    yield from held[0].to_batches(100_000)
+                if 2 * n >= HELD:
+                    yield from sent(held[0])
                     held, n = [], 0
         if held:
-            yield from _summed(held).to_batches(100_000)
+            yield from sent(_summed(held))
+
+    return docs.mapInArrow(run, "part int, counts binary")
+
+
+def totals(sent: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """lang, words, phrase, f from the tables of all tasks, of those that reach the threshold."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = pa.concat_tables([pa.ipc.open_stream(b.as_py()).read_all() for b in table.column("counts")])
+        found = _summed([found])
+        often = pc.or_(pc.greater_equal(found["f"], threshold), pc.equal(found["words"], 0))
+        return found.filter(often).drop_columns(["part"])
 
-    return docs.mapInArrow(run, _COUNTED)
+    return sent.groupBy("part").applyInArrow(run, "lang string, words int, phrase string, f long")
+
+
+def _written(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
 
 
 def _summed(tables: list[pa.Table]) -> pa.Table:
-    found = pa.concat_tables(tables).group_by(["lang", "words", "phrase"]).aggregate([("f", "sum")])
-    return found.select(["lang", "words", "phrase", "f_sum"]).rename_columns(["lang", "words", "phrase", "f"])
+    """One row for each phrase; ``part`` follows from lang and phrase, where it is given."""
+    whole = pa.concat_tables(tables)
+    more = [("part", "min")] if "part" in whole.column_names else []
+    found = whole.group_by(["lang", "words", "phrase"]).aggregate([("f", "sum"), *more])
+    part = found["part_min"] if more else pa.array(np.zeros(found.num_rows, np.int32))
+    columns = [found["lang"], found["words"], found["phrase"], found["f_sum"], part]
+    return pa.table(columns, names=["lang", "words", "phrase", "f", "part"])
+
 
+def _place(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the hash space, which is cut into a power of two."""
+    if parts == 1:
+        return np.zeros(len(hashes), dtype=np.int32)
+    return (hashes >> np.uint64(65 - parts.bit_length())).astype(np.int32)
 
-def _exact(part: _Part, names: list[str], marks: np.ndarray, bits: int, longest: int) -> pa.Table:
+
+def _exact(part: _Part, names: list[str], marks: np.ndarray, bits: int, parts: int, longest: int) -> pa.Table:
     tables = []
 
-    def add(lang: np.ndarray, words: int, phrase: pa.Array, counts: np.ndarray) -> None:
+    def add(lang: np.ndarray, words: int, phrase: pa.Array, counts: np.ndarray, place: np.ndarray) -> None:
         tables.append(
             pa.table(
                 {
@@ -233,12 +277,14 @@ def _exact(part: _Part, names: list[str], marks: np.ndarray, bits: int, longest:
                     "words": pa.array(np.full(len(counts), words, dtype=np.int32)),
                     "phrase": phrase,
                     "f": pa.array(counts.astype(np.int64)),
+                    "part": pa.array(place),
                 }
             )
         )
 
     total = np.bincount(part.lang, minlength=len(names))
-    add(np.arange(len(names)), 0, pa.array([""] * len(names)), total)
+    of_lang = _place(_hashes([n.encode() for n in names], 1), parts)
+    add(np.arange(len(names)), 0, pa.array([""] * len(names)), total, of_lang)
     at = np.arange(len(part.ids))
     number = part.lang.astype(np.int64)  # of the phrase before its last word
     for n in range(1, longest + 1):
@@ -256,7 +302,8 @@ def _exact(part: _Part, names: list[str], marks: np.ndarray, bits: int, longest:
         begin = at[first]
         wording = [part.different.take(pa.array(part.ids[begin + i])) for i in range(n)]
         phrase = pc.binary_join_element_wise(*wording, pa.scalar(b" ", pa.large_binary())) if n > 1 else wording[0]
-        add(part.lang[begin], n, phrase.cast(pa.binary()).cast(pa.string()), counts)
+        place = _place(part.hashes(n)[begin], parts)
+        add(part.lang[begin], n, phrase.cast(pa.binary()).cast(pa.string()), counts, place)
     return pa.concat_tables(tables)
 
 
@@ -274,12 +321,7 @@ def frequencies(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONG
         more = blocks(texts, tuple(range(3, longest + 1)), parts, marks, bits)
         found = low.unionByName(common.stored(frequent_hashes(more, threshold), "frequent"))
     marks, bits = _bitmap(found)
-    return (
-        counted(texts, marks, bits, longest)
-        .groupBy("lang", "words", "phrase")
-        .agg(F.sum("f").alias("f"))
-        .filter(F.expr(f"words = 0 OR f >= {int(threshold)}"))
-    )
+    return totals(counted(texts, marks, bits, parts, longest), threshold)
 
 
 def _bitmap(codes: DataFrame) -> tuple[np.ndarray, int]:
