@@ -43,9 +43,9 @@ from riskwindow.llm.simhash import components
 
 SIMILARITY = 0.98
 #: Filters that a vector exceeds on average at the cap height; filters for each vector of the largest label.
-LISTED, PER_VECTOR = 8, 64
+LISTED, PER_VECTOR = 4, 64
 #: Spreads of the difference that a list allows below its vector's best filter.
-SLACK = 3.0
+SLACK = 1.5
 #: The mean length of a list never passes this; fewer filters are taken instead.
 LONGEST_LIST = 64
 BLOCK_WORDS, BLOCK, SHARES = 4096, 512, 1024
@@ -179,32 +179,35 @@ def _owned(left: np.ndarray, right: np.ndarray, lists_: np.ndarray, at: np.ndarr
     return out
 
 
-def _pairs(starts: np.ndarray, ends: np.ndarray, vectors: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of the same group that are similar enough; small groups all at once."""
-    lefts, rights = [], []
-    sizes = ends - starts
-    for size in np.unique(sizes[(sizes > 1) & (sizes <= _SMALL)]).tolist():
+def _few_pairs(starts: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, similarity: float) -> Iterator[tuple]:
+    """Pairs of rows that are similar enough of small groups, all groups of a size at once."""
+    for size in np.unique(sizes).tolist():
         i, j = np.triu_indices(size, 1)
         begin = starts[sizes == size]
-        step = max(1, 200_000 // len(i))
+        step = max(1, 200_000 // max(1, len(i)))
         for at in range(0, len(begin), step):
             a = (begin[at : at + step, None] + i).ravel()
             b = (begin[at : at + step, None] + j).ravel()
             near = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= similarity
-            lefts.append(a[near])
-            rights.append(b[near])
-    for start, end in zip(starts[sizes > _SMALL], ends[sizes > _SMALL]):
-        some = vectors[start:end]
-        for at in range(0, len(some), 512):
-            near = some[at : at + 512] @ some.T >= similarity
-            a, b = np.nonzero(near)
-            a += at
-            up = a < b
-            lefts.append(start + a[up])
-            rights.append(start + b[up])
-    if not lefts:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(lefts), np.concatenate(rights)
+            yield a[near], b[near]
+
+
+def _many_pairs(vectors: np.ndarray, lists_: np.ndarray, at: int, similarity: float) -> Iterator[tuple]:
+    """Pairs of one large group that are similar enough and share no filter before this one, by products of matrices."""
+    earlier = (lists_ >= 0) & (lists_ < at)
+    shared, times = np.unique(lists_[earlier], return_counts=True)
+    shared = shared[times > 1]
+    row, place = np.nonzero(earlier)
+    values = lists_[row, place]
+    column = np.minimum(np.searchsorted(shared, values), max(0, len(shared) - 1))
+    known = shared[column] == values if len(shared) else np.zeros(len(values), dtype=bool)
+    has = np.zeros((len(vectors), max(1, len(shared))), dtype=np.float32)
+    has[row[known], column[known]] = 1
+    for start in range(0, len(vectors), 512):
+        part = slice(start, start + 512)
+        a, b = np.nonzero((vectors[part] @ vectors.T >= similarity) & (has[part] @ has.T == 0))
+        a += start
+        yield a[a < b], b[a < b]
 
 
 def _reached(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -222,7 +225,7 @@ def _reached(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _linked(table: pa.Table, starts: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
-    """rep, code, links, root of the rows of whole groups that have links; rows are sorted by rep within no order."""
+    """rep, code, links, root of the rows of whole groups that have links."""
     ends = np.append(starts[1:], len(table))
     dims = table.column("dim").to_numpy()
     group = np.repeat(np.arange(len(starts)), ends - starts)
@@ -236,12 +239,18 @@ def _linked(table: pa.Table, starts: np.ndarray, similarity: float) -> Iterator[
         padded = np.full((len(rows), max(1, int(length.max()))), -1, dtype=np.int64)
         padded[np.arange(padded.shape[1]) < length[:, None]] = filters.flatten().to_numpy()
         begin = np.flatnonzero(np.diff(group[rows], prepend=-1))
-        left, right = _pairs(begin, np.append(begin[1:], len(rows)), vectors, similarity)
-        block, low, high = column("block"), column("low"), column("high")
+        sizes = np.diff(np.append(begin, len(rows)))
+        block, low, high, at = column("block"), column("low"), column("high"), column("filter")
+        found = []
+        for a, b in _few_pairs(begin[sizes <= _SMALL], sizes[sizes <= _SMALL], vectors, similarity):
+            own = _owned(a, b, padded, at[a])
+            found.append((a[own], b[own]))
+        for start, size in zip(begin[sizes > _SMALL].tolist(), sizes[sizes > _SMALL].tolist()):
+            own = slice(start, start + size)
+            found += [(start + a, start + b) for a, b in _many_pairs(vectors[own], padded[own], at[start], similarity)]
+        left, right = (np.concatenate(x) for x in zip(*found)) if found else (begin[:0], begin[:0])
         across = (low[left] == high[left]) | (block[left] != block[right])
         left, right = left[across], right[across]
-        own = _owned(left, right, padded, column("filter")[left])
-        left, right = left[own], right[own]
         if not len(left):
             continue
         rep, copies = column("rep"), column("copies")
