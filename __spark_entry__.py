@@ -36,6 +36,7 @@ from riskwindow.operators import (
 from riskwindow.operators.features import engineer_features, with_date_hour
 from riskwindow.plans import exploration, sql_suite, training
 from riskwindow.plans.incident_pipeline import run_pipeline
+from riskwindow.plans.rollup import close_windows
 from riskwindow.session import shared_folder
 from riskwindow.sources import (
     append_run,
@@ -53,7 +54,14 @@ from riskwindow.sources import (
     write_json,
     write_windows,
 )
-from riskwindow.streaming import score_stream, windows_from_event_stream, write_stream
+from riskwindow.streaming import (
+    merge_stream,
+    read_batches,
+    score_stream,
+    windows_from_event_stream,
+    write_batches,
+    write_stream,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 WARN, VOLUME = 1, 3
@@ -518,6 +526,40 @@ def _streamed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_stream(_scored_columns(score_stream(model, stream, **CUTS)), "scores")
 
 
+def _closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream merged into a table by date, and a closing batch for the hours that it has left open."""
+    path = shared_folder(spark, "closed")
+    stream = windows_from_event_stream(_event_stream(spark, sf_dir), **MAPPING)
+    merge_stream(stream, path, f"{path}-progress", available_now=True).awaitTermination()
+    close_windows(spark.read.parquet(f"{sf_dir}/events.parquet"), path, **MAPPING)
+    return read_dated_windows(spark, path)
+
+
+def _late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with even ids come first, the others in a second run, when most of their hours are closed."""
+    path = shared_folder(spark, "late")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for half in (0, 1):
+        events.filter(f"event_id % 2 = {half}").write.mode("append").parquet(f"{path}-events")
+        found = spark.readStream.schema(events.schema).parquet(f"{path}-events")
+        stream = windows_from_event_stream(found, **MAPPING)
+        merge_stream(stream, path, f"{path}-progress", available_now=True).awaitTermination()
+    return close_windows(events, path, **MAPPING)
+
+
+def _batched_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored batches of scores hold each window once."""
+    model, _ = _plain(windows(spark, sf_dir), "logistic_regression")
+    scores = _scored_columns(
+        score_stream(model, windows_from_event_stream(_event_stream(spark, sf_dir), **MAPPING), **CUTS)
+    )
+    path = shared_folder(spark, "batches")
+    write_batches(scores, path, f"{path}-progress", available_now=True).awaitTermination()
+    return read_batches(spark, path).selectExpr(
+        S.COMPONENT, S.TIME_WINDOW, S.INCIDENT, "y_proba BETWEEN 0 AND 1 AS sound"
+    )
+
+
 def _described(df: DataFrame) -> DataFrame:
     columns = [*S.MEASURES, S.INCIDENT, S.HOUR]
     return _rounded(
@@ -683,6 +725,9 @@ def _window_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{name: _over_scores(build) for name, build in over_scores.items()},
         "streamed_windows": _streamed_windows,
         "streamed_scores": _streamed_scores,
+        "closed_windows": _closed_windows,
+        "late_events": _late_events,
+        "batched_scores_check": _batched_scores_check,
         "streamed_scores_check": lambda spark, sf_dir: _streamed_scores(spark, sf_dir).selectExpr(
             S.COMPONENT, S.TIME_WINDOW, S.INCIDENT, "y_proba BETWEEN 0 AND 1 AS sound"
         ),
@@ -702,6 +747,23 @@ f AS (
          max(CASE WHEN value >= 200 THEN 1 ELSE 0 END) AS incident
   FROM events GROUP BY 1, 2)"""
 
+#: Events of the second run are late where the first one has closed their hour; windows that hold no
+#: event that came in time, and those still open in the end, are not stored.
+_LATE_SQL = """
+WITH e AS (SELECT 'svc.' || CAST(user_id % 6 AS VARCHAR) AS component, ts, event_id,
+                  strftime(ts, '%y%m%d_%H') AS time_window,
+                  date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour_end FROM events),
+m AS (SELECT max(ts) FILTER (event_id % 2 = 0) - INTERVAL 2 HOUR AS first_mark, max(ts) - INTERVAL 2 HOUR AS last_mark
+      FROM e),
+w AS (SELECT component, time_window, substr(time_window, 1, 6) AS date_part, count(*) AS n,
+             count(*) FILTER (hour_end <= last_mark AND (event_id % 2 = 0 OR hour_end > first_mark)) AS stored
+      FROM e, m GROUP BY ALL)
+SELECT date_part, count(*) FILTER (stored = 0) AS added_windows,
+       CAST(coalesce(sum(n) FILTER (stored = 0), 0) AS BIGINT) AS added_events,
+       count(*) FILTER (stored > 0) AS changed_windows,
+       CAST(coalesce(sum(n - stored) FILTER (stored > 0), 0) AS BIGINT) AS late_events
+FROM w WHERE stored < n GROUP BY date_part"""
+
 _SCORES = """
 s AS (
   SELECT incident AS y_true,
@@ -954,6 +1016,10 @@ def _window_sql() -> dict[str, str]:
         "derive_features": f"{f} SELECT * FROM f",
         # Hours that end before the stream's watermark, two hours behind the last event.
         "streamed_windows": f"{f} SELECT * FROM f {closed}",
+        "batched_scores_check": f"""{f} SELECT component, time_window, incident, true AS sound
+            FROM f {closed}""",
+        "closed_windows": f"{f} SELECT * FROM f",
+        "late_events": f"{_LATE_SQL}",
         "streamed_scores_check": f"""{f} SELECT component, time_window, incident, true AS sound
             FROM f {closed}""",
         **{f"{m}_scored_rows": test_side for m in MODELS},

@@ -3,6 +3,7 @@
 ``rollup`` turns raw events into a feature table stored by date, ``sql``, ``explore``, ``train`` and
 ``pipeline`` work on a feature table, ``score`` applies a saved model to one, and
 ``stream-rollup`` and ``stream-score`` do roll-up and scoring for events that keep coming.
+``close-windows`` adds to a table stored by date what the stream has left open or dropped as late.
 """
 
 import argparse
@@ -10,6 +11,7 @@ import argparse
 from riskwindow.operators import models
 from riskwindow.plans.exploration import run_exploration
 from riskwindow.plans.incident_pipeline import run_pipeline
+from riskwindow.plans.rollup import close_windows
 from riskwindow.plans.sql_suite import run_sql_suite
 from riskwindow.plans.training import SPLITS, run_training
 from riskwindow.session import session
@@ -21,11 +23,17 @@ from riskwindow.sources import (
     write_parquet,
     write_windows,
 )
-from riskwindow.streaming import score_stream, windows_from_event_stream, write_stream
+from riskwindow.streaming import (
+    merge_stream,
+    score_stream,
+    windows_from_event_stream,
+    write_batches,
+    write_stream,
+)
 
 MAPPING = ("component", "event", "warning", "incident")
 TABLE_JOBS = ("sql", "explore", "train", "pipeline", "score")
-EVENT_JOBS = ("rollup", "stream-rollup", "stream-score")
+EVENT_JOBS = ("rollup", "close-windows", "stream-rollup", "stream-score")
 
 
 def _arguments(argv=None):
@@ -48,6 +56,9 @@ def _arguments(argv=None):
             job.add_argument("--format", choices=("csv", "parquet", "table", "dated"))
             job.add_argument("--from", dest="first", help="first date, for tables stored by date")
             job.add_argument("--to", dest="last", help="last date, for tables stored by date")
+        if name == "close-windows":
+            job.add_argument("--from", dest="first", help="first date of the events to roll up again")
+            job.add_argument("--to", dest="last", help="last date of the events to roll up again")
         if name in ("train", "pipeline"):
             job.add_argument("--model", default="random_forest")
             job.add_argument("--partitions", type=int, help="fit on so many partitions at most")
@@ -58,6 +69,8 @@ def _arguments(argv=None):
             job.add_argument("--progress", required=True, help="folder for the stream's progress")
             job.add_argument("--delay", default="2 hours", help="how late an event may come")
             job.add_argument("--once", action="store_true", help="stop after what is there now")
+        if name == "stream-rollup":
+            job.add_argument("--merge", action="store_true", help="keep the output as a table stored by date")
         if name == "rollup":
             job.add_argument(
                 "--whole", action="store_true", help="also delete stored dates that the events lack"
@@ -85,9 +98,11 @@ def _stream(spark, args) -> None:
     schema = spark.read.parquet(args.source).schema
     events = spark.readStream.schema(schema).parquet(args.source)
     rows = windows_from_event_stream(events, **mapping, time=args.time, delay=args.delay)
+    write = merge_stream if args.job == "stream-rollup" and args.merge else write_stream
     if args.job == "stream-score":
         rows = _plain_columns(score_stream(models.load_model(args.model), rows, args.policy))
-    write_stream(rows, args.output, args.progress, args.once).awaitTermination()
+        write = write_batches
+    write(rows, args.output, args.progress, args.once).awaitTermination()
 
 
 def _plain_columns(scored):
@@ -104,6 +119,13 @@ def main(argv=None) -> None:
         events = spark.read.parquet(args.source)
         rolled_up = windows_from_events(events, **mapping, time=args.time)
         write_windows(rolled_up, args.output, args.whole)
+    elif args.job == "close-windows":
+        mapping = {part: getattr(args, part) for part in MAPPING}
+        events = spark.read.parquet(args.source)
+        found = close_windows(
+            events, args.output, **mapping, time=args.time, first=args.first, last=args.last
+        )
+        found.orderBy("date_part").show(1000, truncate=False)
     elif args.job in EVENT_JOBS:
         _stream(spark, args)
     elif args.job == "sql":

@@ -15,6 +15,8 @@ from riskwindow.sources.readers import (
 from riskwindow.sources.writers import (
     append_run,
     export_delimited,
+    is_stored,
+    merge_windows,
     preview,
     write_csv,
     write_json,
@@ -28,6 +30,8 @@ __all__ = [
     "create_external_table",
     "drop_table",
     "export_delimited",
+    "is_stored",
+    "merge_windows",
     "overwrite_table",
     "preview",
     "read_dated_windows",

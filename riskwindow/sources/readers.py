@@ -88,9 +88,13 @@ def read_windows(
 
 
 def read_dated_windows(
-    spark: SparkSession, path: str, first: str | None = None, last: str | None = None
+    spark: SparkSession,
+    path: str,
+    first: str | None = None,
+    last: str | None = None,
+    dates: Iterable[str | None] | None = None,
 ) -> DataFrame:
-    """A feature table stored by date, from ``first`` to ``last`` (``YYMMDD``).
+    """A feature table stored by date, from ``first`` to ``last`` (``YYMMDD``), or of some dates.
 
     Only the folders of these dates are listed and read. The folder names are
     taken as text, so that leading zeros stay; counts may be stored as INT or BIGINT.
@@ -102,6 +106,11 @@ def read_dated_windows(
         df = df.filter(f"date_part >= {literal(first)}")
     if last is not None:
         df = df.filter(f"date_part <= {literal(last)}")
+    if dates is not None:
+        named = [literal(date) for date in dates if date is not None]
+        # A date that does not parse lies in a folder of its own, whose name Spark reads as NULL.
+        tests = ["date_part IS NULL"] * (None in set(dates)) + [f"date_part IN ({', '.join(named)})"] * bool(named)
+        df = df.filter(" OR ".join(tests) or "false")
     return df.drop("date_part")
 
 

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from riskwindow import schema as S
 from riskwindow.functions import date_of
+from riskwindow.session import discard, shared_folder
+from riskwindow.sources.readers import read_dated_windows
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
@@ -30,6 +32,44 @@ def write_windows(df: DataFrame, path: str, whole: bool = False) -> None:
     )
 
 
+def merge_windows(df: DataFrame, path: str, keys=(S.COMPONENT, S.TIME_WINDOW)) -> None:
+    """Put rows into a table stored by date: rows of the same key are replaced, all others stay.
+
+    Doing it again changes nothing, so a batch that is repeated after a failure leaves no duplicates. Only
+    the dates of ``df`` are read and written; each date is replaced as a whole at the end of the write. Rows of
+    ``df`` must not share a key. The merged rows are stored before the table is touched.
+    """
+    spark = df.sparkSession
+    staged, merged = shared_folder(spark, "merge"), shared_folder(spark, "merged")
+    try:
+        df.write.parquet(staged)
+        new = spark.read.schema(df.schema).parquet(staged)
+        # An empty date shares the folder of missing ones.
+        dates = [r[0] for r in new.selectExpr(f"nullif({date_of()}, '') AS d").distinct().collect()]
+        if not dates:
+            return
+        rows = new
+        if is_stored(spark, path):
+            old = read_dated_windows(spark, path, dates=dates)
+            same = " AND ".join(f"l.{key} <=> r.{key}" for key in keys)
+            kept = old.alias("l").join(new.alias("r"), F.expr(same), "left_anti")
+            rows = new.unionByName(kept, allowMissingColumns=True)
+        rows.write.parquet(merged)
+        write_windows(spark.read.schema(rows.schema).parquet(merged), path)
+    finally:
+        discard(spark, staged)
+        discard(spark, merged)
+
+
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether a date is stored below the path."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(folder) and any(
+        status.getPath().getName().startswith("date_part=") for status in system.listStatus(folder)
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -1,3 +1,17 @@
-from riskwindow.streaming.live import score_stream, windows_from_event_stream, write_stream
+from riskwindow.streaming.live import (
+    merge_stream,
+    read_batches,
+    score_stream,
+    windows_from_event_stream,
+    write_batches,
+    write_stream,
+)
 
-__all__ = ["score_stream", "windows_from_event_stream", "write_stream"]
+__all__ = [
+    "merge_stream",
+    "read_batches",
+    "score_stream",
+    "windows_from_event_stream",
+    "write_batches",
+    "write_stream",
+]

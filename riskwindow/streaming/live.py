@@ -1,12 +1,13 @@
 """The feature roll-up and the scoring on live logs."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskwindow import schema as S
 from riskwindow.functions import window_label
 from riskwindow.operators.models import score_windows
+from riskwindow.sources import merge_windows
 
 GRAIN = "1 hour"
 
@@ -37,7 +38,8 @@ def windows_from_event_stream(
     distinct events are counted exactly, by two chained aggregations: first
     per (hour, component, event), then per (hour, component). Events later than
     ``delay`` behind the newest one are dropped, and an hour is emitted once the
-    watermark has passed its end.
+    watermark has passed its end. ``plans.rollup.close_windows`` adds the hours that are still open,
+    brings in late events and counts them.
     """
     keyed = events.selectExpr(f"CAST({time} AS TIMESTAMP_NTZ) AS _wall", "*").selectExpr(
         f"{_WALL_CLOCK} AS _time",
@@ -79,10 +81,51 @@ def score_stream(
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = False):
     """Append a stream to parquet. ``checkpoint`` must be on shared storage."""
-    writer = (
-        df.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    return _start(df.writeStream.format("parquet").option("path", path), checkpoint, available_now)
+
+
+#: Names the folders of :func:`write_batches`.
+BATCH = "batch_part"
+
+
+def write_batches(df: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+    """Store each batch of a stream in a folder of its own below ``path``, named by the batch's id.
+
+    A batch that is repeated after a failure replaces what its first try has left, so no row comes twice,
+    and other formats than files could be written the same way. One ``checkpoint`` belongs to one
+    ``path``: a new one would count its batches from 0 again.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        (
+            batch.withColumn(BATCH, F.lit(number).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH)
+            .parquet(path)
+        )
+
+    return _start(df.writeStream.foreachBatch(store), checkpoint, available_now)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches that :func:`write_batches` has stored."""
+    return spark.read.parquet(path).drop(BATCH)
+
+
+def merge_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+    """Merge a stream of windows into a table stored by date.
+
+    Windows of the same component and hour are replaced, so a repeated batch changes nothing, and the
+    stream may go on with a table that a batch run has written or closed.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merge_windows(batch, path)
+
+    return _start(df.writeStream.foreachBatch(merge), checkpoint, available_now)
+
+
+def _start(writer, checkpoint: str, available_now: bool):
+    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
