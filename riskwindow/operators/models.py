@@ -1,5 +1,6 @@
 """MLlib pipelines, model presets, scoring, importances and persistence."""
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from riskwindow import schema as S
 from riskwindow.functions import quoted
 from riskwindow.operators.features import engineer_features
+from riskwindow.session import discard
 
 COMPONENT_INDEX = "component_index"
 COMPONENT_VECTOR = "component_vec"
@@ -276,9 +278,61 @@ def feature_importances(
     return ranked if top is None else ranked.limit(top)
 
 
+#: Names the version that counts, in the folder of a saved model.
+POINTER = "CURRENT"
+
+
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Save a new version of a model below ``path`` and point to it.
+
+    The version is written whole before the pointer file is replaced, in one step where the file
+    system renames in one step. A save that fails half-way leaves the model that was there
+    before. The version before this one is kept for readers that have begun to load it; older ones go.
+    """
+    spark = SparkSession.active()
+    before = _current_version(spark, path)
+    version = f"version-{uuid.uuid4().hex}"
+    model.write().save(f"{path}/{version}")
+    _point_to(spark, path, version)
+    for old in _versions(spark, path) - {version, before}:
+        discard(spark, f"{path}/{old}")
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The version that ``path`` points to; a folder without a pointer is a model itself."""
+    version = _current_version(SparkSession.active(), path)
+    return PipelineModel.load(f"{path}/{version}" if version else path)
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _current_version(spark: SparkSession, path: str) -> str | None:
+    folder, system = _folder(spark, f"{path}/{POINTER}")
+    if not system.exists(folder):
+        return None
+    return spark.read.text(f"{path}/{POINTER}").first()[0]
+
+
+def _versions(spark: SparkSession, path: str) -> set[str]:
+    folder, system = _folder(spark, path)
+    names = (status.getPath().getName() for status in system.listStatus(folder))
+    return {name for name in names if name.startswith("version-")}
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Replace the pointer file by one rename."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    written, system = _folder(spark, f"{path}/.{POINTER}-{version}")
+    out = system.create(written)
+    out.write(bytearray(version.encode()))
+    out.close()
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf)
+    files.rename(system.makeQualified(written), system.makeQualified(pointer), options)

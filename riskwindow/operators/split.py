@@ -10,7 +10,10 @@ from riskwindow import schema as S
 from riskwindow.functions import lookup, quoted, rows_from
 
 TRAIN, TEST = "train", "test"
-_PREFIX_DIGITS = 4  # hex digits, so 65,536 hash buckets
+_PREFIX_DIGITS = 4  # hex digits that one level adds, so 65,536 hash buckets
+_HASH_DIGITS = 32
+#: Rows of a class that are put in order at most; identical rows count as one.
+ORDERED = 65_536
 _COPIES_PER_ROW = 100_000
 
 
@@ -71,8 +74,9 @@ def stratified_split(
     Within each class the rows with the smallest hashes become the test rows.
     One aggregation counts the rows per class and hash prefix; a running sum over
     the prefixes finds the one at which the test rows of a class end, and only that
-    row per class reaches the driver. All other prefixes are then decided row by row
-    without a shuffle, and only the rows of the boundary prefix (one in 65,536) are
+    row per class reaches the driver. Where that prefix still holds more than ``ORDERED`` rows
+    it is lengthened by further digits, each time over its own rows only. All other prefixes are then
+    decided row by row without a shuffle, and only the rows of the boundary prefix are
     put in order. There, identical rows travel as one row with a count, so a value
     that fills a third of the table is no burden either. The result does not depend
     on the partitioning.
@@ -81,8 +85,8 @@ def stratified_split(
     # As a generator's output, the hash is computed once per row. A plain column
     # would be copied into every filter and projection that mentions it.
     hashed = df.selectExpr("*", f"stack(1, {row_hash(df, seed)}) AS (_hash)")
-    prefix = f"substr(_hash, 1, {_PREFIX_DIGITS})"
-    boundary, missing = _boundaries(hashed, prefix, label, test_share)
+    boundary, missing, digits = _boundaries(hashed, label, test_share)
+    prefix = f"substr(_hash, 1, {digits})"
     edge = lookup(quoted(label), boundary)
     decided = hashed.filter(f"{prefix} <> {edge}").selectExpr(
         *columns, f"IF({prefix} < {edge}, '{TEST}', '{TRAIN}') AS split"
@@ -114,29 +118,48 @@ def with_class_weight(
     return df.selectExpr("*", f"{lookup(quoted(label), weights)} AS {quoted(weight)}")
 
 
-def _boundaries(
-    hashed: DataFrame, prefix: str, label: str, test_share: float
-) -> tuple[dict, dict]:
-    """Per class, the prefix at which its test rows end and how many rows of that are test rows."""
-    buckets = hashed.groupBy(F.expr(f"{quoted(label)} AS label"), F.expr(f"{prefix} AS prefix")).agg(
-        F.expr("count(*) AS n")
-    )
+def _boundaries(hashed: DataFrame, label: str, test_share: float) -> tuple[dict, dict, int]:
+    """Per class, the prefix at which its test rows end and how many rows of that are test rows; its digits."""
+    digits = _PREFIX_DIGITS
+    buckets = _counted(hashed, label, digits)
     buckets.persist()  # at most 65,536 rows per class, used twice
     try:
         totals = buckets.groupBy("label").agg(F.expr("sum(n) AS n")).collect()
         counts = _checked_classes({value: n for value, n in totals}, label)
-        sizes = test_sizes(counts, test_share)
-        wanted = lookup("label", sizes)
-        edges = (
-            buckets.selectExpr("*", "sum(n) OVER (PARTITION BY label ORDER BY prefix) AS upto")
-            .filter(f"greatest({wanted}, 1) > upto - n AND greatest({wanted}, 1) <= upto")
-            .selectExpr("label", "prefix", "upto - n AS below")
-            .collect()
-        )
+        missing = test_sizes(counts, test_share)
+        edges = _edges(buckets, missing)
     finally:
         buckets.unpersist()
-    boundary = {value: digits for value, digits, _ in edges}
-    return boundary, {value: sizes[value] - below for value, _, below in edges}
+    boundary = {value: edge["prefix"] for value, edge in edges.items()}
+    missing = {value: missing[value] - edge["below"] for value, edge in edges.items()}
+    while digits < _HASH_DIGITS and max(edge["different"] for edge in edges.values()) > ORDERED:
+        inside = hashed.filter(f"substr(_hash, 1, {digits}) = {lookup(quoted(label), boundary)}")
+        digits += _PREFIX_DIGITS
+        edges = _edges(_counted(inside, label, digits), missing)
+        boundary = {value: edge["prefix"] for value, edge in edges.items()}
+        missing = {value: missing[value] - edge["below"] for value, edge in edges.items()}
+    return boundary, missing, digits
+
+
+def _counted(hashed: DataFrame, label: str, digits: int) -> DataFrame:
+    """Rows per class and hash prefix; ``different`` is 1 where all of them are identical."""
+    return (
+        hashed.groupBy(F.expr(f"{quoted(label)} AS label"), F.expr(f"substr(_hash, 1, {digits}) AS prefix"))
+        .agg(F.expr("count(*) AS n"), F.expr("min(_hash) AS lowest"), F.expr("max(_hash) AS highest"))
+        .selectExpr("label", "prefix", "n", "IF(lowest = highest, 1L, n) AS different")
+    )
+
+
+def _edges(buckets: DataFrame, missing: Mapping[int, int]) -> dict[int, dict]:
+    """Per class, the bucket in which the last of the missing test rows lies."""
+    wanted = f"greatest({lookup('label', missing)}, 1)"
+    rows = (
+        buckets.selectExpr("*", "sum(n) OVER (PARTITION BY label ORDER BY prefix) AS upto")
+        .filter(f"{wanted} > upto - n AND {wanted} <= upto")
+        .selectExpr("label", "prefix", "upto - n AS below", "different")
+        .collect()
+    )
+    return {row["label"]: row.asDict() for row in rows}
 
 
 def _checked_classes(classes: dict, label: str) -> dict:

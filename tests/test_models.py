@@ -256,3 +256,55 @@ def test_training_leaves_nothing_behind_on_demand(spark, sample, tmp_path):
     assert (tmp_path / "run" / "split").exists() and run.metrics.count() == 1
     run.discard()
     assert not any((tmp_path / "run").iterdir())
+
+
+class _HalfSaved:
+    """A model whose save writes something and fails."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def write(self):
+        return self
+
+    def save(self, path):
+        self.model.stages[0].write().save(f"{path}/stages/0")
+        raise OSError("disk full")
+
+
+def test_failed_save_leaves_the_old_model(sample, tmp_path, monkeypatch):
+    path = str(tmp_path / "model")
+    train = engineer_features(sample)
+    first = models.fit_plain(train, small_forest())
+    models.save_model(first, path)
+
+    def scores():
+        rows = models.positive_probability(models.score(models.load_model(path), train))
+        return sorted(map(tuple, rows.select("component", "time_window", "y_proba").collect()))
+
+    before = scores()
+    with pytest.raises(OSError):
+        models.save_model(_HalfSaved(first), path)
+    assert scores() == before
+    other = models.fit_plain(train, models.plain_model("logistic_regression"))
+    with monkeypatch.context() as patched:
+        patched.setattr(models, "_point_to", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            models.save_model(other, path)
+    assert scores() == before
+    models.save_model(other, path)
+    assert scores() != before
+    models.save_model(first, path)
+    assert scores() == before
+    # The last two versions stay, those of the failed saves went.
+    versions = [p for p in (tmp_path / "model").iterdir() if p.name.startswith("version-")]
+    assert len(versions) == 2
+
+
+def test_models_saved_without_versions_are_loaded(sample, tmp_path):
+    path = str(tmp_path / "plain")
+    model = models.fit_plain(engineer_features(sample), small_forest())
+    model.write().save(path)
+    assert len(models.load_model(path).stages) == len(model.stages)
+    models.save_model(model, path)
+    assert len(models.load_model(path).stages) == len(model.stages)

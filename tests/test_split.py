@@ -5,6 +5,7 @@ from frames import executed_plan, sample_rows, table
 from hypothesis import given
 from hypothesis import strategies as st
 
+from riskwindow import schema as S
 from riskwindow.operators import split
 
 
@@ -115,6 +116,30 @@ def test_decided_rows_do_not_shuffle(sample):
     assert "Python" not in plan
 
 
+@pytest.mark.parametrize("ordered", [1, 3, 20])
+def test_boundary_is_narrowed_until_few_rows_are_ordered(make, monkeypatch, ordered):
+    """By single digits: the same sides as without narrowing, and few rows left to put in order."""
+    rows = sample_rows(400, 40) + [("hot", "240101_00", 1, 1, 1, 0)] * 150
+    expected = sorted(map(tuple, split.stratified_split(make(rows)).collect()))
+    monkeypatch.setattr(split, "_PREFIX_DIGITS", 1)
+    monkeypatch.setattr(split, "ORDERED", ordered)
+    df = make(rows)
+    assert sorted(map(tuple, split.stratified_split(df).collect())) == expected
+    hashed = df.selectExpr("*", f"{split.row_hash(df)} AS _hash")
+    boundary, missing, digits = split._boundaries(hashed, S.INCIDENT, S.TEST_SHARE)
+    for label, edge in boundary.items():
+        inside = hashed.filter(f"incident = {label} AND substr(_hash, 1, {digits}) = '{edge}'")
+        assert inside.select("_hash").distinct().count() <= max(ordered, 1)
+        assert 0 <= missing[label] <= inside.count()
+
+
+def test_only_copies_need_no_narrowing(make, monkeypatch):
+    monkeypatch.setattr(split, "ORDERED", 1)
+    df = make([("hot", "240101_00", 1, 1, 1, 0)] * 90 + [("hot", "240101_00", 1, 1, 1, 1)] * 10)
+    hashed = df.selectExpr("*", f"{split.row_hash(df)} AS _hash")
+    assert split._boundaries(hashed, S.INCIDENT, 0.2)[2] == split._PREFIX_DIGITS
+
+
 def test_random_split(sample):
     train, test = split.random_split(sample)
     assert train.count() + test.count() == 200
