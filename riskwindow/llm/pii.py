@@ -15,6 +15,11 @@ true spans and each labeler's hit rates on true and false ones, and with these a
 neighbouring words and characters; ``BUCKETS`` of them) is trained with the probabilities as soft labels, and
 decides on every candidate that is no base span. Base spans stay whatever it says.
 
+**Overlaps.** A candidate of a loose pattern gives way to any base span, and of two added spans of one kind
+that overlap the longer stays. Matches of one pattern never overlap, so an index of the matches by blocks of the
+text gives those around a span, and each span meets only the ones that it may touch. The work grows with the text
+and its spans, never with pairs of spans.
+
 Candidates of a document are one array in a stored narrow table; the two fitted models are scalar subqueries.
 No row is shuffled but counts. Patterns are written so that they neither recurse nor go back over long runs.
 
@@ -43,12 +48,16 @@ STRICT = {
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20?[\[({]at[\])}]\x20?)"
     r"[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[\[({]dot[\])}]\x20?)[A-Za-z0-9-]{1,63}){1,8}",
+    "card": r"(?<![0-9])[0-9]{13,19}(?![0-9])",
     "phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}[\x20.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 #: A cheap sign without which a pattern cannot match.
 SIGN = {"email": "instr(text, '@') > 0", "ip": "instr(text, '.') > 0", "card": "true", "phone": "instr(text, '+') > 0"}
-LOOSE_SIGN = {"email": "text RLIKE '[({\\\\[]at[)}\\\\]]'", "phone": "text RLIKE '[0-9]{3}[ .-][0-9]{4}'"}
-_CARD_INSIDE = r"(?<![0-9])[0-9]{13,19}(?![0-9])"
+LOOSE_SIGN = {
+    "email": "text RLIKE '[({\\\\[]at[)}\\\\]]'",
+    "card": "size(card) > 0 AND text RLIKE '[0-9]{13}'",
+    "phone": "text RLIKE '[0-9]{3}[ .-][0-9]{4}'",
+}
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _DOMAINS = "com|org|net|edu|gov|mil|int|info|biz|io|co|us|uk|de|fr|es|it|nl|eu|ch|at|be|pl|se|no|fi|dk|pt|ca|au|jp|cn|in|br|ru"
@@ -125,8 +134,8 @@ def _features(kind: str) -> str:
 def _located(rows: DataFrame, name: str, pattern: str, sign: str) -> DataFrame:
     """Adds an array of hit, start, end, before and after for the matches of a pattern in ``text``.
 
-    The texts between matches and the matches give the places by running sums, taken in blocks of
-    256 so that very many matches in one text stay cheap.
+    The texts between matches and the matches give the places by running sums, taken from blocks of
+    64 and of 4,096, so that very many matches in one text stay cheap.
     """
     hits, between, steps = f"{name}_hits", f"{name}_between", f"{name}_steps"
     rows = rows.withColumn(hits, F.expr(f"CASE WHEN {sign} THEN regexp_extract_all(text, {_text(pattern)}, 0) END"))
@@ -135,17 +144,20 @@ def _located(rows: DataFrame, name: str, pattern: str, sign: str) -> DataFrame:
         steps,
         F.expr(f"transform({hits}, (x, i) -> length({between}[i]) + IF(i > 0, length({hits}[i - 1]), 0))"),
     )
-    blocks = f"{name}_blocks"
-    rows = rows.withColumn(
-        blocks,
-        F.expr(
-            f"transform(sequence(0, size({steps}) DIV 256), b -> "
-            f"aggregate(slice({steps}, b * 256 + 1, 256), 0, (a, x) -> a + x))"
-        ),
-    )
-    place = (
-        f"aggregate(slice({blocks}, 1, i DIV 256), 0, (a, x) -> a + x) + "
-        f"aggregate(slice({steps}, (i DIV 256) * 256 + 1, i % 256 + 1), 0, (a, x) -> a + x)"
+    blocks, parts = f"{name}_blocks", f"{name}_parts"
+    total = lambda column, start, n: f"aggregate(slice({column}, {start}, {n}), 0, (a, x) -> a + x)"
+    for made, summed in ((blocks, steps), (parts, blocks)):
+        each = f"transform(sequence(0, size({summed}) DIV 64), b -> {total(summed, 'b * 64 + 1', 64)})"
+        rows = rows.withColumn(made, F.expr(each))
+    # Two uses of each sum keep the optimizer from writing its definition into the lambda, where it
+    # would be computed for each match.
+    place = " + ".join(
+        f"IF(size({column}) > 0, {total(column, start, n)}, 0)"
+        for column, start, n in (
+            (parts, 1, "i DIV 4096"),
+            (blocks, "(i DIV 4096) * 64 + 1", "(i DIV 64) % 64"),
+            (steps, "(i DIV 64) * 64 + 1", "i % 64 + 1"),
+        )
     )
     found = F.expr(
         f"""transform(transform({hits}, (h, i) -> struct(
@@ -154,11 +166,43 @@ def _located(rows: DataFrame, name: str, pattern: str, sign: str) -> DataFrame:
             x.after AS after, regexp_replace(x.hit, '[^0-9]', '') AS digits))"""
     )
     return rows.withColumn(name, F.coalesce(F.when(F.size(hits) > 0, found), F.array())).drop(
-        hits, between, steps, blocks
+        hits, between, steps, blocks, parts
     )
 
 
-_CANDIDATE = "array<struct<kind:string,nth:int,start:int,end:int,base:boolean,votes:array<int>,features:array<int>>>"
+_CANDIDATE = (
+    "array<struct<kind:string,nth:int,start:int,end:int,base:boolean,loose:boolean,votes:array<int>,features:array<int>>>"
+)
+
+
+def _index(spans: str) -> str:
+    """For each block of 64 characters, how many of the spans begin before it; up to the last one's block.
+
+    ``spans`` is a column of spans in order that do not overlap.
+    """
+    before = f"IF(i > 0, {spans}[i - 1].start DIV 64, -1)"
+    return f"flatten(transform({spans}, (x, i) -> array_repeat(i, CAST(x.start DIV 64 - {before} AS INT))))"
+
+
+def _around(spans: str, index: str) -> str:
+    """The spans that x may overlap: from the last one that begins before its first block."""
+    count = f"size({spans})"
+    first = f"greatest(coalesce(get({index}, CAST(x.start DIV 64 AS INT)), {count}), 1)"
+    behind = f"coalesce(get({index}, CAST((x.end - 1) DIV 64 + 1 AS INT)), {count})"
+    return f"slice({spans}, {first}, greatest({behind} - {first} + 1, 0))"
+
+
+def _indexed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    for column in columns:
+        rows = rows.withColumn(f"{column}_index", F.expr(f"CASE WHEN size({column}) > 0 THEN {_index(column)} END"))
+    return rows
+
+
+def _touches(column: str, test: str) -> str:
+    """Whether a span y of the column that overlaps x passes a test."""
+    near = _around(column, f"{column}_index")
+    overlap = "x.start < y.end AND y.start < x.end"
+    return f"(size({column}) > 0 AND exists({near}, y -> {overlap} AND {test}))"
 
 
 def _judged(kind: str, column: str, strict: bool) -> str:
@@ -167,7 +211,8 @@ def _judged(kind: str, column: str, strict: bool) -> str:
         "x.*", "x.hit AS hit, x.start AS start, x.end AS end, x.before AS before, x.after AS after, x.digits AS digits"
     )
     return f"""transform({checked}, x -> struct('{kind}' AS kind, {KINDS.index(kind)} AS nth, x.start AS start,
-        x.end AS end, x.base AS base, {_votes(kind, strict)} AS votes, {_features(kind)} AS features))"""
+        x.end AS end, x.base AS base, {'false' if strict else 'true'} AS loose, {_votes(kind, strict)} AS votes,
+        {_features(kind)} AS features))"""
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -179,25 +224,26 @@ def candidates(docs: DataFrame) -> DataFrame:
         rows = _located(rows, kind, STRICT[kind], SIGN[kind])
     for kind in LOOSE:
         rows = _located(rows, f"loose_{kind}", LOOSE[kind], LOOSE_SIGN[kind])
-    # Card numbers inside a match that fails: the match with the text before and after it.
-    inside = f"""flatten(transform(filter(card, x -> NOT ({_passes('card')})), x -> transform(
-        filter(regexp_extract_all(x.hit, {_text(_CARD_INSIDE)}, 0), y -> y <> x.hit), y -> struct(
-          y AS hit, x.start + instr(x.hit, y) - 1 AS start, x.start + instr(x.hit, y) - 1 + length(y) AS end,
-          right(concat(x.before, left(x.hit, instr(x.hit, y) - 1)), 40) AS before,
-          left(concat(substr(x.hit, instr(x.hit, y) + length(y)), x.after), 20) AS after, y AS digits))))"""
-    rows = rows.withColumn("loose_card", F.expr(inside))
+    # A run of digits that is a whole match of the strict pattern is a candidate already.
+    rows = rows.withColumn("whole_card", F.expr("CASE WHEN size(loose_card) > 0 THEN card END"))
+    same = _touches("whole_card", "y.start = x.start AND y.end = x.end")
+    rows = _indexed(rows, ["whole_card"]).withColumn(
+        "loose_card", F.expr(f"filter(loose_card, x -> NOT coalesce({same}, false))")
+    )
     strict = ", ".join(_judged(kind, kind, True) for kind in KINDS)
-    loose = ", ".join(_judged(kind, f"loose_{kind}", False) for kind in (*LOOSE, "card"))
-    return rows.select(
+    loose = ", ".join(_judged(kind, f"loose_{kind}", False) for kind in LOOSE)
+    rows = rows.select(
         "doc_id",
         F.expr(f"CAST(concat({strict}) AS {_CANDIDATE})").alias("strict"),
         F.expr(f"CAST(concat({loose}) AS {_CANDIDATE})").alias("loose"),
-    ).select(
-        "doc_id",
-        F.expr(
-            "concat(strict, filter(loose, x -> NOT exists(strict, y -> y.base AND x.start < y.end AND y.start < x.end)))"
-        ).alias("found"),
     )
+    for n, kind in enumerate(KINDS):
+        rows = rows.withColumn(
+            f"base_{kind}", F.expr(f"CASE WHEN size(loose) > 0 THEN filter(strict, x -> x.base AND x.nth = {n}) END")
+        )
+    rows = _indexed(rows, [f"base_{kind}" for kind in KINDS])
+    covered = " OR ".join(f"coalesce({_touches(f'base_{kind}', 'true')}, false)" for kind in KINDS)
+    return rows.select("doc_id", F.expr(f"concat(strict, filter(loose, x -> NOT ({covered})))").alias("found"))
 
 
 _MODEL = "struct<prior:double,hit:array<double>,clear:array<double>>"
@@ -272,24 +318,35 @@ def spans(docs: DataFrame) -> DataFrame:
         F.col("found"),
         fitted.select(F.struct("bias", "weights")).scalar().alias("model"),
     )
-    place = "struct(x.start AS start, x.nth AS nth, x.kind AS kind, x.end AS end, x.base AS base)"
-    return whole.select(
+    place = "struct(x.start AS start, x.nth AS nth, x.kind AS kind, x.end AS end, x.base AS base, x.loose AS loose)"
+    rows = whole.select(
         "doc_id",
         F.expr(
             f"""array_sort(transform(filter(found, x -> x.base OR
                 aggregate(x.features, model.bias, (s, f) -> s + model.weights[f]) > 0), x -> {place}))"""
         ).alias("all"),
-    ).select(
+    )
+    # Of added spans of one kind that overlap, the longest stays; failed matches give way to cards inside.
+    sides = [(kind, KINDS.index(kind), side) for kind in LOOSE for side in ("loose", "failed")]
+    for kind, n, side in sides:
+        test = "x.loose" if side == "loose" else "NOT x.loose AND NOT x.base"
+        rows = rows.withColumn(f"{side}_{kind}", F.expr(f"filter(all, x -> x.nth = {n} AND {test})"))
+    rows = _indexed(rows, [f"{side}_{kind}" for kind, _, side in sides])
+    shorter = " OR ".join(
+        f"(x.nth = {n} AND {'NOT x.loose' if side == 'loose' else 'x.loose'} AND "
+        f"{_touches(f'{side}_{kind}', 'y.end - y.start > x.end - x.start')})"
+        for kind, n, side in sides
+    )
+    return rows.select(
         "doc_id",
-        F.expr("filter(all, x -> x.base)").alias("base"),
-        # Of added spans of one kind that overlap, the longest stays; failed matches give way to cards inside.
-        F.expr(
-            """filter(all, x -> x.base OR NOT exists(all, y -> y.kind = x.kind AND y <> x
-                AND x.start < y.end AND y.start < x.end AND (y.base OR y.end - y.start > x.end - x.start)))"""
-        ).alias("spans"),
+        F.expr(f"transform(filter(all, x -> x.base), x -> {_PLACE})").alias("base"),
+        F.expr(f"transform(filter(all, x -> x.base OR NOT ({shorter})), x -> {_PLACE})").alias("spans"),
     )
 
 
+_PLACE = "struct(x.start AS start, x.nth AS nth, x.kind AS kind, x.end AS end, x.base AS base)"
+
+
 def op5_pii(spark, sf_dir: str) -> DataFrame:
     said = "array_join(transform({}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
     return spans(common.table(spark, sf_dir, "documents")).selectExpr(

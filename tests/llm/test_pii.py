@@ -68,6 +68,50 @@ def test_very_many_spans_in_one_text(run):
     assert found == spans == base(text)
 
 
+def plain_overlaps(strict, loose, accepted):
+    """What stays of candidates (kind, start, end, base), by comparing all pairs."""
+    cross = lambda x, y: x[1] < y[2] and y[1] < x[2]
+    loose = [x for x in loose if not any(y[3] and cross(x, y) for y in strict)]
+    found = [x for x in strict + loose if x[3] or accepted(x)]
+    return sorted(
+        (x[1], pii.KINDS.index(x[0]), x[2])
+        for x in found
+        if x[3] or not any(y[0] == x[0] and y != x and cross(x, y) and (y[3] or y[2] - y[1] > x[2] - x[1]) for y in found)
+    )
+
+
+def test_overlaps_equal_all_pairs(spark, documents):
+    """Candidates as found, a classifier that takes everything: the same spans as by comparing all pairs."""
+    draw = random.Random(8)
+    parts = ["4111111111111111", "4111 1111-1111 1111", "555-123-4567", "(555) 123-4567", "+1 555 123 4567", "a@b.co",
+             "a [at] b.co", "x(at)y(dot)de", "1.2.3.4", "1.2.3.400", "5500005555555559", "12 ", "-", " ", " or ", "+", "4000000000000"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(1, 60))) for _ in range(400)]
+    found = pii.candidates(documents(list(enumerate(texts)))).collect()
+    kept = {r.doc_id: r.spans for r in pii.spans(documents(list(enumerate(texts)))).collect()}
+    fitted = {r.doc_id: {(x.kind, x.start, x.end) for x in r.spans} for r in pii.spans(documents(list(enumerate(texts)))).collect()}
+    seen = 0
+    for row in found:
+        own = [(x.kind, x.start, x.end, x.base) for x in row.found]
+        strict = [x for x, y in zip(own, row.found) if not y.loose]
+        loose = [x for x, y in zip(own, row.found) if y.loose]
+        assert not any(y[3] and x[1] < y[2] and y[1] < x[2] for x in loose for y in strict)
+        # Every span that stays beats all that overlap it and are not there.
+        every = plain_overlaps(strict, loose, lambda x: x[:3] in fitted[row.doc_id])
+        assert [(x.start, x.nth, x.end) for x in kept[row.doc_id]] == every
+        seen += sum(not x[3] for x in own)
+    assert seen > 500
+
+
+def test_work_grows_with_the_spans_of_a_text(run):
+    """Added spans, failed matches and cards inside runs of numbers, tens of thousands in one text."""
+    text = "".join(f"call 555-{200 + i % 700}-{1000 + i % 9000} or {4000000000000 + i * 7919} " for i in range(20_000))
+    (_, found, spans), = run([(1, text)])
+    assert set(found) == set(base(text)) and len(spans) >= 19_000
+    text = "4000000000006 " * 20_000
+    (_, found, _), = run([(1, text)])
+    assert found == base(text)
+
+
 def test_adds_a_card_that_the_plain_pattern_runs_over(run):
     draw = random.Random(2)
 
