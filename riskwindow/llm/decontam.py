@@ -15,6 +15,12 @@ shorter items cannot be told from common phrases and match nothing.
 of the benchmark, the only thing broadcast). Windows of documents that the bitmap rules out end in the
 task that made them; the others meet the benchmark in a hash join, which is exact.
 
+**Stems.** A window that more than ``STEM`` items share (the same instructions before every question) would pair each
+document that has it with all of them. So a document first meets items by their other windows only. Where one
+of these brings an item, its common windows are looked for at the places of the document that lie on the same
+diagonal. What common windows alone may cover is decided once for all items that share a whole stretch of them:
+such a stretch, with its slot values numbered by first appearance, is one row of a table of stems.
+
 **Slots.** Matches of a document and an item that lie on one diagonal (same distance between the two
 positions) make a run; gaps of up to a window are allowed. In a run, each slot value of the item must
 stand for one value of the document, and different values for different ones. A run that
@@ -38,6 +44,8 @@ from pyspark.sql import functions as F
 from riskwindow.llm import common
 
 WINDOW, LEAST, COVER, BITS = 8, 5, 13, 26
+#: Items that may share a window before it counts as one of a stem.
+STEM = 16
 #: Different words whose templates a worker keeps; beyond that it starts anew.
 MEMO = 150_000
 
@@ -296,16 +304,12 @@ def _agrees(there: dict, back: dict, new: list[tuple[int, int]]) -> bool:
     return True
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, text_key, item_id, words: template words that documents share with items, if enough."""
-    items = common.stored(item_windows(benchmark), "items")
-    lengths = sorted(r["length"] for r in items.select("length").distinct().collect())
-    found = suspects(docs, common.bitmap(items, BITS), lengths)
-    pairs = found.join(
-        items.select("item_id", "words", F.col("at").alias("item_at"), "code", F.col("slots").alias("item_slots")),
-        "code",
-    )
-    grouped = pairs.groupBy("doc_id", "text_key", "item_id", "words").agg(
+_KEY = ("doc_id", "text_key")
+
+
+def _scored(pairs: DataFrame, owner: str, kind: str) -> DataFrame:
+    """doc_id, text_key, the owner of the windows, words, shared: template words that a run of matches covers."""
+    grouped = pairs.groupBy(*_KEY, owner, "words").agg(
         F.collect_set(F.struct("item_at", "at", "item_slots", "slots")).alias("matches")
     )
 
@@ -316,15 +320,114 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for own, words in zip(batch.column("matches").to_pylist(), batch.column("words").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "text_key", "item_id", "words")]
-                + [pa.array(shared, pa.int32())],
-                names=["doc_id", "text_key", "item_id", "words", "shared"],
+                [batch.column(c) for c in (*_KEY, owner, "words")] + [pa.array(shared, pa.int32())],
+                names=[*_KEY, owner, "words", "shared"],
             )
 
+    return grouped.mapInArrow(run, f"doc_id long, text_key long, {owner} {kind}, words int, shared int").filter(
+        F.col("shared") >= F.least(F.lit(COVER), "words")
+    )
+
+
+def _same_row(left: str, right: str) -> str:
+    return f"{left}.doc_id <=> {right}.doc_id AND {left}.text_key = {right}.text_key"
+
+
+def _by_items(found: DataFrame, items: DataFrame, common_codes: DataFrame) -> DataFrame:
+    """Matches with items that a window of few items brings, with their windows of stems on the same diagonals."""
+    own = items.select("item_id", "words", F.col("at").alias("item_at"), "code", F.col("slots").alias("item_slots"))
+    few, many = own.join(common_codes, "code", "left_anti"), own.join(common_codes, "code", "left_semi")
+    columns = [*_KEY, "item_id", "words", "item_at", "at", "item_slots", "slots"]
+    rare = found.join(few, "code").select(*columns)
+    lines = rare.selectExpr(*_KEY, "item_id", "at - item_at AS line").distinct()
+    wanted = lines.join(many, "item_id").selectExpr("*", "line + item_at AS place")
+    same = F.expr(f"{_same_row('w', 'f')} AND w.place = f.at AND w.code = f.code")
+    more = wanted.alias("w").join(found.alias("f"), same).selectExpr(
+        "w.doc_id", "w.text_key", "w.item_id", "w.words", "w.item_at", "f.at", "w.item_slots", "f.slots"
+    )
+    return _scored(rare.unionByName(more), "item_id", "long").select(*_KEY, "item_id", "shared", "words")
+
+
+def stems(items: DataFrame, common_codes: DataFrame) -> DataFrame:
+    """item_id, words, stem, windows: stretches of windows that many items share; equal ones have the same stem.
+
+    Windows are placed from the stretch's first one, and slot values numbered by first appearance. A stretch ends
+    where no run of matches can go on.
+    """
+    own = (
+        items.join(common_codes, "code", "left_semi")
+        .groupBy("item_id", "words")
+        .agg(F.sort_array(F.collect_set(F.struct("at", "code", "slots"))).alias("windows"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                for part in _stretches(row["windows"]):
+                    named: dict[int, int] = {0: 0}
+                    part = [
+                        {"at": w["at"] - part[0]["at"], "code": w["code"],
+                         "slots": [named.setdefault(x, len(named)) for x in w["slots"]]}
+                        for w in part
+                    ]
+                    # Shorter items must be covered whole, so they are stems of their own.
+                    stem = xxhash.xxh128_hexdigest(repr((min(row["words"], COVER), part)).encode())
+                    out.append({"item_id": row["item_id"], "words": row["words"], "stem": stem, "windows": part})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    window = pa.struct([("at", pa.int32()), ("code", pa.int64()), ("slots", pa.list_(pa.int64()))])
+    schema = pa.schema(
+        [("item_id", pa.int64()), ("words", pa.int32()), ("stem", pa.string()), ("windows", pa.list_(window))]
+    )
+    return own.mapInArrow(
+        run, "item_id long, words int, stem string, windows array<struct<at:int,code:long,slots:array<long>>>"
+    )
+
+
+def _stretches(windows: list[dict]) -> Iterator[list[dict]]:
+    """Windows in order, cut where one begins more than a window behind the furthest end so far."""
+    part, end = [], 0
+    for w in windows:
+        if part and w["at"] > end + WINDOW:
+            yield part
+            part = []
+        part.append(w)
+        end = max(end, w["at"] + len(w["slots"])) if len(part) > 1 else w["at"] + len(w["slots"])
+    if part:
+        yield part
+
+
+def _by_stems(found: DataFrame, items: DataFrame, common_codes: DataFrame) -> DataFrame:
+    """Matches by windows of stems alone: documents meet each different stem once, whatever number of items has it."""
+    known = common.stored(stems(items, common_codes), "stems")
+    different = known.groupBy("stem").agg(F.first("windows").alias("windows"), F.max("words").alias("words"))
+    parts = different.select("stem", "words", F.inline("windows").alias("item_at", "code", "item_slots"))
+    hits = found.join(parts, "code").select(*_KEY, "stem", "words", "item_at", "at", "item_slots", "slots")
+    # All items of a stem need the same cover, so what reaches the longest one's reaches any.
+    reached = _scored(hits, "stem", "string").select(*_KEY, "stem", "shared")
+    return reached.join(known.select("stem", "item_id", "words"), "stem").select(
+        *_KEY, "item_id", F.least("shared", "words").alias("shared"), "words"
+    )
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text_key, item_id, shared, words: template words that documents share with items, if enough."""
+    items = common.stored(item_windows(benchmark), "items")
+    lengths = sorted(r["length"] for r in items.select("length").distinct().collect())
+    found = suspects(docs, common.bitmap(items, BITS), lengths)
+    holders = items.groupBy("code").agg(F.count_distinct("item_id").alias("n"))
+    common_codes = common.stored(holders.filter(F.col("n") > STEM).select("code"), "stem-codes")
+    if common_codes.isEmpty():
+        own = items.select("item_id", "words", F.col("at").alias("item_at"), "code", F.col("slots").alias("item_slots"))
+        return _scored(found.join(own, "code"), "item_id", "long").select(*_KEY, "item_id", "shared", "words")
+    found = common.stored(found, "suspects")
     return (
-        grouped.mapInArrow(run, "doc_id long, text_key long, item_id long, words int, shared int")
-        .filter(F.col("shared") >= F.least(F.lit(COVER), "words"))
-        .select("doc_id", "text_key", "item_id", "shared", "words")
+        _by_items(found, items, common_codes)
+        .unionByName(_by_stems(found, items, common_codes))
+        .groupBy(*_KEY, "item_id", "words")
+        .agg(F.max("shared").alias("shared"))
+        .select(*_KEY, "item_id", "shared", "words")
     )
 
 

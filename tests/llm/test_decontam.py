@@ -147,3 +147,56 @@ def test_short_items_with_capitals_are_found_inside_sentences_and_wrapped(docume
         ]
     )
     assert flagged(docs, benchmark([(1, item), (2, wrapped)])) == {(1, (1,)), (2, (1,)), (3, (2,))}
+
+
+def stem_corpus(seed=4):
+    """Items that share stems of 8 to 20 words, with numbers; documents with stems, items, parts of them, and lists of items."""
+    draw = random.Random(seed)
+    plain = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    stems = [" ".join(draw.choices(plain, k=n)) for n in (8, 9, 13, 14, 20)]
+    stems.append("which of 3 these 4 or 3 plain words would you say is the best 4 of all")
+    items = []
+    for i in range(90):
+        stem = stems[i % len(stems)]
+        own = " ".join(draw.choices(plain, k=draw.randrange(0, 16)))
+        items.append((i, " ".join(draw.sample([stem, own], 2)) if i % 4 else f"{stem} {own}"))
+    docs = []
+    for i in range(160):
+        words = draw.choices(plain, k=draw.randrange(20))
+        for _ in range(draw.randrange(3)):
+            text = draw.choice([draw.choice(stems), draw.choice(items)[1], draw.choice(items)[1]])
+            own = text.split()[draw.randrange(3) :]
+            if draw.random() < 0.3:
+                own = [str(int(w) + 5) if w.isdigit() else w for w in own]
+            words += own + draw.choices(plain, k=draw.randrange(4))
+        docs.append((i, " ".join(words)))
+    docs.append((500, " . ".join(t for _, t in items)))
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_stems_give_what_all_pairs_give(documents, benchmark, monkeypatch, seed):
+    docs, items = stem_corpus(seed)
+    monkeypatch.setattr(decontam, "STEM", 10**9)
+    every = {tuple(r) for r in decontam.matches(documents(docs), benchmark(items)).collect()}
+    monkeypatch.setattr(decontam, "STEM", 3)
+    found = [tuple(r) for r in decontam.matches(documents(docs), benchmark(items)).collect()]
+    assert len(found) == len(set(found)) and set(found) == every and len(every) > 100
+
+
+def test_rows_that_meet_grow_with_documents_and_items(documents, benchmark, monkeypatch):
+    """A stem of eight words in all items and documents brings no pair but those that share more."""
+    joined = []
+    scored = decontam._scored
+    monkeypatch.setattr(decontam, "_scored", lambda pairs, *rest: (joined.append(pairs.count()), scored(pairs, *rest))[1])
+    stem = "please read the text and answer this question"
+    word = lambda i: "".join(chr(97 + int(c)) for c in f"{i:04d}")
+    own = lambda i: " ".join(f"{word(i)}{chr(97 + k)}" for k in range(12))
+    counts = []
+    for n in (40, 80):
+        joined.clear()
+        items = benchmark([(i, f"{stem} {own(i)}") for i in range(n)])
+        docs = documents([(i, f"{stem} {own(i if i % 2 else 5000 + i)}") for i in range(2 * n)])
+        assert {d for d, _ in flagged(docs, items)} == set(range(1, n, 2))
+        counts.append(sum(joined))
+    assert counts[1] <= 2.2 * counts[0]
