@@ -34,7 +34,7 @@ from riskwindow.operators import (
     split,
 )
 from riskwindow.operators.features import engineer_features, with_date_hour
-from riskwindow.plans import exploration, sql_suite, training
+from riskwindow.plans import daily, exploration, sql_suite, training
 from riskwindow.plans.incident_pipeline import run_pipeline
 from riskwindow.plans.rollup import close_windows
 from riskwindow.session import shared_folder
@@ -404,6 +404,45 @@ def _dated_range(df: DataFrame, first: str, last: str) -> DataFrame:
     return read_dated_windows(df.sparkSession, path, first, last)
 
 
+def _days(df: DataFrame, name: str = "partials", first: str | None = None, last: str | None = None) -> DataFrame:
+    """What is stored for each date, from two runs: the second one adds dates and renews one."""
+    path = shared_folder(df.sparkSession, "days")
+    daily.store_days(df.filter(f"time_window < '{_REWRITTEN}_12'"), path)
+    daily.store_days(df.filter(f"time_window >= '{_REWRITTEN}_00'"), path)
+    return daily.read_days(df.sparkSession, path, name, first, last)
+
+
+#: Ranges of dates that the sketches are asked about.
+_RANGES_OF_DATES = (("240101", "240103"), ("240110", "240125"), ("240101", "240131"))
+
+
+def _distinct_by_range(df: DataFrame) -> DataFrame:
+    """Components with a high volume per range of dates; few enough for the sketch to be exact."""
+    days = _days(df, "sketches")
+    parts = [
+        daily.distinct_components(days.filter(f"date_part BETWEEN '{a}' AND '{b}'")).selectExpr(
+            f"'{a}' AS first", f"'{b}' AS last", "unique_components"
+        )
+        for a, b in _RANGES_OF_DATES
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _quantile_sketch_check(df: DataFrame) -> DataFrame:
+    """Whether each quartile of the merged sketches has the rank that it should have, within 2 %."""
+    found = daily.approximate_quantiles(_days(df, "sketches")).unpivot(
+        ["feature", "count"], ["p25", "p50", "p75"], "quantile", "asked"
+    )
+    ranks = distribution.value_frequencies(df, S.MEASURES).join(F.broadcast(found), "feature")
+    wanted = "any_value(CAST(substr(quantile, 2) AS DOUBLE)) / 100"
+    return ranks.groupBy("feature", "quantile", "count").agg(
+        F.expr(
+            f"sum(IF(value < asked, n, 0)) <= ({wanted} + 0.02D) * sum(n)"
+            f" AND sum(IF(value <= asked, n, 0)) >= ({wanted} - 0.02D) * sum(n) AS close"
+        )
+    )
+
+
 def _in_database(build: Callable[[SparkSession, DataFrame], DataFrame]):
     """Runs in a database of its own below the shared folder; the result is stored before it goes."""
 
@@ -681,6 +720,19 @@ def _window_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_round_trip": _json_round_trip,
         "dated_storage": _dated_storage,
         "dated_range": lambda f: _dated_range(f, "240110", "240119"),
+        # Tables stored for each date
+        "daily_basic_statistics": lambda f: daily.basic_statistics(_days(f)),
+        "daily_incident_rate": lambda f: daily.incident_rate_by_component(_days(f)),
+        "daily_incidents_by_date": lambda f: daily.incidents_by_date(_days(f)),
+        "daily_feature_ranges": lambda f: daily.component_feature_ranges(_days(f)),
+        "daily_warning_category": lambda f: daily.component_warning_category(_days(f), HIGH, MEDIUM),
+        "daily_component_card": lambda f: explore.component_card(daily.group_profile(_days(f))),
+        "daily_date_stats": lambda f: explore.date_stats(daily.group_profile(_days(f))),
+        "daily_hour_stats": lambda f: explore.hour_stats(daily.group_profile(_days(f))),
+        "daily_dataset_stats": lambda f: daily.dataset_stats(_days(f)),
+        "daily_missing": lambda f: daily.missing_by_column(_days(_awkward(f))),
+        "distinct_by_range": _distinct_by_range,
+        "quantile_sketch_check": _quantile_sketch_check,
         "external_table": _in_database(_external_table),
         "dropped_table": _in_database(_dropped_table),
         "overwritten_table": _in_database(_overwritten_table),
@@ -1012,7 +1064,15 @@ def _window_sql() -> dict[str, str]:
             CASE WHEN log_volume % 3 = 0 THEN 0 WHEN log_volume % 5 = 0 THEN NULL
                  ELSE unique_event_count END AS unique_event_count FROM f)"""
     summary = f"{f} SELECT {engineered['null']} FROM f"
-    return {
+    ranges = " UNION ALL ".join(
+        f"""SELECT '{a}' AS first, '{b}' AS last, count(DISTINCT component) AS unique_components FROM f
+            WHERE substr(time_window, 1, 6) BETWEEN '{a}' AND '{b}'"""
+        for a, b in _RANGES_OF_DATES
+    )
+    awkward_missing = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM k" for c in window_columns
+    )
+    known = {
         "derive_features": f"{f} SELECT * FROM f",
         # Hours that end before the stream's watermark, two hours behind the last event.
         "streamed_windows": f"{f} SELECT * FROM f {closed}",
@@ -1227,7 +1287,25 @@ def _window_sql() -> dict[str, str]:
                    count({c}) AS non_null FROM f"""
             for i, c in enumerate(window_columns)
         ),
+        "daily_missing": f"{f}, {_AWKWARD} {awkward_missing}",
+        "distinct_by_range": f"{f} {ranges}",
+        "quantile_sketch_check": f"""{f} SELECT feature, quantile, (SELECT count(*) FROM f) AS count, true AS close
+            FROM (VALUES ('warn_count'), ('log_volume'), ('unique_event_count')) AS a(feature),
+                 (VALUES ('p25'), ('p50'), ('p75')) AS b(quantile)""",
+    }
+    # From what is stored for each date come the same tables as from the rows.
+    stored_by_date = {
+        "daily_basic_statistics": "basic_statistics",
+        "daily_incident_rate": "incident_rate_by_component",
+        "daily_incidents_by_date": "incidents_by_date",
+        "daily_feature_ranges": "component_feature_ranges",
+        "daily_warning_category": "component_warning_category",
+        "daily_component_card": "component_card",
+        "daily_date_stats": "date_stats",
+        "daily_hour_stats": "hour_stats",
+        "daily_dataset_stats": "dataset_stats",
     }
+    return known | {name: known[same] for name, same in stored_by_date.items()}
 
 
 def _assembled_sql(f: str, engineered: str, components: int) -> str:

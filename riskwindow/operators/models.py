@@ -287,7 +287,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 
     The version is written whole before the pointer file is replaced, in one step where the file
     system renames in one step. A save that fails half-way leaves the model that was there
-    before. The version before this one is kept for readers that have begun to load it; older ones go.
+    before. The version before this one is kept for readers that have begun to load it; older ones
+    go, so a path has one writer at a time.
     """
     spark = SparkSession.active()
     before = _current_version(spark, path)

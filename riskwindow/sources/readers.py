@@ -93,11 +93,13 @@ def read_dated_windows(
     first: str | None = None,
     last: str | None = None,
     dates: Iterable[str | None] | None = None,
+    keep_date: bool = False,
 ) -> DataFrame:
     """A feature table stored by date, from ``first`` to ``last`` (``YYMMDD``), or of some dates.
 
     Only the folders of these dates are listed and read. The folder names are
-    taken as text, so that leading zeros stay; counts may be stored as INT or BIGINT.
+    taken as text, so that leading zeros stay; counts may be stored as INT or BIGINT. ``keep_date``
+    keeps the date as ``date_part``.
     """
     stored = [f for f in spark.read.parquet(path).schema.fields if f.name != "date_part"]
     schema = T.StructType([*stored, T.StructField("date_part", T.StringType())])
@@ -111,7 +113,7 @@ def read_dated_windows(
         # A date that does not parse lies in a folder of its own, whose name Spark reads as NULL.
         tests = ["date_part IS NULL"] * (None in set(dates)) + [f"date_part IN ({', '.join(named)})"] * bool(named)
         df = df.filter(" OR ".join(tests) or "false")
-    return df.drop("date_part")
+    return df if keep_date else df.drop("date_part")
 
 
 def windows_from_events(
