@@ -7,6 +7,7 @@ from riskwindow import schema as S
 from riskwindow.functions import literal
 from riskwindow.operators import correlation, distribution, explore, quality
 from riskwindow.operators.features import with_date_hour
+from riskwindow.session import shared_folder
 from riskwindow.sources import preview, write_parquet
 
 # The correlation matrix covers the numbers of the raw table; the report adds the hour.
@@ -61,15 +62,19 @@ def tables(df: DataFrame, basis: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "date_stats": explore.date_stats(profile),
         "hour_stats": explore.hour_stats(profile),
         "date_hour_series": explore.date_hour_series(profile),
-        "report": report(df, basis),
+        "report": report(basis),
     }
 
 
-def report(df: DataFrame, basis: dict[str, DataFrame]) -> DataFrame:
-    """(section, key, metric, value): the printed report as one table."""
+def report(basis: dict[str, DataFrame]) -> DataFrame:
+    """(section, key, metric, value): the printed report as one table, from the basis alone."""
     overall = distribution.combined(basis["value_frequencies"])
     shape = (
-        quality.shape(with_date_hour(df))
+        basis["column_profile"]
+        .agg(
+            F.expr(f"max(IF(lower(column) = '{S.COMPONENT}', non_null + missing, NULL)) AS row_count"),
+            F.expr(f"count(*) + {len((S.DATE, S.HOUR))} AS column_count"),
+        )
         .unpivot([], ["row_count", "column_count"], "metric", "value")
         .selectExpr(*_report_columns("shape", "'dataset'", "metric", "value"))
     )
@@ -98,29 +103,37 @@ def report(df: DataFrame, basis: dict[str, DataFrame]) -> DataFrame:
     return shape
 
 
-def eda_report(df: DataFrame) -> DataFrame:
-    return report(df, basis(df))
+def store_basis(df: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """The basis as parquet below ``folder``, from one reading of the rows.
+
+    The rows are cached for the four tables; losing an executor only computes the lost part of
+    them again from the source.
+    """
+    df.persist()
+    try:
+        return _stored(basis(df), folder)
+    finally:
+        df.unpersist()
+
+
+def _stored(found: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    for name, table in found.items():
+        write_parquet(table, f"{folder}/{name}")
+    return {name: table.sparkSession.read.schema(table.schema).parquet(f"{folder}/{name}") for name, table in found.items()}
+
+
+def eda_report(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """The report alone, over a basis stored in ``folder``, by default a new one in the shared folder."""
+    return report(store_basis(df, folder or shared_folder(df.sparkSession, "basis")))
 
 
 def run_exploration(df: DataFrame, output: str) -> dict[str, DataFrame]:
     """Write every table as parquet under ``output`` and return what was written.
 
     The basis is stored first, so that what follows from it does not read the
-    rows again. The input is cached for the few passes that do; losing an
-    executor only recomputes the lost part of it from the source.
+    rows again; only the preview and the scatter table read them once more.
     """
-    spark = df.sparkSession
-
-    def stored(found: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        for name, table in found.items():
-            write_parquet(table, f"{output}/{name}")
-        return {name: spark.read.parquet(f"{output}/{name}") for name in found}
-
-    df.persist()
-    try:
-        return stored(tables(df, stored(basis(df))))
-    finally:
-        df.unpersist()
+    return _stored(tables(df, store_basis(df, output)), output)
 
 
 def _label_counts(overall: DataFrame) -> DataFrame:

@@ -145,3 +145,14 @@ def test_scaling_reads_the_raw_rows_once(spark, sample, tmp_path, monkeypatch):
     sample.write.parquet(path)
     train, test = training.train_and_test(engineer_features(spark.read.parquet(path), "plus_one"))
     assert path not in executed_plan(train) and path not in executed_plan(test)
+
+
+def test_report_reads_the_stored_basis_only(spark, sample, tmp_path):
+    from riskwindow.plans import exploration
+
+    path = str(tmp_path / "windows")
+    sample.write.parquet(path)
+    report = exploration.eda_report(spark.read.parquet(path))
+    report.collect()
+    plan = executed_plan(report)
+    assert path not in plan and "InMemoryTableScan" not in plan and "FileScan" in plan
