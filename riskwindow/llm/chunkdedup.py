@@ -166,7 +166,10 @@ def _perhaps(chunks: DataFrame, marks: np.ndarray) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chunks, n_repeated, spans (array of start and end) and text_key of every row."""
+    """doc_id, n_chunks, n_repeated, n_cut, spans (array of start and end) and text_key of every row.
+
+    ``n_repeated`` counts all repeated chunks, ``n_cut`` those in the spans.
+    """
     chunks = common.stored(chunked(docs), "chunks")
     each = chunks.select("place", F.inline(F.arrays_zip("high", "low")))
     seen = each.groupBy("high", "low").agg(F.min("place").alias("first"), F.max("place").alias("last"))
@@ -187,22 +190,29 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [spans_of([(x["start"], x["end"]) for x in own]) for own in batch.column("hits").to_pylist()]
+            hits = [[(x["start"], x["end"]) for x in own] for own in batch.column("hits").to_pylist()]
+            found = [spans_of(own) for own in hits]
+            starts = [np.sort(np.array([a for a, _ in own])) for own in hits]
+            cut = [
+                int(sum(np.searchsorted(own, b) - np.searchsorted(own, a) for a, b in spans))
+                for own, spans in zip(starts, found)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("place"),
                     batch.column("text_key"),
                     pc.cast(pc.list_value_length(batch.column("hits")), pa.int64()),
+                    pa.array(cut, pa.int64()),
                     pa.array(
                         [[{"start": a, "end": b} for a, b in own] for own in found],
                         pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
                     ),
                 ],
-                names=["place", "text_key", "n_repeated", "spans"],
+                names=["place", "text_key", "n_repeated", "n_cut", "spans"],
             )
 
     spans = hits.mapInArrow(
-        run, "place long, text_key long, n_repeated long, spans array<struct<start:int,end:int>>"
+        run, "place long, text_key long, n_repeated long, n_cut long, spans array<struct<start:int,end:int>>"
     )
     counts = chunks.select("doc_id", "text_key", "place", F.size("ends").cast("long").alias("n_chunks"))
     return counts.join(spans, ["place", "text_key"], "left").select(
@@ -210,6 +220,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "text_key",
         "n_chunks",
         F.coalesce("n_repeated", F.lit(0).cast("long")).alias("n_repeated"),
+        F.coalesce("n_cut", F.lit(0).cast("long")).alias("n_cut"),
         F.coalesce("spans", F.array()).alias("spans"),
     )
 
@@ -228,9 +239,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_chunks, n_repeated (chunks that are cut), n_common (repeated ones too short to go), spans."""
     return repeated_spans(common.table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_chunks",
-        "n_repeated",
+        F.col("n_cut").alias("n_repeated"),
+        F.expr("n_repeated - n_cut").alias("n_common"),
         F.expr("array_join(transform(spans, x -> concat(x.start, ':', x.end)), ',')").alias("spans"),
     )

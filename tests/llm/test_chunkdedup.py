@@ -80,3 +80,67 @@ def test_odd_rows(documents):
 
 def test_no_rows(documents):
     assert kept(documents([])) == [] and chunkdedup.repeated_spans(documents([])).count() == 0
+
+
+def plain_chunks(text):
+    """Chunks byte by byte: (start, end) in code points and the bytes; the hash over all bytes so far."""
+    raw = (text or "").encode()
+    out, start, h = [], 0, 0
+    for i, b in enumerate(raw):
+        h = (2 * h + int(chunkdedup.GEAR[b])) % 2**32
+        if i + 1 - start < chunkdedup.SHORTEST:
+            continue
+        window = sum(int(chunkdedup.GEAR[c]) << j for j, c in enumerate(raw[max(0, i - 15) : i + 1][::-1])) % 2**32
+        whole = i + 1 == len(raw) or raw[i + 1] & 0xC0 != 0x80
+        end = None
+        if whole and window >> 28 == 0:
+            end = i + 1
+        elif i + 1 - start == chunkdedup.LONGEST:
+            end = i + 1
+            while end < len(raw) and raw[end] & 0xC0 == 0x80:
+                end -= 1
+        if end:
+            out.append((start, end))
+            start = end
+    if start < len(raw):
+        out.append((start, len(raw)))
+    point = lambda at: len(raw[:at].decode())
+    return [(point(a), point(b), raw[a:b]) for a, b in out]
+
+
+def plain_spans(rows):
+    """First holders by a dictionary, runs by a loop; no digests, no bitmap."""
+    first = {}
+    for i, text in rows:
+        for _, _, raw in plain_chunks(text):
+            first[raw] = min(first.get(raw, i), i)
+    out = []
+    for i, text in rows:
+        seen, runs, hits = set(), [], 0
+        for a, b, raw in plain_chunks(text):
+            if first[raw] < i or raw in seen:
+                hits += 1
+                if runs and runs[-1][1] == a:
+                    runs[-1] = (runs[-1][0], b, runs[-1][2] + 1)
+                else:
+                    runs.append((a, b, 1))
+            seen.add(raw)
+        long = [r for r in runs if r[1] - r[0] >= chunkdedup.RUN]
+        out.append((i, len(plain_chunks(text)), hits, sum(r[2] for r in long), [r[:2] for r in long]))
+    return out
+
+
+def test_equals_a_plain_chunker_and_first_holders(documents):
+    draw = random.Random(11)
+    passages = [_words(draw, n) for n in (8, 15, 30, 60, 150)]
+    rows = []
+    for i in range(70):
+        parts = [draw.choice([_words(draw, draw.randrange(1, 30)), draw.choice(passages)]) for _ in range(draw.randrange(5))]
+        rows.append((i, " ".join(parts)))
+    rows += [(200, rows[3][1]), (201, rows[3][1] * 2), (202, "a" * 700), (203, "a" * 700), (204, "漢" * 300 + passages[3])]
+    found = sorted(
+        (r.doc_id, r.n_chunks, r.n_repeated, r.n_cut, [tuple(x) for x in r.spans])
+        for r in chunkdedup.repeated_spans(documents(rows)).collect()
+    )
+    assert found == plain_spans(rows)
+    assert any(r[2] > r[3] for r in found) and sum(bool(r[4]) for r in found) > 20
