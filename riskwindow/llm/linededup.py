@@ -12,6 +12,10 @@ other common block has an anchor over each of its lines. A document is paired wi
 each of its anchors and with no other: the pairs grow with the lines, not with the square of a group of
 copies, and as the first holder of a block never loses it, one copy of every block stays.
 
+**Meeting.** The lines of a first holder are sent once for every ``PARTNERS`` of its documents, not with each of them, and
+come before theirs in a sorted partition. So a hot first holder is dealt out over tasks, and a task holds the
+lines of one first holder and one batch at a time.
+
 **Alignment.** Equal lines at both ends, then lines that are unique on both sides in
 longest increasing order, then the gaps between these in the same way. Consecutive
 aligned lines make a block; blocks of ``BLOCK`` characters or more are deleted.
@@ -40,6 +44,7 @@ from riskwindow.llm import common
 
 LINE, LONG, PAIR, BLOCK = 20, 200, 40, 50
 RARE, RARE_SHARE = 16, 0.005
+PARTNERS = 1024
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LINES = "split(text, '\\n')"
@@ -287,26 +292,49 @@ def pairs(lines: DataFrame) -> DataFrame:
     return held.join(firsts, "anchor").filter("place <> first").select("first", "place").distinct()
 
 
-def deletions(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, runs (array of first and last line) of the documents that lose lines."""
-    lines = common.stored(hashed_lines(docs), "lines")
+def meetings(lines: DataFrame) -> DataFrame:
+    """Lines of first holders and of the documents paired with them, each first holder's before those of its block.
+
+    first, block, place (null for the first holder itself), lines, sizes (null for the first holder).
+    """
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     sides = lines.select(place.alias("place"), "lines", "sizes")
-    found = (
-        pairs(lines)
-        .join(sides.select(F.col("place").alias("first"), F.col("lines").alias("before")), "first")
+    # Stored, as three steps read the pairs; a row is two keys.
+    found = common.stored(pairs(lines), "pairs")
+    blocks_of = found.groupBy("first").agg(F.expr(f"CAST(ceil(count(*) / {PARTNERS}) AS BIGINT)").alias("n_blocks"))
+    partners = (
+        found.join(blocks_of, "first")
+        .withColumn("block", F.expr("pmod(xxhash64(place), n_blocks)"))
         .join(sides, "place")
-        .select("place.doc_id", "place.text_key", "before", "lines", "sizes")
+        .select("first", "block", "place", "lines", "sizes")
     )
+    firsts = (
+        blocks_of.withColumn("block", F.explode(F.expr("sequence(0L, n_blocks - 1)")))
+        .join(sides.withColumnRenamed("place", "first"), "first")
+        .selectExpr("first", "block", "CAST(NULL AS STRUCT<none: BOOLEAN, doc_id: BIGINT, text_key: BIGINT>) AS place",
+                    "lines", "CAST(NULL AS ARRAY<INT>) AS sizes")
+    )
+    met = firsts.unionByName(partners).repartition("first", "block")
+    return met.sortWithinPartitions("first", "block", F.col("place").asc_nulls_first())
+
+
+def deletions(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, runs (array of first and last line) of the documents that lose lines."""
+    lines = common.stored(hashed_lines(docs), "lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: list[int] = []
         for batch in batches:
+            place, rows, sizes = (batch.column(c) for c in ("place", "lines", "sizes"))
             ids, keys, runs = [], [], []
-            for row in batch.to_pylist():
-                own = blocks(row["before"], row["lines"], row["sizes"])
+            for i, is_first in enumerate(place.is_null().to_pylist()):
+                if is_first:
+                    before = rows[i].as_py()
+                    continue
+                own = blocks(before, rows[i].as_py(), sizes[i].as_py())
                 if own:
-                    ids.append(row["doc_id"])
-                    keys.append(row["text_key"])
+                    ids.append(place[i]["doc_id"].as_py())
+                    keys.append(place[i]["text_key"].as_py())
                     runs.append([{"lo": lo, "hi": hi} for lo, hi in own])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -317,7 +345,7 @@ def deletions(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "text_key", "runs"],
             )
 
-    cut = found.mapInArrow(run, "doc_id long, text_key long, runs array<struct<lo:int,hi:int>>")
+    cut = meetings(lines).mapInArrow(run, "doc_id long, text_key long, runs array<struct<lo:int,hi:int>>")
     return cut.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 

@@ -154,3 +154,17 @@ def test_many_copies_of_one_line_are_cut_in_tables_of_any_size(documents):
     for n in (20, 60):
         left = linededup.drop_blocks(documents([(i, line) for i in range(n)]))
         assert [r.doc_id for r in left.collect()] == [0]
+
+
+def test_lines_of_a_hot_first_holder_are_sent_once_a_block_of_partners(documents, monkeypatch):
+    monkeypatch.setattr(linededup, "PARTNERS", 16)
+    long = [f"line number {i} of the boilerplate that everyone takes from" for i in range(300)]
+    rows = [(0, "\n".join(long))]
+    rows += [(i, "\n".join([f"own {i}", long[i], long[i + 1], long[i + 2], "end"])) for i in range(1, 201)]
+    docs = documents(rows)
+    met = linededup.meetings(linededup.hashed_lines(docs)).selectExpr("first.doc_id AS first", "place", "size(lines) AS n")
+    sent = [(r.first, r.place is None, r.n) for r in met.collect()]
+    assert sum(n for _, first, n in sent if first) <= 2 * (300 * -(-200 // 16) + 5 * 200)
+    assert sum(1 for f, first, _ in sent if f == 0 and not first) == 200
+    found = {r[0]: r[1] for r in kept(docs)}
+    assert found[0] == rows[0][1] and [found[i] for i in range(1, 201)] == [f"own {i}\nend" for i in range(1, 201)]
