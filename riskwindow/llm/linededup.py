@@ -44,7 +44,7 @@ from riskwindow.llm import common
 
 LINE, LONG, PAIR, BLOCK = 20, 200, 40, 50
 RARE, RARE_SHARE = 16, 0.005
-PARTNERS = 1024
+PARTNERS, SALTS = 1024, 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LINES = "split(text, '\\n')"
@@ -302,9 +302,12 @@ def meetings(lines: DataFrame) -> DataFrame:
     # Stored, as three steps read the pairs; a row is two keys.
     found = common.stored(pairs(lines), "pairs")
     blocks_of = found.groupBy("first").agg(F.expr(f"CAST(ceil(count(*) / {PARTNERS}) AS BIGINT)").alias("n_blocks"))
+    # First holders of several blocks are few; their pairs meet the number of blocks in SALTS parts.
+    several = blocks_of.filter("n_blocks > 1").withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
     partners = (
-        found.join(blocks_of, "first")
-        .withColumn("block", F.expr("pmod(xxhash64(place), n_blocks)"))
+        found.withColumn("salt", F.expr(f"pmod(xxhash64(place), {SALTS}L)"))
+        .join(several, ["first", "salt"], "left")
+        .withColumn("block", F.expr("pmod(xxhash64(place), coalesce(n_blocks, 1L))"))
         .join(sides, "place")
         .select("first", "block", "place", "lines", "sizes")
     )
