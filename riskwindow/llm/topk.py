@@ -11,8 +11,8 @@ the highest bound and ends as soon as that is below the query's kth best score.
 
 **Rounds.** A query is searched in its own shard first. Its kth score there goes with it to the other
 regions, which it enters only if the bound of the region's box reaches the kth score; inside, the
-trees are searched with that score as the start. Shards and blocks of queries meet by cogroup, in
-groups of bounded size. The sample shapes the regions only; results are exact.
+trees are searched with that score as the start. Shards and teams of about ``GROUP`` queries meet by cogroup; a
+shard goes only to the teams that have a query for it. The sample shapes the regions only; results are exact.
 
 Rows that are equal in id and vector are one candidate with a number of copies. Defined results: a
 vector that is null, holds a null or a non-finite component, or has no id takes no part; vectors of different
@@ -299,6 +299,12 @@ def _visited(k: int):
     return visit
 
 
+def entered(shards: DataFrame, loads: DataFrame) -> DataFrame:
+    """A shard once for each team with a query that enters it; shards that none enters are left out."""
+    teams = loads.select("length", "region", "part", F.col("team").alias("team")).distinct()
+    return shards.join(teams, ["length", "region", "part"])
+
+
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """query_id, rank, vec_id, score for the queries, the rows whose id is divisible by ``every``."""
     unique = common.stored(whole_numbers(vectors), "vectors")
@@ -329,10 +335,12 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
 
     n = unique.filter(F.col("vec_id") % every == 0).count()
     groups = -(-n // GROUP) or 1
-    loads = asking.mapInArrow(_sent(boxes, groups), "length long, region long, part long, team long, load binary")
-    team = F.explode(F.expr(f"sequence(0L, {groups - 1}L)")).alias("team")
-    teams = shards.select("length", "region", "part", team, "shard")
     keys = ("length", "region", "part", "team")
+    # Stored, as they are read twice: first for the shards that any of a team's queries enters, only these are copied.
+    loads = common.stored(
+        asking.mapInArrow(_sent(boxes, groups), "length long, region long, part long, team long, load binary"), "loads"
+    )
+    teams = entered(shards.select("length", "region", "part", "shard"), loads)
     away = teams.groupBy(*keys).cogroup(loads.groupBy(*keys)).applyInArrow(_visited(k), _HITS)
     hits = asking.mapInArrow(_home, _HITS).unionByName(away)
     hits = hits.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))

@@ -95,3 +95,13 @@ def test_large_numbers_stay_exact():
     ids = np.arange(3)[tree.order]
     best = topk.search(tree, ids, points[tree.order], points[:1], np.array([-np.inf]), np.array([-1]), 2)[0]
     assert [s for s, _ in best] == [2**60 + 3, 2**60 + 2]
+
+
+def test_a_shard_goes_to_the_teams_that_enter_it_only(spark):
+    shards = spark.createDataFrame([(2, r, p, f"s{r}{p}") for r in range(3) for p in range(2)], "length long, region long, part long, shard string")
+    loads = spark.createDataFrame(
+        [(2, 0, 0, 5, "q"), (2, 0, 0, 5, "q2"), (2, 0, 0, 6, "q3"), (2, 1, 1, 5, "q")],
+        "length long, region long, part long, team long, load string",
+    )
+    found = topk.entered(shards, loads)
+    assert sorted((r.shard, r.team) for r in found.collect()) == [("s00", 5), ("s00", 6), ("s11", 5)]
