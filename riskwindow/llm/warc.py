@@ -6,7 +6,9 @@ if the revisit has one, else the Last-Modified dates. The resolved record has th
 and its headers, updated by those headers of the revisit that a 304 may change.
 
 **As-of join without large groups.** Time is cut into slices of about ``SLICE`` records over all URLs, by
-quantiles of the times; records of one time stay together. A window
+quantiles of the times; records of one time stay together. The driver holds the bounds of at most ``MOST`` slices; a
+table of more is cut again inside each of them, by quantiles that Spark takes for each slice. Beyond ``MOST`` x
+``MOST`` x ``SLICE`` records (about 10^11) slices grow. A window
 over (URL, slice) finds the latest response in a revisit's own slice; the latest response of each (URL, slice), at
 most one row each, gives the one to go back to from slices without. So a URL that holds a third of all
 records is spread over all slices. Windows see times and ids only; bodies are joined at the end.
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from riskwindow.llm import common
 
 SLICE = 100_000
+MOST = 1024
 #: Headers that a not-modified response may update.
 PERMITTED = (
     "age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary", "warning",
@@ -60,13 +63,23 @@ def prepared(records: DataFrame) -> DataFrame:
 def _sliced(events: DataFrame) -> DataFrame:
     """The events with their slice of time, which grows with ts; bounds are quantiles of the times."""
     slices = -(-events.count() // SLICE)
-    shares = [i / slices for i in range(1, slices)]
-    bounds = sorted(set(events.approxQuantile("ts", shares, 0.1 / slices))) if shares else []
+    coarse = min(slices, MOST)
+    shares = [i / coarse for i in range(1, coarse)]
+    bounds = sorted(set(events.approxQuantile("ts", shares, 0.1 / coarse))) if shares else []
     if not bounds:
-        return events.withColumn("slice", F.lit(0))
+        return events.withColumn("slice", F.lit(0).cast("long"))
     splits = [-float("inf"), *bounds, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="ts", outputCol="slice").transform(events)
-    return cut.withColumn("slice", F.col("slice").cast("int"))
+    cut = cut.withColumn("slice", F.col("slice").cast("long"))
+    return cut if slices <= MOST else _cut_again(cut, min(-(-slices // MOST), MOST))
+
+
+def _cut_again(sliced: DataFrame, parts: int) -> DataFrame:
+    """Each slice in so many parts of about the same number of events; at most MOST x MOST bounds are broadcast (8 MB)."""
+    shares = ", ".join(f"{i / parts}D" for i in range(1, parts))
+    bounds = sliced.groupBy("slice").agg(F.expr(f"percentile_approx(ts, array({shares}), {10 * parts})").alias("bounds"))
+    place = f"slice * {MOST} + aggregate(bounds, 0L, (n, b) -> n + IF(b <= ts, 1L, 0L))"
+    return sliced.join(F.broadcast(bounds), "slice").select(*[c for c in sliced.columns if c != "slice"], F.expr(place).alias("slice"))
 
 
 def _latest(events: DataFrame) -> DataFrame:

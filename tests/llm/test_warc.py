@@ -104,3 +104,22 @@ def test_slices_hold_few_records_beside_stray_times(spark, monkeypatch):
     found = {r.ts: r.found for r in warc._latest(events).collect()}
     responses = [t for t in sorted(times) if t % 3 == 0]
     assert found == {t: max((x for x in responses if x < t), default=None) for t in times if t % 3}
+
+
+def test_slices_of_large_tables_are_cut_again(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SLICE", 100)
+    monkeypatch.setattr(warc, "MOST", 4)
+    draw = random.Random(9)
+    times = [0, 0, 10**15, *[draw.randrange(10**6) for _ in range(1400)]]
+    events = spark.createDataFrame([("p", t, i % 3 == 0) for i, t in enumerate(times)], "page string, ts long, is_response boolean")
+    sizes = {}
+    for r in (sliced := warc._sliced(events).collect()):
+        sizes[r.slice] = sizes.get(r.slice, 0) + 1
+    assert len(sizes) >= 14 and max(sizes.values()) <= 180 and sum(sizes.values()) == len(times)
+    by_time = [r.slice for r in sorted(sliced, key=lambda r: r.ts)]
+    assert by_time == sorted(by_time)
+    responses = {t for i, t in enumerate(times) if i % 3 == 0}
+    found = {r.ts: r.found for r in warc._latest(events.distinct()).collect()}
+    assert found == {
+        t: max((x for x in responses if x < t), default=None) for t in {t for i, t in enumerate(times) if i % 3}
+    }
