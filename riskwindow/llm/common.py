@@ -6,7 +6,8 @@ a running number, the key is the same on every read of the table, so work that
 is repeated after the loss of an executor gives the same keys.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -14,20 +15,41 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskwindow.session import shared_folder
+from riskwindow.session import discard, shared_folder
 
 #: Characters that a Python step takes up at a time, besides the text that crosses the limit.
 CHUNK_CHARS = 2_000_000
 
 
+#: Folders of the tables stored since :func:`settled` began; None outside.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder; cuts the lineage."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, as a stored table; the tables that were stored on the way to it are deleted, after a failure too."""
+    made: list[str] = []
+    try:
+        before = _MADE.set(made)
+        try:
+            found = make()
+        finally:
+            _MADE.reset(before)
+        return stored(found, name)
+    finally:
+        for path in made:
+            discard(spark, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
