@@ -44,7 +44,7 @@ from riskwindow.llm import common
 
 LINE, LONG, PAIR, BLOCK = 20, 200, 40, 50
 RARE, RARE_SHARE = 16, 0.005
-PARTNERS, SALTS = 1024, 64
+PARTNERS, SALTS = 256, 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LINES = "split(text, '\\n')"
