@@ -48,8 +48,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder; every stage but the last is written and read again."""
+    """All stages over the documents of a folder; every stage but the last is written and read again.
+
+    What a stage stores on its way is deleted as soon as its result is written; the results of the stages stay.
+    """
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = common.stored(stage(spark, docs, sf_dir), name)
+        docs = common.settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
