@@ -92,3 +92,8 @@ def test_copies_do_not_shrink_the_sample(documents):
     rows += [(3000 + i, word, "en") for i, word in enumerate(different)]
     learnt = langid.dictionaries(documents(rows), sample=100)["en"].decode().split()
     assert set(different) <= set(learnt)
+
+
+def test_combining_marks_belong_to_their_words():
+    assert langid.normalise("हिन्दी में 12 शब्द_हैं!") == "हिन्दी में शब्द हैं "
+    assert langid.normalise("Café au lait") == "café au lait"
