@@ -276,7 +276,10 @@ _RANGES = 1000
 
 
 def _area_again(predictions: DataFrame, score: str) -> DataFrame:
-    """The ROC area: pairs of a positive and a lower negative, equal scores as half, by ranges of the score."""
+    """The ROC area: pairs of a positive and a lower negative, equal scores as half, by ranges of the score.
+
+    0 when one class is absent, as in ``evaluate.roc_auc``: in a dense log every window has an incident.
+    """
     counts = predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.expr("count_if(y_true = 1) AS pos"), F.expr("count_if(y_true = 0) AS neg")
     )
@@ -292,7 +295,7 @@ def _area_again(predictions: DataFrame, score: str) -> DataFrame:
         "pos",
         "neg",
         f"below + coalesce(sum(neg) OVER (PARTITION BY part ORDER BY score {before}), 0) AS lower",
-    ).selectExpr("sum(pos * (lower + neg / 2)) / (sum(pos) * sum(neg)) AS auc")
+    ).selectExpr("coalesce(try_divide(sum(pos * (lower + neg / 2)), sum(pos) * sum(neg)), 0D) AS auc")
 
 
 def _difference(reported: DataFrame, predictions: DataFrame, again: dict) -> DataFrame:
