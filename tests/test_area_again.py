@@ -41,3 +41,7 @@ def _of_one_class(make, incident):
 @pytest.mark.parametrize("incident", [0, 1])
 def test_model_metrics_of_windows_of_one_class(make, incident):
     assert all(entry._model_metrics_check(_of_one_class(make, incident)).first())
+
+
+def test_run_report_of_windows_of_one_class(make):
+    assert all(entry._run_report_check(_of_one_class(make, 1)).first())
