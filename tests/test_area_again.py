@@ -45,3 +45,7 @@ def test_model_metrics_of_windows_of_one_class(make, incident):
 
 def test_run_report_of_windows_of_one_class(make):
     assert all(entry._run_report_check(_of_one_class(make, 1)).first())
+
+
+def test_training_metrics_of_windows_of_one_class(make):
+    assert all(entry._training_metrics_check(_of_one_class(make, 1)).first())
